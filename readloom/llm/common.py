@@ -14,9 +14,15 @@ _own_dirs: dict[str, str] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the given tables through Spark, whatever store it lies in."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand Python this many rows at once, as a batch of whole texts must fit in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 

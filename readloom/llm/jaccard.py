@@ -32,7 +32,7 @@ from readloom.llm.components import components
 from readloom.llm.wordhash import chunks, hash_words, mix, windows
 
 WIDTH = 5
-_KEYS = 4
+_ODD = [(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(4)]
 #: Shingles that go last in the order of rarity; the bound of that broadcast. It changes cost, never results.
 HOT_SHINGLES = 16_384
 #: Ids that a lookup by broadcast may hold; beyond it, the lookup is a shuffled join.
@@ -48,18 +48,33 @@ _DIGEST = T.StructType(
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Each text's sorted distinct shingle hashes; a text under five words has one shingle, without words none."""
     raw = [t.encode("utf-8", "surrogatepass").lower() if isinstance(t, str) else b"" for t in texts]
-    for _, part in chunks(raw):
+    for _, part in chunks(raw, 1 << 18):
         h, at = hash_words(part)
+        full = windows(h, WIDTH)
         for k in range(len(part)):
             own = h[at[k] : at[k + 1]]
-            yield np.unique(windows(own, min(WIDTH, len(own)))) if len(own) else own
+            if len(own) < WIDTH:
+                yield windows(own, len(own)) if len(own) else own
+                continue
+            w = np.sort(full[at[k] : at[k + 1] - WIDTH + 1])
+            yield w[np.append(True, w[1:] != w[:-1])]
+
+
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[list]:
+    """The texts of each batch in runs of some rows, which bounds the memory of what is made of them."""
+    for pdf in batches:
+        for k in range(0, len(pdf), rows):
+            yield pdf["text"].iloc[k : k + rows].tolist()
 
 
 def _identity(s: np.ndarray) -> tuple[int, int]:
     """A set's 128-bit identity as two signed longs."""
-    a = np.add.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)
-    b = np.bitwise_xor.reduce(mix(s + np.uint64(0x14057B7EF767814F)))
-    return int(np.uint64(a).astype(np.int64)), int(np.uint64(b).astype(np.int64))
+    return int(np.add.reduce(s).astype(np.int64)), int(np.bitwise_xor.reduce(s).astype(np.int64))
+
+
+def _min_hashes(s: np.ndarray) -> list[int]:
+    """One value for each of four orders of all shingles: the least multiple by an odd number."""
+    return [int((s * np.uint64(odd)).min().astype(np.int64)) for odd in _ODD]
 
 
 def _digests(docs: DataFrame) -> DataFrame:
@@ -69,8 +84,7 @@ def _digests(docs: DataFrame) -> DataFrame:
         for s in shingle_sets(text.tolist()):
             if len(s):
                 a, b = _identity(s)
-                keys = [int(mix(s + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))).min().astype(np.int64)) for k in range(_KEYS)]
-                rows.append((len(s), a, b, keys))
+                rows.append((len(s), a, b, _min_hashes(s)))
             else:
                 rows.append((0, 0, 0, []))
         return pd.DataFrame(rows, columns=_DIGEST.names)
@@ -86,8 +100,8 @@ def _hot_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sets = [s for s in shingle_sets(pdf["text"].tolist()) if len(s)]
+        for text in _slices(batches):
+            sets = [s for s in shingle_sets(text) if len(s)]
             if not sets:
                 continue
             one, n = np.unique(np.concatenate(sets), return_counts=True)
@@ -125,9 +139,9 @@ def _live_entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets:
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, weight = sent.value
-        for turn, pdf in enumerate(batches):
+        for turn, text in enumerate(_slices(batches)):
             found, done = [], set()
-            for s in shingle_sets(pdf["text"].tolist()):
+            for s in shingle_sets(text):
                 if not len(s):
                     continue
                 a = _identity(s)[0]

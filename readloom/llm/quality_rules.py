@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from readloom.llm.common import bounded_sample, fold, table
-from readloom.llm.wordhash import chunks, hash_words, mix, windows
+from readloom.llm.wordhash import chunks, hash_words, windows
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -80,7 +80,7 @@ def text_stats(text: pd.Series) -> pd.DataFrame:
     """The counts of STATS for each text; a null text counts as empty."""
     rows = np.zeros((len(text), len(STATS.names)), dtype=np.int64)
     raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in text]
-    for first, part in chunks(raw):
+    for first, part in chunks(raw, 1 << 18):
         h, at = hash_words(part)
         for k, b in enumerate(part):
             own = h[at[k] : at[k + 1]]
