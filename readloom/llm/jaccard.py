@@ -5,13 +5,14 @@ when 100 * |intersection| >= 80 * |union|. The join is exact (up to equal 64-bit
 shingle hashes) and never lists the pairs within a group of copies:
 
 1. Equal sets are one class; the rest works on classes.
-2. Classes that share a min-hash key propose a link to the key's least class,
-   its hub. Verified proposals are links, and give first components.
-3. Index lists hold each set's prefix: the rarest fifth of its shingles, in an
-   order that is the same for all sets. Lists whose entries lie in one component
-   are done. In the others entries form blocks of equal (set size, position);
-   blocks are compared by size and position first, so a pair of blocks that
-   cannot reach the threshold is skipped whole.
+2. Index lists hold each set's prefix: the rarest fifth of its shingles, in an
+   order that is the same for all sets. Only lists that two sets share are kept.
+3. In each list every set proposes a link to one of them, the list's hub, in two
+   rounds with other hubs. What is verified gives the first components. Lists
+   whose entries lie in one component are done. In the others entries form
+   blocks of equal (set size, position); blocks are compared by size and position
+   first, so a pair of blocks that cannot reach the threshold is skipped whole.
+   Members of the rest are tried on 256 parity bits before they become a pair.
 4. A surviving pair (x, z) takes its overlap from that of x's hub and z: the
    counts of what x has beyond its hub, and lacks of it, bound the overlap, and
    only pairs that the bounds leave open are counted.
@@ -32,7 +33,6 @@ from readloom.llm.components import components
 from readloom.llm.wordhash import chunks, hash_words, mix, windows
 
 WIDTH = 5
-_ODD = [(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(4)]
 #: Shingles that go last in the order of rarity; the bound of that broadcast. It changes cost, never results.
 HOT_SHINGLES = 16_384
 #: Ids that a lookup by broadcast may hold; beyond it, the lookup is a shuffled join.
@@ -41,8 +41,10 @@ BROADCAST_IDS = 2_000_000
 _LIST_ENTRIES = 500_000
 _ENTRY = np.dtype([("s", "<u8"), ("a", "<u8"), ("n", "<u4"), ("p", "<u4")])
 _DIGEST = T.StructType(
-    [T.StructField("n", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    [T.StructField("n", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]
+    + [T.StructField(f"w{k}", T.LongType()) for k in range(4)]
 )
+_BITS = _DIGEST.names[3:]
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -72,9 +74,19 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
     return int(np.add.reduce(s).astype(np.int64)), int(np.bitwise_xor.reduce(s).astype(np.int64))
 
 
-def _min_hashes(s: np.ndarray) -> list[int]:
-    """One value for each of four orders of all shingles: the least multiple by an odd number."""
-    return [int((s * np.uint64(odd)).min().astype(np.int64)) for odd in _ODD]
+def _parities(s: np.ndarray) -> list[int]:
+    """256 bits: the parity of how many shingles fall on each.
+
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    odd = (np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
+def _near_enough(one: str, two: str, n1: str, n2: str):
+    """Whether sizes and parities of columns with the two prefixes leave a link possible."""
+    apart = " + ".join(f"bit_count({one}{w} ^ {two}{w})" for w in _BITS)
+    return F.expr(f"9 * ({n1} + {n2} - ({apart})) >= 8 * ({n1} + {n2})")
 
 
 def _digests(docs: DataFrame) -> DataFrame:
@@ -84,9 +96,9 @@ def _digests(docs: DataFrame) -> DataFrame:
         for s in shingle_sets(text.tolist()):
             if len(s):
                 a, b = _identity(s)
-                rows.append((len(s), a, b, _min_hashes(s)))
+                rows.append((len(s), a, b, *_parities(s)))
             else:
-                rows.append((0, 0, 0, []))
+                rows.append((0,) * len(_DIGEST.names))
         return pd.DataFrame(rows, columns=_DIGEST.names)
 
     return docs.select("doc_id", digest("text").alias("d")).select("doc_id", "d.*")
@@ -229,6 +241,19 @@ def measured(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     return both.select("x", "y", "nx", "ny", "m.*").where("right").drop("right").dropDuplicates(["x", "y"])
 
 
+def _open(live: DataFrame, placed: DataFrame, *more) -> tuple[DataFrame, DataFrame]:
+    """All entries with their components, and the lists that lie in more than one (s, lo, hi, and ``more`` of each)."""
+    lists = live.join(placed, "sid")
+    found = lists.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *more).where("lo < hi")
+    return lists, found
+
+
+def _merged(placed: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components (sid, comp) after edges (u, v) between them."""
+    late = components(edges)
+    return staged(placed.join(late, F.col("comp") == F.col("node"), "left").select("sid", F.coalesce("root", "comp").alias("comp")), "placed")
+
+
 def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, roots): doc_id to identity, classes of equal sets, class to component.
 
@@ -239,29 +264,28 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     members = staged(_digests(docs), "members")
     classes = (
         members.where("n > 0").groupBy("a", "b")
-        .agg(F.min("doc_id").alias("rep_doc"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("rep_doc"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in _BITS])
         .withColumn("sid", F.monotonically_increasing_id())
     )
     classes = staged(classes, "classes")
 
-    # Hubs: proposals along shared min-hash keys.
-    keyed = classes.select("sid", "n", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("sid", "n")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    near = keyed.join(hubs, "key").where("sid <> hub.sid and 5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
-    near = near.select(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).distinct()
-    first = staged(measured(docs, classes, near), "hubs").where(_linked(F.col("o"), F.col("nx"), F.col("ny")))
-    early = components(first.select(F.col("x").alias("u"), F.col("y").alias("v")))
-    placed = staged(
-        classes.select("sid", "a", "n").join(early, F.col("sid") == F.col("node"), "left").select("sid", "a", "n", F.coalesce("root", "sid").alias("comp")),
-        "placed",
-    )
-
-    # Index lists that still join different components.
     entries = members.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
     live = _live_entries(docs, _hot_shingles(docs), max(int(entries) // _LIST_ENTRIES + 1, 24))
-    lists = staged(live.dropDuplicates(["s", "a"]).join(placed.select("a", "sid", "comp"), "a").drop("a"), "lists")
-    open_lists = lists.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("s")
-    lists = staged(lists.join(open_lists, "s"), "open")
+    live = staged(live.dropDuplicates(["s", "a"]).join(classes.select("a", "sid", *_BITS), "a").drop("a"), "lists")
+
+    # Hubs: every entry of a list that joins components proposes a link to the list's first, then its last set.
+    placed = classes.select("sid", F.col("sid").alias("comp"))
+    links = None
+    for pick in (F.min, F.max):
+        lists, open_lists = _open(live, placed, pick(F.struct("sid", "comp", "n", "pos", *_BITS)).alias("hub"))
+        asks = lists.join(open_lists, "s").where("comp <> hub.comp and 5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
+        asks = asks.where(_near_enough("", "hub.", "n", "hub.n")).where("9 * least(n - pos, hub.n - hub.pos) >= 4 * (n + hub.n)").groupBy(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).agg(F.min(F.struct(F.col("comp").alias("u"), F.col("hub.comp").alias("v"))).alias("e"))
+        asks = staged(asks.select("x", "y", "e.*"), "asks")
+        new = staged(measured(docs, classes, asks.select("x", "y")).where(_linked(F.col("o"), F.col("nx"), F.col("ny"))), "hubs")
+        placed = _merged(placed, asks.join(new.select("x", "y"), ["x", "y"]).select("u", "v"))
+        links = new if links is None else links.unionByName(new)
+    lists, open_lists = _open(live, placed)
+    lists = staged(lists.join(open_lists.select("s"), "s"), "open")
 
     # Blocks of equal size and position, compared before their members are.
     blocks = lists.groupBy("s", "n", "pos").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -269,13 +293,13 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     large = blocks.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
     can = F.expr("n1 <= n2 and 5 * n1 >= 4 * n2 and 9 * least(n1 - p1, n2 - p2) >= 4 * (n1 + n2) and least(lo1, lo2) < greatest(hi1, hi2)")
     open_blocks = small.join(large, "s").where(can).select("s", "n1", "p1", "n2", "p2")
-    m1 = lists.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("sid").alias("x"), F.col("comp").alias("cx"))
-    m2 = lists.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("sid").alias("z"), F.col("comp").alias("cz"))
-    pairs = open_blocks.join(m1, ["s", "n1", "p1"]).join(m2, ["s", "n2", "p2"]).where("cx <> cz and (n1 < n2 or x < z)")
+    m1 = lists.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("sid").alias("x"), F.col("comp").alias("cx"), *[F.col(w).alias(f"x{w}") for w in _BITS])
+    m2 = lists.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("sid").alias("z"), F.col("comp").alias("cz"), *[F.col(w).alias(f"z{w}") for w in _BITS])
+    pairs = open_blocks.join(m1, ["s", "n1", "p1"]).join(m2, ["s", "n2", "p2"]).where("cx <> cz and (n1 < n2 or x < z)").where(_near_enough("x", "z", "n1", "n2"))
     pairs = staged(pairs.select("x", "z", "cx", "cz", "n1", "n2").distinct(), "pairs")
 
     # Overlaps by way of hubs.
-    best = first.groupBy("x").agg(F.min(F.struct(F.expr("extra + lacking").alias("d"), F.col("y").alias("hub"), "extra", "lacking")).alias("h"))
+    best = links.groupBy("x").agg(F.min(F.struct(F.expr("extra + lacking").alias("d"), F.col("y").alias("hub"), "extra", "lacking")).alias("h"))
     best = best.select("x", "h.hub", "h.extra", "h.lacking")
     way = pairs.join(best, "x", "left").select("*", F.coalesce("hub", "x").alias("r"))
     by_hub = staged(measured(docs, classes, way.where("r <> z").select(F.col("r").alias("x"), F.col("z").alias("y")).distinct()), "by_hub")
@@ -285,8 +309,7 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     unsure = known.where("may and not yes")
     counted = measured(docs, classes, unsure.select("x", F.col("z").alias("y"))).where(_linked(F.col("o"), F.col("nx"), F.col("ny")))
     found = known.where("yes").select("cx", "cz").unionByName(counted.select("x", F.col("y").alias("z")).join(unsure, ["x", "z"]).select("cx", "cz"))
-    late = components(found.select(F.col("cx").alias("u"), F.col("cz").alias("v")))
-    roots = placed.join(late, F.col("comp") == F.col("node"), "left").select("sid", F.coalesce("root", "comp").alias("root"))
+    roots = _merged(placed, found.select(F.col("cx").alias("u"), F.col("cz").alias("v"))).withColumnRenamed("comp", "root")
     return members, classes, roots
 
 
