@@ -50,12 +50,17 @@ def chunks(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[int, list[
         yield start, texts[start:]
 
 
-def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in order, and each text's first word (n + 1 offsets)."""
+def hash_words(texts: list[bytes], prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in order, and each text's first word (n + 1 offsets).
+
+    With ``prefix``, only that many first bytes of each word count.
+    """
     buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     space = _SPACE[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).astype(np.int8)))
     start, end = edge[0::2], edge[1::2]
+    if prefix is not None:
+        end = np.minimum(end, start + prefix)
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * _power("up", len(buf)), out=sums[1:])
     h = (sums[end] - sums[start]) * _power("down", len(buf) + 1)[start]
