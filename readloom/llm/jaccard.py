@@ -89,6 +89,10 @@ def _near_enough(one: str, two: str, n1: str, n2: str):
     return F.expr(f"9 * ({n1} + {n2} - ({apart})) >= 8 * ({n1} + {n2})")
 
 
+def _bits(classes: DataFrame, name: str) -> DataFrame:
+    return classes.select(F.col("sid").alias(name), *[F.col(w).alias(name + w) for w in _BITS])
+
+
 def _digests(docs: DataFrame) -> DataFrame:
     @F.pandas_udf(_DIGEST)
     def digest(text: pd.Series) -> pd.DataFrame:
@@ -117,7 +121,7 @@ def _hot_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             if not sets:
                 continue
             one, n = np.unique(np.concatenate(sets), return_counts=True)
-            keep = n >= max(3, len(sets) // 1000)
+            keep = n >= (3 if len(sets) > 500 else 2)
             yield pd.DataFrame({"s": one[keep].astype(np.int64), "n": n[keep]})
 
     rows = docs.select("text").mapInPandas(frequent, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
@@ -232,7 +236,10 @@ def _linked(o, n1, n2):
 
 
 def measured(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact overlaps of pairs (x, y) of class ids: x, y, nx, ny, o, extra (of x), lacking (of y)."""
+    """Exact overlaps of pairs (x, y) of class ids: x, y, nx, ny, o, extra (of x), lacking (of y).
+
+    ``pairs`` is read three times, so callers stage it.
+    """
     one = classes.select(F.col("sid").alias("x"), "rep_doc", F.col("a").alias("xa"), F.col("n").alias("nx"))
     two = classes.select(F.col("sid").alias("y"), "rep_doc", F.col("a").alias("ya"), F.col("n").alias("ny"))
     left = _texts(docs, pairs.join(one, "x")).select("x", "y", "xa", "nx", F.col("text").alias("tx"))
@@ -271,21 +278,23 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     entries = members.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
     live = _live_entries(docs, _hot_shingles(docs), max(int(entries) // _LIST_ENTRIES + 1, 24))
-    live = staged(live.dropDuplicates(["s", "a"]).join(classes.select("a", "sid", *_BITS), "a").drop("a"), "lists")
+    live = staged(live.dropDuplicates(["s", "a"]).join(classes.select("a", "sid"), "a").drop("a"), "lists")
 
     # Hubs: every entry of a list that joins components proposes a link to the list's first, then its last set.
     placed = classes.select("sid", F.col("sid").alias("comp"))
     links = None
     for pick in (F.min, F.max):
-        lists, open_lists = _open(live, placed, pick(F.struct("sid", "comp", "n", "pos", *_BITS)).alias("hub"))
+        lists, open_lists = _open(live, placed, pick(F.struct("sid", "comp", "n", "pos")).alias("hub"))
         asks = lists.join(open_lists, "s").where("comp <> hub.comp and 5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
-        asks = asks.where(_near_enough("", "hub.", "n", "hub.n")).where("9 * least(n - pos, hub.n - hub.pos) >= 4 * (n + hub.n)").groupBy(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).agg(F.min(F.struct(F.col("comp").alias("u"), F.col("hub.comp").alias("v"))).alias("e"))
-        asks = staged(asks.select("x", "y", "e.*"), "asks")
+        asks = asks.where("9 * least(n - pos, hub.n - hub.pos) >= 4 * (n + hub.n)")
+        edge = F.min(F.struct(F.col("comp").alias("u"), F.col("hub.comp").alias("v"), F.col("n").alias("n1"), F.col("hub.n").alias("n2"))).alias("e")
+        asks = asks.groupBy(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).agg(edge).select("x", "y", "e.*")
+        asks = staged(asks.join(_bits(classes, "x"), "x").join(_bits(classes, "y"), "y").where(_near_enough("x", "y", "n1", "n2")).select("x", "y", "u", "v"), "asks")
         new = staged(measured(docs, classes, asks.select("x", "y")).where(_linked(F.col("o"), F.col("nx"), F.col("ny"))), "hubs")
         placed = _merged(placed, asks.join(new.select("x", "y"), ["x", "y"]).select("u", "v"))
         links = new if links is None else links.unionByName(new)
     lists, open_lists = _open(live, placed)
-    lists = staged(lists.join(open_lists.select("s"), "s"), "open")
+    lists = staged(lists.join(open_lists.select("s"), "s").join(classes.select("sid", *_BITS), "sid"), "open")
 
     # Blocks of equal size and position, compared before their members are.
     blocks = lists.groupBy("s", "n", "pos").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -301,8 +310,8 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # Overlaps by way of hubs.
     best = links.groupBy("x").agg(F.min(F.struct(F.expr("extra + lacking").alias("d"), F.col("y").alias("hub"), "extra", "lacking")).alias("h"))
     best = best.select("x", "h.hub", "h.extra", "h.lacking")
-    way = pairs.join(best, "x", "left").select("*", F.coalesce("hub", "x").alias("r"))
-    by_hub = staged(measured(docs, classes, way.where("r <> z").select(F.col("r").alias("x"), F.col("z").alias("y")).distinct()), "by_hub")
+    way = staged(pairs.join(best, "x", "left").select("*", F.coalesce("hub", "x").alias("r")), "way")
+    by_hub = staged(measured(docs, classes, staged(way.where("r <> z").select(F.col("r").alias("x"), F.col("z").alias("y")).distinct(), "asked")), "by_hub")
     known = way.join(by_hub.select(F.col("x").alias("r"), F.col("y").alias("z"), "o"), ["r", "z"])
     least, most = F.col("o") - F.coalesce("lacking", F.lit(0)), F.col("o") + F.coalesce("extra", F.lit(0))
     known = staged(known.select("x", "z", "cx", "cz", _linked(least, F.col("n1"), F.col("n2")).alias("yes"), _linked(most, F.col("n1"), F.col("n2")).alias("may")), "known")
@@ -331,15 +340,14 @@ def component_ids(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those whose doc_id is its component_id.
+    """The rows of ``docs`` without those whose group has a lesser doc_id, with their columns.
 
-    Of rows that repeat that id, the one of least text stays. Rows without
-    doc_id or without words always stay.
+    Rows without words stay, as do rows without doc_id. Rows that repeat one
+    doc_id go together, by the least group that any of their texts is in.
     """
     groups = component_ids(docs).where("n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("_c"))
     gone = groups.where("doc_id is not null and _c < doc_id").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
