@@ -54,8 +54,7 @@ def gene_rpkm(exon_counts: DataFrame, junction_counts: DataFrame, exons: DataFra
 
 def read_classes(alignments: DataFrame, exons: DataFrame) -> DataFrame:
     """Exonic, intronic and intergenic alignments by sample; a read is the first of these that it touches."""
-    ids = alignments.withColumn("place", F.struct("chr", "start", "end"))
-    places = ids.select("chr", "start", "end").distinct()
+    places = alignments.select("chr", "start", "end").distinct()
     exon_features = exons.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
     genes = exons.groupBy("gene_id", "chr").agg(F.min("start").alias("f_start"), F.max("end").alias("f_end")).drop("gene_id").distinct()
     exonic = overlapping(places, exon_features).select("chr", "start", "end").distinct().withColumn("exonic", F.lit(True))

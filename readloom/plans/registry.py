@@ -1,6 +1,407 @@
-"""All queries over the given tables and their SQL."""
+"""All queries over the derived tables and their SQL."""
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLE_SQL = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from readloom.operators import compare, expression, intervals, maps, reads, splicing
+from readloom.plans.fixtures import view, with_views
+
+SAMPLES = ["s0", "s1", "s2", "s3"]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def _query(*views: str, sql: str | None = None):
+    """Register a function of the named views, under its own name, with its SQL."""
+
+    def put(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(*[view(spark, sf_dir, v) for v in views])
+        if sql:
+            ORACLE_SQL[f.__name__] = with_views(sql, *views)
+        return f
+
+    return put
+
+
+def _as_features(exons: DataFrame) -> DataFrame:
+    return exons.select("exon_id", "gene_id", "chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
+
+
+_U = """, nh AS (SELECT *, count(*) OVER (PARTITION BY read_id, read_no) AS nh FROM alignments),
+uniq AS (SELECT * FROM nh WHERE nh = 1),
+um AS (SELECT sample, count(*) AS unique_maps FROM uniq GROUP BY sample)"""
+_EC = """, ec AS (SELECT exon_id, gene_id, sample, count(*) AS reads FROM (SELECT DISTINCT exon_id, gene_id, chr, start, "end" FROM exons) e
+JOIN uniq a ON a.chr = e.chr AND a.start >= e.start AND a."end" <= e."end" GROUP BY exon_id, gene_id, sample)"""
+_M = """, ordered AS (SELECT gene_id, chr, start, "end", strand, max("end") OVER (PARTITION BY gene_id, chr ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM exons),
+numbered AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY gene_id, chr ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS r FROM ordered),
+proj AS (SELECT gene_id, chr, min(start) AS start, max("end") AS "end", CASE WHEN min(strand) = max(strand) THEN min(strand) ELSE '.' END AS strand, count(*) AS exons FROM numbered GROUP BY gene_id, chr, r),
+plen AS (SELECT gene_id, sum("end" - start + 1)::BIGINT AS length FROM proj GROUP BY gene_id)"""
+_EXRPKM = _U + _EC + """, xr AS (SELECT * FROM (SELECT ec.exon_id, ec.sample, floor(ec.reads * 1000000000.0::DOUBLE / (length * unique_maps) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS rpkm
+FROM (SELECT exon_id, sample, max(reads) AS reads FROM ec GROUP BY ALL) ec JOIN (SELECT DISTINCT exon_id, "end" - start + 1 AS length FROM exons) l USING (exon_id) JOIN um USING (sample)) WHERE rpkm > 0)"""
+_GRPKM = _U + _EC + _M + """, gr AS (SELECT * FROM (SELECT gene_id, sample, reads, floor(reads * 1000000000.0::DOUBLE / (length * unique_maps) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS rpkm
+FROM (SELECT gene_id, sample, sum(reads)::BIGINT AS reads FROM (SELECT gene_id, sample, reads FROM ec UNION ALL SELECT gene_id, sample, reads FROM junction_reads) GROUP BY ALL) t
+JOIN plen USING (gene_id) JOIN um USING (sample)) WHERE rpkm > 0)"""
+_SHARED = """, sh AS (SELECT exon_id FROM exons GROUP BY exon_id HAVING count(DISTINCT gene_id) > 1),
+pr AS (SELECT a.gene_id, a.chr, a.strand, a.exon_id AS exon1_id, b.exon_id AS exon2_id, a."end" AS start, b.start AS "end" FROM exons a JOIN exons b ON a.gene_id = b.gene_id AND a.chr = b.chr AND a.strand = b.strand
+WHERE a."end" < b.start AND a.exon_id NOT IN (SELECT exon_id FROM sh) AND b.exon_id NOT IN (SELECT exon_id FROM sh))"""
+_ANN = """, an AS (SELECT DISTINCT gene_id, chr, "end" AS start, nxt AS "end" FROM (SELECT e.gene_id, e.chr, e."end", lead(e.start) OVER (PARTITION BY e.gene_id, transcript_id, e.chr ORDER BY e.start, e."end") AS nxt
+FROM exon_transcripts t JOIN exons e ON e.gene_id = t.gene_id AND e.exon_id = t.exon_id) WHERE nxt > "end")"""
+
+
+# Intervals
+
+
+@_query("exons", sql=_M + ' SELECT gene_id, chr, start, "end", strand, exons FROM proj')
+def gene_projections(exons):
+    return intervals.gene_projections(exons)
+
+
+@_query("exons", sql=_M + " SELECT * FROM plen")
+def gene_projected_lengths(exons):
+    return intervals.projected_lengths(exons)
+
+
+@_query("alignments", sql="""
+, o AS (SELECT *, max("end") OVER (PARTITION BY sample, chr ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM alignments),
+n AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY sample, chr ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS r FROM o)
+SELECT sample, chr, min(start) AS start, max("end") AS "end", CASE WHEN min(strand) = max(strand) THEN min(strand) ELSE '.' END AS strand, count(*) AS included FROM n GROUP BY sample, chr, r HAVING count(*) >= 5""")
+def read_clusters(alignments):
+    return intervals.read_clusters(alignments, 5)
+
+
+@_query("exons", sql="""
+, e AS (SELECT DISTINCT exon_id, chr, start, "end" FROM exons)
+SELECT a.exon_id, count(*) - 1 AS overlaps FROM e a JOIN e b ON a.chr = b.chr AND a.start <= b."end" AND a."end" >= b.start GROUP BY a.exon_id""")
+def exon_self_overlap(exons):
+    return intervals.overlap_counts(exons)
+
+
+@_query("alignments", sql="""SELECT chr, lane, count(*) AS reads FROM alignments GROUP BY chr, lane""")
+def reads_by_chromosome(alignments):
+    out = alignments.groupBy("chr", "lane").agg(F.count(F.lit(1)).alias("reads"))
+    return out.orderBy(*intervals.natural_chromosome(F.col("chr")), "lane")
+
+
+# Expression
+
+
+@_query("alignments", sql=_U + " SELECT sample, nh, count(*) AS alignments FROM nh GROUP BY sample, nh")
+def hit_multiplicity(alignments):
+    return expression.with_multiplicity(alignments).groupBy("sample", "nh").agg(F.count(F.lit(1)).alias("alignments"))
+
+
+@_query("alignments", sql=_U + " SELECT * FROM um")
+def unique_maps(alignments):
+    return expression.unique_maps(alignments)
+
+
+@_query("alignments", "exons", sql=_U + """ SELECT exon_id, sample, sum(CASE WHEN a.strand = '+' THEN 1 ELSE 0 END)::BIGINT AS forward, sum(CASE WHEN a.strand = '-' THEN 1 ELSE 0 END)::BIGINT AS reverse, count(*) AS reads
+FROM (SELECT DISTINCT exon_id, chr, start, "end" FROM exons) e JOIN nh a ON a.chr = e.chr AND a.start >= e.start AND a."end" <= e."end" WHERE nm <= 2 GROUP BY exon_id, sample""")
+def exon_containment(alignments, exons):
+    return expression.containment_counts(alignments.where("nm <= 2"), _as_features(exons).drop("gene_id").distinct(), "exon_id")
+
+
+@_query("alignments", "exons", sql=_M + """ SELECT gene_id, sample, sum(CASE WHEN a.strand = '+' THEN 1 ELSE 0 END)::BIGINT AS forward, sum(CASE WHEN a.strand = '-' THEN 1 ELSE 0 END)::BIGINT AS reverse, count(*) AS reads
+FROM proj p JOIN alignments a ON a.chr = p.chr AND a.start >= p.start AND a."end" <= p."end" GROUP BY gene_id, sample""")
+def projection_containment(alignments, exons):
+    proj = intervals.gene_projections(exons).select("gene_id", "chr", F.col("start").alias("f_start"), F.col("end").alias("f_end"))
+    return expression.containment_counts(alignments, proj, "gene_id")
+
+
+@_query("alignments", "exons", sql="""
+, g AS (SELECT gene_id, chr, min(start) AS start, max("end") AS "end" FROM exons GROUP BY gene_id, chr)
+SELECT sample, class, count(*) AS reads FROM (SELECT a.sample, CASE WHEN EXISTS (SELECT 1 FROM exons e WHERE e.chr = a.chr AND e.start <= a."end" AND e."end" >= a.start) THEN 'exonic'
+WHEN EXISTS (SELECT 1 FROM g WHERE g.chr = a.chr AND g.start <= a."end" AND g."end" >= a.start) THEN 'intronic' ELSE 'intergenic' END AS class FROM alignments a) GROUP BY sample, class""")
+def read_classes(alignments, exons):
+    return expression.read_classes(alignments, exons)
+
+
+def _exon_rpkm(alignments, exons):
+    uniq = expression.with_multiplicity(alignments).where("unique")
+    counts = expression.containment_counts(uniq, _as_features(exons).drop("gene_id").distinct(), "exon_id")
+    lengths = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
+    return expression.exon_rpkm(counts, lengths, expression.unique_maps(alignments))
+
+
+def _gene_rpkm(alignments, exons, junction_reads):
+    uniq = expression.with_multiplicity(alignments).where("unique")
+    counts = expression.containment_counts(uniq, _as_features(exons).withColumn("key", F.struct("gene_id", "exon_id")), "key").select("key.gene_id", "sample", "reads")
+    junctions = junction_reads.groupBy("gene_id", "sample").agg(F.sum("reads").alias("reads"))
+    return expression.gene_rpkm(counts, junctions, exons, expression.unique_maps(alignments))
+
+
+@_query("alignments", "exons", sql=_EXRPKM + " SELECT * FROM xr")
+def exon_rpkm_pooled(alignments, exons):
+    return _exon_rpkm(alignments, exons)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_GRPKM + " SELECT * FROM gr")
+def gene_rpkm_pooled(alignments, exons, junction_reads):
+    return _gene_rpkm(alignments, exons, junction_reads)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_GRPKM + """ SELECT sample, CASE WHEN gene_id LIKE '%1' THEN 'one' ELSE 'other' END AS type, count(*) AS detected FROM gr WHERE rpkm >= 1 GROUP BY ALL
+UNION ALL SELECT NULL, NULL, count(*) FROM gr WHERE rpkm >= 1""")
+def detected_genes(alignments, exons, junction_reads):
+    kind = F.when(F.col("gene_id").endswith("1"), "one").otherwise("other")
+    return expression.detected_features(_gene_rpkm(alignments, exons, junction_reads), kind)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_GRPKM + " SELECT sample, bin, count(*) AS features FROM (SELECT sample, floor(rpkm + 0.5::DOUBLE)::BIGINT AS bin FROM gr) WHERE bin > 0 GROUP BY sample, bin")
+def gene_rpkm_histogram(alignments, exons, junction_reads):
+    return expression.rpkm_histogram(_gene_rpkm(alignments, exons, junction_reads))
+
+
+@_query("transcript_expression", sql="SELECT gene_id, sample, floor(sum(rpkm) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS rpkm FROM transcript_expression GROUP BY ALL")
+def gene_from_transcripts(transcripts):
+    return expression.transcript_to_gene(transcripts)
+
+
+@_query("transcript_expression", "exon_transcripts", sql="""SELECT exon_id, sample, floor(sum(rpkm) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS rpkm
+FROM transcript_expression JOIN exon_transcripts USING (gene_id, transcript_id) GROUP BY ALL""")
+def exon_from_transcripts(transcripts, bridge):
+    return expression.transcript_to_exon(transcripts, bridge)
+
+
+@_query("transcript_expression", "exon_transcripts", sql="""SELECT sample, count(DISTINCT transcript_id) AS detected, (SELECT count(DISTINCT transcript_id) FROM exon_transcripts) AS annotated
+FROM transcript_expression GROUP BY ROLLUP (sample)""")
+def transcript_summary(transcripts, bridge):
+    annotated = bridge.agg(F.countDistinct("transcript_id").alias("annotated"))
+    return expression.expression_summary(transcripts, "transcript_id", 0).drop("annotated").crossJoin(F.broadcast(annotated))  # one row
+
+
+@_query("transcript_expression", sql="""
+, f AS (SELECT transcript_id, min(sample) AS sample FROM transcript_expression GROUP BY 1), c AS (SELECT sample, count(*) AS new FROM f GROUP BY 1)
+SELECT s.sample, coalesce(new, 0) AS new, sum(coalesce(new, 0)) OVER (ORDER BY s.sample)::BIGINT AS cumulative FROM (SELECT DISTINCT sample FROM transcript_expression) s LEFT JOIN c USING (sample)""")
+def transcript_saturation(transcripts):
+    return expression.saturation(transcripts, "transcript_id", "sample")
+
+
+_WIDE = ", ".join(f"coalesce(sum(rpkm) FILTER (sample = '{s}'), 0) AS {s}" for s in SAMPLES)
+_WIDE_WHOLE = ", ".join(f"coalesce(sum(rpkm) FILTER (sample = '{s}'), 0)::BIGINT AS {s}" for s in SAMPLES)
+
+
+@_query("transcript_expression", sql=f"SELECT transcript_id, {_WIDE} FROM transcript_expression GROUP BY transcript_id")
+def transcript_matrix(transcripts):
+    return expression.matrix(transcripts, "transcript_id", SAMPLES)
+
+
+@_query("transcript_expression", sql="""
+, d AS (SELECT t.transcript_id, s.sample, coalesce(e.rpkm, 0) AS v FROM (SELECT DISTINCT transcript_id FROM transcript_expression) t CROSS JOIN (SELECT DISTINCT sample FROM transcript_expression) s
+LEFT JOIN transcript_expression e ON e.transcript_id = t.transcript_id AND e.sample = s.sample)
+SELECT a.sample AS sample1, b.sample AS sample2, round(sum(CASE WHEN a.v + b.v > 0 THEN abs(a.v - b.v) / (a.v + b.v) ELSE 0 END), 6) AS distance FROM d a JOIN d b ON a.transcript_id = b.transcript_id AND a.sample < b.sample GROUP BY ALL""")
+def sample_distance(transcripts):
+    return expression.canberra(transcripts, "transcript_id", SAMPLES).withColumn("distance", F.round("distance", 6))
+
+
+@_query("transcript_expression", "exon_transcripts", sql=f"""
+, k AS (SELECT transcript_id, sample, floor(rpkm + 0.5::DOUBLE) AS rpkm FROM transcript_expression WHERE floor(rpkm + 0.5::DOUBLE) >= 1),
+w AS (SELECT transcript_id, {_WIDE_WHOLE} FROM k GROUP BY transcript_id)
+SELECT w.*, s0 + s1 + s2 + s3 AS total, exons FROM w JOIN (SELECT transcript_id, count(*) AS exons FROM exon_transcripts GROUP BY 1) a USING (transcript_id)""")
+def top_transcripts(transcripts, bridge):
+    about = bridge.groupBy("transcript_id").agg(F.count(F.lit(1)).alias("exons"))
+    values = transcripts.select("transcript_id", "sample", F.col("rpkm"))
+    out = expression.top_features(values, "transcript_id", SAMPLES, about)
+    return out.orderBy(F.desc("total"), "transcript_id")
+
+
+@_query("transcript_expression", sql="""SELECT transcript_id, sum(CASE WHEN rpkm >= 10 THEN 1 ELSE 0 END)::BIGINT AS lanes, max(rpkm) AS most, sum(rpkm) / 4 AS mean FROM transcript_expression GROUP BY 1""")
+def transcript_detection(transcripts):
+    return compare.detection(transcripts, "transcript_id", 4, 10).orderBy(F.desc("mean"), "transcript_id")
+
+
+# Splicing
+
+
+@_query("exons", sql="SELECT exon_id, count(DISTINCT gene_id) AS genes FROM exons GROUP BY exon_id HAVING genes > 1")
+def exons_of_several_genes(exons):
+    return splicing.shared_exons(exons)
+
+
+@_query("exons", sql=_SHARED + " SELECT * FROM pr")
+def exon_pairs(exons):
+    return splicing.exon_pairs(exons)
+
+
+@_query("exons", "exon_transcripts", sql=_ANN + " SELECT * FROM an")
+def annotated_junctions(exons, bridge):
+    return splicing.annotated_junctions(exons, bridge)
+
+
+@_query("exons", "exon_transcripts", sql=_SHARED + _ANN + """ SELECT pr.*, CASE WHEN an.gene_id IS NULL THEN 'novel' ELSE 'known' END AS type
+FROM pr LEFT JOIN an ON an.gene_id = pr.gene_id AND an.chr = pr.chr AND an.start = pr.start AND an."end" = pr."end" """)
+def junction_catalogue(exons, bridge):
+    return splicing.junction_catalogue(exons, bridge)
+
+
+_EXC = """, exc AS (SELECT DISTINCT e.gene_id, e.exon_id, e.chr, a."end" AS j_start, b.start AS j_end FROM exons e
+JOIN exons a ON a.gene_id = e.gene_id AND a.chr = e.chr AND a.strand = e.strand AND a."end" < e.start
+JOIN exons b ON b.gene_id = e.gene_id AND b.chr = e.chr AND b.strand = e.strand AND b.start > e."end")"""
+_INC = """, inc AS (SELECT exon1_id AS exon_id, chr, start AS j_start, "end" AS j_end FROM pr UNION SELECT exon2_id, chr, start, "end" FROM pr)"""
+_PSI = _U + _EC + _SHARED + _EXC + _INC + """, jr AS (SELECT chr, j_start, j_end, sample, sum(reads)::BIGINT AS reads FROM junction_reads GROUP BY ALL),
+rows3 AS (SELECT exon_id, sample, reads AS x, 0 AS i, 0 AS o FROM (SELECT exon_id, sample, max(reads) AS reads FROM ec GROUP BY ALL)
+UNION ALL SELECT exon_id, sample, 0, reads, 0 FROM inc JOIN jr USING (chr, j_start, j_end)
+UNION ALL SELECT exon_id, sample, 0, 0, reads FROM (SELECT DISTINCT exon_id, chr, j_start, j_end FROM exc) JOIN jr USING (chr, j_start, j_end)),
+psi AS (SELECT exon_id, sample, sum(x)::BIGINT AS ex_incl, sum(i)::BIGINT AS junc_inc, sum(o)::BIGINT AS junc_exc, (sum(x) + sum(i))::DOUBLE / (sum(x) + sum(i) + sum(o)) AS psi FROM rows3 GROUP BY exon_id, sample)"""
+
+
+@_query("exons", sql=_EXC + " SELECT * FROM exc")
+def exclusion_junctions(exons):
+    return splicing.exclusion_junctions(exons)
+
+
+@_query("exons", sql=_SHARED + _INC + " SELECT * FROM inc")
+def inclusion_junctions(exons):
+    return splicing.inclusion_junctions(exons, splicing.exon_pairs(exons))
+
+
+def _psi(alignments, exons, junction_reads):
+    uniq = expression.with_multiplicity(alignments).where("unique")
+    counts = expression.containment_counts(uniq, _as_features(exons).drop("gene_id").distinct(), "exon_id").select("exon_id", "sample", "reads")
+    included = splicing.inclusion_junctions(exons, splicing.exon_pairs(exons))
+    excluded = splicing.exclusion_junctions(exons).drop("gene_id").distinct()
+    return splicing.inclusion_rates(counts, junction_reads, included, excluded)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_PSI + " SELECT * FROM psi")
+def exon_inclusion(alignments, exons, junction_reads):
+    return _psi(alignments, exons, junction_reads)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_PSI + " SELECT sample, floor(psi * 100)::BIGINT AS bin, count(*) AS exons FROM psi GROUP BY ALL")
+def inclusion_histogram(alignments, exons, junction_reads):
+    return splicing.inclusion_histogram(_psi(alignments, exons, junction_reads))
+
+
+@_query("junction_reads", sql="SELECT gene_id, sample, sum(reads)::BIGINT AS reads FROM junction_reads GROUP BY ALL")
+def gene_junction_reads(junction_reads):
+    return junction_reads.groupBy("gene_id", "sample").agg(F.sum("reads").alias("reads"))
+
+
+@_query("junction_reads", sql="""
+, j AS (SELECT gene_id, sample, chr, j_start, j_end, sum(reads)::BIGINT AS reads FROM junction_reads GROUP BY ALL), g AS (SELECT *, sum(reads) OVER (PARTITION BY gene_id, sample)::BIGINT AS gene_reads FROM j)
+SELECT *, floor(reads::DOUBLE / gene_reads * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS share FROM g""")
+def junction_share_of_gene(junction_reads):
+    return splicing.gene_share(junction_reads)
+
+
+@_query("junction_reads", "exons", sql="""
+, j AS (SELECT chr, j_start, j_end, sum(reads)::BIGINT AS support FROM junction_reads GROUP BY ALL),
+a AS (SELECT chr, "end" AS j_start, string_agg(DISTINCT exon_id, ';' ORDER BY exon_id) AS exons1 FROM exons GROUP BY ALL),
+b AS (SELECT chr, start AS j_end, string_agg(DISTINCT exon_id, ';' ORDER BY exon_id) AS exons2 FROM exons GROUP BY ALL)
+SELECT j.*, coalesce(exons1, '-') AS exons1, coalesce(exons2, '-') AS exons2 FROM j LEFT JOIN a USING (chr, j_start) LEFT JOIN b USING (chr, j_end)""")
+def junction_exons(junction_reads, exons):
+    return splicing.junction_exons(junction_reads.groupBy("chr", "j_start", "j_end").agg(F.sum("reads").alias("support")), exons)
+
+
+@_query("junction_reads", "exons", "exon_transcripts", sql=_ANN + """
+SELECT j.lane, CASE WHEN an.chr IS NULL THEN 'novel' ELSE 'known' END AS type, sum(j.reads)::BIGINT AS reads, count(DISTINCT j.chr || '_' || j.j_start || '_' || j.j_end) AS junctions
+FROM junction_reads j LEFT JOIN (SELECT DISTINCT chr, start, "end" FROM an) an ON an.chr = j.chr AND an.start = j.j_start AND an."end" = j.j_end GROUP BY ALL""")
+def known_and_novel_junctions(junction_reads, exons, bridge):
+    known = splicing.annotated_junctions(exons, bridge).select("chr", F.col("start").alias("j_start"), F.col("end").alias("j_end"), F.lit(True).alias("_k")).distinct()
+    rows = junction_reads.groupBy("lane", "chr", "j_start", "j_end").agg(F.sum("reads").alias("reads")).join(known, ["chr", "j_start", "j_end"], "left")
+    return rows.groupBy("lane", F.when(F.col("_k"), "known").otherwise("novel").alias("type")).agg(F.sum("reads").alias("reads"), F.count(F.lit(1)).alias("junctions"))
+
+
+# Maps
+
+_CLASS = "CASE WHEN {c} IS NULL OR regexp_matches({c}, '^(0(:0)*|-.*|(0:)*!.*)$') THEN 'unmapped' WHEN regexp_matches({c}, '^(0:)*1(:|$)') THEN 'unique' ELSE 'multi' END"
+_BEST = f"""
+, s AS (SELECT *, CASE WHEN {_CLASS.format(c="genome")} <> 'unmapped' THEN length(regexp_extract(genome, '^((?:0:)*)[1-9]', 1)) // 2 END AS g,
+CASE WHEN {_CLASS.format(c="junction")} <> 'unmapped' THEN length(regexp_extract(junction, '^((?:0:)*)[1-9]', 1)) // 2 END AS j FROM maps),
+t AS (SELECT *, CASE WHEN g IS NOT NULL AND (j IS NULL OR g <= j) THEN 'genome' WHEN j IS NOT NULL THEN 'junction' WHEN {_CLASS.format(c="split")} <> 'unmapped' THEN 'split'
+WHEN {_CLASS.format(c="recursive")} <> 'unmapped' THEN 'recursive' ELSE 'genome' END AS source FROM s),
+best AS (SELECT pair_id, mate, lane, source, CASE source WHEN 'genome' THEN genome WHEN 'junction' THEN junction WHEN 'split' THEN split ELSE recursive END AS strata FROM t)"""
+
+
+@_query("maps", sql=f"""SELECT lane, count(*) AS total, sum(({_CLASS.format(c="genome")} <> 'unmapped')::INT)::BIGINT AS mapped, sum(({_CLASS.format(c="genome")} = 'unique')::INT)::BIGINT AS unique_reads,
+sum(regexp_matches(genome, '^1(:0)*$')::INT)::BIGINT AS exact FROM maps GROUP BY lane""")
+def mapping_stats(m):
+    return maps.mapping_stats(m, "genome")
+
+
+@_query("maps", sql=_BEST + " SELECT * FROM best")
+def best_maps(m):
+    return maps.best_map(m)
+
+
+@_query("maps", sql=_BEST + f""", p AS (SELECT lane, pair_id, min(({_CLASS.format(c="strata")} = 'unique')::INT) AS u, min(({_CLASS.format(c="strata")} = 'unmapped')::INT) AS n FROM best GROUP BY ALL)
+SELECT lane, CASE WHEN u = 1 THEN 'unique' WHEN n = 1 THEN 'unmapped' ELSE 'multi' END AS class, count(*) AS pairs FROM p GROUP BY ALL""")
+def pair_classes(m):
+    return maps.pair_classes(maps.best_map(m))
+
+
+@_query("maps", sql=f"""SELECT pair_id, mate, lane FROM maps WHERE {_CLASS.format(c="genome")} = 'unmapped' AND {_CLASS.format(c="junction")} = 'unmapped'""")
+def unmapped_reads(m):
+    return maps.unmapped_in_both(m)
+
+
+# Reads
+
+
+@_query("reads", sql="""SELECT lane, min(length(seq))::INT AS length, count(*) AS total, sum((NOT regexp_matches(seq, '[N.]'))::INT)::BIGINT AS good, sum(regexp_matches(seq, '[N.]')::INT)::BIGINT AS ambiguous, count(DISTINCT seq) AS distinct_seqs
+FROM reads GROUP BY lane""")
+def read_stats(r):
+    return reads.read_stats(r)
+
+
+@_query("reads", sql="""
+, b AS (SELECT lane, pos, seq[pos] AS b, ascii(qual[pos]) AS q FROM (SELECT lane, seq, qual, unnest(range(1, length(seq) + 1)) AS pos FROM reads))
+SELECT lane, pos::INT AS pos, sum((b IN ('N', '.'))::INT)::BIGINT AS ambiguous, sum((b = 'A')::INT)::BIGINT AS a, sum((b = 'C')::INT)::BIGINT AS c, sum((b = 'G')::INT)::BIGINT AS g, sum((b = 'T')::INT)::BIGINT AS t,
+sum(q - 33)::DOUBLE / any_value(n) AS mean_quality FROM b JOIN (SELECT lane, count(*) AS n FROM reads GROUP BY lane) USING (lane) GROUP BY lane, pos""")
+def base_and_quality_by_position(r):
+    return reads.per_position(r)
+
+
+@_query("reads", sql="""
+, c AS (SELECT lane, read_id, pos, ascii(qual[pos]) AS v FROM (SELECT lane, read_id, qual, unnest(range(1, length(qual) + 1)) AS pos FROM reads)),
+k AS (SELECT lane, arg_min(CASE WHEN v < 59 OR v > 104 THEN 'phred' ELSE 'solexa' END, read_id * 1000 + pos) AS encoding FROM c WHERE v < 59 OR v > 104 OR v BETWEEN 96 AND 104 GROUP BY lane)
+SELECT DISTINCT lane, coalesce(encoding, 'solexa') AS encoding FROM reads LEFT JOIN k USING (lane)""")
+def quality_encoding(r):
+    return reads.quality_encoding(r)
+
+
+@_query("reads", sql="""
+, t AS (SELECT read_id, lane, regexp_replace(substring(seq, 1, greatest(length(seq) - 15, 0)), '[N.]+$', '') AS seq, qual FROM reads)
+SELECT read_id, lane, seq, substring(qual, 1, length(seq)) AS qual FROM t WHERE length(seq) > 20""")
+def trimmed_reads(r):
+    return reads.trimmed(r, 15, 20)
+
+
+@_query("reads", sql="""
+, t AS (SELECT read_id, lane, length(regexp_extract(seq, '^([N.]*)', 1)) AS l, regexp_replace(seq, '^[N.]+|[N.]+$', '', 'g') AS s, qual FROM reads)
+SELECT read_id, lane, s AS seq, substring(qual, l + 1, length(s)) AS qual FROM t WHERE length(s) > 40""")
+def clear_read_ends(r):
+    return reads.clear_ends(r)
+
+
+@_query("reads", sql="""
+, m AS (SELECT read_id::VARCHAR || '/1' AS id, lane, substring(seq, 1, 25) AS seq, 2 AS k FROM reads UNION ALL SELECT read_id::VARCHAR || '/2', lane, substring(seq, 26), 1 FROM reads)
+SELECT id, lane, seq FROM m WHERE length(seq) - length(regexp_replace(seq, '[N.]', '', 'g')) <= k""")
+def mates_of_pairs(r):
+    return reads.mates_of_concatenated(r, 25, 1)
+
+
+@_query("reads", sql="SELECT read_id, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS seq FROM reads")
+def reverse_complements(r):
+    return r.select("read_id", reads.reverse_complement(F.col("seq")).alias("seq"))
+
+
+# Comparison
+
+
+@_query("experiments", sql="""SELECT project_id, cell_type, rna_type, compartment, count(DISTINCT bioreplicate) AS replicates, count(*) AS experiments FROM experiments GROUP BY ALL HAVING replicates = 2""")
+def replicate_groups(e):
+    return compare.replicate_groups(e)
+
+
+@_query("transcript_expression", sql="""
+, a AS (SELECT transcript_id, rpkm FROM transcript_expression WHERE sample = 's0'), b AS (SELECT transcript_id, rpkm FROM transcript_expression WHERE sample = 's1')
+SELECT coalesce(a.transcript_id, b.transcript_id) AS transcript_id, CASE WHEN coalesce(a.rpkm, 0) = 0 THEN -1 ELSE a.rpkm END AS score1, CASE WHEN coalesce(b.rpkm, 0) = 0 THEN -1 ELSE b.rpkm END AS score2
+FROM a FULL JOIN b ON a.transcript_id = b.transcript_id""")
+def matched_replicates(t):
+    return compare.matched(t.where("sample = 's0'"), t.where("sample = 's1'"), "transcript_id", "rpkm")
