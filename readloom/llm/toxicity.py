@@ -69,7 +69,8 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, max_words: int = 400, ridge:
     prior = np.log((rate * len(y) + 1) / ((1 - rate) * len(y) + 1)) if len(y) else 0.0
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), float(prior))
-    names, _ = hash_words([" ".join(IDENTITY_TERMS).encode()])
+    named = [np.unique(h) for h in word_sets(list(IDENTITY_TERMS))]
+    names = np.unique(np.concatenate(named))
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     vocab, inverse = np.unique(flat, return_inverse=True)
     n1 = np.bincount(inverse, weights=y[owner], minlength=len(vocab))
@@ -84,17 +85,17 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, max_words: int = 400, ridge:
     x = np.zeros((len(y), len(words) + 1))
     x[owner[on], at[on]] = 1
     x[:, -1] = 1
-    # A swap of name a for b changes the log-odds by the difference of their weights.
-    slots = np.searchsorted(words, names)
-    mentions = x[:, slots].sum(axis=0)
+    # A swap of one name for another changes the log-odds by the difference of what their words and stems weigh.
+    slots = [np.searchsorted(words, f) for f in named]
+    rows = np.zeros((len(slots), len(words) + 1))
+    for k, at_name in enumerate(slots):
+        rows[k, at_name] = 1
+    mentions = [int(x[:, at_name].all(axis=1).sum()) for at_name in slots]
     pull = np.zeros((len(words) + 1, len(words) + 1))
-    for a, m in zip(slots, mentions):
-        for b in slots:
-            if a != b:
-                pull[a, a] += m
-                pull[b, b] += m
-                pull[a, b] -= m
-                pull[b, a] -= m
+    for k, m in enumerate(mentions):
+        if m:
+            change = rows - rows[k]
+            pull += m * change.T @ change
     penalty = 2 * still * pull / max(len(slots) - 1, 1) + ridge * np.eye(len(words) + 1)
     penalty[-1, -1] = 1e-6
     theta = np.zeros(len(words) + 1)
