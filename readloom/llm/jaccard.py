@@ -38,7 +38,9 @@ HOT_SHINGLES = 16_384
 #: Ids that a lookup by broadcast may hold; beyond it, the lookup is a shuffled join.
 BROADCAST_IDS = 2_000_000
 #: Index entries that one task handles at once.
-_LIST_ENTRIES = 500_000
+_LIST_ENTRIES = 200_000
+#: Bytes of texts that Python is handed at once: a hub's long text may come with every row of a batch.
+_BATCH_BYTES = 4 << 20
 _ENTRY = np.dtype([("s", "<u8"), ("a", "<u8"), ("n", "<u4"), ("p", "<u4")])
 _DIGEST = T.StructType(
     [T.StructField("n", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]
@@ -268,6 +270,7 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     are looked for once the hubs have joined the obvious ones; no component is missed.
     """
     docs = docs.select("doc_id", "text")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
     members = staged(_digests(docs), "members")
     classes = (
         members.where("n > 0").groupBy("a", "b")
