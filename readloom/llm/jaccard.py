@@ -12,7 +12,8 @@ shingle hashes) and never lists the pairs within a group of copies:
    whose entries lie in one component are done. In the others entries form
    blocks of equal (set size, position); blocks are compared by size and position
    first, so a pair of blocks that cannot reach the threshold is skipped whole.
-   Members of the rest are tried on 256 parity bits before they become a pair.
+   Members of the rest are tried on 256 parity bits before they become a pair,
+   and pairs on 2048 before texts are sent for them.
 4. A surviving pair (x, z) takes its overlap from that of x's hub and z: the
    counts of what x has beyond its hub, and lacks of it, bound the overlap, and
    only pairs that the bounds leave open are counted.
@@ -233,6 +234,34 @@ def _measure(x: pd.Series, y: pd.Series, xa: pd.Series, ya: pd.Series) -> pd.Dat
     return pd.DataFrame(rows, columns=_MEASURED.names)
 
 
+_FINE_BITS = 2048
+_FINE = T.StructType([T.StructField("a", T.LongType()), T.StructField("w", T.ArrayType(T.LongType()))])
+
+
+@F.pandas_udf(_FINE)
+def _fine_parities(text: pd.Series) -> pd.DataFrame:
+    """A set's identity and the parities of its shingles on _FINE_BITS bits."""
+    rows = []
+    for s in shingle_sets(text.tolist()):
+        odd = (np.bincount((s % np.uint64(_FINE_BITS)).astype(np.int64), minlength=_FINE_BITS) & 1).astype(np.uint8)
+        rows.append((_identity(s)[0] if len(s) else 0, np.packbits(odd).view(np.int64).tolist()))
+    return pd.DataFrame(rows, columns=_FINE.names)
+
+
+def _fine_enough(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (x, z, n1, n2, more) that finer parities leave possible.
+
+    Sets of over a thousand shingles fill 256 bits, so those rule out little.
+    Texts are digested where they are read; only their bits travel.
+    """
+    ids = pairs.select(F.explode(F.array("x", "z")).alias("sid")).distinct().join(classes.select("sid", "rep_doc", "a"), "sid")
+    found = _texts(docs, ids).select("sid", "a", _fine_parities("text").alias("f")).where("a = f.a")
+    bits = staged(found.groupBy("sid").agg(F.first("f.w").alias("w")), "fine")
+    both = pairs.join(bits.select(F.col("sid").alias("x"), F.col("w").alias("xw")), "x").join(bits.select(F.col("sid").alias("z"), F.col("w").alias("zw")), "z")
+    apart = "aggregate(zip_with(xw, zw, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+    return both.where(F.expr(f"9 * (n1 + n2 - {apart}) >= 8 * (n1 + n2)")).select(*pairs.columns)
+
+
 def _linked(o, n1, n2):
     return 180 * o >= 80 * (n1 + n2)
 
@@ -309,6 +338,7 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     m2 = lists.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("sid").alias("z"), F.col("comp").alias("cz"), *[F.col(w).alias(f"z{w}") for w in _BITS])
     pairs = open_blocks.join(m1, ["s", "n1", "p1"]).join(m2, ["s", "n2", "p2"]).where("cx <> cz and (n1 < n2 or x < z)").where(_near_enough("x", "z", "n1", "n2"))
     pairs = staged(pairs.select("x", "z", "cx", "cz", "n1", "n2").distinct(), "pairs")
+    pairs = staged(_fine_enough(docs, classes, pairs), "fine_pairs")
 
     # Overlaps by way of hubs.
     best = links.groupBy("x").agg(F.min(F.struct(F.expr("extra + lacking").alias("d"), F.col("y").alias("hub"), "extra", "lacking")).alias("h"))
