@@ -29,3 +29,20 @@ def detection(values: DataFrame, feature: str, lanes: int, threshold: float) ->
     """Lanes that reach the threshold, the greatest value, and the mean over all lanes with zeros filled in."""
     out = values.groupBy(feature).agg(F.sum(F.when(F.col("rpkm") >= threshold, 1).otherwise(0)).alias("lanes"), F.max("rpkm").alias("most"), F.sum("rpkm").alias("_s"))
     return out.withColumn("mean", F.col("_s") / F.lit(lanes)).drop("_s")
+
+
+def individual_features(values: DataFrame, features: DataFrame, feature: str, samples: list[str]) -> DataFrame:
+    """A row for each feature asked for and sample; 0 where there is no value."""
+    asked = features.select(feature).distinct().select(feature, F.explode(F.array(*map(F.lit, samples))).alias("sample"))
+    return asked.join(values.select(feature, "sample", "rpkm"), [feature, "sample"], "left").select(feature, "sample", F.coalesce("rpkm", F.lit(0)).alias("rpkm"))
+
+
+def experiment_totals(lane_stats: DataFrame, experiment_of_lane) -> DataFrame:
+    """Sums of the lanes' total, mapped and unique reads by experiment."""
+    return lane_stats.groupBy(experiment_of_lane.alias("experiment")).agg(*[F.sum(c).alias(c) for c in ("total", "mapped", "unique_reads")])
+
+
+def annotation_checks(features: DataFrame, least_exons: int = 10_000) -> DataFrame:
+    """Features by type and whether there are suspiciously few: exons below ``least_exons``, others none."""
+    counts = features.groupBy("type").agg(F.count("id").alias("n"))
+    return counts.withColumn("suspect", F.when(F.col("type") == "exon", F.col("n") < least_exons).otherwise(F.col("n") < 1))

@@ -132,3 +132,19 @@ def top_features(values: DataFrame, feature: str, samples: list[str], about: Dat
     kept = values.withColumn("rpkm", F.floor(F.col("rpkm") + 0.5)).where("rpkm >= 1")
     wide = matrix(kept, feature, samples)
     return wide.withColumn("total", sum((F.col(s) for s in samples), F.lit(0))).join(about, feature)
+
+
+def coverage_profile(reads: DataFrame, step: int = 2) -> DataFrame:
+    """Positions of reads along their transcripts in percent, by lane and length class, and over all classes.
+
+    Every ``step``-th base of a read (start, end) counts once. Percentages are
+    rounded to two decimals and then to whole ones. Equal reads are summed up
+    before their bases are listed.
+    """
+    n = F.col("length")
+    size = F.when(n < 1000, "1_999").when(n < 3000, "1000_2999").when(n < 6000, "3000_5999").when(n < 9000, "6000_8999").otherwise("9000_n")
+    one = reads.where(n > 0).groupBy("lane", "length", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+    bases = one.select("lane", "length", "n", F.explode(F.sequence("start", "end", F.lit(step).cast("long"))).alias("pos"))
+    percent = F.expr("((pos * 20000 + length) div (2 * length) + 50) div 100")
+    rows = bases.groupBy("lane", size.alias("class"), percent.alias("percent")).agg(F.sum("n").alias("n"))
+    return rows.select("lane", F.explode(F.array("class", F.lit("All"))).alias("class"), "percent", "n").groupBy("lane", "class", "percent").agg(F.sum("n").alias("bases"))

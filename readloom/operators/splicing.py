@@ -83,3 +83,40 @@ def junction_exons(junctions: DataFrame, exons: DataFrame) -> DataFrame:
     two = exons.groupBy("chr", F.col("start").alias("j_end")).agg(listed("exon_id").alias("exons2"))
     out = junctions.join(one, ["chr", "j_start"], "left").join(two, ["chr", "j_end"], "left")
     return out.na.fill("-", ["exons1", "exons2"])
+
+
+def classified_junctions(junctions: DataFrame, splits: DataFrame) -> DataFrame:
+    """Support by sample of junctions (chr_start_end) and splits (chr1,chr2,start,end); keys of the two never meet."""
+    one = junctions.groupBy("sample", F.concat_ws("_", "chr", "j_start", "j_end").alias("key")).agg(F.sum("reads").alias("support")).withColumn("source", F.lit("junction"))
+    two = splits.groupBy("sample", F.concat_ws(",", "chr1", "chr2", "start", "end").alias("key")).agg(F.count(F.lit(1)).alias("support")).withColumn("source", F.lit("split"))
+    return one.unionByName(two)
+
+
+def splicing_summary(catalogue: DataFrame, junctions: DataFrame, splits: DataFrame, near: int) -> DataFrame:
+    """Known and novel junctions, total and detected, and distinct splits that are not close (within ``near`` bases of one chromosome)."""
+    key = ["chr", "start", "end"]
+    found = junctions.select("chr", F.col("j_start").alias("start"), F.col("j_end").alias("end"), F.lit(1).alias("_f")).distinct()
+    own = catalogue.groupBy(*key).agg(F.min("type").alias("type")).join(found, key, "left")
+    counts = own.groupBy("type").agg(F.count(F.lit(1)).alias("total"), F.count("_f").alias("detected"))
+    far = splits.where(~((F.col("chr1") == F.col("chr2")) & (F.abs(F.col("end") - F.col("start")) <= near))).select("chr1", "chr2", "start", "end").distinct()
+    return counts.unionByName(far.agg(F.lit("split").alias("type"), F.count(F.lit(1)).alias("total"), F.count(F.lit(1)).alias("detected")))
+
+
+def junction_matrix(junctions: DataFrame, samples: list[str], support: int, least: int) -> DataFrame:
+    """Reads of each junction by sample, zeros filled in, for junctions with ``support`` reads in ``least`` samples or more."""
+    cells = junctions.groupBy("chr", "j_start", "j_end", "sample").agg(F.sum("reads").alias("reads"))
+    wide = [F.coalesce(F.sum(F.when(F.col("sample") == s, F.col("reads"))), F.lit(0)).alias(s) for s in samples]
+    out = cells.groupBy("chr", "j_start", "j_end").agg(F.sum(F.when(F.col("reads") >= support, 1).otherwise(0)).alias("_n"), *wide)
+    return out.where(F.col("_n") >= least).drop("_n")
+
+
+def inclusion_pairs(rates: DataFrame, samples: list[str], least: int = 5) -> DataFrame:
+    """Distinct rates in percent of every ordered pair of samples over the exons.
+
+    Rates with fewer than ``least`` reads do not count; a sample without one
+    stands as 0. Samples are few, so an exon's pairs are made in its own row.
+    """
+    good = rates.where(F.expr("ex_incl + junc_inc + junc_exc") >= least)
+    wide = good.groupBy("exon_id").agg(*[F.coalesce(F.max(F.when(F.col("sample") == s, F.floor(F.col("psi") * 100 + 0.5))), F.lit(0)).alias(s) for s in samples])
+    pairs = [F.struct(F.lit(a).alias("sample1"), F.lit(b).alias("sample2"), F.col(a).alias("rate1"), F.col(b).alias("rate2")) for a in samples for b in samples if a != b]
+    return wide.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()

@@ -60,6 +60,30 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT s_suppkey AS experiment_id, s_suppkey % 3 AS project_id, n_regionkey AS cell_type, s_suppkey % 2 AS rna_type,
                (s_suppkey @div 2) % 2 AS compartment, 1 + (s_suppkey @div 4) % 2 AS bioreplicate
         FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
+    "gem_maps": (("orders",), """
+        SELECT pair_id, mate, lane, strata, CASE strata WHEN '1:0:0' THEN h0 || '0' WHEN '0:1:1' THEN h0 || '1,' || h1 || '2' WHEN '0:2:0' THEN h0 || '1,' || h1 || '1'
+          WHEN '2:0:1' THEN h0 || '0,' || h1 || '0,' || h2 || '2' WHEN '1:1:1' THEN h0 || '0,' || h1 || '1,' || h2 || '2' ELSE '-' END AS hits,
+          CASE WHEN strata IN ('1:0:0', '2:0:1', '1:1:1') THEN '0' WHEN strata IN ('0:1:1', '0:2:0') THEN '1' END AS mismatches
+        FROM (SELECT pair_id, mate, lane,
+            CASE (pair_id + mate * (c % 4) + c) % 7 WHEN 0 THEN '0:0:0' WHEN 1 THEN '1:0:0' WHEN 2 THEN '0:1:1' WHEN 3 THEN '0:2:0' WHEN 4 THEN '2:0:1' WHEN 5 THEN '1:1:1' ELSE '0:!:0' END AS strata,
+            'chr' || (c % 2 + 1) || ':' || CASE WHEN (pair_id + mate) % 2 = 0 THEN 'F' ELSE 'R' END || (c * 7 + mate * 200 + 1) || '@30/' AS h0,
+            'chr' || (c % 2 + 1) || ':' || CASE WHEN (pair_id + c) % 2 = 0 THEN 'F' ELSE 'R' END || (c * 7 + mate * 90 + 1) || '@30/' AS h1,
+            'chr' || ((c + 1) % 2 + 1) || ':R' || (c * 3 + 5) || '@30/' AS h2
+          FROM (SELECT o_orderkey AS pair_id, 1 AS mate, o_orderstatus AS lane, o_custkey AS c FROM orders
+                UNION ALL SELECT o_orderkey AS pair_id, 2 AS mate, o_orderstatus AS lane, o_custkey AS c FROM orders) AS o) AS h"""),
+    "transcript_maps": (("orders",), """
+        SELECT pair_id, mate, 'G' || ((c + mate * (pair_id % 3)) % 20) || '.T' || ((c + mate) % 3 + 1) AS transcript_id,
+          CASE (pair_id + c) % 5 WHEN 0 THEN '0:1:1' WHEN 1 THEN '2:0:1' ELSE '1:0:0' END AS strata, CASE (pair_id + c) % 5 WHEN 0 THEN '1' ELSE '0' END AS mismatches
+        FROM (SELECT o_orderkey AS pair_id, 1 AS mate, o_custkey AS c FROM orders UNION ALL SELECT o_orderkey AS pair_id, 2 AS mate, o_custkey AS c FROM orders) AS o"""),
+    "splits": (("lineitem",), """
+        SELECT 's' || (l_suppkey % 4) AS sample, 'chr' || (l_partkey % 5 + 1) AS chr1, 'chr' || ((l_partkey + l_linenumber % 2) % 5 + 1) AS chr2, l_partkey % 40 * 100 AS start, l_partkey % 40 * 100 + l_linenumber * 150 AS @end
+        FROM lineitem"""),
+    "fragments": (("alignments",), """
+        SELECT read_id * 8 + read_no AS read_id, 1 AS fragment, sample, chr, start, @end FROM alignments
+        UNION ALL SELECT read_id * 8 + read_no, 2, sample, CASE WHEN read_no = 5 THEN 'chr1' ELSE chr END, start + 400 * (read_no - 1), @end + 400 * (read_no - 1) FROM alignments"""),
+    "transcript_reads": (("lineitem",), """
+        SELECT l_linestatus AS lane, length, 1 + (l_orderkey * 13 + l_linenumber * 77) % (length - 50) AS start, 50 + (l_orderkey * 13 + l_linenumber * 77) % (length - 50) AS @end
+        FROM (SELECT *, 600 + l_partkey % 50 * 200 AS length FROM lineitem) AS l"""),
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.operators import compare, expression, intervals, maps, reads, splicing
+from readloom.operators import compare, expression, fusions, hits, intervals, maps, reads, splicing
 from readloom.plans.fixtures import view, with_views
 
 SAMPLES = ["s0", "s1", "s2", "s3"]
@@ -405,3 +405,172 @@ SELECT coalesce(a.transcript_id, b.transcript_id) AS transcript_id, CASE WHEN co
 FROM a FULL JOIN b ON a.transcript_id = b.transcript_id""")
 def matched_replicates(t):
     return compare.matched(t.where("sample = 's0'"), t.where("sample = 's1'"), "transcript_id", "rpkm")
+
+
+# Hits and mates
+
+_HITS = r""", st AS (SELECT *, string_split(strata, ':') AS l, [coalesce(try_cast(x AS INT), 0) FOR x IN string_split(strata, ':')] AS c FROM gem_maps),
+bs AS (SELECT *, coalesce(list_position([x <> 0 FOR x IN c], true), 0) AS b, coalesce(list_position([x = '!' FOR x IN l], true), 0) AS o FROM st),
+kn AS (SELECT *, CASE WHEN o > 0 AND (b = 0 OR o < b) THEN 0 ELSE list_sum(c[greatest(b, 1):greatest(b, 1) + 1])::INT END AS n FROM bs),
+hl AS (SELECT pair_id, mate, lane, n, CASE WHEN n > 0 THEN string_split(hits, ',')[1:n] ELSE [] END AS kept FROM kn),
+ht AS (SELECT pair_id, mate, lane, i - 1 AS ordinal, kept[i] AS h FROM (SELECT *, unnest(range(1, len(kept) + 1)) AS i FROM hl)),
+hc AS (SELECT pair_id, mate, lane, ordinal, split_part(h, ':', 1) AS chr, CASE WHEN split_part(h, ':', 2)[1] = 'F' THEN '+' ELSE '-' END AS strand,
+regexp_extract(h, ':[FR]([0-9]+)', 1)::BIGINT AS start, regexp_extract(h, ':[FR]([0-9]+)', 1)::BIGINT + 49 AS "end", regexp_extract(h, '/([0-9]+)$', 1)::INT AS mismatches FROM ht)"""
+_RESCUE = """, nn AS (SELECT *, count(*) OVER (PARTITION BY pair_id, mate) AS k FROM hc),
+rs AS (SELECT pair_id, mate, distance, ordinal, chr, strand, start, "end" FROM (SELECT m.*, abs((u.start + u."end") // 2 - (m.start + m."end") // 2) AS distance,
+row_number() OVER (PARTITION BY m.pair_id, m.mate ORDER BY abs((u.start + u."end") // 2 - (m.start + m."end") // 2), m.ordinal) AS r
+FROM nn m JOIN nn u ON u.pair_id = m.pair_id AND u.k = 1 AND m.k > 1 AND u.chr = m.chr AND u.strand <> m.strand) WHERE r = 1)"""
+
+
+def _kept(gem):
+    return hits.best_hits(gem, mismatches=2, closest=1)
+
+
+@_query("gem_maps", sql=_HITS + " SELECT * FROM hc")
+def best_hits(gem):
+    return hits.hit_coordinates(_kept(gem), 50)
+
+
+@_query("gem_maps", sql=_HITS + _RESCUE + " SELECT * FROM rs")
+def rescued_mates(gem):
+    return hits.rescued_mates(hits.hit_coordinates(_kept(gem), 50))
+
+
+@_query("gem_maps", sql=_HITS + _RESCUE + """, pn AS (SELECT lane, pair_id, sum(n) FILTER (mate = 1) AS n1, sum(n) FILTER (mate = 2) AS n2 FROM hl GROUP BY ALL)
+SELECT lane, CASE WHEN n1 = 1 AND n2 = 1 THEN 'double_unique' WHEN pair_id IN (SELECT pair_id FROM rs) THEN 'recovered' WHEN n1 = 1 THEN 'read1_unique' WHEN n2 = 1 THEN 'read2_unique'
+WHEN n1 + n2 > 0 THEN 'both_multi' ELSE 'no_hit' END AS outcome, count(*) AS pairs FROM pn GROUP BY ALL""")
+def pair_outcomes(gem):
+    kept = _kept(gem)
+    return hits.pair_outcomes(gem, kept, hits.rescued_mates(hits.hit_coordinates(kept, 50)))
+
+
+@_query("maps", sql=f"""SELECT pair_id, mate, lane FROM maps WHERE pair_id NOT IN (SELECT pair_id FROM maps WHERE {_CLASS.format(c="genome")} = 'unique' AND {_CLASS.format(c="junction")} <> 'unmapped')""")
+def without_pseudogenes(m):
+    return hits.without_pseudogenes(m).select("pair_id", "mate", "lane")
+
+
+@_query("gem_maps", "maps", sql=f"""
+, ro AS (SELECT pair_id, mate, 1 AS round, 50 AS length, strata FROM gem_maps UNION ALL SELECT pair_id, mate, 2, 35, recursive FROM maps),
+ra AS (SELECT *, row_number() OVER (PARTITION BY pair_id, mate ORDER BY ({_CLASS.format(c="strata")} = 'unmapped')::INT, length DESC, round) AS r FROM ro)
+SELECT pair_id, mate, round, length, strata FROM ra WHERE r = 1""")
+def combined_rounds(gem, m):
+    one = gem.select("pair_id", "mate", F.lit(1).alias("round"), F.lit(50).alias("length"), "strata")
+    return hits.combined_rounds(one.unionByName(m.select("pair_id", "mate", F.lit(2).alias("round"), F.lit(35).alias("length"), F.col("recursive").alias("strata"))))
+
+
+# Fusions
+
+_FUSION = f""", gn AS (SELECT DISTINCT transcript_id, gene_id FROM exon_transcripts), ge AS (SELECT gene_id, sum(rpkm) AS rpkm FROM transcript_expression GROUP BY gene_id),
+pl AS (SELECT t.pair_id, t.mate, t.transcript_id, gn.gene_id, coalesce(ge.rpkm, 0) AS rpkm FROM transcript_maps t JOIN gem_maps g ON g.pair_id = t.pair_id AND g.mate = t.mate AND g.strata = t.strata AND g.mismatches = t.mismatches
+JOIN gn ON gn.transcript_id = t.transcript_id LEFT JOIN ge ON ge.gene_id = gn.gene_id WHERE {_CLASS.format(c="t.strata")} = 'unique'),
+fc AS (SELECT a.pair_id, a.transcript_id AS transcript1, a.gene_id AS gene1, a.rpkm AS rpkm1, b.transcript_id AS transcript2, b.gene_id AS gene2, b.rpkm AS rpkm2,
+CASE WHEN a.gene_id <> b.gene_id THEN 'Fusion' ELSE 'Variant' END AS label FROM pl a JOIN pl b ON a.pair_id = b.pair_id AND a.mate = 1 AND b.mate = 2 WHERE a.transcript_id <> b.transcript_id)"""
+_FUSION_VIEWS = ("transcript_maps", "gem_maps", "exon_transcripts", "transcript_expression")
+
+
+def _fusions(transcript_maps, gem, bridge, expressed):
+    genes = bridge.select("transcript_id", "gene_id").distinct()
+    return fusions.fusion_candidates(transcript_maps, gem, genes, expressed.groupBy("gene_id").agg(F.sum("rpkm").alias("rpkm")))
+
+
+@_query(*_FUSION_VIEWS, sql=_FUSION + " SELECT * FROM fc")
+def fusion_candidates(*views):
+    return _fusions(*views)
+
+
+_FUSED = _FUSION + _HITS.replace("c[greatest(b, 1):greatest(b, 1) + 1]", "c[greatest(b, 1):greatest(b, 1)]") + """, fh AS (SELECT 'all' AS sample, chr, start, "end", strand FROM hc WHERE pair_id IN (SELECT pair_id FROM fc WHERE label = 'Fusion')
+AND (pair_id, mate) IN (SELECT (pair_id, mate) FROM hc GROUP BY pair_id, mate HAVING count(*) = 1)),
+fo AS (SELECT *, max("end") OVER (PARTITION BY chr ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM fh),
+fn AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY chr ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS r FROM fo)"""
+
+
+@_query(*_FUSION_VIEWS, sql=_FUSED + """ SELECT sample, chr, min(start) AS start, max("end") AS "end", CASE WHEN min(strand) = max(strand) THEN min(strand) ELSE '.' END AS strand, count(*) AS included
+FROM fn GROUP BY sample, chr, r HAVING count(*) >= 2""")
+def fusion_read_clusters(*views):
+    found = fusions.fusion_hits(hits.hit_coordinates(hits.best_hits(views[1]), 50), _fusions(*views))
+    return intervals.read_clusters(found.withColumn("sample", F.lit("all")), 2)
+
+
+_LINKS = """
+, o AS (SELECT *, max("end") OVER (PARTITION BY chr ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM alignments WHERE sample = 's0'),
+n AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY chr ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS r FROM o),
+cl AS (SELECT chr, min(start) AS start, max("end") AS "end", chr || '_' || min(start) || '_' || max("end") AS cluster FROM n GROUP BY chr, r HAVING count(*) >= 5),
+th AS (SELECT a.read_id, a.fragment, c.chr, c.cluster FROM fragments a JOIN cl c ON a.chr = c.chr AND a.start <= c."end" AND a."end" >= c.start),
+re AS (SELECT read_id, min(cluster) AS cluster1, max(cluster) AS cluster2, count(DISTINCT cluster) AS k, min(chr) = max(chr) AS one FROM th GROUP BY read_id HAVING count(DISTINCT fragment) = 2)
+SELECT cluster1, cluster2, CASE WHEN k = 1 THEN 'close' WHEN one THEN 'far' ELSE 'interchrom' END AS type, count(*) AS reads FROM re WHERE k <= 2 GROUP BY ALL HAVING count(*) >= 2"""
+
+
+@_query("alignments", "fragments", sql=_LINKS)
+def cluster_links(alignments, fragments):
+    clusters = intervals.read_clusters(alignments.where("sample = 's0'"), 5)
+    return fusions.cluster_links(fragments, clusters, 2)
+
+
+@_query("splits", sql="SELECT chr1 || '_' || start || '_' || chr2 || '_' || \"end\" AS fusion, " + ", ".join(f"count(*) FILTER (sample = '{s}') AS {s}" for s in SAMPLES) + " FROM splits WHERE chr1 <> chr2 GROUP BY fusion")
+def fusion_matrix(splits):
+    rows = splits.where("chr1 <> chr2").groupBy(F.concat_ws("_", "chr1", "start", "chr2", "end").alias("fusion"))
+    return rows.agg(*[F.count(F.when(F.col("sample") == s, 1)).alias(s) for s in SAMPLES])
+
+
+# Summaries
+
+
+@_query("junction_reads", "splits", sql="""SELECT sample, chr || '_' || j_start || '_' || j_end AS key, sum(reads)::BIGINT AS support, 'junction' AS source FROM junction_reads GROUP BY ALL
+UNION ALL SELECT sample, chr1 || ',' || chr2 || ',' || start || ',' || "end", count(*), 'split' FROM splits GROUP BY ALL""")
+def all_junctions(junction_reads, splits):
+    return splicing.classified_junctions(junction_reads, splits)
+
+
+@_query("exons", "exon_transcripts", "junction_reads", "splits", sql=_SHARED + _ANN + """, ct AS (SELECT pr.chr, pr.start, pr."end", min(CASE WHEN an.gene_id IS NULL THEN 'novel' ELSE 'known' END) AS type
+FROM pr LEFT JOIN an ON an.gene_id = pr.gene_id AND an.chr = pr.chr AND an.start = pr.start AND an."end" = pr."end" GROUP BY ALL)
+SELECT type, count(*) AS total, count(f.chr) AS detected FROM ct LEFT JOIN (SELECT DISTINCT chr, j_start, j_end FROM junction_reads) f ON f.chr = ct.chr AND j_start = ct.start AND j_end = ct."end" GROUP BY type
+UNION ALL SELECT 'split', count(*), count(*) FROM (SELECT DISTINCT chr1, chr2, start, "end" FROM splits WHERE NOT (chr1 = chr2 AND abs("end" - start) <= 500))""")
+def splicing_summary(exons, bridge, junction_reads, splits):
+    return splicing.splicing_summary(splicing.junction_catalogue(exons, bridge), junction_reads, splits, 500)
+
+
+_CELLS = ", ".join(f"coalesce(sum(reads) FILTER (sample = '{s}'), 0)::BIGINT AS {s}" for s in SAMPLES)
+
+
+@_query("junction_reads", sql=f""", jc AS (SELECT chr, j_start, j_end, sample, sum(reads) AS reads FROM junction_reads GROUP BY ALL)
+SELECT chr, j_start, j_end, {_CELLS} FROM jc GROUP BY chr, j_start, j_end HAVING count(*) FILTER (reads >= 2) >= 2""")
+def junction_matrix(junction_reads):
+    return splicing.junction_matrix(junction_reads, SAMPLES, 2, 2)
+
+
+_RATES = ", ".join(f"coalesce(max(floor(psi * 100 + 0.5::DOUBLE)) FILTER (sample = '{s}'), 0)::BIGINT AS {s}" for s in SAMPLES)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_PSI + f", wi AS (SELECT exon_id, {_RATES} FROM psi WHERE ex_incl + junc_inc + junc_exc >= 5 GROUP BY exon_id) "
+        + " UNION ".join(f"SELECT '{a}' AS sample1, '{b}' AS sample2, {a} AS rate1, {b} AS rate2 FROM wi" for a in SAMPLES for b in SAMPLES if a != b))
+def inclusion_pairs(alignments, exons, junction_reads):
+    return splicing.inclusion_pairs(_psi(alignments, exons, junction_reads), SAMPLES)
+
+
+@_query("transcript_reads", sql="""
+, ba AS (SELECT lane, length, unnest(range(start, "end" + 1, 2)) AS pos FROM transcript_reads),
+pc AS (SELECT lane, CASE WHEN length < 1000 THEN '1_999' WHEN length < 3000 THEN '1000_2999' WHEN length < 6000 THEN '3000_5999' WHEN length < 9000 THEN '6000_8999' ELSE '9000_n' END AS class,
+((pos * 20000 + length) // (2 * length) + 50) // 100 AS percent FROM ba)
+SELECT lane, class, percent, count(*) AS bases FROM pc GROUP BY ALL UNION ALL SELECT lane, 'All', percent, count(*) FROM pc GROUP BY ALL""")
+def transcript_coverage(r):
+    return expression.coverage_profile(r)
+
+
+@_query("transcript_expression", sql=f"""SELECT f.transcript_id, s.sample, coalesce(e.rpkm, 0) AS rpkm FROM (SELECT DISTINCT transcript_id FROM transcript_expression WHERE transcript_id LIKE '%.T1') f
+CROSS JOIN (SELECT unnest({SAMPLES}) AS sample) s LEFT JOIN transcript_expression e ON e.transcript_id = f.transcript_id AND e.sample = s.sample""")
+def individual_transcripts(t):
+    return compare.individual_features(t, t.where("transcript_id like '%.T1'"), "transcript_id", SAMPLES)
+
+
+@_query("maps", sql=f"""SELECT CASE WHEN lane = 'P' THEN 'e2' ELSE 'e1' END AS experiment, count(*) AS total, sum(({_CLASS.format(c="genome")} <> 'unmapped')::INT)::BIGINT AS mapped,
+sum(({_CLASS.format(c="genome")} = 'unique')::INT)::BIGINT AS unique_reads FROM maps GROUP BY experiment""")
+def experiment_totals(m):
+    return compare.experiment_totals(maps.mapping_stats(m, "genome"), F.when(F.col("lane") == "P", "e2").otherwise("e1"))
+
+
+@_query("exons", "exon_transcripts", sql="""SELECT type, count(*) AS n, CASE WHEN type = 'exon' THEN count(*) < 10000 ELSE count(*) < 1 END AS suspect FROM (
+SELECT DISTINCT 'exon' AS type, exon_id AS id FROM exons UNION SELECT 'gene', gene_id FROM exons UNION SELECT 'transcript', transcript_id FROM exon_transcripts) GROUP BY type""")
+def annotation_checks(exons, bridge):
+    kinds = (exons.select("exon_id"), exons.select("gene_id"), bridge.select("transcript_id"))
+    rows = [k.distinct().toDF("id").withColumn("type", F.lit(t)) for k, t in zip(kinds, ("exon", "gene", "transcript"))]
+    return compare.annotation_checks(rows[0].unionByName(rows[1]).unionByName(rows[2]))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from readloom.operators import intervals, maps, reads
+from readloom.operators import hits, intervals, maps, reads
 from readloom.sources import tables
 
 
@@ -51,3 +51,22 @@ def test_text_formats(spark, tmp_path):
     (tmp_path / "a.sam").write_text("@HD\nq\t0\tchr1\t5\t9\t3M\t*\t0\t0\tACG\tIII\tNM:i:2\tNH:i:1\n")
     r = tables.read_sam(spark, str(tmp_path / "a.sam")).first()
     assert (r.pos, r.cigar, r.nm, r.nh, r.h0) == (5, "3M", 2, 1, None)
+
+
+def test_best_hits_by_strata(spark):
+    rows = [("0:1:2", "a:F1,b:F2,c:F3"), ("0:!:1", "-"), ("1:!", "a:F1,b:R2@30/1"), ("-", "-"), (None, None), ("0:3", "a:F1,b:F2,c:F3"), ("0:0:0:9", "a:F1"), ("2", "x")]
+    df = spark.createDataFrame([(i, s, h) for i, (s, h) in enumerate(rows)], "i int, strata string, hits string")
+    got = lambda **k: [len(r.kept) for r in hits.best_hits(df, **k).orderBy("i").collect()]
+    assert got() == [1, 0, 1, 0, 0, 3, 0, 1]
+    assert got(closest=1) == [3, 0, 1, 0, 0, 3, 0, 1]
+    assert got(unique_strict=True) == [1, 0, 1, 0, 0, 0, 0, 0]
+
+
+def test_tags_strands_and_mates(spark):
+    df = spark.createDataFrame([("q\tNH:i:2",), ("q",)], "l string")
+    assert [r[0] for r in df.select(hits.with_tag(F.col("l"), "NH:i:", F.lit(7))).collect()] == ["q\tNH:i:2", "q\tNH:i:7"]
+    h = spark.createDataFrame([(1, "+"), (2, "+"), (1, "-")], "mate int, strand string")
+    assert [r.strand for r in hits.stranded(h).collect()] == ["-", "+", "+"]
+    a = [("x", 1, 5, 9, 4), ("x", 2, 9, 5, -4), ("y", 1, 5, 9, 4), ("y", 2, 8, 5, -4), ("z", 1, None, 9, 4), ("z", 2, 9, 5, 4)]
+    pairs = hits.consistent_mates(spark.createDataFrame(a, "id string, mate int, pos int, mate_pos int, tlen int"))
+    assert dict(map(tuple, pairs.collect())) == {"x": True, "y": False, "z": False}
