@@ -1,11 +1,13 @@
 """Best-fit packing of token sequences by the configuration linear program.
 
-The program has a variable for each way to fill one sequence. Multiplicative
-weights solve it approximately: lengths that are covered least get the most
-weight, a knapsack over the capacity prices the best filling, and that filling
-is used some more. The fractional answer is rounded down; what it leaves is
-placed by best fit, longest first. All of this works on the histogram of
-lengths, which has no more rows than the capacity; pieces only get ranks.
+The program has a variable for each way to fill one sequence. The simplex
+method solves it by column generation: a knapsack over the capacity finds
+fillings that pay, and its prices give a lower bound. The steps end when the
+fractional answer is within a ten-thousandth of that bound, or after two
+exchanges a length (or a quarter as many rounds of pricing). It is rounded down; what it leaves is placed by best fit,
+longest first. All of this works on the
+histogram of lengths, which has no more rows than the capacity; pieces only get
+ranks.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from readloom.llm.common import gapless_rank, slice_key, staged, table
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
-def _knapsack(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
-    """How many of each length the filling of highest worth takes."""
+def _fillings(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
+    """A column for each length: the filling of highest worth that holds it, as counts of all lengths."""
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
@@ -33,29 +35,81 @@ def _knapsack(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarr
         if n:
             value = best[c - lengths[:n]] + worth[:n]
             k = int(np.argmax(value))
-            best[c], took[c] = value[k], k
-    out, c = np.zeros(len(lengths), dtype=np.int64), capacity
-    while c > 0 and took[c] >= 0:
-        out[took[c]] += 1
-        c -= lengths[took[c]]
+            if value[k] > 0:
+                best[c], took[c] = value[k], k
+    out, c, live = np.eye(len(lengths)), capacity - lengths, np.arange(len(lengths))
+    while len(live):
+        k = took[c[live]]
+        live, k = live[k >= 0], k[k >= 0]
+        out[k, live] += 1
+        c[live] -= lengths[k]
     return out
 
 
-def _fractional(lengths: np.ndarray, n: np.ndarray, capacity: int, steps: int) -> list[tuple[np.ndarray, float]]:
-    """Fillings and how often each is used, so that every length is covered about once."""
-    cover = np.zeros(len(n))
-    used: dict[bytes, list] = {}
-    for _ in range(steps):
-        weight = np.exp(-8.0 * (cover - cover.min())) / n
-        a = _knapsack(lengths, weight, capacity)
-        a = np.minimum(a, n)
-        on = a > 0
-        step = 0.1 * (n[on] / a[on]).min()
-        cover += step * a / n
-        used.setdefault(a.tobytes(), [a, 0.0])[1] += step
-        if cover.min() >= 1.5:
-            break
-    return [(a, x) for a, x in used.values()]
+def _first_basis(lengths: np.ndarray, n: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """As many fillings (columns) as lengths, and how often each is used: each uses up a length, so they are independent."""
+    m = len(n)
+    basis, x, rest, there = np.zeros((m, m)), np.zeros(m), n.astype(float), np.ones(m, dtype=bool)
+    for s in range(m):
+        space = capacity
+        while True:
+            fit = np.flatnonzero(there[: np.searchsorted(lengths, space, side="right")])
+            if not len(fit):
+                break
+            basis[fit[-1], s] += space // lengths[fit[-1]]
+            space %= lengths[fit[-1]]
+        on = np.flatnonzero(basis[:, s])
+        q = on[np.argmin(rest[on] / basis[on, s])]
+        x[s] = rest[q] / basis[q, s]
+        rest = np.maximum(rest - x[s] * basis[:, s], 0)
+        there[q] = False
+    return basis, x
+
+
+def _fractional(lengths: np.ndarray, n: np.ndarray, capacity: int, gap: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Fillings (columns) and how often each is used to cover every length, and a lower bound of their sum.
+
+    Ends when the sum is within ``gap`` of the bound, or when no filling is worth
+    more than a sequence, which proves that the sum is least; at the latest after
+    two exchanges a length or a round of pricing for every four.
+    """
+    basis, x = _first_basis(lengths, n, capacity)
+    inv = np.linalg.inv(basis)
+    y = inv.sum(axis=0)
+    centre = lengths / capacity
+    lower, near, pivots = float((n * centre).sum()), 0.9, 0
+    rounds = 0
+    while x.sum() > lower * (1 + gap) and pivots < 2 * len(n) and rounds < 20 + len(n) // 4:
+        rounds += 1
+        mixed = near * centre + (1 - near) * np.maximum(y, 0)
+        pool = _fillings(lengths, mixed, capacity)
+        worth = (mixed @ pool).max()  # no filling has more, so mixed / worth is feasible for the dual
+        bound = float((n * mixed).sum() / worth)
+        if bound > lower:
+            lower, centre = bound, mixed / worth
+        gain = y @ pool - 1
+        top = gain.max()
+        if top <= 1e-9:
+            if near == 0:
+                break
+            near = max(0.0, near - 0.3)
+            continue
+        while gain.max() > max(1e-9, 0.05 * top) and pivots < 2 * len(n):
+            j = int(np.argmax(gain))
+            d = inv @ pool[:, j]
+            ratio = np.where(d > 1e-7, x / np.where(d > 1e-7, d, 1), np.inf)
+            q = int(np.argmax(np.where(ratio <= ratio.min() + 1e-7, d, 0)))  # of equal ones the safest to divide by
+            t, row, g = ratio[q], inv[q] / d[q], gain[j]
+            x, y, gain = np.maximum(x - t * d, 0), y - g * row, gain - g * (row @ pool)
+            x[q], basis[:, q] = t, pool[:, j]
+            inv -= np.outer(d, row)
+            inv[q] = row
+            pivots += 1
+            if pivots % 100 == 0:  # rounding errors
+                inv = np.linalg.inv(basis)
+                x, y = np.maximum(inv @ n, 0), inv.sum(axis=0)
+                gain = y @ pool - 1
+    return basis.astype(np.int64), x, lower
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -77,24 +131,21 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
     return [x for group in open_bins.values() for x in group]
 
 
-def plan(histogram: dict[int, int], capacity: int, steps: int = 300) -> list[tuple[Pattern, int]]:
+def plan(histogram: dict[int, int], capacity: int, gap: float = 1e-4) -> list[tuple[Pattern, int]]:
     """Fillings and how many sequences take each; together they hold each length as often as counted."""
-    whole = _best_fit(dict(histogram), capacity)
     lengths = np.array(sorted(histogram), dtype=np.int64)
     if not len(lengths):
         return []
     n = np.array([histogram[x] for x in lengths], dtype=np.int64)
-    found = _fractional(lengths, n, capacity, steps)
-    usage = sum(a * x for a, x in found)
-    scale = 1.0 / np.maximum(usage / n, 1e-12).max()
+    basis, x, _ = _fractional(lengths, n, capacity, gap)
     left, plans = n.copy(), []
-    for a, x in sorted(found, key=lambda f: (-f[1], f[0].tobytes())):
-        times = int(min(x * scale * 1.000001, (left[a > 0] // a[a > 0]).min()))
+    for j in np.argsort(-x, kind="stable"):
+        a = basis[:, j]
+        times = int(min(x[j] + 1e-6, (left[a > 0] // a[a > 0]).min()))
         if times:
             left -= times * a
             plans.append((tuple((int(length), int(k)) for length, k in zip(lengths[::-1], a[::-1]) if k), times))
-    plans += _best_fit({int(x): int(k) for x, k in zip(lengths, left) if k}, capacity)
-    return min(plans, whole, key=lambda p: sum(t for _, t in p))
+    return plans + _best_fit({int(x): int(k) for x, k in zip(lengths, left) if k}, capacity)
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, keep_ids: bool = True) -> DataFrame:

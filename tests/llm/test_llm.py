@@ -200,6 +200,18 @@ def test_packing(spark):
     assert packing.plan({}, 64) == []
 
 
+def test_packing_solves_the_program_with_all_lengths():
+    counts = {x: 600 if 200 <= x < 420 else 20 for x in range(1, 1025)}
+    plans = packing.plan(counts, 1024)
+    held = dict.fromkeys(counts, 0)
+    for pattern, times in plans:
+        assert sum(x * k for x, k in pattern) <= 1024
+        for x, k in pattern:
+            held[x] += k * times
+    assert held == counts
+    assert sum(t for _, t in plans) <= 50400  # best fit alone takes 50623
+
+
 def test_token_file_round_trip():
     docs = [(5, b""), (None, struct.pack("<2I", 7, 8)), (5, struct.pack("<3I", 1, 2, 3))]
     w = token_files.Writer()
