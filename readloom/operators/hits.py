@@ -34,13 +34,19 @@ def best_hits(maps: DataFrame, mismatches: int = 2, closest: int = 0, unique_str
 
 
 def hit_coordinates(hits: DataFrame, length: int) -> DataFrame:
-    """A row per kept hit: its place in the list from 0, chr, strand, start, end, mismatches (null if not given)."""
-    part = lambda k: F.regexp_extract("hit", r"^([^:]+):([FR])([0-9]+)(?:@[^/]*/([0-9]+))?$", k)
+    """A row per kept hit: its place in the list from 0, chr (first word), strand, start, end, mismatches.
+
+    Where no number of mismatches follows the quality, those written after the
+    start (``C15``, ``<+2>20``) are counted.
+    """
+    form = r"^([^:\s]+)[^:]*:([FR])([0-9]+)((?:<[+-][0-9]+>[0-9]+|[^0-9@<>][0-9]+)*)(?:@[^/]*(?:/([0-9]+))?)?$"
+    part = lambda k: F.regexp_extract("hit", form, k)
     rows = hits.select("pair_id", "mate", "lane", F.posexplode("kept").alias("ordinal", "hit")).where(part(1) != "")
     start = part(3).cast("long")
+    written = F.regexp_count(F.regexp_replace(part(4), "<[+-][0-9]+>", "I"), F.lit("[^0-9][0-9]+"))
     return rows.select(
         "pair_id", "mate", "lane", "ordinal", part(1).alias("chr"), F.when(part(2) == "F", "+").otherwise("-").alias("strand"), start.alias("start"),
-        (start + length - 1).alias("end"), F.nullif(part(4), F.lit("")).cast("int").alias("mismatches"),
+        (start + length - 1).alias("end"), F.coalesce(F.nullif(part(5), F.lit("")).cast("int"), written).alias("mismatches"),
     )
 
 

@@ -70,3 +70,10 @@ def test_tags_strands_and_mates(spark):
     a = [("x", 1, 5, 9, 4), ("x", 2, 9, 5, -4), ("y", 1, 5, 9, 4), ("y", 2, 8, 5, -4), ("z", 1, None, 9, 4), ("z", 2, 9, 5, 4)]
     pairs = hits.consistent_mates(spark.createDataFrame(a, "id string, mate int, pos int, mate_pos int, tlen int"))
     assert dict(map(tuple, pairs.collect())) == {"x": True, "y": False, "z": False}
+
+
+def test_hits_with_mismatches_written_out(spark):
+    listed = ["chr1:F120@30/1", "chr1:F120C15@30/1", "chr1:R55A3T20", "chr2 x:F9<+2>20G7", "chr1:F5", "chr1=x"]
+    df = spark.createDataFrame([(1, 1, "l", listed)], "pair_id int, mate int, lane string, kept array<string>")
+    got = [(r.ordinal, r.chr, r.strand, r.start, r.end, r.mismatches) for r in hits.hit_coordinates(df, 50).orderBy("ordinal").collect()]
+    assert got == [(0, "chr1", "+", 120, 169, 1), (1, "chr1", "+", 120, 169, 1), (2, "chr1", "-", 55, 104, 2), (3, "chr2", "+", 9, 58, 2), (4, "chr1", "+", 5, 54, 0)]
