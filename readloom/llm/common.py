@@ -69,9 +69,9 @@ def fold(key: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def bounded_sample(rows: DataFrame, key: str, limit: int, salt: str) -> DataFrame:
-    """At most ``limit`` rows, the same ones in every run: those of least salted md5."""
-    return rows.orderBy(F.md5(F.concat(F.lit(salt), F.col(key).cast("string"))), key).limit(limit)
+def bounded_sample(rows: DataFrame, key: str, limit: int, salt: str, *ties: str) -> DataFrame:
+    """At most ``limit`` rows, the same ones in every run: those of least salted md5, then least ``ties``."""
+    return rows.orderBy(F.md5(F.concat(F.lit(salt), F.col(key).cast("string"))), key, *ties).limit(limit)
 
 
 def slice_key(*cols: Column) -> Column:

@@ -8,14 +8,15 @@ what a text says decides, not whom it mentions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import bounded_sample, fold, table
+from readloom.llm.common import bounded_sample, fold, staged, table
 from readloom.llm.wordhash import chunks, hash_words
 
 #: Names of groups that may be swapped for one another.
@@ -58,76 +59,109 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def fit(sets: list[np.ndarray], toxic: np.ndarray, max_words: int = 400, ridge: float = 1.0, still: float = 10.0) -> Model:
+def prior_of(n: int, bad: int) -> float:
+    """The log-odds of label 1 among ``n`` texts, with one text of each label added; 0 without texts."""
+    return float(np.log((bad + 1) / (n - bad + 1)))
+
+
+def z_of(n: Column, n1: Column, rows: int, bad: int) -> Column:
+    """Two-proportion z of words that are in ``n`` texts, ``n1`` of them toxic."""
+    p = n / rows
+    return F.abs(n1 / bad - (n - n1) / (rows - bad)) / F.sqrt(p * (1 - p) * (1 / bad + 1 / (rows - bad)) + 1e-12)
+
+
+def solve(words: np.ndarray, on: list[np.ndarray], toxic: np.ndarray, named: list[np.ndarray], ridge: float = 1.0, still: float = 10.0, block: int = 1000) -> Model:
     """Newton's method on the penalised loss; ``still`` weighs changes under swaps.
 
-    The words are the ``max_words`` of largest two-proportion z over the labelled
-    texts, and all group names. Without both labels the score is constant.
+    ``on`` lists for each text which of ``words`` it has, ``named`` for each group
+    name its word and stems. The normal equations are summed over blocks of rows.
     """
     y = np.asarray(toxic, dtype=float)
-    rate = float(y.mean()) if len(y) else 0.5
-    prior = np.log((rate * len(y) + 1) / ((1 - rate) * len(y) + 1)) if len(y) else 0.0
-    if not len(y) or y.min() == y.max():
-        return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), float(prior))
-    named = [np.unique(h) for h in word_sets(list(IDENTITY_TERMS))]
-    names = np.unique(np.concatenate(named))
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    vocab, inverse = np.unique(flat, return_inverse=True)
-    n1 = np.bincount(inverse, weights=y[owner], minlength=len(vocab))
-    n = np.bincount(inverse, minlength=len(vocab))
-    p = n / len(y)
-    z = np.abs(n1 / y.sum() - (n - n1) / (len(y) - y.sum())) / np.sqrt(p * (1 - p) * (1 / y.sum() + 1 / (len(y) - y.sum())) + 1e-12)
-    z[(n < 5) | (p > 0.999)] = 0
-    top = np.lexsort((vocab, -z))[:max_words]
-    words = np.unique(np.concatenate([vocab[top[z[top] > 0]], names]))
-    at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
-    on = words[at] == flat
-    x = np.zeros((len(y), len(words) + 1))
-    x[owner[on], at[on]] = 1
-    x[:, -1] = 1
+    width = len(words) + 1
     # A swap of one name for another changes the log-odds by the difference of what their words and stems weigh.
     slots = [np.searchsorted(words, f) for f in named]
-    rows = np.zeros((len(slots), len(words) + 1))
-    for k, at_name in enumerate(slots):
-        rows[k, at_name] = 1
-    mentions = [int(x[:, at_name].all(axis=1).sum()) for at_name in slots]
-    pull = np.zeros((len(words) + 1, len(words) + 1))
-    for k, m in enumerate(mentions):
-        if m:
-            change = rows - rows[k]
-            pull += m * change.T @ change
-    penalty = 2 * still * pull / max(len(slots) - 1, 1) + ridge * np.eye(len(words) + 1)
+    rows = np.zeros((len(slots), width))
+    mentions = np.zeros(len(slots), dtype=np.int64)
+    for k, at in enumerate(slots):
+        rows[k, at] = 1
+        mentions[k] = sum(bool(np.isin(at, o).all()) for o in on)
+    pull = np.zeros((width, width))
+    for k in np.flatnonzero(mentions):
+        change = rows - rows[k]
+        pull += mentions[k] * change.T @ change
+    penalty = 2 * still * pull / max(len(slots) - 1, 1) + ridge * np.eye(width)
     penalty[-1, -1] = 1e-6
-    theta = np.zeros(len(words) + 1)
-    theta[-1] = prior
+    theta = np.zeros(width)
+    theta[-1] = prior_of(len(y), int(y.sum()))
     for _ in range(25):
-        q = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        step = np.linalg.solve((x.T * (q * (1 - q))) @ x + penalty, x.T @ (q - y) + penalty @ theta)
+        hessian, slope = penalty.copy(), penalty @ theta
+        for a in range(0, len(y), block):
+            x = np.zeros((len(y[a : a + block]), width))
+            x[:, -1] = 1
+            for i, o in enumerate(on[a : a + block]):
+                x[i, o] = 1
+            q = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+            hessian += (x.T * (q * (1 - q))) @ x
+            slope += x.T @ (q - y[a : a + block])
+        step = np.linalg.solve(hessian, slope)
         theta -= step
         if np.abs(step).max() < 1e-6:
             break
     return Model(words, theta[:-1], float(theta[-1]))
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, **options) -> Model:
+def _constant(rows: int, bad: int) -> Model:
+    return Model(np.zeros(0, dtype=np.uint64), np.zeros(0), prior_of(rows, bad))
+
+
+def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, max_words: int = 400, terms: Sequence[str] = IDENTITY_TERMS, **options) -> Model:
     """Learn from documents that ``labels.toxic`` marks, outside the held-out fold, at most ``max_rows``.
 
-    The rows are those of least salted md5 of doc_id; the driver gets their hashed words.
+    The rows are those of least salted md5 of doc_id; a doc_id that is repeated
+    in either table gives a row for each pair, of which ``max_rows`` again are
+    kept. The words are the ``max_words`` of largest two-proportion z, counted by
+    the executors, and all of ``terms``, the names that may be swapped. The
+    driver gets those words and, for each row, the numbers of those it has.
+    Without both labels (or without rows) the score is constant.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
     chosen = bounded_sample(known.select("doc_id", "toxic"), "doc_id", max_rows, "toxic")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows short rows
-
-    @F.pandas_udf("binary")
-    def hashed(s: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(h).tobytes() for h in word_sets(s.tolist())])
-
-    got = sorted(rows.select("doc_id", "toxic", hashed("text").alias("w")).collect(), key=lambda r: (r.doc_id, r.toxic, bytes(r.w)))
-    return fit([np.frombuffer(r.w, dtype=np.uint64) for r in got], np.array([r.toxic for r in got]), **options)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")  # max_rows short rows
+    rows = staged(rows, "toxic_rows")
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            sets = [np.unique(h) for h in word_sets(pdf["text"].tolist())]
+            bad = np.repeat(pdf["toxic"].to_numpy(dtype=np.int64), [len(x) for x in sets])
+            word, at = np.unique(np.concatenate(sets), return_inverse=True)
+            yield pd.DataFrame({"w": word.astype(np.int64), "n": np.bincount(at, minlength=len(word)), "n1": np.bincount(at, weights=bad, minlength=len(word)).astype(np.int64)})
+
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("toxic").cast("long")).alias("bad")).first()
+    if not total.n or not 0 < total.bad < total.n:
+        return _constant(total.n, total.bad or 0)
+    counts = rows.select("text", "toxic").mapInPandas(counted, "w long, n long, n1 long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+    ranked = counts.where((F.col("n") >= 5) & (F.col("n") <= 0.999 * total.n)).withColumn("z", z_of(F.col("n"), F.col("n1"), total.n, total.bad)).where("z > 0")
+    top = [r.w for r in ranked.orderBy(F.desc("z"), "w").limit(max_words).collect()]
+    named = [np.unique(h) for h in word_sets(list(terms))]
+    words = np.unique(np.concatenate([np.array(top, dtype=np.int64).astype(np.uint64), *named]))
+    sent = docs.sparkSession.sparkContext.broadcast(words)  # max_words and the names
+
+    @F.pandas_udf("array<int>")
+    def numbers(s: pd.Series) -> pd.Series:
+        return pd.Series([np.flatnonzero(np.isin(sent.value, h)).astype(np.int32) for h in word_sets(s.tolist())])
+
+    found = rows.select("doc_id", "toxic", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("c"), numbers("text").alias("on"))
+    got = bounded_sample(found, "doc_id", max_rows, "toxic", "c", "toxic").collect()  # max_rows short arrays
+    return solve(words, [np.array(r.on, dtype=np.int64) for r in got], np.array([r.toxic for r in got]), named, **options)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add score (0 to 1) of the whole text and predicted (1 from 0.5 on); null and empty texts get the base rate."""
+    """Add score (0 to 1) of the whole text and predicted (1 from 0.5 on), in place of columns so named.
+
+    Null and empty texts, and texts without a known word, get the intercept's score.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
