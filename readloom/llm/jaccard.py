@@ -7,14 +7,16 @@ shingle hashes) and never lists the pairs within a group of copies:
 1. Equal sets are one class; the rest works on classes.
 2. Index lists hold each set's prefix: the rarest fifth of its shingles, in an
    order that is the same for all sets. Only lists that two sets share are kept.
-3. In each list every set proposes a link to one of them, the list's hub, in two
+3. In each list every set proposes links to two of them, the list's hubs, in two
    rounds with other hubs. What is verified gives the first components. Lists
    whose entries lie in one component are done. In the others entries form
    blocks of equal (set size, position); blocks are compared by size and position
-   first, so a pair of blocks that cannot reach the threshold is skipped whole.
-   Members of the rest are tried on 256 parity bits before they become a pair,
-   and pairs on 2048 before texts are sent for them.
-4. A surviving pair (x, z) takes its overlap from that of x's hub and z: the
+   first, so a pair of blocks that cannot reach the threshold is skipped whole,
+   and entries without a block to meet leave.
+4. Members of the rest become a pair only in the first list that they share, as
+   far as each one's first lists tell, and only if 256 parity bits leave a link
+   possible; 2048 bits are tried before texts are sent.
+5. A surviving pair (x, z) takes its overlap from that of x's hub and z: the
    counts of what x has beyond its hub, and lacks of it, bound the overlap, and
    only pairs that the bounds leave open are counted.
 """
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,17 +39,20 @@ WIDTH = 5
 #: Shingles that go last in the order of rarity; the bound of that broadcast. It changes cost, never results.
 HOT_SHINGLES = 16_384
 #: Ids that a lookup by broadcast may hold; beyond it, the lookup is a shuffled join.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
+#: First lists of a set that its entries carry. A pair is skipped where these prove an earlier shared list; it changes cost, never results.
+FIRST_LISTS = 6
+#: Pairs of one hub that a task gets; a hub with more is dealt to several.
+_HUB_PAIRS = 256
 #: Index entries that one task handles at once.
 _LIST_ENTRIES = 200_000
 #: Bytes of texts that Python is handed at once: a hub's long text may come with every row of a batch.
 _BATCH_BYTES = 4 << 20
 _ENTRY = np.dtype([("s", "<u8"), ("a", "<u8"), ("n", "<u4"), ("p", "<u4")])
-_DIGEST = T.StructType(
-    [T.StructField("n", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]
-    + [T.StructField(f"w{k}", T.LongType()) for k in range(4)]
-)
-_BITS = _DIGEST.names[3:]
+#: Bits of a set's parities, and longs of the coarse ones that index entries carry.
+_FINE_BITS, _COARSE = 2048, 4
+_DIGEST = T.StructType([T.StructField(c, T.LongType()) for c in "nab"] + [T.StructField("f", T.ArrayType(T.LongType()))])
+_BITS = [f"w{k}" for k in range(_COARSE)]
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -77,23 +82,28 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
     return int(np.add.reduce(s).astype(np.int64)), int(np.bitwise_xor.reduce(s).astype(np.int64))
 
 
-def _parities(s: np.ndarray) -> list[int]:
-    """256 bits: the parity of how many shingles fall on each.
+def _parities(s: np.ndarray) -> np.ndarray:
+    """_FINE_BITS bits: the parity of how many shingles fall on each.
 
-    Two sets differ in at least as many shingles as their parities differ in bits.
+    Two sets differ in at least as many shingles as their parities differ in
+    bits. Folded by exclusive or, the bits are those of fewer, coarser ones.
     """
-    odd = (np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).tolist()
+    odd = (np.bincount((s % np.uint64(_FINE_BITS)).astype(np.int64), minlength=_FINE_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
 def _near_enough(one: str, two: str, n1: str, n2: str):
-    """Whether sizes and parities of columns with the two prefixes leave a link possible."""
+    """Whether sizes and coarse parities of columns with the two prefixes leave a link possible."""
     apart = " + ".join(f"bit_count({one}{w} ^ {two}{w})" for w in _BITS)
     return F.expr(f"9 * ({n1} + {n2} - ({apart})) >= 8 * ({n1} + {n2})")
 
 
-def _bits(classes: DataFrame, name: str) -> DataFrame:
-    return classes.select(F.col("sid").alias(name), *[F.col(w).alias(name + w) for w in _BITS])
+def _fine_enough(pairs: DataFrame, classes: DataFrame, one: str, two: str) -> DataFrame:
+    """The pairs, by class ids in columns ``one`` and ``two``, that all parity bits leave possible."""
+    bits = lambda name: classes.select(F.col("sid").alias(name), F.col("f").alias(f"f_{name}"), F.col("n").alias(f"n_{name}"))
+    both = pairs.join(bits(one), one).join(bits(two), two)
+    apart = f"aggregate(zip_with(f_{one}, f_{two}, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+    return both.where(F.expr(f"9 * (n_{one} + n_{two} - {apart}) >= 8 * (n_{one} + n_{two})")).select(*pairs.columns)
 
 
 def _digests(docs: DataFrame) -> DataFrame:
@@ -103,12 +113,12 @@ def _digests(docs: DataFrame) -> DataFrame:
         for s in shingle_sets(text.tolist()):
             if len(s):
                 a, b = _identity(s)
-                rows.append((len(s), a, b, *_parities(s)))
+                rows.append((len(s), a, b, _parities(s)))
             else:
-                rows.append((0,) * len(_DIGEST.names))
+                rows.append((0, 0, 0, None))
         return pd.DataFrame(rows, columns=_DIGEST.names)
 
-    return docs.select("doc_id", digest("text").alias("d")).select("doc_id", "d.*")
+    return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), digest("text").alias("d")).select("doc_id", "row", "d.*")
 
 
 def _hot_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -234,34 +244,6 @@ def _measure(x: pd.Series, y: pd.Series, xa: pd.Series, ya: pd.Series) -> pd.Dat
     return pd.DataFrame(rows, columns=_MEASURED.names)
 
 
-_FINE_BITS = 2048
-_FINE = T.StructType([T.StructField("a", T.LongType()), T.StructField("w", T.ArrayType(T.LongType()))])
-
-
-@F.pandas_udf(_FINE)
-def _fine_parities(text: pd.Series) -> pd.DataFrame:
-    """A set's identity and the parities of its shingles on _FINE_BITS bits."""
-    rows = []
-    for s in shingle_sets(text.tolist()):
-        odd = (np.bincount((s % np.uint64(_FINE_BITS)).astype(np.int64), minlength=_FINE_BITS) & 1).astype(np.uint8)
-        rows.append((_identity(s)[0] if len(s) else 0, np.packbits(odd).view(np.int64).tolist()))
-    return pd.DataFrame(rows, columns=_FINE.names)
-
-
-def _fine_enough(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, z, n1, n2, more) that finer parities leave possible.
-
-    Sets of over a thousand shingles fill 256 bits, so those rule out little.
-    Texts are digested where they are read; only their bits travel.
-    """
-    ids = pairs.select(F.explode(F.array("x", "z")).alias("sid")).distinct().join(classes.select("sid", "rep_doc", "a"), "sid")
-    found = _texts(docs, ids).select("sid", "a", _fine_parities("text").alias("f")).where("a = f.a")
-    bits = staged(found.groupBy("sid").agg(F.first("f.w").alias("w")), "fine")
-    both = pairs.join(bits.select(F.col("sid").alias("x"), F.col("w").alias("xw")), "x").join(bits.select(F.col("sid").alias("z"), F.col("w").alias("zw")), "z")
-    apart = "aggregate(zip_with(xw, zw, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
-    return both.where(F.expr(f"9 * (n1 + n2 - {apart}) >= 8 * (n1 + n2)")).select(*pairs.columns)
-
-
 def _linked(o, n1, n2):
     return 180 * o >= 80 * (n1 + n2)
 
@@ -269,33 +251,71 @@ def _linked(o, n1, n2):
 def measured(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Exact overlaps of pairs (x, y) of class ids: x, y, nx, ny, o, extra (of x), lacking (of y).
 
-    ``pairs`` is read three times, so callers stage it.
+    ``pairs`` is read several times, so callers stage it. The pairs of a hub y
+    that has more than _HUB_PAIRS are dealt out over parts, each with a copy of y.
     """
+    heavy = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > _HUB_PAIRS).select("y", F.ceil(F.col("_n") / _HUB_PAIRS).alias("parts"))
+    dealt = pairs.select("x", "y").join(heavy, "y", "left").select("x", "y", F.pmod(F.xxhash64("x"), F.coalesce("parts", F.lit(1))).alias("part"))
     one = classes.select(F.col("sid").alias("x"), "rep_doc", F.col("a").alias("xa"), F.col("n").alias("nx"))
     two = classes.select(F.col("sid").alias("y"), "rep_doc", F.col("a").alias("ya"), F.col("n").alias("ny"))
-    left = _texts(docs, pairs.join(one, "x")).select("x", "y", "xa", "nx", F.col("text").alias("tx"))
+    left = _texts(docs, dealt.join(one, "x")).select("x", "y", "part", "xa", "nx", F.col("text").alias("tx"))
     right = _texts(docs, two.join(pairs.select("y").distinct(), "y", "left_semi")).select("y", "ya", "ny", F.col("text").alias("ty"))
-    both = left.join(right, "y").withColumn("m", _measure("tx", "ty", "xa", "ya"))
+    right = right.join(heavy, "y", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    both = left.join(right, ["y", "part"]).withColumn("m", _measure("tx", "ty", "xa", "ya"))
     return both.select("x", "y", "nx", "ny", "m.*").where("right").drop("right").dropDuplicates(["x", "y"])
 
 
-def _open(live: DataFrame, placed: DataFrame, *more) -> tuple[DataFrame, DataFrame]:
-    """All entries with their components, and the lists that lie in more than one (s, lo, hi, and ``more`` of each)."""
-    lists = live.join(placed, "sid")
-    found = lists.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *more).where("lo < hi")
-    return lists, found
-
-
 def _merged(placed: DataFrame, edges: DataFrame) -> DataFrame:
     """Components (sid, comp) after edges (u, v) between them."""
     late = components(edges)
     return staged(placed.join(late, F.col("comp") == F.col("node"), "left").select("sid", F.coalesce("root", "comp").alias("comp")), "placed")
 
 
+def _asks(lists: DataFrame, order: str) -> DataFrame:
+    """Each set's proposals (x, y) to the two hubs of its lists, with their components (u, v).
+
+    ``lists`` has s, sid, comp, n and pos. The hubs of a list come first and last in ``order``.
+    """
+    hub = F.struct(F.expr(order).alias("_o"), "sid", "comp", "n", "pos")
+    two = lists.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(hub).alias("one"), F.max(hub).alias("two")).where("lo < hi")
+    found = lists.join(two.select("s", F.explode(F.array("one", "two")).alias("hub")), "s")
+    found = found.where("comp <> hub.comp and 5 * least(n, hub.n) >= 4 * greatest(n, hub.n) and 9 * least(n - pos, hub.n - hub.pos) >= 4 * (n + hub.n)")
+    edge = F.min(F.struct(F.col("comp").alias("u"), F.col("hub.comp").alias("v"))).alias("e")
+    return found.groupBy(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).agg(edge).select("x", "y", "e.*")
+
+
+def _open_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (x, z) of different components that some list leaves possible, with cx, cz, n1 and n2.
+
+    ``lists`` has s, sid, comp, n and pos of lists in more than one component, staged.
+    """
+    # Blocks of equal size and position, compared before their members are.
+    blocks = lists.groupBy("s", "n", "pos").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    small = blocks.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
+    large = blocks.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    can = F.expr("n1 <= n2 and 5 * n1 >= 4 * n2 and 9 * least(n1 - p1, n2 - p2) >= 4 * (n1 + n2) and least(lo1, lo2) < greatest(hi1, hi2)")
+    open_blocks = staged(small.join(large, "s").where(can).select("s", "n1", "p1", "n2", "p2"), "blocks")
+    met = open_blocks.select("s", F.explode(F.array(F.struct(F.col("n1").alias("n"), F.col("p1").alias("pos")), F.struct(F.col("n2").alias("n"), F.col("p2").alias("pos")))).alias("b"))
+    lists = staged(lists.join(met.select("s", "b.*").distinct(), ["s", "n", "pos"], "left_semi"), "met")
+
+    # The first lists of each set. A pair that shares one of those before this list has met there, as its positions there are no worse.
+    rank = F.row_number().over(Window.partitionBy("sid").orderBy("pos"))
+    first = lists.select("sid", "pos", "s").withColumn("_r", rank).where(F.col("_r") <= FIRST_LISTS)
+    first = first.groupBy("sid").agg(F.collect_list(F.struct("pos", "s")).alias("first"))
+    known = classes.select("sid", *_BITS).join(first, "sid")
+    early = F.transform(F.filter("first", lambda t: t["pos"] < F.col("pos")), lambda t: t["s"])
+    lists = staged(lists.join(known, "sid").select("s", "n", "pos", "sid", "comp", *_BITS, early.alias("early")), "open")
+    m1 = lists.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("sid").alias("x"), F.col("comp").alias("cx"), F.col("early").alias("ex"), *[F.col(w).alias(f"x{w}") for w in _BITS])
+    m2 = lists.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("sid").alias("z"), F.col("comp").alias("cz"), F.col("early").alias("ez"), *[F.col(w).alias(f"z{w}") for w in _BITS])
+    pairs = open_blocks.join(m1, ["s", "n1", "p1"]).join(m2, ["s", "n2", "p2"])
+    pairs = pairs.where("cx <> cz and (n1 < n2 or x < z)").where(_near_enough("x", "z", "n1", "n2")).where("not arrays_overlap(ex, ez)")
+    return pairs.select("x", "z", "cx", "cz", "n1", "n2").distinct()
+
+
 def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, classes, roots): doc_id to identity, classes of equal sets, class to component.
+    """(members, classes, roots): rows to identities, classes of equal sets, class to component.
 
-    ``docs`` needs doc_id and text. Only links that join different components
+    ``docs`` needs doc_id and text; members number its rows as they are read. Only links that join different components
     are looked for once the hubs have joined the obvious ones; no component is missed.
     """
     docs = docs.select("doc_id", "text")
@@ -303,8 +323,8 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     members = staged(_digests(docs), "members")
     classes = (
         members.where("n > 0").groupBy("a", "b")
-        .agg(F.min("doc_id").alias("rep_doc"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in _BITS])
-        .withColumn("sid", F.monotonically_increasing_id())
+        .agg(F.min("doc_id").alias("rep_doc"), F.first("n").alias("n"), F.first("f").alias("f"))
+        .withColumns({"sid": F.monotonically_increasing_id(), **{w: F.expr(" ^ ".join(f"f[{i}]" for i in range(k, _FINE_BITS // 64, _COARSE))) for k, w in enumerate(_BITS)}})
     )
     classes = staged(classes, "classes")
 
@@ -312,33 +332,20 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     live = _live_entries(docs, _hot_shingles(docs), max(int(entries) // _LIST_ENTRIES + 1, 24))
     live = staged(live.dropDuplicates(["s", "a"]).join(classes.select("a", "sid"), "a").drop("a"), "lists")
 
-    # Hubs: every entry of a list that joins components proposes a link to the list's first, then its last set.
-    placed = classes.select("sid", F.col("sid").alias("comp"))
-    links = None
-    for pick in (F.min, F.max):
-        lists, open_lists = _open(live, placed, pick(F.struct("sid", "comp", "n", "pos")).alias("hub"))
-        asks = lists.join(open_lists, "s").where("comp <> hub.comp and 5 * least(n, hub.n) >= 4 * greatest(n, hub.n)")
-        asks = asks.where("9 * least(n - pos, hub.n - hub.pos) >= 4 * (n + hub.n)")
-        edge = F.min(F.struct(F.col("comp").alias("u"), F.col("hub.comp").alias("v"), F.col("n").alias("n1"), F.col("hub.n").alias("n2"))).alias("e")
-        asks = asks.groupBy(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).agg(edge).select("x", "y", "e.*")
-        asks = staged(asks.join(_bits(classes, "x"), "x").join(_bits(classes, "y"), "y").where(_near_enough("x", "y", "n1", "n2")).select("x", "y", "u", "v"), "asks")
-        new = staged(measured(docs, classes, asks.select("x", "y")).where(_linked(F.col("o"), F.col("nx"), F.col("ny"))), "hubs")
+    # Hubs: every entry of a list that joins components proposes links to the list's two hubs.
+    placed, links = None, None
+    for order in ("sid", "xxhash64(sid)"):
+        lists = live.withColumn("comp", F.col("sid")) if placed is None else live.join(placed, "sid")
+        asks = staged(_fine_enough(_asks(lists, order), classes, "x", "y"), "asks")
+        new = staged(measured(docs, classes, asks).where(_linked(F.col("o"), F.col("nx"), F.col("ny"))), "hubs")
+        if placed is None:
+            placed = classes.select("sid", F.col("sid").alias("comp"))
         placed = _merged(placed, asks.join(new.select("x", "y"), ["x", "y"]).select("u", "v"))
         links = new if links is None else links.unionByName(new)
-    lists, open_lists = _open(live, placed)
-    lists = staged(lists.join(open_lists.select("s"), "s").join(classes.select("sid", *_BITS), "sid"), "open")
-
-    # Blocks of equal size and position, compared before their members are.
-    blocks = lists.groupBy("s", "n", "pos").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    small = blocks.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
-    large = blocks.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    can = F.expr("n1 <= n2 and 5 * n1 >= 4 * n2 and 9 * least(n1 - p1, n2 - p2) >= 4 * (n1 + n2) and least(lo1, lo2) < greatest(hi1, hi2)")
-    open_blocks = small.join(large, "s").where(can).select("s", "n1", "p1", "n2", "p2")
-    m1 = lists.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("sid").alias("x"), F.col("comp").alias("cx"), *[F.col(w).alias(f"x{w}") for w in _BITS])
-    m2 = lists.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("sid").alias("z"), F.col("comp").alias("cz"), *[F.col(w).alias(f"z{w}") for w in _BITS])
-    pairs = open_blocks.join(m1, ["s", "n1", "p1"]).join(m2, ["s", "n2", "p2"]).where("cx <> cz and (n1 < n2 or x < z)").where(_near_enough("x", "z", "n1", "n2"))
-    pairs = staged(pairs.select("x", "z", "cx", "cz", "n1", "n2").distinct(), "pairs")
-    pairs = staged(_fine_enough(docs, classes, pairs), "fine_pairs")
+    lists = live.join(placed, "sid")
+    mixed = lists.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("s")
+    pairs = _open_pairs(staged(lists.join(mixed, "s"), "mixed"), classes)
+    pairs = staged(_fine_enough(pairs, classes, "x", "z"), "pairs")
 
     # Overlaps by way of hubs.
     best = links.groupBy("x").agg(F.min(F.struct(F.expr("extra + lacking").alias("d"), F.col("y").alias("hub"), "extra", "lacking")).alias("h"))
@@ -355,6 +362,16 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return members, classes, roots
 
 
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with what ``found`` has for their class (a, b).
+
+    A class may hold a third of all rows, so members join by class and one of
+    64 slices; ``found`` goes to those slices alone that have rows.
+    """
+    cut = members.withColumn("_k", F.pmod("row", F.lit(64)))
+    return cut.join(cut.select("a", "b", "_k").distinct().join(found, ["a", "b"]), ["a", "b", "_k"]).drop("_k")
+
+
 def component_ids(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id, its group's least doc_id.
 
@@ -365,22 +382,25 @@ def component_ids(docs: DataFrame) -> DataFrame:
     members, classes, roots = jaccard_classes(docs)
     with_root = classes.select("sid", "a", "b", "rep_doc").join(roots, "sid")
     first = with_root.groupBy("root").agg(F.min("rep_doc").alias("component_id"))
-    found = with_root.join(first, "root").select("a", "b", "component_id", F.lit(True).alias("_in"))
-    rows = members.select("doc_id", F.col("n").alias("n_shingles"), "a", "b", (F.col("n") > 0).alias("_has"))
-    joined = rows.where("_has").join(found, ["a", "b"]).select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("not _has").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    found = with_root.join(first, "root").select("a", "b", "component_id")
+    rows = members.select("doc_id", F.col("n").alias("n_shingles"), "row", "a", "b")
+    joined = _placed(rows.where("n_shingles > 0"), found).select("doc_id", "n_shingles", "component_id")
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those whose group has a lesser doc_id, with their columns.
+    """``docs`` with one row of each group: that of least doc_id (null ids last), of those the first that is read.
 
-    Rows without words stay, as do rows without doc_id. Rows that repeat one
-    doc_id go together, by the least group that any of their texts is in.
+    Rows without words all stay. Rows are decided one by one, whether or not a
+    doc_id or a whole row is repeated; ``docs`` must be read in the same order
+    each time, as files are.
     """
-    groups = component_ids(docs).where("n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("_c"))
-    gone = groups.where("doc_id is not null and _c < doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    members, classes, roots = jaccard_classes(docs)
+    placed = _placed(members.where("n > 0").select("doc_id", "row", "a", "b"), classes.select("a", "b", "sid").join(roots, "sid").select("a", "b", "root"))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept")).select(F.col("kept.row").alias("row"))
+    gone = placed.select("row").join(first, "row", "left_anti").select(F.col("row").alias("_row"))
+    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
