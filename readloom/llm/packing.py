@@ -1,13 +1,17 @@
 """Best-fit packing of token sequences by the configuration linear program.
 
-The program has a variable for each way to fill one sequence. The simplex
-method solves it by column generation: a knapsack over the capacity finds
-fillings that pay, and its prices give a lower bound. The steps end when the
-fractional answer is within a ten-thousandth of that bound, or after two
-exchanges a length (or a quarter as many rounds of pricing). It is rounded down; what it leaves is placed by best fit,
-longest first. All of this works on the
-histogram of lengths, which has no more rows than the capacity; pieces only get
-ranks.
+The program has a variable for each way to fill one sequence (a filling), and
+asks that fillings cover every length as often as it occurs. Multiplicative
+weights solve it: each length has a price that falls exponentially with how far
+it is covered; a knapsack by dynamic programming finds the fillings of highest
+price, one for each length that it has to hold; those near the highest are used
+a little more, no length by more than a step a round. The prices also give a
+lower bound of the program. The answer is scaled to cover all lengths and
+rounded down, then fillings that still fit are taken once in the order of their
+fractions. What is left is a smaller program, solved in the same way, for at
+most PHASES rounds of rounding; best fit, longest first, places the last rest.
+All of this works on the histogram of lengths, which has no more rows than the
+capacity; pieces only get ranks.
 """
 
 from __future__ import annotations
@@ -23,93 +27,74 @@ from pyspark.sql import functions as F
 from readloom.llm.common import gapless_rank, slice_key, staged, table
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
+#: Times that the program is solved and rounded, each time for what the last rounding left.
+PHASES = 3
 
 
-def _fillings(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
-    """A column for each length: the filling of highest worth that holds it, as counts of all lengths."""
+def _knapsack(lengths: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The highest price that each space can hold, and the length that it takes first (-1: none)."""
     best = np.zeros(capacity + 1)
     took = np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
         n = fits[c]
         if n:
-            value = best[c - lengths[:n]] + worth[:n]
-            k = int(np.argmax(value))
+            value = best[c - lengths[:n]] + price[:n]
+            k = int(value.argmax())
             if value[k] > 0:
                 best[c], took[c] = value[k], k
-    out, c, live = np.eye(len(lengths)), capacity - lengths, np.arange(len(lengths))
+    return best, took
+
+
+def _fillings(first: np.ndarray, lengths: np.ndarray, took: np.ndarray, capacity: int) -> np.ndarray:
+    """A row for each of ``first``: the counts of all lengths in the best filling that holds this one."""
+    out = np.zeros((len(first), len(lengths)), dtype=np.int64)
+    out[np.arange(len(first)), first] = 1
+    c, live = capacity - lengths[first], np.arange(len(first))
     while len(live):
         k = took[c[live]]
         live, k = live[k >= 0], k[k >= 0]
-        out[k, live] += 1
+        out[live, k] += 1
         c[live] -= lengths[k]
     return out
 
 
-def _first_basis(lengths: np.ndarray, n: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """As many fillings (columns) as lengths, and how often each is used: each uses up a length, so they are independent."""
-    m = len(n)
-    basis, x, rest, there = np.zeros((m, m)), np.zeros(m), n.astype(float), np.ones(m, dtype=bool)
-    for s in range(m):
-        space = capacity
-        while True:
-            fit = np.flatnonzero(there[: np.searchsorted(lengths, space, side="right")])
-            if not len(fit):
-                break
-            basis[fit[-1], s] += space // lengths[fit[-1]]
-            space %= lengths[fit[-1]]
-        on = np.flatnonzero(basis[:, s])
-        q = on[np.argmin(rest[on] / basis[on, s])]
-        x[s] = rest[q] / basis[q, s]
-        rest = np.maximum(rest - x[s] * basis[:, s], 0)
-        there[q] = False
-    return basis, x
-
-
-def _fractional(lengths: np.ndarray, n: np.ndarray, capacity: int, gap: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Fillings (columns) and how often each is used to cover every length, and a lower bound of their sum.
-
-    Ends when the sum is within ``gap`` of the bound, or when no filling is worth
-    more than a sequence, which proves that the sum is least; at the latest after
-    two exchanges a length or a round of pricing for every four.
+def fractional(
+    lengths: np.ndarray, n: np.ndarray, capacity: int, rounds: int = 500, step: float = 0.05, rate: float = 40.0, near: float = 0.01, gap: float = 0.005
+) -> tuple[list[tuple[np.ndarray, np.ndarray, float]], float]:
+    """Fillings (lengths' indices, counts, how often each is used) that cover every length, and a lower bound of their sum.
+
+    A round uses fillings whose price is within ``near`` of the highest, those of
+    the least covered lengths first, and covers no length further by more than
+    ``step``; prices fall by the factor exp(-``rate``) with each full cover. It
+    ends within ``gap`` of the bound or after ``rounds``; the answer, scaled by
+    the least cover, is feasible in either case.
     """
-    basis, x = _first_basis(lengths, n, capacity)
-    inv = np.linalg.inv(basis)
-    y = inv.sum(axis=0)
-    centre = lengths / capacity
-    lower, near, pivots = float((n * centre).sum()), 0.9, 0
-    rounds = 0
-    while x.sum() > lower * (1 + gap) and pivots < 2 * len(n) and rounds < 20 + len(n) // 4:
-        rounds += 1
-        mixed = near * centre + (1 - near) * np.maximum(y, 0)
-        pool = _fillings(lengths, mixed, capacity)
-        worth = (mixed @ pool).max()  # no filling has more, so mixed / worth is feasible for the dual
-        bound = float((n * mixed).sum() / worth)
-        if bound > lower:
-            lower, centre = bound, mixed / worth
-        gain = y @ pool - 1
-        top = gain.max()
-        if top <= 1e-9:
-            if near == 0:
-                break
-            near = max(0.0, near - 0.3)
-            continue
-        while gain.max() > max(1e-9, 0.05 * top) and pivots < 2 * len(n):
-            j = int(np.argmax(gain))
-            d = inv @ pool[:, j]
-            ratio = np.where(d > 1e-7, x / np.where(d > 1e-7, d, 1), np.inf)
-            q = int(np.argmax(np.where(ratio <= ratio.min() + 1e-7, d, 0)))  # of equal ones the safest to divide by
-            t, row, g = ratio[q], inv[q] / d[q], gain[j]
-            x, y, gain = np.maximum(x - t * d, 0), y - g * row, gain - g * (row @ pool)
-            x[q], basis[:, q] = t, pool[:, j]
-            inv -= np.outer(d, row)
-            inv[q] = row
-            pivots += 1
-            if pivots % 100 == 0:  # rounding errors
-                inv = np.linalg.inv(basis)
-                x, y = np.maximum(inv @ n, 0), inv.sum(axis=0)
-                gain = y @ pool - 1
-    return basis.astype(np.int64), x, lower
+    cover, use = np.zeros(len(n)), {}
+    lower, total = float((n * lengths).sum() / capacity), 0.0
+    for _ in range(rounds):
+        low = cover.min()
+        if low and total <= low * lower * (1 + gap):
+            break
+        price = lengths * np.exp(-rate * (cover - low))
+        best, took = _knapsack(lengths, price, capacity)
+        value = best[capacity - lengths] + price
+        top = value.max()
+        lower = max(lower, float((n * price).sum() / top))  # no filling is priced higher, so prices / top are feasible for the dual
+        chosen = np.flatnonzero(value >= (1 - near) * top)
+        chosen = chosen[np.argsort(cover[chosen], kind="stable")]
+        most = cover + step
+        for row in _fillings(chosen, lengths, took, capacity):
+            on = np.flatnonzero(row)
+            k = row[on]
+            more = float(((most - cover)[on] * n[on] / k).min())
+            if more > 1e-9:
+                cover[on] += more * k / n[on]
+                total += more
+                key = (on.tobytes(), k.tobytes())
+                use[key] = use.get(key, 0.0) + more
+    found = [(np.frombuffer(on, dtype=np.int64), np.frombuffer(k, dtype=np.int64), x / cover.min()) for (on, k), x in use.items()]
+    return sorted(found, key=lambda f: -f[2]), lower
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -131,21 +116,32 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
     return [x for group in open_bins.values() for x in group]
 
 
-def plan(histogram: dict[int, int], capacity: int, gap: float = 1e-4) -> list[tuple[Pattern, int]]:
-    """Fillings and how many sequences take each; together they hold each length as often as counted."""
+def rounded(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[Pattern, int]], dict[int, int], float]:
+    """Fillings of the linear program with how many sequences take each, the counts that they leave, and the program's bound."""
     lengths = np.array(sorted(histogram), dtype=np.int64)
-    if not len(lengths):
-        return []
-    n = np.array([histogram[x] for x in lengths], dtype=np.int64)
-    basis, x, _ = _fractional(lengths, n, capacity, gap)
-    left, plans = n.copy(), []
-    for j in np.argsort(-x, kind="stable"):
-        a = basis[:, j]
-        times = int(min(x[j] + 1e-6, (left[a > 0] // a[a > 0]).min()))
-        if times:
-            left -= times * a
-            plans.append((tuple((int(length), int(k)) for length, k in zip(lengths[::-1], a[::-1]) if k), times))
-    return plans + _best_fit({int(x): int(k) for x, k in zip(lengths, left) if k}, capacity)
+    left = np.array([histogram[x] for x in lengths], dtype=np.int64)
+    plans, bound = [], 0.0
+    for phase in range(PHASES):
+        now = np.flatnonzero(left)
+        if not len(now):
+            break
+        found, lower = fractional(lengths[now], left[now], capacity)
+        bound = bound or lower
+        least = 0.5 if phase < PHASES - 1 else 0.0
+        for whole in (True, False):
+            for on, k, x in found:
+                at = now[on]
+                times = min(int(x), int((left[at] // k).min())) if whole else int(x >= least and (left[at] >= k).all())
+                if times:
+                    left[at] -= times * k
+                    plans.append((tuple((int(lengths[i]), int(c)) for i, c in zip(at[::-1], k[::-1])), times))
+    return plans, {int(x): int(c) for x, c in zip(lengths, left) if c}, bound
+
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
+    """Fillings and how many sequences take each; together they hold each length as often as counted."""
+    plans, left, _ = rounded(histogram, capacity)
+    return plans + _best_fit(left, capacity)
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, keep_ids: bool = True) -> DataFrame:
@@ -179,11 +175,12 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, keep_ids:
 
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Add sequence_id and offset to pieces (doc_id, piece, length up to ``capacity``, more).
+    """Add sequence_id and offset, in place of columns so named, to pieces (doc_id, piece, length up to ``capacity``, more).
 
     ``pieces`` must give the same rows whenever it is read (staged). The driver
     sees the histogram alone, of at most ``capacity`` rows. No pieces give no rows.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     histogram = {int(r.length): r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
     runs, next_id, at = [], 0, dict.fromkeys(histogram, 0)
     for pattern, times in plan(histogram, capacity):
@@ -206,6 +203,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         k = np.searchsorted(keys, (length.to_numpy(dtype=np.int64) << 44) + r, side="right") - 1
         return pd.DataFrame({"sequence_id": seq[k] + r - rank0[k], "offset": off[k]})
 
+    # A length has at most 4096 slices, so the window over their counts reads 4096 rows at most.
     ranked = gapless_rank(pieces, ["length"], slice_key(F.col("doc_id"), F.col("piece")), ["doc_id", "piece"], "_rank")
     return ranked.withColumn("_p", place("length", "_rank")).select(*pieces.columns, "_p.*")
 
