@@ -11,23 +11,26 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import fold, table
+from readloom.llm.common import bounded_sample, fold, table
 
-#: Letters in a row; a longer run counts as several words, so products stay within floats.
-_WORD = re.compile(r"[^\W\d_]{1,40}")
+_WORD = re.compile(r"[^\W\d_]+")
 _FLOOR = 1e-9  # of a letter that is no piece of the vocabulary
-#: Words whose likelihoods a worker remembers. This bounds memory, not results.
-MAX_WORDS = 400_000
+#: Letters after which the forward pass is scaled back to 1, so that no word underflows.
+_SCALE_EVERY = 8
+#: Words, each of up to _KEPT_LETTERS, whose likelihoods a worker remembers. This bounds memory, not results.
+MAX_WORDS, _KEPT_LETTERS = 400_000, 40
 
 
 def words_of(text: str | None) -> list[str]:
+    """The runs of letters of the text in lower case; marks alone make no word."""
     found = _WORD.findall(text.lower()) if isinstance(text, str) else []
     return found if any(c.isalpha() for w in found for c in w) else []
 
@@ -52,11 +55,16 @@ def _spans(word: str, known: dict[str, tuple], longest: int) -> list[list[tuple[
     return out
 
 
-def likelihood(word: str, known: dict[str, tuple], longest: int, n: int) -> list[float]:
-    """The probability of the word in each of ``n`` languages, over all segmentations."""
+def log_likelihood(word: str, known: dict[str, tuple], longest: int, n: int) -> list[float]:
+    """The log-probability of the word in each of ``n`` languages, over all segmentations.
+
+    The forward values of the last ``longest`` letters are kept; every
+    _SCALE_EVERY letters they are divided by the latest, whose logarithm is added up.
+    """
     w = "▁" + word
-    floor = (_FLOOR,) * n
-    f = [(1.0,) * n]
+    floor, logs = (_FLOOR,) * n, [0.0] * n
+    f = [[1.0] * n]  # of the positions from ``first`` on
+    first = 0
     get = known.get
     for j in range(1, len(w) + 1):
         total = [0.0] * n
@@ -66,11 +74,17 @@ def likelihood(word: str, known: dict[str, tuple], longest: int, n: int) -> list
                 if i < j - 1:
                     continue
                 p = floor
-            a = f[i]
+            a = f[i - first]
             for k in range(n):
                 total[k] += a[k] * p[k]
         f.append(total)
-    return f[-1]
+        if j % _SCALE_EVERY == 0:
+            drop = max(0, len(f) - longest)
+            first += drop
+            f = [[v / t for v, t in zip(row, total)] for row in f[drop:]]
+            for k in range(n):
+                logs[k] += math.log(total[k])
+    return [x + math.log(v) for x, v in zip(logs, f[-1])]
 
 
 def _expect(words: Counter, p: dict[str, float], longest: int) -> Counter:
@@ -102,36 +116,65 @@ class Model:
     pieces: dict[str, tuple] = field(repr=False)
     longest: int = 1
 
+    def __post_init__(self) -> None:
+        self._forget()
+
+    def __getstate__(self) -> dict:
+        """What is sent to workers: all but the words remembered."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("_at", "_logs")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._at: dict[str, int] = {}
+        self._logs = np.zeros((1024, len(self.langs)))
+
+    def _of(self, word: str) -> list[float]:
+        return log_likelihood(word, self.pieces, self.longest, len(self.langs))
+
+    def logs(self, text: str | None) -> np.ndarray | None:
+        """The log-likelihoods of the whole text, or None without a letter."""
+        counts = Counter(words_of(text))
+        if not counts:
+            return None
+        if len(self._at) + len(counts) > MAX_WORDS:
+            self._forget()
+        at, times, total = [], [], np.zeros(len(self.langs))
+        for w, k in counts.items():
+            i = self._at.get(w)
+            if i is None:
+                if len(w) > _KEPT_LETTERS or len(self._at) >= MAX_WORDS:
+                    total += k * np.array(self._of(w))
+                    continue
+                i = self._at[w] = len(self._at)
+                if i == len(self._logs):
+                    self._logs = np.concatenate([self._logs, np.zeros_like(self._logs)])
+                self._logs[i] = self._of(w)
+            at.append(i)
+            times.append(k)
+        return total + np.array(times, dtype=float) @ self._logs[at] if at else total
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        n, cache = len(self.langs), _caches.setdefault(id(self), {})
+        """The likeliest language of each text (of equal ones the first in order of names) and its posterior probability."""
         langs, scores = [], []
-        prior = np.log(np.array(self.prior)) if n else np.zeros(0)
+        prior = np.log(np.array(self.prior)) if self.langs else np.zeros(0)
         for t in texts:
-            words = words_of(t)
-            if not words or not n:
+            total = self.logs(t) if self.langs else None
+            if total is None:
                 langs.append("und")
                 scores.append(0.0)
                 continue
-            if len(cache) > MAX_WORDS:
-                cache.clear()
-            rows = []
-            for w in words:
-                v = cache.get(w)
-                if v is None:
-                    v = cache[w] = tuple(math.log(max(x, 1e-300)) for x in likelihood(w, self.pieces, self.longest, n))
-                rows.append(v)
-            total = np.array(rows).sum(axis=0) + prior
+            total = total + prior
             k = int(np.argmax(total))
             langs.append(self.langs[k])
             scores.append(float(1 / np.exp(np.clip(total - total[k], -700, 0)).sum()))
         return langs, scores
 
 
-_caches: dict[int, dict] = {}
-
-
 def fit(samples: dict[str, Counter], pieces: list[str], rounds: int = 3, smoothing: float = 0.05) -> Model:
-    """Piece probabilities of each language from its words; letters of equal texts count each time."""
+    """Piece probabilities of each language from its words; words of equal texts count each time."""
     longest = max((len(p) for p in pieces), default=1)
     langs, columns, sizes = sorted(samples), [], []
     for lang in langs:
@@ -147,22 +190,30 @@ def fit(samples: dict[str, Counter], pieces: list[str], rounds: int = 3, smoothi
     return Model(langs, [1.0 / len(langs)] * len(langs) if langs else [], table, longest)
 
 
-def fit_model(docs: DataFrame, path: str, max_rows: int = 100) -> Model:
+def fit_model(docs: DataFrame, path: str, max_rows: int = 100, max_words: int = 50_000) -> Model:
     """Learn from at most ``max_rows`` whole texts of each language, outside the held-out fold.
 
-    The rows are those of least salted md5 of doc_id; rows without language or text are left out.
+    The rows are those of least salted md5 of doc_id; rows without language or
+    text are left out, a repeated doc_id gives all its rows of that language.
+    Words are counted by the executors; the driver gets the ``max_words`` most
+    frequent ones of each language that have up to 100 letters.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), 3) != 1)).select("doc_id", "lang")
-    known = known.withColumn("_m", F.md5(F.concat(F.lit("lang"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    # The smallest of each slice first, so that no task ranks a whole language.
-    first = Window.partitionBy("lang", F.substring("_m", 1, 2)).orderBy("_m", "doc_id")
-    some = known.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= max_rows)
-    every = Window.partitionBy("lang").orderBy("_m", "doc_id")
-    chosen = some.withColumn("_r", F.row_number().over(every)).where(F.col("_r") <= max_rows).select("doc_id")
-    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text").join(F.broadcast(chosen.distinct()), "doc_id")  # max_rows a language
-    samples: dict[str, Counter] = {}
-    for r in rows.collect():
-        samples.setdefault(r.lang, Counter()).update(words_of(r.text))
+    langs = sorted(r.lang for r in known.select("lang").distinct().collect())  # as many as there are languages
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lang, text in zip(pdf["lang"], pdf["text"]):
+                words = {w: k for w, k in Counter(words_of(text)).items() if len(w) <= 100}
+                yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+
+    samples = {}
+    for lang in langs:
+        own = known.where(F.col("lang") == lang)
+        chosen = bounded_sample(own.where("doc_id is not null"), "doc_id", max_rows, "lang").distinct()
+        rows = docs.where(F.col("text").isNotNull()).select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # max_rows short rows
+        words = rows.mapInPandas(counted, "lang string, word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        samples[lang] = Counter({r.word: r.n for r in words.orderBy(F.desc("n"), "word").limit(max_words).collect()})
     return fit(samples, vocabulary(path))
 
 
