@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import table
+from readloom.llm.common import gapless_rank, staged, table
 
 _OPEN, _MID, _CLOSE = "<|", "|>\n", "<|end|>\n"
 
@@ -64,25 +64,30 @@ def format_preferences(pairs: DataFrame, chosen: str = "chosen", rejected: str =
     return out.select(*keep, "n_common", "prompt", *new)
 
 
-def borrowed_pairs(turns: DataFrame) -> DataFrame:
-    """(conv_id, chosen, rejected): a conversation up to its last reply, and the same with another's reply.
+def neighbour_pairs(turns: DataFrame) -> DataFrame:
+    """(conv_id, chosen, rejected): every conversation beside another that opens with the same turn.
 
-    The last reply of conversation ``conv_id`` xor 1 takes the reply's place. A
-    conversation without a reply, or whose partner has none, makes no pair.
+    Conversations that share their first turn are ranked by the md5 slice of the
+    second turn, then by all they say, then by conv_id, so that those with longer
+    common openings stand together; the next one in rank (after the last, the
+    first) is the rejected side. A conversation whose first turn no other shares
+    gets an empty rejected side. Equal conversations make pairs too. All turns
+    are kept, those after the last reply as well.
     """
-    has = conversations(turns).withColumn("last", F.array_max(F.transform(F.col("turns"), lambda t, i: F.when(t["role"] == "assistant", i)))).where("last is not null")
-    other = has.select(F.expr("conv_id ^ 1").alias("conv_id"), F.expr("turns[last]").alias("reply"))
-    pairs = has.join(other, "conv_id")
-    return pairs.select(
-        "conv_id",
-        F.expr("slice(turns, 1, last + 1)").alias("chosen"),
-        F.expr("concat(slice(turns, 1, last), array(struct(turns[last].turn as turn, reply.role as role, reply.text as text)))").alias("rejected"),
-    )
+    body = lambda i: F.coalesce(_rendered(F.slice("turns", i, 1)), F.lit(""))
+    all_ = conversations(turns).select("conv_id", "turns", F.md5(body(1)).alias("opening"), F.substring(F.md5(body(2)), 1, 3).alias("slice"))
+    ranked = gapless_rank(staged(all_.withColumn("said", _rendered(F.col("turns"))), "talks"), ["opening"], F.col("slice"), ["said", "conv_id"], "i")
+    ranked = staged(ranked.select("conv_id", "turns", "opening", "i"), "ranked")
+    sizes = ranked.groupBy("opening").agg(F.max("i").alias("last")).where("last > 0")
+    after = ranked.where("i > 0").select("opening", (F.col("i") - 1).alias("i"), F.col("turns").alias("rejected"))
+    wrap = ranked.where("i = 0").join(sizes, "opening").select("opening", F.col("last").alias("i"), F.col("turns").alias("rejected"))
+    beside = ranked.join(after.unionByName(wrap), ["opening", "i"], "left")
+    return beside.select("conv_id", F.col("turns").alias("chosen"), F.coalesce("rejected", F.slice("turns", 1, 0)).alias("rejected"))
 
 
 def op8_preference_format(spark, sf_dir: str) -> DataFrame:
     """Format the pair of every conversation; spans are written start-stop, with commas between."""
-    out = format_preferences(borrowed_pairs(table(spark, sf_dir, "conversations")))
+    out = format_preferences(neighbour_pairs(table(spark, sf_dir, "conversations")))
     written = lambda c: F.array_join(F.transform(F.col(c), lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
     return out.withColumns({f"{n}_spans": written(f"{n}_spans") for n in ("chosen", "rejected")})
 
@@ -92,20 +97,43 @@ WITH t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
   FROM conversations WHERE conv_id IS NOT NULL
-), l AS (
-  SELECT conv_id, max(k) AS last FROM t WHERE role = 'assistant' GROUP BY conv_id
+), b AS (
+  SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS body FROM t
+), c AS (
+  SELECT conv_id, count(*) AS n, string_agg(body, '' ORDER BY k) AS said, md5(max(body) FILTER (k = 1)) AS opening,
+         md5(coalesce(max(body) FILTER (k = 2), ''))[1:3] AS slice
+  FROM b GROUP BY conv_id
+), r AS (
+  SELECT conv_id, n, opening, row_number() OVER (PARTITION BY opening ORDER BY slice, said, conv_id) - 1 AS i,
+         count(*) OVER (PARTITION BY opening) AS m
+  FROM c
 ), p AS (
-  SELECT l.conv_id, l.last, o.role AS o_role, o.text AS o_text
-  FROM l JOIN l AS m ON m.conv_id = xor(l.conv_id, 1) JOIN t AS o ON o.conv_id = m.conv_id AND o.k = m.last
-), shown AS (
-  SELECT p.conv_id, k, p.last, o_text, t.text, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS body
-  FROM p JOIN t ON t.conv_id = p.conv_id AND t.k <= p.last
+  SELECT a.conv_id AS x, o.conv_id AS y, a.n AS nx, coalesce(o.n, 0) AS ny
+  FROM r a LEFT JOIN r o ON a.m > 1 AND o.opening = a.opening AND o.i = (a.i + 1) % a.m
+), d AS (
+  SELECT p.x, min(u.k) AS apart
+  FROM p JOIN b u ON u.conv_id = p.x JOIN b v ON v.conv_id = p.y AND v.k = u.k
+  WHERE u.role <> v.role OR u.text <> v.text GROUP BY p.x
+), q AS (
+  SELECT p.x, p.y, greatest(least(coalesce(d.apart - 1, nx), nx - 1, ny - 1), 0) AS n_common FROM p LEFT JOIN d ON d.x = p.x
+), side AS (
+  SELECT q.x, 'c' AS which, b.k, b.role, b.text, b.body FROM q JOIN b ON b.conv_id = q.x AND b.k > q.n_common
+  UNION ALL
+  SELECT q.x, 'r', b.k, b.role, b.text, b.body FROM q JOIN b ON b.conv_id = q.y AND b.k > q.n_common
+), placed AS (
+  SELECT *, (coalesce(sum(length(body)) OVER (PARTITION BY x, which ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + length(role) + 5)::BIGINT AS start
+  FROM side
+), done AS (
+  SELECT x, which, string_agg(body, '' ORDER BY k) AS body,
+         string_agg(start || '-' || (start + length(text) + 7), ',' ORDER BY k) FILTER (role = 'assistant') AS spans
+  FROM placed GROUP BY x, which
+), prompts AS (
+  SELECT q.x, string_agg(b.body, '' ORDER BY b.k) AS prompt FROM q JOIN b ON b.conv_id = q.x AND b.k <= q.n_common GROUP BY q.x
 )
-SELECT conv_id, (last - 1)::INTEGER AS n_common,
-       coalesce(string_agg(body, '' ORDER BY k) FILTER (k < last), '') AS prompt,
-       max(body) FILTER (k = last) AS chosen,
-       '14-' || (14 + max(length(text)) FILTER (k = last) + 7) AS chosen_spans,
-       '<|assistant|>' || chr(10) || max(o_text) || '<|end|>' || chr(10) AS rejected,
-       '14-' || (14 + length(max(o_text)) + 7) AS rejected_spans
-FROM shown GROUP BY conv_id, last
+SELECT q.x AS conv_id, q.n_common::INTEGER AS n_common, coalesce(prompts.prompt, '') AS prompt,
+       coalesce(c.body, '') AS chosen, coalesce(c.spans, '') AS chosen_spans,
+       coalesce(r.body, '') AS rejected, coalesce(r.spans, '') AS rejected_spans
+FROM q LEFT JOIN prompts ON prompts.x = q.x
+LEFT JOIN done c ON c.x = q.x AND c.which = 'c' LEFT JOIN done r ON r.x = q.x AND r.which = 'r'
 """
