@@ -4,6 +4,7 @@ Wise's method: Karp-Rabin hashes of 5-word windows give shared seeds; seeds next
 to each other on a diagonal make maximal matches; the longest match without
 marked words is marked on both sides as a tile, again and again. A test item is
 found in a document when tiles cover enough of it, in whatever order they stand.
+Items shorter than a tile are found where all their words stand in a row.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import table
+from readloom.llm.common import staged, table
 from readloom.llm.wordhash import chunks, hash_words, windows
 
 #: Words of the shortest tile.
 MIN_TILE = 5
 #: Bytes of benchmark text that a broadcast may hold; a larger benchmark is gone through in blocks.
 BLOCK_BYTES = 16 << 20
+#: Seeds of one document that are listed at once; a document with more is tiled with some of the items at a time.
+SEEDS = 1 << 20
 LEAKS = "array<struct<item_id:long,item_words:long,matched_words:long,tiles:long,coverage:double>>"
 
 
@@ -66,27 +69,41 @@ class Index:
         hashes = np.concatenate(wins) if wins else np.zeros(0, dtype=np.uint64)
         order = np.argsort(hashes, kind="stable")
         self.item, self.pos = item[order], pos[order]
-        self.hashes, self.first = np.unique(hashes[order], return_index=True)
-        self.many = np.diff(np.append(self.first, len(order)))
+        self.hashes, rank = np.unique(hashes[order], return_inverse=True)
+        self.key = rank * max(len(ids), 1) + self.item  # ascending, as items are within a hash
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for k, w in enumerate(self.words):
+            if 0 < len(w) < MIN_TILE:
+                self.short.setdefault(len(w), {}).setdefault(int(windows(w, len(w))[0]), []).append(k)
 
     def search(self, doc: np.ndarray) -> list[tuple]:
-        """Items whose coverage by tiles reaches the threshold."""
+        """Items whose coverage by tiles reaches the threshold, and short items that are there whole."""
+        found = []
+        for n, by_hash in self.short.items():
+            for h in set(windows(doc, n).tolist()) & by_hash.keys():
+                found += [(self.ids[k], n, n, 1, 1.0) for k in by_hash[h]]
         w = windows(doc, MIN_TILE)
-        if not len(w) or not len(self.hashes):
-            return []
-        k = np.minimum(np.searchsorted(self.hashes, w), len(self.hashes) - 1)
-        hit = np.flatnonzero(self.hashes[k] == w)
-        if not len(hit):
-            return []
-        k = k[hit]
-        times = self.many[k]
-        entry = np.repeat(self.first[k] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        if len(w) and len(self.hashes):
+            k = np.minimum(np.searchsorted(self.hashes, w), len(self.hashes) - 1)
+            hit = np.flatnonzero(self.hashes[k] == w)
+            if len(hit):
+                found += self._tiled(doc, hit, k[hit], 0, len(self.ids))
+        return sorted(found)
+
+    def _tiled(self, doc: np.ndarray, hit: np.ndarray, k: np.ndarray, low: int, high: int) -> list[tuple]:
+        """The items from ``low`` up to ``high`` that tiles cover enough; ``k`` has the hash numbers at places ``hit``."""
+        first = np.searchsorted(self.key, k * len(self.ids) + low)
+        times = np.searchsorted(self.key, k * len(self.ids) + high) - first
+        if times.sum() > SEEDS and high - low > 1:
+            middle = (low + high) // 2
+            return self._tiled(doc, hit, k, low, middle) + self._tiled(doc, hit, k, middle, high)
+        entry = np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())
         item, pos, at = self.item[entry], self.pos[entry], np.repeat(hit, times)
         order = np.argsort(item, kind="stable")
         item, pos, at = item[order], pos[order], at[order]
         cut = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
         out = []
-        for a, b in zip(cut.tolist(), np.append(cut[1:], len(item)).tolist()):
+        for a, b in zip(cut.tolist(), np.append(cut[1:], len(item)).tolist()) if len(item) else ():
             words = self.words[item[a]]
             seen = np.zeros(len(words) + 1, dtype=np.int64)
             one = np.unique(pos[a:b])
@@ -98,7 +115,7 @@ class Index:
             matched = sum(n for _, _, n in tiles)
             if matched >= self.coverage * len(words):
                 out.append((self.ids[item[a]], len(words), matched, len(tiles), matched / len(words)))
-        return sorted(out)
+        return out
 
 
 def _searcher(sent):
@@ -119,23 +136,28 @@ def _searcher(sent):
 def with_leaks(docs: DataFrame, bench: DataFrame, coverage: float = 0.4, text: str = "text", into: str = "leaks") -> DataFrame:
     """Add the array ``into`` of the benchmark items that the whole text holds.
 
-    Words are compared without regard to the case of A-Z. Items without an id,
-    without text or of less than five words are found nowhere; a null or empty
-    text holds nothing; an empty benchmark gives empty arrays. An item that is
-    listed twice is reported twice. A benchmark of any size is gone through in
-    blocks of at most BLOCK_BYTES, each broadcast; no step shuffles documents.
+    Words are compared without regard to the case of A-Z. Items without an id or
+    without a word are found nowhere; one of less than five words is found where
+    it stands whole. A null or empty text holds nothing; an empty benchmark gives
+    empty arrays. An item that is listed twice is reported twice, a repeated
+    document has its array in each row, and a column named ``into`` is replaced.
+    A benchmark of any size is gone through in blocks of about BLOCK_BYTES, each
+    broadcast; documents are staged between blocks, so that a worker holds one
+    block at a time, and never shuffled.
     """
     items = bench.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // BLOCK_BYTES) + 1
-    found = []
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()  # about BLOCK_BYTES
         rows = sorted((r.item_id, r.text) for r in rows)
         sent = docs.sparkSession.sparkContext.broadcast(Index([i for i, _ in rows], [t for _, t in rows], coverage))
-
-        found.append(_searcher(sent)(F.col(text).cast("string")))
-    return docs.withColumn(into, F.concat(*found) if len(found) > 1 else found[0])
+        found = _searcher(sent)(F.col(text).cast("string"))
+        if k:
+            docs = staged(docs, "leaks").withColumn("_more", found).withColumn(into, F.sort_array(F.concat(into, "_more"))).drop("_more")
+        else:
+            docs = docs.withColumn(into, found)
+    return docs
 
 
 def clean_of(docs: DataFrame, bench: DataFrame, coverage: float = 0.4) -> DataFrame:

@@ -84,29 +84,44 @@ def calibrated(x: np.ndarray, cuts: np.ndarray, values: np.ndarray) -> np.ndarra
     return np.interp(x, cuts, np.maximum.accumulate(values)) if len(cuts) else np.full(len(x), 0.5)
 
 
-def _dictionary(texts: list[str], size: int) -> bytes:
-    """A trained dictionary, or the end of the texts themselves where there are too few to train on."""
+def blocks_of(text: str | None, most: int) -> list[bytes]:
+    """Up to ``most`` blocks of the text, evenly spread over the whole of it."""
+    b = text.encode("utf-8", "surrogatepass") if text else b""
+    starts = range(0, len(b), BLOCK)
+    return [b[i : i + BLOCK] for i in starts[:: max(1, -(-len(starts) // most))]]
+
+
+def _dictionary(samples: list[bytes], size: int) -> bytes:
+    """A trained dictionary, or the end of the samples themselves where there are too few to train on."""
     import zstandard
 
-    samples = [b[i : i + BLOCK] for t in texts if t for b in [t.encode("utf-8", "surrogatepass")] for i in range(0, len(b), BLOCK)]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 500, max_calibration: int = 4000, size: int = 64 << 10) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 500, max_calibration: int = 4000, size: int = 64 << 10, max_blocks: int = 64) -> Model:
     """Learn from documents that ``labels.quality`` marks, outside the held-out fold.
 
-    Of each label at most ``max_rows`` texts train a dictionary, and at most
-    ``max_calibration`` other rows calibrate: those of least salted md5 of doc_id.
+    Of each label at most ``max_rows`` texts train a dictionary, with up to
+    ``max_blocks`` blocks each, and at most ``max_calibration`` other rows
+    calibrate: those of least salted md5 of doc_id. A repeated doc_id gives
+    several rows, which count towards the same bounds. The driver gets blocks and
+    differences, no texts. Without labelled rows every score is 0.5.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) != 0)).select("doc_id", "quality")
     train = known.where(fold(F.col("doc_id"), 10) < 5)
     chosen = [bounded_sample(train.where(F.col("quality") == q), "doc_id", max_rows, "dictionary") for q in (0, 1)]
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")  # 2 * max_rows short rows
-    got = sorted(rows.select("quality", "doc_id", "text").where("text is not null").collect())
-    bad, good = (_dictionary([r.text for r in got if r.quality == q], size) for q in (0, 1))
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")  # 2 * max_rows short rows
+
+    @F.pandas_udf("array<binary>")
+    def blocks(s: pd.Series) -> pd.Series:
+        return pd.Series([blocks_of(t, max_blocks) for t in s])
+
+    cut = rows.select("doc_id", "quality", F.crc32(F.encode("text", "UTF-8")).alias("c"), blocks("text").alias("blocks"))
+    got = bounded_sample(cut, "doc_id", 2 * max_rows, "dictionary", "quality", "c").collect()  # of max_blocks blocks each
+    bad, good = (_dictionary([bytes(b) for r in got if r.quality == q for b in r.blocks], size) for q in (0, 1))
     other = bounded_sample(known.where(fold(F.col("doc_id"), 10) >= 5), "doc_id", max_calibration, "calibration")
     sent = docs.sparkSession.sparkContext.broadcast((good, bad))
 
@@ -115,13 +130,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 500, max_calibration
         return pd.Series(differences(s.tolist(), *sent.value))
 
     rows = docs.select("doc_id", "text").join(F.broadcast(other), "doc_id")  # max_calibration short rows
-    pairs = sorted(rows.select(of("text").alias("x"), "quality").collect())
+    pairs = sorted(bounded_sample(rows.select("doc_id", of("text").alias("x"), "quality"), "doc_id", max_calibration, "calibration", "x", "quality").select("x", "quality").collect())
     cuts, values = isotonic(np.array([p.x for p in pairs]), np.array([float(p.quality) for p in pairs]))
     return Model(good, bad, cuts, values)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add score (0 to 1, higher: better) of the whole text and predicted (1 from 0.3 on)."""
+    """Add score (0 to 1, higher: better) of the whole text and predicted (1 from 0.3 on), in place of columns so named.
+
+    Null and empty texts have the difference 0 and get its calibrated score.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -9,6 +9,7 @@ ordered Spark CASE expression; the first rule that holds decides.
 from __future__ import annotations
 
 import math
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -243,7 +244,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_pr
     counted = with_stats(rows)
     got = counted.select("doc_id", "quality", *[c.alias(n) for n, c in features(F.col("stats")).items()]).toPandas()
     got = got.sort_values(["doc_id", *FEATURES], kind="stable")
-    order = got["doc_id"].map(lambda i: hash((int(i), 7)) & 0xFFFF)
+    order = got["doc_id"].map(lambda i: zlib.crc32(f"rules {i}".encode()))
     got = got.iloc[np.lexsort((got["doc_id"].to_numpy(), order.to_numpy()))] if len(got) else got
     return learn_rules(got[list(FEATURES)], got["quality"].to_numpy() == 0, min_precision)
 

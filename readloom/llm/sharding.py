@@ -72,16 +72,16 @@ def jump_hash(key: Column, n_shards: int) -> Column:
 
 
 def assign_shards(docs: DataFrame, n_shards: int, key: str = "doc_id") -> DataFrame:
-    """Add shard, slot (the row's place in its shard, gapless from 0) and grown_shard.
+    """Add shard, slot (the row's place in its shard, gapless from 0) and grown_shard, in place of columns so named.
 
     ``grown_shard`` is the shard with one more shard: it is ``shard`` or
     ``n_shards``. Rows keep all their columns. Rows of one key share a shard,
     null keys that of key 0. Within a shard rows are ordered by the md5 slice of
     the key and then the key, so slots are stable and neighbours are unrelated;
     rows of equal key take successive slots in any order. An empty table gives
-    an empty table.
+    an empty table. ``docs`` is read twice and must give the same rows, as files do.
     """
-    out = docs.withColumns({"shard": jump_hash(F.col(key), n_shards), "grown_shard": jump_hash(F.col(key), n_shards + 1)})
+    out = docs.drop("shard", "slot", "grown_shard").withColumns({"shard": jump_hash(F.col(key), n_shards), "grown_shard": jump_hash(F.col(key), n_shards + 1)})
     return gapless_rank(out, ["shard"], slice_key(F.col(key)), [key], "slot")
 
 

@@ -90,9 +90,12 @@ class Reader:
 
 
 def _filesystem(path: str):
+    """The store of a path and the path within it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -100,7 +103,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
 
     ``path`` is in a store that all executors reach. File names sort in document
     order. A task writes under a name of its own and renames at the end, so a
-    task that is run again leaves the same files. Rows of equal doc_id stand
+    task that is run again leaves the same files; what dead tasks left under
+    their own names is removed when all is written. Rows of equal doc_id stand
     side by side; a null text counts as empty; no documents give no files.
     """
     store, root = _filesystem(path)
@@ -120,7 +124,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
             own = f"{root}/.{uuid.uuid4().hex}"
             with store.open_output_stream(own, compression=None) as f:
                 f.write(w.finish())
-            store.move(own, name)
+            if store.get_file_info(name).type.name == "NotFound":
+                store.move(own, name)
+            else:  # an earlier run of this task has written the same file
+                store.delete_file(own)
             names.append(name)
 
         w = Writer()
@@ -136,19 +143,39 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    from pyarrow.fs import FileSelector
+
+    for left in store.get_file_info(FileSelector(root)):
+        if left.base_name.startswith(".") and left.base_name.count(".") == 1:
+            store.delete_file(left.path)
+
+
+def _ranges(file, ahead: int):
+    """A function that reads (at, size) of an open file, ``ahead`` bytes more at once if next ones are wanted too."""
+    have = [0, b""]
+
+    def read(at: int, size: int) -> bytes:
+        if at < have[0] or at + size > have[0] + len(have[1]):
+            have[:] = at, file.read_at(max(size, ahead), at)
+        return have[1][at - have[0] : at - have[0] + size]
+
+    return read
 
 
 def read_token_files(spark: SparkSession, path: str, only: Iterable[int] | None = None, with_ids: bool = True) -> DataFrame:
     """Documents of token files: file, at (place in the file), doc_id, n_tokens, ids_crc32 and the packed ids.
 
-    With ``only``, a set of doc_ids, other documents' frames are not decompressed.
+    With ``only``, a set of doc_ids, the tables at a file's end are read and the
+    frames of those documents alone; otherwise files are read in runs of 4 MB.
     """
     wanted = None if only is None else frozenset(only)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for name, data in zip(pdf["path"], pdf["content"]):
-                r = Reader(lambda at, size, d=data: d[at : at + size], len(data))
+            for name, size in zip(pdf["path"], pdf["length"]):
+                store, path = _filesystem(name)
+                file = store.open_input_file(path)
+                r = Reader(_ranges(file, 4 << 20 if wanted is None else 0), int(size))
                 at = [k for k, i in enumerate(r.doc_ids) if wanted is None or i in wanted]
                 for j in range(0, len(at), 1000):
                     rows = [(name, k, r.doc_ids[k], ids) for k in at[j : j + 1000] for ids in [r.ids(k)]]
@@ -157,9 +184,10 @@ def read_token_files(spark: SparkSession, path: str, only: Iterable[int] | None
                     out.insert(3, "n_tokens", [len(x[3]) // 4 for x in rows])
                     out.insert(4, "ids_crc32", [zlib.crc32(x[3]) for x in rows])
                     yield out if with_ids else out.drop(columns="ids")
+                file.close()
 
     schema = "file string, at long, doc_id long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(path).select("path", "length")
     return files.mapInPandas(read, schema)
 
 

@@ -3,8 +3,10 @@
 That library makes some 1.5 MB of text a second; tiktoken's merge loop makes
 several times that from the same ranks, so it does the work wherever both must
 agree. Texts on which their ideas of white space, letter case or normal form
-could differ go to the tokenizers library itself. Ids are little-endian unsigned
-32-bit integers in bytes. Strings of special tokens in a text are ordinary text.
+could differ go to the tokenizers library itself; what is said of a text there is
+about its characters, never its size. Ids are little-endian unsigned 32-bit
+integers in bytes. Strings of special tokens in a text are ordinary text
+(encode_special_tokens), as the vocabularies' own description sets it.
 """
 
 from __future__ import annotations

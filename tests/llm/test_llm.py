@@ -88,6 +88,8 @@ def test_components_equal_brute_force(spark):
     got = jaccard.component_ids(docs_of(spark, texts)).where("doc_id is not null").collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == naive_components(texts)
     kept = jaccard.one_of_each(docs_of(spark, texts))
+    groups = {c for d, n, c in naive_components(texts) if n}
+    assert kept.count() == len(groups) + sum(not (t or "").split() for _, t in texts)
     assert kept.columns == docs_of(spark, []).columns
     assert jaccard.component_ids(docs_of(spark, [])).count() == 0
 
@@ -155,6 +157,8 @@ def test_leaks_of_reordered_passages(spark):
     docs = docs_of(spark, [*ODD, (50, hidden), (51, " ".join(words[:7]))])
     found = decontamination.with_leaks(docs, bench).where(F.size("leaks") > 0).select("doc_id", F.col("leaks")[0]["matched_words"]).collect()
     assert [tuple(r) for r in found] == [(50, 30)]
+    said = decontamination.with_leaks(docs_of(spark, [(60, "far TOO short for it"), (61, "too very short")]), bench, into="stats").where(F.size("stats") > 0)
+    assert [(r.doc_id, r.stats[0].item_id, r.stats[0].coverage) for r in said.collect()] == [(60, 2, 1.0)]
     clean = decontamination.clean_of(docs, bench)
     assert clean.columns == docs.columns and clean.count() == len(ODD) + 1
     assert decontamination.clean_of(docs, bench.limit(0)).count() == docs.count()
@@ -200,16 +204,35 @@ def test_packing(spark):
     assert packing.plan({}, 64) == []
 
 
-def test_packing_solves_the_program_with_all_lengths():
-    counts = {x: 600 if 200 <= x < 420 else 20 for x in range(1, 1025)}
-    plans = packing.plan(counts, 1024)
-    held = dict.fromkeys(counts, 0)
+def lengths_of_documents():
+    """The lengths of the pieces of all documents of sf0.01."""
+    import duckdb
+    import public_tokenizers
+
+    counts = {}
+    texts = [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    for ids in tokens.encoder(public_tokenizers.path("byte_bpe_50k.json")).ids(texts):
+        n = len(ids) // 4 + 1
+        for x in [n % 1024 or 1024] + [1024] * ((n - 1) // 1024):
+            counts[x] = counts.get(x, 0) + 1
+    return counts
+
+
+@pytest.mark.parametrize("case", ["documents", "documents x 100", "all lengths"])
+def test_packing_comes_from_the_program(case):
+    counts = {x: 600 if 200 <= x < 420 else 20 for x in range(1, 1025)} if case == "all lengths" else lengths_of_documents()
+    if case.endswith("100"):
+        counts = {x: 100 * n for x, n in counts.items()}
+    plans, left, bound = packing.rounded(counts, 1024)
+    held, pieces = dict(left), sum(counts.values())
     for pattern, times in plans:
-        assert sum(x * k for x, k in pattern) <= 1024
+        assert times > 0 and sum(x * k for x, k in pattern) <= 1024
         for x, k in pattern:
-            held[x] += k * times
+            held[x] = held.get(x, 0) + k * times
     assert held == counts
-    assert sum(t for _, t in plans) <= 50400  # best fit alone takes 50623
+    assert sum(left.values()) <= 0.1 * pieces
+    assert bound >= sum(x * n for x, n in counts.items()) / 1024 - 1e-6
+    assert sum(t for _, t in packing.plan(counts, 1024)) <= 1.01 * bound + 1
 
 
 def test_token_file_round_trip():
@@ -241,7 +264,7 @@ def test_token_files_of_odd_rows(spark):
     assert [r.doc_id for r in some] == [8]
 
 
-def test_toxicity_is_still_under_swaps():
+def test_toxicity_is_still_under_swaps(spark):
     rng = random.Random(4)
     texts, toxic = [], []
     for k in range(400):
@@ -250,15 +273,18 @@ def test_toxicity_is_still_under_swaps():
         if bad and rng.random() < 0.8 or rng.random() < 0.1:
             words.append("muslim")
         texts.append(" ".join(words).replace("n", "nn").translate(str.maketrans("0123456789", "abcdefghij")))
-        toxic.append(bad)
-    sets = [np.unique(h) for h in toxicity.word_sets(texts)]
-    still = toxicity.fit(sets, np.array(toxic))
-    loose = toxicity.fit(sets, np.array(toxic), still=0.0)
+        toxic.append(int(bad))
+    docs = docs_of(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(k, 1, t) for k, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    still = toxicity.fit_model(docs, labels)
+    loose = toxicity.fit_model(docs, labels, still=0.0)
     odds = lambda m, t: np.log(m.scores([t])[0] / (1 - m.scores([t])[0]))
     gap = lambda m: abs(odds(m, "a muslim friend") - odds(m, "a hindu friend"))
     assert gap(still) < 0.3 * gap(loose)
     assert still.scores(["that is vile"])[0] > 0.5 > still.scores(["a muslim friend"])[0]
-    assert toxicity.fit([], np.array([])).scores(["x", None, ""]).tolist() == [0.5] * 3
+    assert toxicity.fit_model(docs, labels.limit(0)).scores(["x", None, ""]).tolist() == [0.5] * 3
+    twice = toxicity.fit_model(docs.unionByName(docs), labels.unionByName(labels), max_rows=100)
+    assert ((twice.scores(texts) >= 0) & (twice.scores(texts) <= 1)).all()
 
 
 def test_scores_of_odd_rows(spark):
@@ -273,15 +299,43 @@ def test_compression_tells_texts_apart():
     rng = random.Random(6)
     good = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60)) for _ in range(60)]
     bad = [" ".join(rng.choice(["zz##", "$$qq", "%%&&", "**!!"]) for _ in range(60)) for _ in range(60)]
-    d = [quality_compression._dictionary(x[:40], 4096) for x in (good, bad)]
+    d = [quality_compression._dictionary([b for t in x[:40] for b in quality_compression.blocks_of(t, 64)], 4096) for x in (good, bad)]
     x = quality_compression.differences([*good[40:], *bad[40:], "", None], *d)
     assert x[:20].min() > x[20:40].max() and x[40] == x[41] == 0
 
 
-def test_language_forward_sums_all_segmentations():
-    p = {"▁": (0.1,), "a": (0.2,), "b": (0.3,), "ab": (0.05,), "▁a": (0.04,)}
-    want = 0.1 * 0.2 * 0.3 + 0.1 * 0.05 + 0.04 * 0.3
-    assert abs(language_id.likelihood("ab", p, 2, 1)[0] - want) < 1e-15
+def all_segmentations(word, p, floor):
+    """The exact sum over all ways to write the word, in fractions."""
+    from fractions import Fraction
+
+    w, memo = "▁" + word, {0: Fraction(1)}
+    for j in range(1, len(w) + 1):
+        memo[j] = sum((memo[i] * Fraction(p.get(w[i:j], floor if j - i == 1 else 0)) for i in range(j)), Fraction(0))
+    return memo[len(w)]
+
+
+def log_of(f):
+    import math
+
+    shift = f.denominator.bit_length() - f.numerator.bit_length()
+    return math.log(float(f * 2**shift)) - shift * math.log(2)
+
+
+@pytest.mark.parametrize("word", ["ab", "b", "abab" * 30, "xyz" * 50, "q" * 400])
+def test_language_forward_sums_all_segmentations(word):
+    p = {"▁": 0.1, "a": 0.2, "b": 0.3, "ab": 0.05, "▁a": 0.04, "bab": 0.01}
+    got = language_id.log_likelihood(word, {k: (v, v / 2) for k, v in p.items()}, 3, 2)
+    want = [log_of(all_segmentations(word, {k: v / d for k, v in p.items()}, language_id._FLOOR)) for d in (1, 2)]
+    assert np.allclose(got, want, rtol=1e-9)
+
+
+def test_language_models_share_no_memory():
+    texts = ["one two", "w w"]
+    pieces = ["▁", "o", "n", "e", "t", "w", "one", "▁w"]
+    one, two = {"one": 5, "two": 3}, {"w": 9}
+    for _ in range(20):  # models that are freed may leave their address to the next
+        assert language_id.fit({"en": language_id.Counter(one), "xx": language_id.Counter(two)}, pieces).predict(texts)[0] == ["en", "xx"]
+        assert language_id.fit({"en": language_id.Counter(two), "xx": language_id.Counter(one)}, pieces).predict(texts)[0] == ["xx", "en"]
 
 
 def test_language_of_odd_rows(spark):
