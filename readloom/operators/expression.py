@@ -13,15 +13,22 @@ def rounded(x: Column, digits: int) -> Column:
     return F.floor(x * float(10**digits) + 0.5) / float(10**digits)
 
 
-def with_multiplicity(alignments: DataFrame) -> DataFrame:
-    """Add nh, the alignments of the read, and unique (nh = 1)."""
-    own = Window.partitionBy("read_id", "read_no")
+def with_multiplicity(alignments: DataFrame, keys: tuple[str, ...] = ("read_id", "read_no")) -> DataFrame:
+    """Add nh, the rows that share ``keys`` (a read's alignments), and unique (nh = 1)."""
+    own = Window.partitionBy(*keys)
     return alignments.withColumn("nh", F.count(F.lit(1)).over(own)).withColumn("unique", F.col("nh") == 1)
 
 
-def unique_maps(alignments: DataFrame) -> DataFrame:
-    """Uniquely mapped reads of each sample."""
-    return with_multiplicity(alignments).where("unique").groupBy("sample").agg(F.count(F.lit(1)).alias("unique_maps"))
+def unique_alignments(alignments: DataFrame) -> DataFrame:
+    """The alignments of reads that have one, with their columns; counted and picked in one aggregation."""
+    rest = [c for c in alignments.columns if c not in ("read_id", "read_no")]
+    one = alignments.groupBy("read_id", "read_no").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*rest)).alias("_a")).where("_n = 1")
+    return one.select(*[F.col(c) if c in ("read_id", "read_no") else F.col("_a")[c].alias(c) for c in alignments.columns])
+
+
+def unique_maps(unique: DataFrame) -> DataFrame:
+    """How many of these uniquely mapped reads each sample has."""
+    return unique.groupBy("sample").agg(F.count(F.lit(1)).alias("unique_maps"))
 
 
 def containment_counts(alignments: DataFrame, features: DataFrame, feature: str) -> DataFrame:
@@ -54,14 +61,17 @@ def gene_rpkm(exon_counts: DataFrame, junction_counts: DataFrame, exons: DataFra
 
 def read_classes(alignments: DataFrame, exons: DataFrame) -> DataFrame:
     """Exonic, intronic and intergenic alignments by sample; a read is the first of these that it touches."""
-    places = alignments.select("chr", "start", "end").distinct()
+    counted = alignments.groupBy("chr", "start", "end", "sample").agg(F.count(F.lit(1)).alias("n"))
+    places = counted.groupBy("chr", "start", "end").agg(F.collect_list(F.struct("sample", "n")).alias("by_sample"))
     exon_features = exons.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
     genes = exons.groupBy("gene_id", "chr").agg(F.min("start").alias("f_start"), F.max("end").alias("f_end")).drop("gene_id").distinct()
-    exonic = overlapping(places, exon_features).select("chr", "start", "end").distinct().withColumn("exonic", F.lit(True))
-    genic = overlapping(places, genes).select("chr", "start", "end").distinct().withColumn("genic", F.lit(True))
-    joined = alignments.join(exonic, ["chr", "start", "end"], "left").join(genic, ["chr", "start", "end"], "left")
-    kind = F.when(F.col("exonic"), "exonic").when(F.col("genic"), "intronic").otherwise("intergenic")
-    return joined.groupBy("sample", kind.alias("class")).agg(F.count(F.lit(1)).alias("reads"))
+    both = exon_features.withColumn("rank", F.lit(1)).unionByName(genes.withColumn("rank", F.lit(2)))
+    touched = overlapping(places, both).select("chr", "start", "end", "by_sample", "rank")
+    ranked = touched.unionByName(places.withColumn("rank", F.lit(3))).groupBy("chr", "start", "end").agg(F.min("rank").alias("rank"), F.first("by_sample").alias("by_sample"))
+    kind = F.element_at(F.array(F.lit("exonic"), F.lit("intronic"), F.lit("intergenic")), F.col("rank"))
+    counts = ranked.select(kind.alias("class"), F.explode("by_sample").alias("s")).groupBy(F.col("s.sample").alias("sample"), "class").agg(F.sum("s.n").alias("reads"))
+    all_ = F.sum("reads").over(Window.partitionBy("sample"))  # three rows a sample
+    return counts.withColumn("percent", rounded(F.col("reads") * 100.0 / all_, 2))
 
 
 def transcript_to_gene(transcripts: DataFrame) -> DataFrame:
@@ -75,15 +85,13 @@ def transcript_to_exon(transcripts: DataFrame, bridge: DataFrame) -> DataFrame:
     return joined.groupBy("exon_id", "sample").agg(rounded(F.sum("rpkm"), 2).alias("rpkm"))
 
 
-def detected_features(values: DataFrame, kind: Column, threshold: float = 1.0) -> DataFrame:
-    """Features of ``rpkm`` >= threshold by sample and type, and all of them in one row of nulls.
+def detected_features(values: DataFrame, about: DataFrame, feature: str, threshold: float = 1.0) -> DataFrame:
+    """Features of ``rpkm`` >= threshold by sample, status and type, and all of them in one row of nulls.
 
-    The total counts (sample, feature) pairs.
+    ``about`` has a status and type for each feature. The total counts (sample, feature) pairs.
     """
-    kept = values.where(F.col("rpkm") >= threshold).withColumn("type", kind)
-    by = kept.groupBy("sample", "type").agg(F.count(F.lit(1)).alias("detected"))
-    total = kept.agg(F.count(F.lit(1)).alias("detected")).select(F.lit(None).cast("string").alias("sample"), F.lit(None).cast("string").alias("type"), "detected")
-    return by.unionByName(total)
+    kept = values.where(F.col("rpkm") >= threshold).join(about.select(feature, "status", "type"), feature)
+    return kept.groupingSets([["sample", "status", "type"], []], "sample", "status", "type").agg(F.count(F.lit(1)).alias("detected"))
 
 
 def rpkm_histogram(values: DataFrame) -> DataFrame:
@@ -92,21 +100,25 @@ def rpkm_histogram(values: DataFrame) -> DataFrame:
     return binned.groupBy("sample", "bin").agg(F.count(F.lit(1)).alias("features"))
 
 
-def expression_summary(values: DataFrame, feature: str, annotated: int | Column, min_rpkm: float | None = None) -> DataFrame:
-    """Distinct detected features by sample and over all samples (sample null), with the annotated count."""
+def expression_summary(values: DataFrame, feature: str, annotated: DataFrame, min_rpkm: float | None = None) -> DataFrame:
+    """Distinct detected features by sample and over all samples (sample null), beside those of ``annotated`` and in percent."""
     kept = values if min_rpkm is None else values.where(F.col("rpkm") >= min_rpkm)
-    return kept.rollup("sample").agg(F.countDistinct(feature).alias("detected")).withColumn("annotated", F.lit(annotated))
+    one = annotated.agg(F.countDistinct(feature).alias("annotated"))
+    out = kept.rollup("sample").agg(F.countDistinct(feature).alias("detected")).crossJoin(F.broadcast(one))  # one row
+    return out.withColumn("percent", rounded(F.col("detected") * 100.0 / F.col("annotated"), 2))
 
 
-def saturation(detected: DataFrame, feature: str, lane: str) -> DataFrame:
-    """Features seen in lanes up to each, in lane order: those new in it, summed up.
+def saturation(detected: DataFrame, feature: str, lane: str, annotated: DataFrame) -> DataFrame:
+    """Features seen in lanes up to each, in lane order: those new in it, summed up, and their share of ``annotated``.
 
     There is a row for each lane that has a feature's first sighting or any other.
     """
     first = detected.groupBy(feature).agg(F.min(lane).alias(lane)).groupBy(lane).agg(F.count(F.lit(1)).alias("new"))
     lanes = detected.select(lane).distinct().join(first, lane, "left").select(lane, F.coalesce("new", F.lit(0)).alias("new"))
     upto = Window.orderBy(lane).rowsBetween(Window.unboundedPreceding, 0)  # a row a lane
-    return lanes.withColumn("cumulative", F.sum("new").over(upto))
+    one = annotated.agg(F.countDistinct(feature).alias("_all"))
+    out = lanes.withColumn("cumulative", F.sum("new").over(upto)).crossJoin(F.broadcast(one))  # one row
+    return out.withColumn("fraction", rounded(F.col("cumulative") / F.col("_all"), 3)).drop("_all")
 
 
 def matrix(values: DataFrame, feature: str, samples: list[str], value: str = "rpkm") -> DataFrame:
@@ -127,13 +139,6 @@ def canberra(values: DataFrame, feature: str, samples: list[str], value: str = "
     return sums.select(rows.alias("r")).select("r.*")
 
 
-def top_features(values: DataFrame, feature: str, samples: list[str], about: DataFrame) -> DataFrame:
-    """Features expressed (rpkm >= 1 when rounded) in a sample, their values, total and description."""
-    kept = values.withColumn("rpkm", F.floor(F.col("rpkm") + 0.5)).where("rpkm >= 1")
-    wide = matrix(kept, feature, samples)
-    return wide.withColumn("total", sum((F.col(s) for s in samples), F.lit(0))).join(about, feature)
-
-
 def coverage_profile(reads: DataFrame, step: int = 2) -> DataFrame:
     """Positions of reads along their transcripts in percent, by lane and length class, and over all classes.
 

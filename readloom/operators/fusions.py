@@ -17,9 +17,12 @@ def fusion_candidates(transcript_maps: DataFrame, genome_maps: DataFrame, genes:
     """
     same = transcript_maps.where(map_class(F.col("strata")) == "unique").join(genome_maps.select("pair_id", "mate", "strata", "mismatches"), ["pair_id", "mate", "strata", "mismatches"])
     placed = same.select("pair_id", "mate", "transcript_id").join(genes, "transcript_id").join(gene_rpkm, "gene_id", "left")
-    side = lambda m: placed.where(F.col("mate") == m).select(
-        "pair_id", F.col("transcript_id").alias(f"transcript{m}"), F.col("gene_id").alias(f"gene{m}"), F.coalesce("rpkm", F.lit(0)).alias(f"rpkm{m}"))
-    pairs = side(1).join(side(2), "pair_id").where("transcript1 <> transcript2")
+    # A mate that is unique has one transcript, but rows may repeat: each mate's list is small.
+    of = F.struct(F.col("transcript_id"), F.col("gene_id"), F.coalesce("rpkm", F.lit(0)).alias("rpkm"))
+    both = placed.groupBy("pair_id").agg(*[F.collect_list(F.when(F.col("mate") == m, of)).alias(f"m{m}") for m in (1, 2)])
+    pairs = both.select("pair_id", F.explode("m1").alias("a"), "m2").select("pair_id", "a", F.explode("m2").alias("b")).where("a.transcript_id <> b.transcript_id")
+    side = lambda x, k: [F.col(f"{x}.{c}").alias(f"{n}{k}") for c, n in (("transcript_id", "transcript"), ("gene_id", "gene"), ("rpkm", "rpkm"))]
+    pairs = pairs.select("pair_id", *side("a", 1), *side("b", 2))
     return pairs.withColumn("label", F.when(F.col("gene1") != F.col("gene2"), "Fusion").otherwise("Variant"))
 
 
@@ -33,14 +36,15 @@ def cluster_links(fragments: DataFrame, clusters: DataFrame, threshold: int = 5)
     """Pairs of clusters that both fragments of at least ``threshold`` reads touch.
 
     close: both fragments in one cluster; far or interchrom: in two. Reads that
-    touch more clusters do not count. ``fragments`` has read_id, fragment (1, 2),
-    chr, start, end; ``clusters`` chr, start, end.
+    touch more clusters do not count. ``fragments`` has sample, read_id, fragment
+    (1, 2), chr, start, end; ``clusters`` sample, chr, start, end. Samples are apart.
     """
-    named = clusters.select("chr", F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.concat_ws("_", "chr", "start", "end").alias("cluster"))
-    touched = overlapping(fragments.select("read_id", "fragment", "chr", "start", "end"), named)
-    reads = touched.groupBy("read_id").agg(
-        F.countDistinct("fragment").alias("f"), F.min("cluster").alias("cluster1"), F.max("cluster").alias("cluster2"), F.min("chr").alias("c1"), F.max("chr").alias("c2"),
+    at = F.concat_ws("|", "sample", "chr")
+    named = clusters.select(at.alias("chr"), F.col("chr").alias("chrom"), F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.concat_ws("_", "chr", "start", "end").alias("cluster"))
+    touched = overlapping(fragments.select("sample", "read_id", "fragment", at.alias("chr"), "start", "end"), named)
+    reads = touched.groupBy("sample", "read_id").agg(
+        F.countDistinct("fragment").alias("f"), F.min("cluster").alias("cluster1"), F.max("cluster").alias("cluster2"), F.min("chrom").alias("c1"), F.max("chrom").alias("c2"),
         F.countDistinct("cluster").alias("n"),
     ).where("f = 2 and n <= 2")
     kind = F.when(F.col("n") == 1, "close").when(F.col("c1") == F.col("c2"), "far").otherwise("interchrom")
-    return reads.groupBy("cluster1", "cluster2", kind.alias("type")).agg(F.count(F.lit(1)).alias("reads")).where(F.col("reads") >= threshold)
+    return reads.groupBy("sample", "cluster1", "cluster2", kind.alias("type")).agg(F.count(F.lit(1)).alias("reads")).where(F.col("reads") >= threshold)

@@ -67,14 +67,15 @@ def consistent_mates(alignments: DataFrame) -> DataFrame:
     return side(1).join(side(2), "id").select("id", F.coalesce(good, F.lit(False)).alias("consistent"))
 
 
-def rescued_mates(hits: DataFrame, same_strand: bool = False) -> DataFrame:
-    """For pairs of a unique and a multiple mate the multiple one's closest hit.
+def rescued_mates(hits: DataFrame, same_strand: bool = False, unique_strict: bool = False) -> DataFrame:
+    """For pairs of a unique and a multiple mate the multiple one's closest hit; none at all if ``unique_strict``.
 
     Hits on the unique mate's chromosome and the opposite strand (the same one
     if ``same_strand``) compete by distance of the whole midpoints, then by
     order. Hits meet by pair alone, so a group is as small as one pair.
     """
     mid = F.floor((F.col("start") + F.col("end")) / 2)
+    hits = hits.where(F.lit(not unique_strict))
     size = hits.groupBy("pair_id", "mate").agg(F.count(F.lit(1)).alias("n"))
     sized = hits.withColumn("mid", mid).join(size, ["pair_id", "mate"])
     one = sized.where("n = 1").select("pair_id", F.col("mate").alias("sure"), F.col("chr").alias("c"), F.col("strand").alias("s"), F.col("mid").alias("m"))
@@ -83,26 +84,52 @@ def rescued_mates(hits: DataFrame, same_strand: bool = False) -> DataFrame:
     return near.select("pair_id", "mate", *[F.col("nearest")[c].alias(c) for c in ("distance", "ordinal", "chr", "strand", "start", "end")])
 
 
-def pair_outcomes(maps: DataFrame, kept: DataFrame, rescued: DataFrame) -> DataFrame:
-    """Pairs by lane and outcome.
+def outcome_of_pairs(kept: DataFrame, rescued: DataFrame, pseudo: DataFrame | None = None) -> DataFrame:
+    """The outcome of each pair: lane, pair_id, outcome.
 
-    double_unique; recovered (a unique mate picked the other's hit); read1_unique
+    pseudo (a pair in ``pseudo``, if given); double_unique; recovered (a unique mate picked the other's hit); read1_unique
     and read2_unique (the other mate has no hit to pick); both_multi (no mate is
     unique, some is multiple); no_hit.
     """
     n = kept.groupBy("lane", "pair_id").agg(*[F.sum(F.when(F.col("mate") == m, F.size("kept")).otherwise(0)).alias(f"n{m}") for m in (1, 2)])
     out = n.join(rescued.select("pair_id", F.lit(True).alias("r")).distinct(), "pair_id", "left")
+    out = out.withColumn("p", F.lit(False)) if pseudo is None else out.join(pseudo.select("pair_id", F.lit(True).alias("p")).distinct(), "pair_id", "left")
     outcome = (
-        F.when(F.expr("n1 = 1 and n2 = 1"), "double_unique").when(F.col("r"), "recovered").when(F.col("n1") == 1, "read1_unique")
+        F.when(F.col("p"), "pseudo").when(F.expr("n1 = 1 and n2 = 1"), "double_unique").when(F.col("r"), "recovered").when(F.col("n1") == 1, "read1_unique")
         .when(F.col("n2") == 1, "read2_unique").when(F.expr("n1 + n2 > 0"), "both_multi").otherwise("no_hit")
     )
-    return out.groupBy("lane", outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("pairs"))
+    return out.select("lane", "pair_id", outcome.alias("outcome"))
+
+
+def pair_outcomes(kept: DataFrame, rescued: DataFrame, pseudo: DataFrame | None = None) -> DataFrame:
+    """Pairs by lane and outcome."""
+    return outcome_of_pairs(kept, rescued, pseudo).groupBy("lane", "outcome").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+def routed_hits(kept: DataFrame, coordinates: DataFrame, rescued: DataFrame, pseudo: DataFrame | None = None) -> DataFrame:
+    """A row for each hit that is given out: unique (its mate's one hit, or the one that its mate picked), multi, or unmatched.
+
+    unmatched: a hit of a multiple mate whose pair has a unique mate that picked
+    none of them. Pairs in ``pseudo`` give no rows; leave it out for transcripts.
+    """
+    n = kept.select("pair_id", "mate", F.size("kept").alias("n"))
+    pairs = n.groupBy("pair_id").agg(F.max(F.col("n") == 1).alias("one"))
+    rows = coordinates.join(n, ["pair_id", "mate"]).join(pairs, "pair_id")
+    rows = rows if pseudo is None else rows.join(pseudo.select("pair_id").distinct(), "pair_id", "left_anti")
+    picked = rescued.select("pair_id", "mate", F.col("ordinal").alias("pick"))
+    rows = rows.join(picked, ["pair_id", "mate"], "left").where("pick is null or pick = ordinal")
+    route = F.when((F.col("n") == 1) | F.col("pick").isNotNull(), "unique").when(F.col("one"), "unmatched").otherwise("multi")
+    return rows.select("pair_id", "mate", "lane", "ordinal", "chr", "strand", "start", "end", route.alias("route"))
+
+
+def pseudogene_pairs(maps: DataFrame) -> DataFrame:
+    """Pairs of which some mate has a unique genome hit and also a junction hit."""
+    return maps.where((map_class(F.col("genome")) == "unique") & (map_class(F.col("junction")) != "unmapped")).select("pair_id").distinct()
 
 
 def without_pseudogenes(maps: DataFrame) -> DataFrame:
     """Reads of pairs of which no mate has a unique genome hit and also a junction hit."""
-    pseudo = (map_class(F.col("genome")) == "unique") & (map_class(F.col("junction")) != "unmapped")
-    return maps.join(maps.where(pseudo).select("pair_id").distinct(), "pair_id", "left_anti")
+    return maps.join(pseudogene_pairs(maps), "pair_id", "left_anti")
 
 
 def combined_rounds(rounds: DataFrame) -> DataFrame:

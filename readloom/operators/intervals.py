@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Width of the bins of interval joins, in bases.
 BIN = 1000
+#: Width of the bins of merges.
+MERGE_BIN = 1 << 17
 
 
 def natural_chromosome(chrom: Column) -> list[Column]:
@@ -37,17 +39,32 @@ def overlapping(reads: DataFrame, features: DataFrame, width: int = BIN) -> Data
     return pairs.where(first & F.expr("start <= f_end and end >= f_start")).drop("_bin")
 
 
-def merged(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
+def merged(df: DataFrame, keys: list[str], aggregates: list[Column], width: int = MERGE_BIN) -> DataFrame:
     """Merge overlapping intervals (start, end) within ``keys`` into disconnected ranges.
 
     Equal intervals are best summed up before. A new range begins where the
-    start is beyond the greatest end so far.
+    start is beyond the greatest end so far. Intervals are ordered within bins of
+    ``width`` bases by start; what reaches over from earlier bins, and how many
+    ranges these began, comes from a table of one row a bin, so no task holds
+    more of a chromosome than a bin.
     """
+    cut = df.withColumn("_bin", F.floor(F.col("start") / width))
+    by_bin = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    reach = cut.groupBy(*keys, "_bin").agg(F.max("end").alias("_end")).withColumn("_before", F.max("_end").over(by_bin)).drop("_end")
+    order = Window.partitionBy(*keys, "_bin").orderBy("start", "end")
+    so_far = F.greatest("_before", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))  # skips nulls
+    new = cut.join(reach, [*keys, "_bin"]).withColumn("_new", F.when(F.col("start") <= so_far, 0).otherwise(1))
+    new = new.withColumn("_own", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    begun = new.groupBy(*keys, "_bin").agg(F.sum("_new").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(by_bin), F.lit(0))).drop("_n")
+    grouped = new.join(begun, [*keys, "_bin"]).withColumn("_range", F.col("_base") + F.col("_own"))
+    return grouped.groupBy(*keys, "_range").agg(F.min("start").alias("start"), F.max("end").alias("end"), *aggregates).drop("_range")
+
+
+def merged_groups(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
+    """As merged(), in one window a group: for groups that are small, as the exons of a gene."""
     order = Window.partitionBy(*keys).orderBy("start", "end")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    new = F.when(F.col("start") <= F.max("end").over(before), 0).otherwise(1)
-    grouped = df.withColumn("_new", new).withColumn("_range", F.sum("_new").over(upto))
+    new = F.when(F.col("start") <= F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1)
+    grouped = df.withColumn("_new", new).withColumn("_range", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return grouped.groupBy(*keys, "_range").agg(F.min("start").alias("start"), F.max("end").alias("end"), *aggregates).drop("_range")
 
 
@@ -58,7 +75,7 @@ def strand_of(strand: str) -> Column:
 
 def gene_projections(exons: DataFrame) -> DataFrame:
     """Disconnected exon ranges of each gene and chromosome; strand '.' if mixed."""
-    return merged(exons, ["gene_id", "chr"], [strand_of("strand"), F.count(F.lit(1)).alias("exons")])
+    return merged_groups(exons, ["gene_id", "chr"], [strand_of("strand"), F.count(F.lit(1)).alias("exons")])
 
 
 def projected_lengths(exons: DataFrame) -> DataFrame:

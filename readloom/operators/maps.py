@@ -54,6 +54,16 @@ def pair_classes(best: DataFrame) -> DataFrame:
     return flags.groupBy("lane", F.when(F.col("u"), "unique").when(F.col("n"), "unmapped").otherwise("multi").alias("class")).agg(F.count(F.lit(1)).alias("pairs"))
 
 
-def unmapped_in_both(maps: DataFrame) -> DataFrame:
-    """Reads without a hit in genome and junction maps."""
-    return maps.where((map_class(F.col("genome")) == "unmapped") & (map_class(F.col("junction")) == "unmapped")).select("pair_id", "mate", "lane")
+def best_map_of(**sources: DataFrame) -> DataFrame:
+    """best_map() of the maps genome, junction, split and recursive, each of its own reads (pair_id, mate, lane, strata)."""
+    joined = None
+    for name, m in sources.items():
+        one = m.select("pair_id", "mate", "lane", F.col("strata").alias(name))
+        joined = one if joined is None else joined.join(one, ["pair_id", "mate", "lane"], "full")
+    return best_map(joined)
+
+
+def unmapped_in_both(genome: DataFrame, junction: DataFrame) -> DataFrame:
+    """Reads of the genome maps without a hit there or in the junction maps (where a read may be missing)."""
+    mapped = junction.where(map_class(F.col("strata")) != "unmapped").select("pair_id", "mate")
+    return genome.where(map_class(F.col("strata")) == "unmapped").join(mapped, ["pair_id", "mate"], "left_anti").select("pair_id", "mate", "lane")

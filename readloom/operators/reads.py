@@ -12,6 +12,16 @@ def clean_id(read_id: Column) -> Column:
     return F.regexp_replace(out, r"^(\S+) ([12]):(.*)$", "$1_X:$3/$2")
 
 
+def fixed_length(reads: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` bases and qualities of each read."""
+    return reads.withColumns({c: F.substring(c, 1, n) for c in ("seq", "qual")})
+
+
+def without_ambiguous(reads: DataFrame, most: int) -> DataFrame:
+    """Reads with up to ``most`` bases N or '.'."""
+    return reads.where(ambiguous(F.col("seq")) <= most)
+
+
 def ambiguous(seq: Column) -> Column:
     """Bases N or '.' of a sequence."""
     return F.length(seq) - F.length(F.regexp_replace(seq, "[N.]", ""))
@@ -25,7 +35,8 @@ def trimmed(reads: DataFrame, cut: int = 15, least: int = 40) -> DataFrame:
 
 
 def clear_ends(reads: DataFrame, least: int = 40) -> DataFrame:
-    """Strip N and '.' from both ends; reads of ``least`` bases or less go."""
+    """Strip N and '.' from both ends of reads without a hit (``matches``); reads of ``least`` bases or less go, as do those with a hit."""
+    reads = reads.where(F.col("matches").rlike("^0(:0)*$"))
     lead = F.length(F.regexp_extract("seq", "^([N.]*)", 1))
     seq = F.regexp_replace("seq", "^[N.]+|[N.]+$", "")
     out = reads.withColumn("_lead", lead).withColumn("_seq", seq)
@@ -59,9 +70,9 @@ def per_position(reads: DataFrame, offset: int = 33) -> DataFrame:
 
 def quality_encoding(reads: DataFrame) -> DataFrame:
     """phred or solexa by lane: the first decisive character in read order decides; without any, solexa."""
-    chars = reads.select("lane", "read_id", F.posexplode(F.split("qual", "")).alias("pos", "ch")).where("ch <> ''").withColumn("v", F.ascii("ch"))
-    kind = F.when((F.col("v") < 59) | (F.col("v") > 104), "phred").when(F.col("v").between(96, 104), "solexa")
-    first = chars.withColumn("kind", kind).where("kind is not null").groupBy("lane").agg(F.min_by("kind", F.struct("read_id", "pos")).alias("encoding"))
+    decisive = reads.select("lane", "read_id", F.ascii(F.regexp_extract("qual", r"[^;-_]", 0)).alias("v")).where("v > 0")  # all but 59 to 95
+    kind = F.when((F.col("v") < 59) | (F.col("v") > 104), "phred").otherwise("solexa")
+    first = decisive.groupBy("lane").agg(F.min_by(kind, "read_id").alias("encoding"))
     return reads.select("lane").distinct().join(first, "lane", "left").na.fill("solexa", ["encoding"])
 
 

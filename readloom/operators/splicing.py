@@ -22,12 +22,23 @@ def exon_pairs(exons: DataFrame) -> DataFrame:
 
 
 def annotated_junctions(exons: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Junctions of consecutive exons of a transcript: (chr, start, end), distinct."""
+    """Places (chr, start, end) of junctions of consecutive exons of a transcript, distinct; exons that overlap leave none."""
     order = Window.partitionBy("gene_id", "transcript_id", "chr").orderBy("start", "end")
     rows = bridge.select("gene_id", "transcript_id", "exon_id").join(exons, ["gene_id", "exon_id"])
     return rows.withColumn("next", F.lead("start").over(order)).where("next > end").select("gene_id", "chr", F.col("end").alias("start"), F.col("next").alias("end")).distinct()
 
 
+def transcript_junctions(exons: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Consecutive exons of each transcript, in transcript order: on the minus strand the later exon comes first.
+
+    Consecutive exons that overlap make a junction as well.
+    """
+    order = Window.partitionBy("gene_id", "transcript_id", "chr").orderBy("start", "end")
+    rows = bridge.select("gene_id", "transcript_id", "exon_id").join(exons, ["gene_id", "exon_id"]).withColumn("next", F.lead("exon_id").over(order)).where("next is not null")
+    minus = F.col("strand") == "-"
+    return rows.select("gene_id", "transcript_id", F.when(minus, F.col("next")).otherwise(F.col("exon_id")).alias("exon1_id"), F.when(minus, F.col("exon_id")).otherwise(F.col("next")).alias("exon2_id"))
+
+
 def junction_catalogue(exons: DataFrame, bridge: DataFrame) -> DataFrame:
     """All possible junctions of each gene, known if some transcript has it, novel otherwise."""
     known = annotated_junctions(exons, bridge).withColumn("_k", F.lit(True))
@@ -45,16 +56,46 @@ def exclusion_junctions(exons: DataFrame) -> DataFrame:
 
 def inclusion_junctions(exons: DataFrame, pairs: DataFrame) -> DataFrame:
     """For each exon the distinct junctions that begin or end with it."""
-    one = pairs.select(F.col("exon1_id").alias("exon_id"), "chr", F.col("start").alias("j_start"), F.col("end").alias("j_end"))
-    two = pairs.select(F.col("exon2_id").alias("exon_id"), "chr", F.col("start").alias("j_start"), F.col("end").alias("j_end"))
-    return one.unionByName(two).distinct()
+    ends = F.explode(F.array("exon1_id", "exon2_id")).alias("exon_id")
+    return pairs.select(ends, "chr", F.col("start").alias("j_start"), F.col("end").alias("j_end")).distinct()
+
+
+def inclusion_lengths(pairs: DataFrame, exons: DataFrame) -> DataFrame:
+    """inclusion_junctions() with ``length``, the bases of the two exons of each junction; pairs of other exons are rows of their own."""
+    size = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
+    sizes = lambda k: size.select(F.col("exon_id").alias(f"exon{k}_id"), F.col("length").alias(f"l{k}"))
+    both = pairs.join(sizes(1), "exon1_id").join(sizes(2), "exon2_id")
+    ends = F.explode(F.array("exon1_id", "exon2_id")).alias("exon_id")
+    return both.select(ends, "chr", F.col("start").alias("j_start"), F.col("end").alias("j_end"), (F.col("l1") + F.col("l2")).alias("length")).distinct()
 
 
-def inclusion_rates(exon_counts: DataFrame, junctions: DataFrame, included: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Supporting reads and psi of each exon and sample.
+def inclusion_rates(exon_reads: DataFrame, junctions: DataFrame, included: DataFrame, excluded: DataFrame, maps: DataFrame, read_length: int) -> DataFrame:
+    """Inclusion rate of each exon and sample from coverage.
 
-    psi = (exon + inclusion junction reads) / (these + exclusion junction reads).
-    An exon and sample without any reads has no row, so psi is never 0/0.
+    Exon reads (exon_id, sample, reads, length) count per 1000 bases of the exon.
+    A junction's reads are times 1000 over its length: that of its two exons (the
+    greatest over the pairs of exons that make it, ``length`` of ``included``),
+    twice the read length at most. All three sums are scaled to a million unique
+    maps of the sample and rounded to three decimals; the rate of an exon whose
+    sums round to 0 is null, that of one without reads has no row.
+    """
+    key = ["chr", "j_start", "j_end"]
+    lengths = included.groupBy(*key).agg(F.max(F.least(F.col("length"), F.lit(2 * read_length))).alias("length"))
+    junction = junctions.groupBy(*key, "sample").agg(F.sum("reads").alias("reads")).join(lengths, key).withColumn("x", F.col("reads") * 1000.0 / F.col("length"))
+    exon = exon_reads.select("exon_id", "sample", (F.col("reads") * 1000.0 / F.col("length")).alias("x"))
+    names = ("ex_incl", "junc_inc", "junc_exc")
+    part = lambda df, name: df.select("exon_id", "sample", *[(F.col("x") if n == name else F.lit(0.0)).alias(n) for n in names])
+    rows = part(exon, "ex_incl").unionByName(part(included.drop("length").distinct().join(junction, key), "junc_inc")).unionByName(part(excluded.join(junction, key), "junc_exc"))
+    total = rows.groupBy("exon_id", "sample").agg(*[F.sum(n).alias(n) for n in names]).join(F.broadcast(maps), "sample")  # a row a sample
+    scaled = total.select("exon_id", "sample", *[rounded(F.col(n) * (1000000.0 / F.col("unique_maps")), 3).alias(n) for n in names])
+    events = F.col("ex_incl") + F.col("junc_inc") + F.col("junc_exc")
+    return scaled.withColumn("psi", F.when(events > 0, rounded((F.col("ex_incl") + F.col("junc_inc")) / events, 3)))
+
+
+def inclusion_reads(exon_counts: DataFrame, junctions: DataFrame, included: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Supporting reads of each exon and sample: exon, inclusion and exclusion junction reads.
+
+    psi is their raw share. An exon and sample without any reads has no row.
     """
     key = ["chr", "j_start", "j_end"]
     j = junctions.groupBy(*key, "sample").agg(F.sum("reads").alias("reads"))
@@ -66,7 +107,7 @@ def inclusion_rates(exon_counts: DataFrame, junctions: DataFrame, included: Data
 
 def inclusion_histogram(rates: DataFrame) -> DataFrame:
     """Exons by sample and psi in hundredths, cut off."""
-    return rates.groupBy("sample", F.floor(F.col("psi") * 100).alias("bin")).agg(F.count(F.lit(1)).alias("exons"))
+    return rates.where("psi is not null").groupBy("sample", F.floor(F.col("psi") * 100).alias("bin")).agg(F.count(F.lit(1)).alias("exons"))
 
 
 def gene_share(junctions: DataFrame) -> DataFrame:
@@ -120,3 +161,16 @@ def inclusion_pairs(rates: DataFrame, samples: list[str], least: int = 5) -> Dat
     wide = good.groupBy("exon_id").agg(*[F.coalesce(F.max(F.when(F.col("sample") == s, F.floor(F.col("psi") * 100 + 0.5))), F.lit(0)).alias(s) for s in samples])
     pairs = [F.struct(F.lit(a).alias("sample1"), F.lit(b).alias("sample2"), F.col(a).alias("rate1"), F.col(b).alias("rate2")) for a in samples for b in samples if a != b]
     return wide.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct()
+
+
+def pooled_junctions(classified: DataFrame, group) -> DataFrame:
+    """Support of classified junctions summed up over the samples of each group (a column)."""
+    return classified.groupBy(group.alias("group"), "key", "source").agg(F.sum("support").alias("support"))
+
+
+def split_matrix(splits: DataFrame, samples: list[str], support: int, least: int) -> DataFrame:
+    """Reads of each split place and label ``genes`` by sample, for places with ``support`` reads in ``least`` samples or more."""
+    key = ["chr1", "start", "chr2", "end", "genes"]
+    cells = splits.groupBy(*key, "sample").agg(F.count(F.lit(1)).alias("reads"))
+    wide = [F.coalesce(F.sum(F.when(F.col("sample") == s, F.col("reads"))), F.lit(0)).alias(s) for s in samples]
+    return cells.groupBy(*key).agg(F.sum(F.when(F.col("reads") >= support, 1).otherwise(0)).alias("_n"), *wide).where(F.col("_n") >= least).drop("_n")

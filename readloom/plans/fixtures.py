@@ -1,7 +1,8 @@
 """Genomic tables derived from the given tables by expressions that both engines read alike.
 
 In the texts, ``@div`` is whole division, ``@end`` the quoted column name and
-``@all`` what makes a regular expression replace everywhere.
+``@all`` what makes a regular expression replace everywhere. ``@each(a, b))``
+gives a row for each whole number from a to b.
 """
 
 from __future__ import annotations
@@ -43,11 +44,51 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM lineitem JOIN exons e ON e.gene_id = 'G' || (l_partkey @div 8) AND e.k = l_partkey % 8
         JOIN exon_transcripts t ON t.gene_id = e.gene_id AND t.exon_id = e.exon_id
         GROUP BY t.gene_id, t.transcript_id, 's' || (l_suppkey % 4)"""),
-    "reads": (("documents",), """
-        SELECT read_id, lane, seq, substring(regexp_replace(text, '[^!-~]', ''@all), 1, length(seq)) AS qual FROM (
-          SELECT doc_id AS read_id, source AS lane, text,
-                 replace(substring(upper(regexp_replace(text, '[^acgtxACGTX]', ''@all)), 1, 50), 'X', 'N') AS seq
-          FROM documents) AS r WHERE length(seq) > 0"""),
+    "contigs": (("documents",), """
+        SELECT doc_id AS contig, source AS lane, letters, marks FROM (
+          SELECT doc_id, source, replace(upper(regexp_replace(text, '[^acgtxACGTX]', ''@all)), 'X', 'N') AS letters,
+                 regexp_replace(text, '[^!-~]', ''@all) AS marks
+          FROM documents) AS d WHERE length(letters) > 0"""),
+    "reads": (("contigs",), """
+        SELECT contig * 100000 + part AS read_id, contig, part, lane, CASE (contig + part) % 3 WHEN 0 THEN '0:0:0' ELSE '1:0:0' END AS matches,
+               substring(letters, CAST(part * 76 + 1 AS INT), 76) AS seq, substring(marks, CAST(part * 76 + 1 AS INT), length(substring(letters, CAST(part * 76 + 1 AS INT), 76))) AS qual
+        FROM (SELECT contig, lane, letters, marks, @each(CAST(0 AS BIGINT), CAST((length(letters) - 1) @div 76 AS BIGINT))) AS part FROM contigs) AS c"""),
+    "contig_exons": (("contigs",), """
+        SELECT contig, k, contig || '.' || (k @div 3) AS transcript_id, contig || '_' || (k * 100 + 1) || '_' || (k * 100 + 60) AS exon_id,
+               k * 100 + 1 AS start, k * 100 + 60 AS @end, CASE WHEN contig % 2 = 0 THEN '+' ELSE '-' END AS strand
+        FROM (SELECT contig, @each(CAST(0 AS BIGINT), CAST((length(letters) - 60) @div 100 AS BIGINT))) AS k FROM contigs WHERE length(letters) >= 60) AS c"""),
+    "sam": (("alignments",), """
+        SELECT read_id, read_no, chr, start, @end, strand, nm, sample, lane,
+               CASE read_no % 4 WHEN 1 THEN '50M' WHEN 2 THEN '20M' || (200 + read_id % 3 * 30000) || 'N30M'
+                 WHEN 3 THEN CASE WHEN read_id % 9 = 0 THEN '*' ELSE '50M' END
+                 ELSE CASE read_id % 7 WHEN 0 THEN '5H45M' WHEN 1 THEN '30M-5N20M' ELSE '25M2I23M' END END AS cigar,
+               CASE read_id % 4 WHEN 0 THEN '1:0:2' WHEN 1 THEN '0:2:0' END AS strata, CASE read_id % 4 WHEN 2 THEN 1 + read_no % 2 END AS nh_tag,
+               CASE read_id % 5 WHEN 0 THEN start ELSE -start END AS tlen
+        FROM alignments"""),
+    "spliced": (("junction_reads",), """
+        SELECT chr, j_start - 19 AS start, CASE WHEN lane = 'O' THEN '20M' || (j_end - j_start - 1) || 'N30M' ELSE '20M' || (j_end - j_start - 1) || 'N15M300N15M' END AS cigar, sample, lane
+        FROM junction_reads"""),
+    "lane_alignments": (("alignments",), "SELECT read_id, read_no, chr, start, @end, strand, nm, lane AS sample FROM alignments"),
+    "lane_junctions": (("junction_reads",), "SELECT gene_id, chr, j_start, j_end, lane AS sample, reads FROM junction_reads"),
+    "features": (("exons",), """
+        SELECT 'gene' AS type, gene_id, CAST(NULL AS STRING) AS transcript_id, CASE WHEN max(k) % 5 = 0 THEN 'chrUn_' ELSE '' END || min(chr) AS chr, min(start) AS start, max(@end) AS @end, min(strand) AS strand
+        FROM exons GROUP BY gene_id
+        UNION ALL SELECT 'transcript', gene_id, gene_id || '.T' || (k % 3 + 1), min(chr), min(start), max(@end), min(strand) FROM exons GROUP BY gene_id, k % 3
+        UNION ALL SELECT 'exon', gene_id, CAST(NULL AS STRING), chr, start, @end, strand FROM exons"""),
+    "gene_info": (("own_exons",), """
+        SELECT 'G' || g AS gene_id, CASE WHEN g % 3 = 1 THEN 'pseudogene' WHEN g % 7 = 0 THEN 'rRNA' WHEN g % 11 <> 0 THEN 'protein_coding' END AS gene_type,
+               CASE WHEN g % 2 = 0 THEN 'KNOWN' WHEN g % 5 <> 0 THEN 'NOVEL' END AS gene_status, CASE WHEN g % 4 <> 0 THEN 'name' || g END AS gene_name,
+               CASE WHEN g % 13 = 0 THEN 'Ribosomal protein' WHEN g % 13 = 1 THEN 'kinase' END AS description, CASE WHEN g % 17 = 0 THEN 'chrM' ELSE 'chr' || (g % 5 + 1) END AS chr
+        FROM own_exons GROUP BY g"""),
+    "genome_maps": (("maps",), "SELECT pair_id, mate, lane, genome AS strata FROM maps WHERE genome <> '-'"),
+    "junction_maps": (("maps",), "SELECT pair_id, mate, lane, junction AS strata FROM maps WHERE junction <> '-'"),
+    "split_maps": (("maps",), "SELECT pair_id, mate, lane, split AS strata FROM maps WHERE split <> '0:0:0'"),
+    "recursive_maps": (("maps",), "SELECT pair_id, mate, lane, recursive AS strata FROM maps WHERE recursive <> '-'"),
+    "split_hits": (("lineitem",), """
+        SELECT l_orderkey * 8 + l_linenumber AS hit_id, l_linestatus AS lane, 'chr' || (l_partkey % 5 + 1) AS chr1, CASE WHEN l_linenumber = 7 THEN 'chr1' ELSE 'chr' || (l_partkey % 5 + 1) END AS chr2,
+               CASE WHEN l_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand1, CASE WHEN (l_partkey + l_linenumber @div 6) % 2 = 0 THEN '+' ELSE '-' END AS strand2,
+               l_suppkey * 10 + 100 AS start1, l_suppkey * 10 + 130 AS end1, l_suppkey * 10 + 100 + CAST(l_quantity AS INT) * 20 - 400 AS start2, l_suppkey * 10 + 120 + CAST(l_quantity AS INT) * 20 - 400 AS end2
+        FROM lineitem"""),
     "maps": (("orders",), """
         SELECT pair_id, mate, lane,
           CASE (pair_id + mate) % 7 WHEN 0 THEN '0:0:0' WHEN 1 THEN '1:0:0' WHEN 2 THEN '0:1:0' WHEN 3 THEN '0:2:1' WHEN 4 THEN '3:0:0' WHEN 5 THEN '-' ELSE '0:!:0' END AS genome,
@@ -92,7 +133,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     needs, text = VIEWS[name]
-    text = text.replace("@div", "div").replace("@end", "`end`").replace("@all", "")
+    text = text.replace("@div", "div").replace("@end", "`end`").replace("@all", "").replace("@each(", "explode(sequence(")
     for need in needs:
         text = _named(text, need)
     return spark.sql(text, **{f"t_{n}": view(spark, sf_dir, n) for n in needs})
@@ -116,5 +157,5 @@ def with_views(sql: str, *names: str) -> str:
 
     for n in names:
         add(n)
-    text = lambda n: VIEWS[n][1].replace("@div", "//").replace("@end", '"end"').replace("@all", ", 'g'")
+    text = lambda n: VIEWS[n][1].replace("@div", "//").replace("@end", '"end"').replace("@all", ", 'g'").replace("@each(", "unnest(generate_series(").replace("AS STRING", "AS VARCHAR")
     return "WITH " + ",\n".join(f"{n} AS ({text(n)})" for n in order) + (",\n" if sql.lstrip().startswith(",") else "\n") + sql.lstrip().lstrip(",")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.operators import compare, expression, fusions, hits, intervals, maps, reads, splicing
+from readloom.operators import annotation, compare, expression, fusions, hits, intervals, maps, reads, splicing
 from readloom.plans.fixtures import view, with_views
 
 SAMPLES = ["s0", "s1", "s2", "s3"]
@@ -96,13 +96,7 @@ def hit_multiplicity(alignments):
 
 @_query("alignments", sql=_U + " SELECT * FROM um")
 def unique_maps(alignments):
-    return expression.unique_maps(alignments)
-
-
-@_query("alignments", "exons", sql=_U + """ SELECT exon_id, sample, sum(CASE WHEN a.strand = '+' THEN 1 ELSE 0 END)::BIGINT AS forward, sum(CASE WHEN a.strand = '-' THEN 1 ELSE 0 END)::BIGINT AS reverse, count(*) AS reads
-FROM (SELECT DISTINCT exon_id, chr, start, "end" FROM exons) e JOIN nh a ON a.chr = e.chr AND a.start >= e.start AND a."end" <= e."end" WHERE nm <= 2 GROUP BY exon_id, sample""")
-def exon_containment(alignments, exons):
-    return expression.containment_counts(alignments.where("nm <= 2"), _as_features(exons).drop("gene_id").distinct(), "exon_id")
+    return expression.unique_maps(expression.unique_alignments(alignments))
 
 
 @_query("alignments", "exons", sql=_M + """ SELECT gene_id, sample, sum(CASE WHEN a.strand = '+' THEN 1 ELSE 0 END)::BIGINT AS forward, sum(CASE WHEN a.strand = '-' THEN 1 ELSE 0 END)::BIGINT AS reverse, count(*) AS reads
@@ -114,24 +108,28 @@ def projection_containment(alignments, exons):
 
 @_query("alignments", "exons", sql="""
 , g AS (SELECT gene_id, chr, min(start) AS start, max("end") AS "end" FROM exons GROUP BY gene_id, chr)
-SELECT sample, class, count(*) AS reads FROM (SELECT a.sample, CASE WHEN EXISTS (SELECT 1 FROM exons e WHERE e.chr = a.chr AND e.start <= a."end" AND e."end" >= a.start) THEN 'exonic'
+SELECT sample, class, count(*) AS reads, floor(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY sample) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS percent FROM (SELECT a.sample, CASE WHEN EXISTS (SELECT 1 FROM exons e WHERE e.chr = a.chr AND e.start <= a."end" AND e."end" >= a.start) THEN 'exonic'
 WHEN EXISTS (SELECT 1 FROM g WHERE g.chr = a.chr AND g.start <= a."end" AND g."end" >= a.start) THEN 'intronic' ELSE 'intergenic' END AS class FROM alignments a) GROUP BY sample, class""")
 def read_classes(alignments, exons):
     return expression.read_classes(alignments, exons)
 
 
+def _exon_counts(alignments, exons):
+    return expression.containment_counts(expression.unique_alignments(alignments), _as_features(exons).drop("gene_id").distinct(), "exon_id").select("exon_id", "sample", "reads")
+
+
 def _exon_rpkm(alignments, exons):
-    uniq = expression.with_multiplicity(alignments).where("unique")
+    uniq = expression.unique_alignments(alignments)
     counts = expression.containment_counts(uniq, _as_features(exons).drop("gene_id").distinct(), "exon_id")
     lengths = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
-    return expression.exon_rpkm(counts, lengths, expression.unique_maps(alignments))
+    return expression.exon_rpkm(counts, lengths, expression.unique_maps(uniq))
 
 
 def _gene_rpkm(alignments, exons, junction_reads):
-    uniq = expression.with_multiplicity(alignments).where("unique")
+    uniq = expression.unique_alignments(alignments)
     counts = expression.containment_counts(uniq, _as_features(exons).withColumn("key", F.struct("gene_id", "exon_id")), "key").select("key.gene_id", "sample", "reads")
     junctions = junction_reads.groupBy("gene_id", "sample").agg(F.sum("reads").alias("reads"))
-    return expression.gene_rpkm(counts, junctions, exons, expression.unique_maps(alignments))
+    return expression.gene_rpkm(counts, junctions, exons, expression.unique_maps(uniq))
 
 
 @_query("alignments", "exons", sql=_EXRPKM + " SELECT * FROM xr")
@@ -144,11 +142,10 @@ def gene_rpkm_pooled(alignments, exons, junction_reads):
     return _gene_rpkm(alignments, exons, junction_reads)
 
 
-@_query("alignments", "exons", "junction_reads", sql=_GRPKM + """ SELECT sample, CASE WHEN gene_id LIKE '%1' THEN 'one' ELSE 'other' END AS type, count(*) AS detected FROM gr WHERE rpkm >= 1 GROUP BY ALL
-UNION ALL SELECT NULL, NULL, count(*) FROM gr WHERE rpkm >= 1""")
-def detected_genes(alignments, exons, junction_reads):
-    kind = F.when(F.col("gene_id").endswith("1"), "one").otherwise("other")
-    return expression.detected_features(_gene_rpkm(alignments, exons, junction_reads), kind)
+@_query("alignments", "exons", "junction_reads", "gene_info", sql=_GRPKM + """, de AS (SELECT gr.*, coalesce(gene_status, 'unknown') AS status, coalesce(gene_type, 'gene') AS type FROM gr JOIN gene_info USING (gene_id) WHERE rpkm >= 1)
+SELECT sample, status, type, count(*) AS detected FROM de GROUP BY ALL UNION ALL SELECT NULL, NULL, NULL, count(*) FROM de""")
+def detected_genes(alignments, exons, junction_reads, info):
+    return expression.detected_features(_gene_rpkm(alignments, exons, junction_reads), annotation.gene_table(info), "gene_id")
 
 
 @_query("alignments", "exons", "junction_reads", sql=_GRPKM + " SELECT sample, bin, count(*) AS features FROM (SELECT sample, floor(rpkm + 0.5::DOUBLE)::BIGINT AS bin FROM gr) WHERE bin > 0 GROUP BY sample, bin")
@@ -167,18 +164,30 @@ def exon_from_transcripts(transcripts, bridge):
     return expression.transcript_to_exon(transcripts, bridge)
 
 
-@_query("transcript_expression", "exon_transcripts", sql="""SELECT sample, count(DISTINCT transcript_id) AS detected, (SELECT count(DISTINCT transcript_id) FROM exon_transcripts) AS annotated
-FROM transcript_expression GROUP BY ROLLUP (sample)""")
+@_query("transcript_expression", "exon_transcripts", sql="""SELECT *, floor(detected * 100.0::DOUBLE / annotated * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS percent FROM (
+SELECT sample, count(DISTINCT transcript_id) AS detected, (SELECT count(DISTINCT transcript_id) FROM exon_transcripts) AS annotated FROM transcript_expression GROUP BY ROLLUP (sample))""")
 def transcript_summary(transcripts, bridge):
-    annotated = bridge.agg(F.countDistinct("transcript_id").alias("annotated"))
-    return expression.expression_summary(transcripts, "transcript_id", 0).drop("annotated").crossJoin(F.broadcast(annotated))  # one row
+    return expression.expression_summary(transcripts, "transcript_id", bridge)
 
 
-@_query("transcript_expression", sql="""
-, f AS (SELECT transcript_id, min(sample) AS sample FROM transcript_expression GROUP BY 1), c AS (SELECT sample, count(*) AS new FROM f GROUP BY 1)
-SELECT s.sample, coalesce(new, 0) AS new, sum(coalesce(new, 0)) OVER (ORDER BY s.sample)::BIGINT AS cumulative FROM (SELECT DISTINCT sample FROM transcript_expression) s LEFT JOIN c USING (sample)""")
-def transcript_saturation(transcripts):
-    return expression.saturation(transcripts, "transcript_id", "sample")
+_SATURATION = """, f AS (SELECT {f}, min({lane}) AS {lane} FROM {t} GROUP BY 1), c AS (SELECT {lane}, count(*) AS new FROM f GROUP BY 1)
+SELECT *, floor(cumulative::DOUBLE / (SELECT count(DISTINCT {f}) FROM {all}) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS fraction FROM (
+SELECT s.{lane}, coalesce(new, 0) AS new, sum(coalesce(new, 0)) OVER (ORDER BY s.{lane})::BIGINT AS cumulative FROM (SELECT DISTINCT {lane} FROM {t}) s LEFT JOIN c USING ({lane}))"""
+
+
+@_query("transcript_expression", "exon_transcripts", sql=_SATURATION.format(f="transcript_id", lane="sample", t="transcript_expression", all="exon_transcripts"))
+def transcript_saturation(transcripts, bridge):
+    return expression.saturation(transcripts, "transcript_id", "sample", bridge)
+
+
+@_query("junction_reads", "exons", sql=_SATURATION.format(f="gene_id", lane="lane", t="junction_reads", all="exons"))
+def gene_saturation_by_lane(junction_reads, exons):
+    return expression.saturation(junction_reads, "gene_id", "lane", exons)
+
+
+@_query("alignments", "exons", sql=_U + _EC + _SATURATION.format(f="exon_id", lane="sample", t="ec", all="exons"))
+def exon_saturation(alignments, exons):
+    return expression.saturation(_exon_counts(alignments, exons), "exon_id", "sample", exons)
 
 
 _WIDE = ", ".join(f"coalesce(sum(rpkm) FILTER (sample = '{s}'), 0) AS {s}" for s in SAMPLES)
@@ -205,7 +214,7 @@ SELECT w.*, s0 + s1 + s2 + s3 AS total, exons FROM w JOIN (SELECT transcript_id,
 def top_transcripts(transcripts, bridge):
     about = bridge.groupBy("transcript_id").agg(F.count(F.lit(1)).alias("exons"))
     values = transcripts.select("transcript_id", "sample", F.col("rpkm"))
-    out = expression.top_features(values, "transcript_id", SAMPLES, about)
+    out = annotation.top_features(values, "transcript_id", SAMPLES, about)
     return out.orderBy(F.desc("total"), "transcript_id")
 
 
@@ -242,11 +251,21 @@ _EXC = """, exc AS (SELECT DISTINCT e.gene_id, e.exon_id, e.chr, a."end" AS j_st
 JOIN exons a ON a.gene_id = e.gene_id AND a.chr = e.chr AND a.strand = e.strand AND a."end" < e.start
 JOIN exons b ON b.gene_id = e.gene_id AND b.chr = e.chr AND b.strand = e.strand AND b.start > e."end")"""
 _INC = """, inc AS (SELECT exon1_id AS exon_id, chr, start AS j_start, "end" AS j_end FROM pr UNION SELECT exon2_id, chr, start, "end" FROM pr)"""
-_PSI = _U + _EC + _SHARED + _EXC + _INC + """, jr AS (SELECT chr, j_start, j_end, sample, sum(reads)::BIGINT AS reads FROM junction_reads GROUP BY ALL),
-rows3 AS (SELECT exon_id, sample, reads AS x, 0 AS i, 0 AS o FROM (SELECT exon_id, sample, max(reads) AS reads FROM ec GROUP BY ALL)
+_JR = _U + _EC + _SHARED + _EXC + _INC + """, jr AS (SELECT chr, j_start, j_end, sample, sum(reads)::BIGINT AS reads FROM junction_reads GROUP BY ALL),
+er AS (SELECT exon_id, sample, max(reads) AS reads FROM ec GROUP BY ALL)"""
+_RAW_PSI = _JR + """, rows3 AS (SELECT exon_id, sample, reads AS x, 0 AS i, 0 AS o FROM er
 UNION ALL SELECT exon_id, sample, 0, reads, 0 FROM inc JOIN jr USING (chr, j_start, j_end)
 UNION ALL SELECT exon_id, sample, 0, 0, reads FROM (SELECT DISTINCT exon_id, chr, j_start, j_end FROM exc) JOIN jr USING (chr, j_start, j_end)),
 psi AS (SELECT exon_id, sample, sum(x)::BIGINT AS ex_incl, sum(i)::BIGINT AS junc_inc, sum(o)::BIGINT AS junc_exc, (sum(x) + sum(i))::DOUBLE / (sum(x) + sum(i) + sum(o)) AS psi FROM rows3 GROUP BY exon_id, sample)"""
+_PSI = _JR + """, el AS (SELECT DISTINCT exon_id, "end" - start + 1 AS length FROM exons),
+jl AS (SELECT pr.chr, pr.start AS j_start, pr."end" AS j_end, max(least(a.length + b.length, 100)) AS length FROM pr JOIN el a ON a.exon_id = exon1_id JOIN el b ON b.exon_id = exon2_id GROUP BY ALL),
+jx AS (SELECT jr.chr, jr.j_start, jr.j_end, sample, reads * 1000.0::DOUBLE / length AS x FROM jr JOIN jl USING (chr, j_start, j_end)),
+rows3 AS (SELECT exon_id, sample, reads * 1000.0::DOUBLE / length AS x, 0.0::DOUBLE AS i, 0.0::DOUBLE AS o FROM er JOIN el USING (exon_id)
+UNION ALL SELECT exon_id, sample, 0, x, 0 FROM inc JOIN jx USING (chr, j_start, j_end)
+UNION ALL SELECT exon_id, sample, 0, 0, x FROM (SELECT DISTINCT exon_id, chr, j_start, j_end FROM exc) JOIN jx USING (chr, j_start, j_end)),
+sums AS (SELECT exon_id, sample, floor(sum(x) * (1000000.0::DOUBLE / unique_maps) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS ex_incl, floor(sum(i) * (1000000.0::DOUBLE / unique_maps) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS junc_inc,
+floor(sum(o) * (1000000.0::DOUBLE / unique_maps) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE AS junc_exc FROM rows3 JOIN um USING (sample) GROUP BY exon_id, sample, unique_maps),
+psi AS (SELECT *, CASE WHEN ex_incl + junc_inc + junc_exc > 0 THEN floor((ex_incl + junc_inc) / (ex_incl + junc_inc + junc_exc) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE END AS psi FROM sums)"""
 
 
 @_query("exons", sql=_EXC + " SELECT * FROM exc")
@@ -260,11 +279,13 @@ def inclusion_junctions(exons):
 
 
 def _psi(alignments, exons, junction_reads):
-    uniq = expression.with_multiplicity(alignments).where("unique")
-    counts = expression.containment_counts(uniq, _as_features(exons).drop("gene_id").distinct(), "exon_id").select("exon_id", "sample", "reads")
-    included = splicing.inclusion_junctions(exons, splicing.exon_pairs(exons))
+    uniq = expression.unique_alignments(alignments)
+    features = _as_features(exons).drop("gene_id").distinct()
+    sizes = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
+    reads_of = expression.containment_counts(uniq, features, "exon_id").select("exon_id", "sample", "reads").join(sizes, "exon_id")
+    included = splicing.inclusion_lengths(splicing.exon_pairs(exons), exons)
     excluded = splicing.exclusion_junctions(exons).drop("gene_id").distinct()
-    return splicing.inclusion_rates(counts, junction_reads, included, excluded)
+    return splicing.inclusion_rates(reads_of, junction_reads, included, excluded, expression.unique_maps(uniq), 50)
 
 
 @_query("alignments", "exons", "junction_reads", sql=_PSI + " SELECT * FROM psi")
@@ -272,7 +293,14 @@ def exon_inclusion(alignments, exons, junction_reads):
     return _psi(alignments, exons, junction_reads)
 
 
-@_query("alignments", "exons", "junction_reads", sql=_PSI + " SELECT sample, floor(psi * 100)::BIGINT AS bin, count(*) AS exons FROM psi GROUP BY ALL")
+@_query("alignments", "exons", "junction_reads", sql=_RAW_PSI + " SELECT * FROM psi")
+def inclusion_supporting_reads(alignments, exons, junction_reads):
+    included = splicing.inclusion_junctions(exons, splicing.exon_pairs(exons))
+    excluded = splicing.exclusion_junctions(exons).drop("gene_id").distinct()
+    return splicing.inclusion_reads(_exon_counts(alignments, exons), junction_reads, included, excluded)
+
+
+@_query("alignments", "exons", "junction_reads", sql=_PSI + " SELECT sample, floor(psi * 100)::BIGINT AS bin, count(*) AS exons FROM psi WHERE psi IS NOT NULL GROUP BY ALL")
 def inclusion_histogram(alignments, exons, junction_reads):
     return splicing.inclusion_histogram(_psi(alignments, exons, junction_reads))
 
@@ -335,9 +363,9 @@ def pair_classes(m):
     return maps.pair_classes(maps.best_map(m))
 
 
-@_query("maps", sql=f"""SELECT pair_id, mate, lane FROM maps WHERE {_CLASS.format(c="genome")} = 'unmapped' AND {_CLASS.format(c="junction")} = 'unmapped'""")
-def unmapped_reads(m):
-    return maps.unmapped_in_both(m)
+@_query("genome_maps", "junction_maps", sql=f"""SELECT pair_id, mate, lane FROM genome_maps WHERE {_CLASS.format(c="strata")} = 'unmapped' AND (pair_id, mate) NOT IN (SELECT (pair_id, mate) FROM junction_maps WHERE {_CLASS.format(c="strata")} <> 'unmapped')""")
+def unmapped_reads(genome, junction):
+    return maps.unmapped_in_both(genome, junction)
 
 
 # Reads
@@ -367,23 +395,23 @@ def quality_encoding(r):
 
 @_query("reads", sql="""
 , t AS (SELECT read_id, lane, regexp_replace(substring(seq, 1, greatest(length(seq) - 15, 0)), '[N.]+$', '') AS seq, qual FROM reads)
-SELECT read_id, lane, seq, substring(qual, 1, length(seq)) AS qual FROM t WHERE length(seq) > 20""")
+SELECT read_id, lane, seq, substring(qual, 1, length(seq)) AS qual FROM t WHERE length(seq) > 40""")
 def trimmed_reads(r):
-    return reads.trimmed(r, 15, 20)
+    return reads.trimmed(r.select("read_id", "lane", "seq", "qual"))
 
 
 @_query("reads", sql="""
-, t AS (SELECT read_id, lane, length(regexp_extract(seq, '^([N.]*)', 1)) AS l, regexp_replace(seq, '^[N.]+|[N.]+$', '', 'g') AS s, qual FROM reads)
+, t AS (SELECT read_id, lane, length(regexp_extract(seq, '^([N.]*)', 1)) AS l, regexp_replace(seq, '^[N.]+|[N.]+$', '', 'g') AS s, qual FROM reads WHERE matches = '0:0:0')
 SELECT read_id, lane, s AS seq, substring(qual, l + 1, length(s)) AS qual FROM t WHERE length(s) > 40""")
 def clear_read_ends(r):
     return reads.clear_ends(r)
 
 
 @_query("reads", sql="""
-, m AS (SELECT read_id::VARCHAR || '/1' AS id, lane, substring(seq, 1, 25) AS seq, 2 AS k FROM reads UNION ALL SELECT read_id::VARCHAR || '/2', lane, substring(seq, 26), 1 FROM reads)
+, m AS (SELECT read_id::VARCHAR || '/1' AS id, lane, substring(seq, 1, 38) AS seq, 2 AS k FROM reads UNION ALL SELECT read_id::VARCHAR || '/2', lane, substring(seq, 39), 1 FROM reads)
 SELECT id, lane, seq FROM m WHERE length(seq) - length(regexp_replace(seq, '[N.]', '', 'g')) <= k""")
 def mates_of_pairs(r):
-    return reads.mates_of_concatenated(r, 25, 1)
+    return reads.mates_of_concatenated(r, 38, 1)
 
 
 @_query("reads", sql="SELECT read_id, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS seq FROM reads")
@@ -441,7 +469,7 @@ SELECT lane, CASE WHEN n1 = 1 AND n2 = 1 THEN 'double_unique' WHEN pair_id IN (S
 WHEN n1 + n2 > 0 THEN 'both_multi' ELSE 'no_hit' END AS outcome, count(*) AS pairs FROM pn GROUP BY ALL""")
 def pair_outcomes(gem):
     kept = _kept(gem)
-    return hits.pair_outcomes(gem, kept, hits.rescued_mates(hits.hit_coordinates(kept, 50)))
+    return hits.pair_outcomes(kept, hits.rescued_mates(hits.hit_coordinates(kept, 50)))
 
 
 @_query("maps", sql=f"""SELECT pair_id, mate, lane FROM maps WHERE pair_id NOT IN (SELECT pair_id FROM maps WHERE {_CLASS.format(c="genome")} = 'unique' AND {_CLASS.format(c="junction")} <> 'unmapped')""")
@@ -492,18 +520,17 @@ def fusion_read_clusters(*views):
 
 
 _LINKS = """
-, o AS (SELECT *, max("end") OVER (PARTITION BY chr ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM alignments WHERE sample = 's0'),
-n AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY chr ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS r FROM o),
-cl AS (SELECT chr, min(start) AS start, max("end") AS "end", chr || '_' || min(start) || '_' || max("end") AS cluster FROM n GROUP BY chr, r HAVING count(*) >= 5),
-th AS (SELECT a.read_id, a.fragment, c.chr, c.cluster FROM fragments a JOIN cl c ON a.chr = c.chr AND a.start <= c."end" AND a."end" >= c.start),
-re AS (SELECT read_id, min(cluster) AS cluster1, max(cluster) AS cluster2, count(DISTINCT cluster) AS k, min(chr) = max(chr) AS one FROM th GROUP BY read_id HAVING count(DISTINCT fragment) = 2)
-SELECT cluster1, cluster2, CASE WHEN k = 1 THEN 'close' WHEN one THEN 'far' ELSE 'interchrom' END AS type, count(*) AS reads FROM re WHERE k <= 2 GROUP BY ALL HAVING count(*) >= 2"""
+, o AS (SELECT *, max("end") OVER (PARTITION BY sample, chr ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM alignments),
+n AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY sample, chr ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS r FROM o),
+cl AS (SELECT sample, chr, min(start) AS start, max("end") AS "end", chr || '_' || min(start) || '_' || max("end") AS cluster FROM n GROUP BY sample, chr, r HAVING count(*) >= 5),
+th AS (SELECT a.sample, a.read_id, a.fragment, c.chr, c.cluster FROM fragments a JOIN cl c ON a.sample = c.sample AND a.chr = c.chr AND a.start <= c."end" AND a."end" >= c.start),
+re AS (SELECT sample, read_id, min(cluster) AS cluster1, max(cluster) AS cluster2, count(DISTINCT cluster) AS k, min(chr) = max(chr) AS one FROM th GROUP BY sample, read_id HAVING count(DISTINCT fragment) = 2)
+SELECT sample, cluster1, cluster2, CASE WHEN k = 1 THEN 'close' WHEN one THEN 'far' ELSE 'interchrom' END AS type, count(*) AS reads FROM re WHERE k <= 2 GROUP BY ALL HAVING count(*) >= 2"""
 
 
 @_query("alignments", "fragments", sql=_LINKS)
 def cluster_links(alignments, fragments):
-    clusters = intervals.read_clusters(alignments.where("sample = 's0'"), 5)
-    return fusions.cluster_links(fragments, clusters, 2)
+    return fusions.cluster_links(fragments, intervals.read_clusters(alignments, 5), 2)
 
 
 @_query("splits", sql="SELECT chr1 || '_' || start || '_' || chr2 || '_' || \"end\" AS fusion, " + ", ".join(f"count(*) FILTER (sample = '{s}') AS {s}" for s in SAMPLES) + " FROM splits WHERE chr1 <> chr2 GROUP BY fusion")
@@ -556,10 +583,10 @@ def transcript_coverage(r):
     return expression.coverage_profile(r)
 
 
-@_query("transcript_expression", sql=f"""SELECT f.transcript_id, s.sample, coalesce(e.rpkm, 0) AS rpkm FROM (SELECT DISTINCT transcript_id FROM transcript_expression WHERE transcript_id LIKE '%.T1') f
+@_query("transcript_expression", sql=f"""SELECT f.transcript_id, s.sample, coalesce(e.rpkm, 0) AS rpkm FROM (SELECT DISTINCT transcript_id FROM transcript_expression) f
 CROSS JOIN (SELECT unnest({SAMPLES}) AS sample) s LEFT JOIN transcript_expression e ON e.transcript_id = f.transcript_id AND e.sample = s.sample""")
 def individual_transcripts(t):
-    return compare.individual_features(t, t.where("transcript_id like '%.T1'"), "transcript_id", SAMPLES)
+    return compare.individual_features(t, t, "transcript_id", SAMPLES)
 
 
 @_query("maps", sql=f"""SELECT CASE WHEN lane = 'P' THEN 'e2' ELSE 'e1' END AS experiment, count(*) AS total, sum(({_CLASS.format(c="genome")} <> 'unmapped')::INT)::BIGINT AS mapped,

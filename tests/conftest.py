@@ -2,6 +2,7 @@ import os
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 ROOT = str(Path(__file__).resolve().parent.parent)
@@ -39,6 +40,6 @@ def same_rows(a, b):
     """Whether two pandas frames hold the same rows, order aside."""
     cols = sorted(a.columns)
     assert cols == sorted(b.columns)
-    text = lambda v: "~" if v is None or v != v else repr(round(float(v), 6)) if isinstance(v, (int, float)) or hasattr(v, "dtype") else str(v)
+    text = lambda v: "~" if v is None or v is pd.NA or v != v else repr(round(float(v), 6)) if isinstance(v, (int, float)) or hasattr(v, "dtype") else str(v)
     rows = lambda x: sorted(tuple(map(text, r)) for r in x[cols].itertuples(index=False))
     return rows(a) == rows(b)

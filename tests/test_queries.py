@@ -3,7 +3,7 @@
 import pytest
 from conftest import duck, same_rows
 
-from readloom.plans.registry import ORACLE_SQL, QUERIES
+from readloom.plans import ORACLE_SQL, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
