@@ -10,7 +10,7 @@ shingle hashes) and never lists the pairs within a group of copies:
 3. In each list every set proposes links to two of them, the list's hubs, in two
    rounds with other hubs. What is verified gives the first components. Lists
    whose entries lie in one component are done. In the others entries form
-   blocks of equal (set size, position); blocks are compared by size and position
+   blocks of like set sizes and positions; blocks are compared by their bounds
    first, so a pair of blocks that cannot reach the threshold is skipped whole,
    and entries without a block to meet leave.
 4. Members of the rest become a pair only in the first list that they share, as
@@ -23,6 +23,7 @@ shingle hashes) and never lists the pairs within a group of copies:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -289,14 +290,18 @@ def _open_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
 
     ``lists`` has s, sid, comp, n and pos of lists in more than one component, staged.
     """
-    # Blocks of equal size and position, compared before their members are.
-    blocks = lists.groupBy("s", "n", "pos").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    small = blocks.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
-    large = blocks.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    can = F.expr("n1 <= n2 and 5 * n1 >= 4 * n2 and 9 * least(n1 - p1, n2 - p2) >= 4 * (n1 + n2) and least(lo1, lo2) < greatest(hi1, hi2)")
-    open_blocks = staged(small.join(large, "s").where(can).select("s", "n1", "p1", "n2", "p2"), "blocks")
-    met = open_blocks.select("s", F.explode(F.array(F.struct(F.col("n1").alias("n"), F.col("p1").alias("pos")), F.struct(F.col("n2").alias("n"), F.col("p2").alias("pos")))).alias("b"))
-    lists = staged(lists.join(met.select("s", "b.*").distinct(), ["s", "n", "pos"], "left_semi"), "met")
+    # Blocks of like sizes and relative positions, some dozen a list however long it is, are compared before their members are.
+    lists = lists.withColumns({"nb": F.floor(F.log(F.col("n")) / math.log(1.25)).cast("int"), "pb": F.floor(F.col("pos") * 20 / F.col("n")).cast("int")})
+    bounds = (F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("pos").alias("p"))
+    blocks = lists.groupBy("s", "nb", "pb").agg(*bounds)
+    side = lambda k: blocks.select("s", *[F.col(c).alias(f"{c}{k}") for c in blocks.columns if c != "s"])
+    can = F.expr(
+        "(nb1 < nb2 or (nb1 = nb2 and pb1 <= pb2)) and least(lo1, lo2) < greatest(hi1, hi2) and 5 * n_hi1 >= 4 * n_lo2 and 5 * n_hi2 >= 4 * n_lo1"
+        " and 5 * n_hi1 - 9 * p1 >= 4 * n_lo2 and 5 * n_hi2 - 9 * p2 >= 4 * n_lo1"
+    )
+    open_blocks = staged(side(1).join(side(2), "s").where(can).select("s", "nb1", "pb1", "nb2", "pb2"), "blocks")
+    met = open_blocks.select("s", F.explode(F.array(*[F.struct(F.col(f"nb{k}").alias("nb"), F.col(f"pb{k}").alias("pb")) for k in (1, 2)])).alias("b"))
+    lists = staged(lists.join(met.select("s", "b.*").distinct(), ["s", "nb", "pb"], "left_semi"), "met")
 
     # The first lists of each set. A pair that shares one of those before this list has met there, as its positions there are no worse.
     rank = F.row_number().over(Window.partitionBy("sid").orderBy("pos"))
@@ -304,11 +309,15 @@ def _open_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
     first = first.groupBy("sid").agg(F.collect_list(F.struct("pos", "s")).alias("first"))
     known = classes.select("sid", *_BITS).join(first, "sid")
     early = F.transform(F.filter("first", lambda t: t["pos"] < F.col("pos")), lambda t: t["s"])
-    lists = staged(lists.join(known, "sid").select("s", "n", "pos", "sid", "comp", *_BITS, early.alias("early")), "open")
-    m1 = lists.select("s", F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("sid").alias("x"), F.col("comp").alias("cx"), F.col("early").alias("ex"), *[F.col(w).alias(f"x{w}") for w in _BITS])
-    m2 = lists.select("s", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("sid").alias("z"), F.col("comp").alias("cz"), F.col("early").alias("ez"), *[F.col(w).alias(f"z{w}") for w in _BITS])
-    pairs = open_blocks.join(m1, ["s", "n1", "p1"]).join(m2, ["s", "n2", "p2"])
-    pairs = pairs.where("cx <> cz and (n1 < n2 or x < z)").where(_near_enough("x", "z", "n1", "n2")).where("not arrays_overlap(ex, ez)")
+    lists = staged(lists.join(known, "sid").select("s", "nb", "pb", "n", "pos", "sid", "comp", *_BITS, early.alias("early")), "open")
+
+    def member(k: int, sid: str) -> DataFrame:
+        same = [F.col(c).alias(f"{c}{k}") for c in ("nb", "pb", "n")] + [F.col("pos").alias(f"p{k}"), F.col("early").alias(f"early{k}")]
+        return lists.select("s", *same, F.col("sid").alias(sid), F.col("comp").alias(f"c{sid}"), *[F.col(w).alias(sid + w) for w in _BITS])
+
+    pairs = open_blocks.join(member(1, "x"), ["s", "nb1", "pb1"]).join(member(2, "z"), ["s", "nb2", "pb2"])
+    pairs = pairs.where("cx <> cz and (nb1 < nb2 or pb1 < pb2 or x < z) and 9 * least(n1 - p1, n2 - p2) >= 4 * (n1 + n2)")
+    pairs = pairs.where(_near_enough("x", "z", "n1", "n2")).where("not arrays_overlap(early1, early2)")
     return pairs.select("x", "z", "cx", "cz", "n1", "n2").distinct()
 
 
