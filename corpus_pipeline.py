@@ -1,8 +1,10 @@
-"""A corpus pipeline: rules, toxicity, near duplicates, decontamination, packing.
+"""Stages for a corpus: rules, toxicity, near duplicates, decontamination, packing.
 
 Every stage takes the documents that its predecessor kept and returns those it
 keeps, with the columns of ``documents``; the last returns packed pieces. An
-empty input gives an empty output.
+empty input gives an empty output. Rows are judged one by one, also where a
+doc_id, a text or a whole row is repeated or null; further columns pass through
+all stages but the last.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ def by_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of 5-word Jaccard 0.8 connect: that of least doc_id."""
+    """One row of each group that links of 5-word Jaccard 0.8 connect: that of least doc_id, null ids last."""
     return jaccard.one_of_each(docs)
 
 

@@ -1 +1 @@
-"""Spark jobs for the table work of RNA-seq analysis, and for training-data corpora."""
+"""Spark jobs for tables of sequencing reads and for training-data corpora."""

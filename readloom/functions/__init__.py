@@ -1 +1 @@
-"""Part of the library; see the README."""
+"""Column functions that several operators share."""

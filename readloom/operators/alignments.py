@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.operators.expression import rounded
+from readloom.functions.text import gaps, read_length, rounded
 from readloom.operators.intervals import contained_in
 
 
@@ -54,23 +54,6 @@ def feature_coverage(alignments: DataFrame, features: DataFrame, feature: str, k
     return rows.select(feature, "sample", "reads", length.alias("length"), F.lit(kind).alias("type"), rounded(F.col("reads") / length, 2).alias("coverage"))
 
 
-def gaps(start: Column, cigar: Column) -> Column:
-    """The gaps (N) of an alignment as an array of (j_start, j_end): the bases before and behind each."""
-    steps = F.transform(F.regexp_extract_all(cigar, F.lit(r"(\d+)([MDNX=])"), F.lit(0)), lambda s: F.struct(F.regexp_extract(s, r"\d+", 0).cast("long").alias("n"), F.right(s, F.lit(1)).alias("op")))
-    zero = F.struct(start.cast("long").alias("at"), F.array().cast("array<struct<j_start:bigint,j_end:bigint>>").alias("found"))
-
-    def step(s: Column, x: Column) -> Column:
-        gap = F.array(F.struct((s["at"] - 1).alias("j_start"), (s["at"] + x["n"]).alias("j_end")))
-        return F.struct((s["at"] + x["n"]).alias("at"), F.when(x["op"] == "N", F.concat(s["found"], gap)).otherwise(s["found"]).alias("found"))
-
-    return F.aggregate(steps, zero, step)["found"]
-
-
-def read_length(cigar: Column) -> Column:
-    """Bases of the read that an alignment's cigar spells out."""
-    return F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MIX=S]"), F.lit(1)), F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
-
-
 def junction_reads(alignments: DataFrame, least: int, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
     """Reads of ``least`` bases or more over each junction, by ``keys``."""
     rows = alignments.where(read_length(F.col("cigar")) >= least).select("chr", *keys, F.explode(gaps(F.col("start"), F.col("cigar"))).alias("g"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def replicate_groups(experiments: DataFrame) -> DataFrame:
-    """Groups of one project, cell, RNA type and compartment with exactly two replicates."""
+    """Groups of one project, cell, molecule type and compartment with exactly two replicates."""
     keys = ["project_id", "cell_type", "rna_type", "compartment"]
     return experiments.groupBy(*keys).agg(F.countDistinct("bioreplicate").alias("replicates"), F.count(F.lit(1)).alias("experiments")).where("replicates = 2")
 

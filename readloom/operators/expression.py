@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from readloom.functions.text import rounded
 from readloom.operators.intervals import contained_in, overlapping, projected_lengths
 
 
-def rounded(x: Column, digits: int) -> Column:
-    """floor(x * 10**digits + 0.5) / 10**digits: the same in every engine for x >= 0."""
-    return F.floor(x * float(10**digits) + 0.5) / float(10**digits)
-
-
 def with_multiplicity(alignments: DataFrame, keys: tuple[str, ...] = ("read_id", "read_no")) -> DataFrame:
     """Add nh, the rows that share ``keys`` (a read's alignments), and unique (nh = 1)."""
     own = Window.partitionBy(*keys)

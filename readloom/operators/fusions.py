@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.operators.intervals import overlapping
-from readloom.operators.maps import map_class
+from readloom.functions.text import map_class
 
 
 def fusion_candidates(transcript_maps: DataFrame, genome_maps: DataFrame, genes: DataFrame, gene_rpkm: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.maps import map_class
+from readloom.functions.text import map_class
 
 
 def best_hits(maps: DataFrame, mismatches: int = 2, closest: int = 0, unique_strict: bool = False) -> DataFrame:

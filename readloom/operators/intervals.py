@@ -11,13 +11,6 @@ BIN = 1000
 MERGE_BIN = 1 << 17
 
 
-def natural_chromosome(chrom: Column) -> list[Column]:
-    """Sort keys: chromosome numbers first and by value, then names."""
-    name = F.regexp_replace(chrom, "^chr", "")
-    number = F.when(name.rlike("^[0-9]+$"), name.cast("int"))
-    return [number.asc_nulls_last(), name.asc()]
-
-
 def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
     return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
 

@@ -2,23 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def map_class(strata: Column) -> Column:
-    """unmapped, unique or multi, by the first stratum that is not 0; '-' and '!' do not count as mapped."""
-    return (
-        F.when(strata.isNull() | strata.rlike("^(0(:0)*|-.*|(0:)*!.*)$"), "unmapped")
-        .when(strata.rlike("^(0:)*1(:|$)"), "unique")
-        .otherwise("multi")
-    )
-
-
-def best_stratum(strata: Column) -> Column:
-    """Mismatches of the first stratum that is not 0, or null."""
-    first = F.regexp_extract(strata, "^((?:0:)*)[1-9]", 1)
-    return F.when(map_class(strata) != "unmapped", F.length(first) / 2).cast("int")
+from readloom.functions.text import best_stratum, map_class
 
 
 def mapping_stats(maps: DataFrame, strata: str) -> DataFrame:

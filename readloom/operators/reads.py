@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def clean_id(read_id: Column) -> Column:
-    """|p1 and |p2 become /1 and /2; ' 1:' style mates become _X: with /1 or /2 at the end."""
-    out = F.regexp_replace(read_id, r"\|p([12])$", "/$1")
-    return F.regexp_replace(out, r"^(\S+) ([12]):(.*)$", "$1_X:$3/$2")
+from readloom.functions.text import ambiguous
 
 
 def fixed_length(reads: DataFrame, n: int) -> DataFrame:
@@ -22,11 +18,6 @@ def without_ambiguous(reads: DataFrame, most: int) -> DataFrame:
     return reads.where(ambiguous(F.col("seq")) <= most)
 
 
-def ambiguous(seq: Column) -> Column:
-    """Bases N or '.' of a sequence."""
-    return F.length(seq) - F.length(F.regexp_replace(seq, "[N.]", ""))
-
-
 def trimmed(reads: DataFrame, cut: int = 15, least: int = 40) -> DataFrame:
     """Cut ``cut`` bases off the 3' end, then N and '.'; reads of ``least`` bases or less go."""
     seq = F.regexp_replace(F.expr(f"substring(seq, 1, greatest(length(seq) - {int(cut)}, 0))"), "[N.]+$", "")
@@ -76,10 +67,6 @@ def quality_encoding(reads: DataFrame) -> DataFrame:
     return reads.select("lane").distinct().join(first, "lane", "left").na.fill("solexa", ["encoding"])
 
 
-def reverse_complement(seq: Column) -> Column:
-    return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
-
-
 def mates_of_concatenated(reads: DataFrame, n: int, most: int) -> DataFrame:
     """The first ``n`` bases as mate /1 and the rest as /2; mates with more than ``most`` ambiguous bases go (2 * most for /1)."""
     one = F.struct(F.concat("read_id", F.lit("/1")).alias("id"), F.expr(f"substring(seq, 1, {int(n)})").alias("seq"), F.lit(2 * most).alias("k"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.reads import reverse_complement
+from readloom.functions.text import reverse_complement
 
 #: The two bases at either end of an intron and the strand that they tell; others count as plus.
 MOTIFS = {"GTAG": "+", "CTAC": "-", "GCAG": "+", "CTGC": "-", "ATA.": "+", ".TAT": "-", "GTAT": "+", "ATAC": "-"}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readloom.operators.expression import rounded
+from readloom.functions.text import rounded
 
 
 def shared_exons(exons: DataFrame) -> DataFrame:

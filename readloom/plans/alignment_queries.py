@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from readloom.functions import text
 from readloom.operators import alignments as al
 from readloom.operators import expression, hits, intervals, maps, reads, splicing
 from readloom.plans.registry import _ANN, _BEST, _CLASS, _HITS, _M, _RESCUE, _SHARED, _as_features, _kept, _query
@@ -140,27 +141,27 @@ def best_maps_of_four(genome, junction, split, recursive, _):
 _PSEUDO = f""", ps AS (SELECT DISTINCT pair_id FROM maps WHERE {_CLASS.format(c="genome")} = 'unique' AND {_CLASS.format(c="junction")} <> 'unmapped')"""
 
 
-@_query("gem_maps", "maps", sql=_HITS + _RESCUE + _PSEUDO + """, pn AS (SELECT lane, pair_id, sum(n) FILTER (mate = 1) AS n1, sum(n) FILTER (mate = 2) AS n2 FROM hl GROUP BY ALL)
+@_query("hit_maps", "maps", sql=_HITS + _RESCUE + _PSEUDO + """, pn AS (SELECT lane, pair_id, sum(n) FILTER (mate = 1) AS n1, sum(n) FILTER (mate = 2) AS n2 FROM hl GROUP BY ALL)
 SELECT lane, CASE WHEN pair_id IN (SELECT pair_id FROM ps) THEN 'pseudo' WHEN n1 = 1 AND n2 = 1 THEN 'double_unique' WHEN pair_id IN (SELECT pair_id FROM rs) THEN 'recovered' WHEN n1 = 1 THEN 'read1_unique' WHEN n2 = 1 THEN 'read2_unique'
 WHEN n1 + n2 > 0 THEN 'both_multi' ELSE 'no_hit' END AS outcome, count(*) AS pairs FROM pn GROUP BY ALL""")
-def pair_outcomes_with_pseudogenes(gem, m):
-    kept = _kept(gem)
+def pair_outcomes_with_pseudogenes(listed, m):
+    kept = _kept(listed)
     return hits.pair_outcomes(kept, hits.rescued_mates(hits.hit_coordinates(kept, 50)), hits.pseudogene_pairs(m))
 
 
-@_query("gem_maps", "maps", sql=_HITS + _RESCUE + _PSEUDO + """, pu AS (SELECT pair_id, max((n = 1)::INT) AS one FROM hl GROUP BY pair_id)
+@_query("hit_maps", "maps", sql=_HITS + _RESCUE + _PSEUDO + """, pu AS (SELECT pair_id, max((n = 1)::INT) AS one FROM hl GROUP BY pair_id)
 SELECT hc.pair_id, hc.mate, hc.lane, hc.ordinal, hc.chr, hc.strand, hc.start, hc."end", CASE WHEN hl.n = 1 OR rs.ordinal IS NOT NULL THEN 'unique' WHEN pu.one = 1 THEN 'unmatched' ELSE 'multi' END AS route
 FROM hc JOIN hl USING (pair_id, mate) JOIN pu USING (pair_id) LEFT JOIN rs ON rs.pair_id = hc.pair_id AND rs.mate = hc.mate
 WHERE hc.pair_id NOT IN (SELECT pair_id FROM ps) AND (rs.ordinal IS NULL OR rs.ordinal = hc.ordinal)""")
-def routed_hits(gem, m):
-    kept = _kept(gem)
+def routed_hits(listed, m):
+    kept = _kept(listed)
     placed = hits.hit_coordinates(kept, 50)
     return hits.routed_hits(kept, placed, hits.rescued_mates(placed), hits.pseudogene_pairs(m))
 
 
-@_query("gem_maps", sql=_HITS + """ SELECT pair_id, mate, ordinal, chr, CASE WHEN mate = 1 AND strand = '+' THEN '-' WHEN mate = 1 THEN '+' ELSE strand END AS strand, start FROM hc""")
-def stranded_hits(gem):
-    return hits.stranded(hits.hit_coordinates(_kept(gem), 50)).select("pair_id", "mate", "ordinal", "chr", "strand", "start")
+@_query("hit_maps", sql=_HITS + """ SELECT pair_id, mate, ordinal, chr, CASE WHEN mate = 1 AND strand = '+' THEN '-' WHEN mate = 1 THEN '+' ELSE strand END AS strand, start FROM hc""")
+def stranded_hits(listed):
+    return hits.stranded(hits.hit_coordinates(_kept(listed), 50)).select("pair_id", "mate", "ordinal", "chr", "strand", "start")
 
 
 @_query("sam", sql="""SELECT read_id, read_no, CASE WHEN nh_tag IS NULL THEN read_id || chr(9) || 'NH:i:1' ELSE read_id || chr(9) || 'NH:i:' || nh_tag END AS line FROM sam""")
@@ -196,4 +197,4 @@ def unambiguous_reads(r):
 SELECT read_id, CASE read_id % 3 WHEN 0 THEN regexp_replace(id, '\\|p1$', '/1') WHEN 1 THEN regexp_replace(id, ' 2:(.*)$', '_X:\\1/2') ELSE id END AS id FROM i""")
 def clean_read_ids(r):
     raw = F.concat("lane", F.col("read_id").cast("string"), F.element_at(F.array(F.lit("|p1"), F.lit(" 2:N:0"), F.lit("")), (F.col("read_id") % 3 + 1).cast("int")))
-    return r.select("read_id", reads.clean_id(raw).alias("id"))
+    return r.select("read_id", text.clean_id(raw).alias("id"))

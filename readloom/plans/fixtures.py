@@ -101,7 +101,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT s_suppkey AS experiment_id, s_suppkey % 3 AS project_id, n_regionkey AS cell_type, s_suppkey % 2 AS rna_type,
                (s_suppkey @div 2) % 2 AS compartment, 1 + (s_suppkey @div 4) % 2 AS bioreplicate
         FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
-    "gem_maps": (("orders",), """
+    "hit_maps": (("orders",), """
         SELECT pair_id, mate, lane, strata, CASE strata WHEN '1:0:0' THEN h0 || '0' WHEN '0:1:1' THEN h0 || '1,' || h1 || '2' WHEN '0:2:0' THEN h0 || '1,' || h1 || '1'
           WHEN '2:0:1' THEN h0 || '0,' || h1 || '0,' || h2 || '2' WHEN '1:1:1' THEN h0 || '0,' || h1 || '1,' || h2 || '2' ELSE '-' END AS hits,
           CASE WHEN strata IN ('1:0:0', '2:0:1', '1:1:1') THEN '0' WHEN strata IN ('0:1:1', '0:2:0') THEN '1' END AS mismatches

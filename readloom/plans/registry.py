@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.functions import text
 from readloom.operators import annotation, compare, expression, fusions, hits, intervals, maps, reads, splicing
 from readloom.plans.fixtures import view, with_views
 
@@ -83,7 +84,7 @@ def exon_self_overlap(exons):
 @_query("alignments", sql="""SELECT chr, lane, count(*) AS reads FROM alignments GROUP BY chr, lane""")
 def reads_by_chromosome(alignments):
     out = alignments.groupBy("chr", "lane").agg(F.count(F.lit(1)).alias("reads"))
-    return out.orderBy(*intervals.natural_chromosome(F.col("chr")), "lane")
+    return out.orderBy(*text.natural_chromosome(F.col("chr")), "lane")
 
 
 # Expression
@@ -416,7 +417,7 @@ def mates_of_pairs(r):
 
 @_query("reads", sql="SELECT read_id, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS seq FROM reads")
 def reverse_complements(r):
-    return r.select("read_id", reads.reverse_complement(F.col("seq")).alias("seq"))
+    return r.select("read_id", text.reverse_complement(F.col("seq")).alias("seq"))
 
 
 # Comparison
@@ -437,7 +438,7 @@ def matched_replicates(t):
 
 # Hits and mates
 
-_HITS = r""", st AS (SELECT *, string_split(strata, ':') AS l, [coalesce(try_cast(x AS INT), 0) FOR x IN string_split(strata, ':')] AS c FROM gem_maps),
+_HITS = r""", st AS (SELECT *, string_split(strata, ':') AS l, [coalesce(try_cast(x AS INT), 0) FOR x IN string_split(strata, ':')] AS c FROM hit_maps),
 bs AS (SELECT *, coalesce(list_position([x <> 0 FOR x IN c], true), 0) AS b, coalesce(list_position([x = '!' FOR x IN l], true), 0) AS o FROM st),
 kn AS (SELECT *, CASE WHEN o > 0 AND (b = 0 OR o < b) THEN 0 ELSE list_sum(c[greatest(b, 1):greatest(b, 1) + 1])::INT END AS n FROM bs),
 hl AS (SELECT pair_id, mate, lane, n, CASE WHEN n > 0 THEN string_split(hits, ',')[1:n] ELSE [] END AS kept FROM kn),
@@ -450,25 +451,25 @@ row_number() OVER (PARTITION BY m.pair_id, m.mate ORDER BY abs((u.start + u."end
 FROM nn m JOIN nn u ON u.pair_id = m.pair_id AND u.k = 1 AND m.k > 1 AND u.chr = m.chr AND u.strand <> m.strand) WHERE r = 1)"""
 
 
-def _kept(gem):
-    return hits.best_hits(gem, mismatches=2, closest=1)
+def _kept(listed):
+    return hits.best_hits(listed, mismatches=2, closest=1)
 
 
-@_query("gem_maps", sql=_HITS + " SELECT * FROM hc")
-def best_hits(gem):
-    return hits.hit_coordinates(_kept(gem), 50)
+@_query("hit_maps", sql=_HITS + " SELECT * FROM hc")
+def best_hits(listed):
+    return hits.hit_coordinates(_kept(listed), 50)
 
 
-@_query("gem_maps", sql=_HITS + _RESCUE + " SELECT * FROM rs")
-def rescued_mates(gem):
-    return hits.rescued_mates(hits.hit_coordinates(_kept(gem), 50))
+@_query("hit_maps", sql=_HITS + _RESCUE + " SELECT * FROM rs")
+def rescued_mates(listed):
+    return hits.rescued_mates(hits.hit_coordinates(_kept(listed), 50))
 
 
-@_query("gem_maps", sql=_HITS + _RESCUE + """, pn AS (SELECT lane, pair_id, sum(n) FILTER (mate = 1) AS n1, sum(n) FILTER (mate = 2) AS n2 FROM hl GROUP BY ALL)
+@_query("hit_maps", sql=_HITS + _RESCUE + """, pn AS (SELECT lane, pair_id, sum(n) FILTER (mate = 1) AS n1, sum(n) FILTER (mate = 2) AS n2 FROM hl GROUP BY ALL)
 SELECT lane, CASE WHEN n1 = 1 AND n2 = 1 THEN 'double_unique' WHEN pair_id IN (SELECT pair_id FROM rs) THEN 'recovered' WHEN n1 = 1 THEN 'read1_unique' WHEN n2 = 1 THEN 'read2_unique'
 WHEN n1 + n2 > 0 THEN 'both_multi' ELSE 'no_hit' END AS outcome, count(*) AS pairs FROM pn GROUP BY ALL""")
-def pair_outcomes(gem):
-    kept = _kept(gem)
+def pair_outcomes(listed):
+    kept = _kept(listed)
     return hits.pair_outcomes(kept, hits.rescued_mates(hits.hit_coordinates(kept, 50)))
 
 
@@ -477,28 +478,28 @@ def without_pseudogenes(m):
     return hits.without_pseudogenes(m).select("pair_id", "mate", "lane")
 
 
-@_query("gem_maps", "maps", sql=f"""
-, ro AS (SELECT pair_id, mate, 1 AS round, 50 AS length, strata FROM gem_maps UNION ALL SELECT pair_id, mate, 2, 35, recursive FROM maps),
+@_query("hit_maps", "maps", sql=f"""
+, ro AS (SELECT pair_id, mate, 1 AS round, 50 AS length, strata FROM hit_maps UNION ALL SELECT pair_id, mate, 2, 35, recursive FROM maps),
 ra AS (SELECT *, row_number() OVER (PARTITION BY pair_id, mate ORDER BY ({_CLASS.format(c="strata")} = 'unmapped')::INT, length DESC, round) AS r FROM ro)
 SELECT pair_id, mate, round, length, strata FROM ra WHERE r = 1""")
-def combined_rounds(gem, m):
-    one = gem.select("pair_id", "mate", F.lit(1).alias("round"), F.lit(50).alias("length"), "strata")
+def combined_rounds(listed, m):
+    one = listed.select("pair_id", "mate", F.lit(1).alias("round"), F.lit(50).alias("length"), "strata")
     return hits.combined_rounds(one.unionByName(m.select("pair_id", "mate", F.lit(2).alias("round"), F.lit(35).alias("length"), F.col("recursive").alias("strata"))))
 
 
 # Fusions
 
 _FUSION = f""", gn AS (SELECT DISTINCT transcript_id, gene_id FROM exon_transcripts), ge AS (SELECT gene_id, sum(rpkm) AS rpkm FROM transcript_expression GROUP BY gene_id),
-pl AS (SELECT t.pair_id, t.mate, t.transcript_id, gn.gene_id, coalesce(ge.rpkm, 0) AS rpkm FROM transcript_maps t JOIN gem_maps g ON g.pair_id = t.pair_id AND g.mate = t.mate AND g.strata = t.strata AND g.mismatches = t.mismatches
+pl AS (SELECT t.pair_id, t.mate, t.transcript_id, gn.gene_id, coalesce(ge.rpkm, 0) AS rpkm FROM transcript_maps t JOIN hit_maps g ON g.pair_id = t.pair_id AND g.mate = t.mate AND g.strata = t.strata AND g.mismatches = t.mismatches
 JOIN gn ON gn.transcript_id = t.transcript_id LEFT JOIN ge ON ge.gene_id = gn.gene_id WHERE {_CLASS.format(c="t.strata")} = 'unique'),
 fc AS (SELECT a.pair_id, a.transcript_id AS transcript1, a.gene_id AS gene1, a.rpkm AS rpkm1, b.transcript_id AS transcript2, b.gene_id AS gene2, b.rpkm AS rpkm2,
 CASE WHEN a.gene_id <> b.gene_id THEN 'Fusion' ELSE 'Variant' END AS label FROM pl a JOIN pl b ON a.pair_id = b.pair_id AND a.mate = 1 AND b.mate = 2 WHERE a.transcript_id <> b.transcript_id)"""
-_FUSION_VIEWS = ("transcript_maps", "gem_maps", "exon_transcripts", "transcript_expression")
+_FUSION_VIEWS = ("transcript_maps", "hit_maps", "exon_transcripts", "transcript_expression")
 
 
-def _fusions(transcript_maps, gem, bridge, expressed):
+def _fusions(transcript_maps, listed, bridge, expressed):
     genes = bridge.select("transcript_id", "gene_id").distinct()
-    return fusions.fusion_candidates(transcript_maps, gem, genes, expressed.groupBy("gene_id").agg(F.sum("rpkm").alias("rpkm")))
+    return fusions.fusion_candidates(transcript_maps, listed, genes, expressed.groupBy("gene_id").agg(F.sum("rpkm").alias("rpkm")))
 
 
 @_query(*_FUSION_VIEWS, sql=_FUSION + " SELECT * FROM fc")

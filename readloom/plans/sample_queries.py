@@ -147,12 +147,12 @@ def values_of_chosen_samples(t, e):
     return compare.of_samples(t, wanted)
 
 
-@_query("maps", "gem_maps", sql="""
-, r AS (SELECT lane, count(*) AS n FROM maps GROUP BY lane), m AS (SELECT lane, count(*) AS n FROM gem_maps WHERE NOT (lane = 'F' AND mate = 2) AND lane <> 'P' GROUP BY lane)
+@_query("maps", "hit_maps", sql="""
+, r AS (SELECT lane, count(*) AS n FROM maps GROUP BY lane), m AS (SELECT lane, count(*) AS n FROM hit_maps WHERE NOT (lane = 'F' AND mate = 2) AND lane <> 'P' GROUP BY lane)
 SELECT r.lane, r.n AS existing, m.n AS mapped, CASE WHEN m.n IS NULL THEN 'absent' ELSE 'different' END AS problem FROM r LEFT JOIN m USING (lane) WHERE m.n IS NULL OR m.n <> r.n""")
-def read_differences(m, gem):
+def read_differences(m, listed):
     count = lambda df: df.groupBy("lane").agg(F.count(F.lit(1)).alias("n"))
-    return compare.read_differences(count(m), count(gem.where("not (lane = 'F' and mate = 2) and lane <> 'P'")))
+    return compare.read_differences(count(m), count(listed.where("not (lane = 'F' and mate = 2) and lane <> 'P'")))
 
 
 @_query("transcript_expression", "exon_transcripts", sql="SELECT t.transcript_id, t.sample, t.rpkm, g.gene_id FROM transcript_expression t JOIN (SELECT DISTINCT transcript_id, gene_id FROM exon_transcripts WHERE gene_id NOT LIKE '%7') g USING (transcript_id) WHERE rpkm > 0")

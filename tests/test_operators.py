@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from readloom.operators import hits, intervals, maps, reads
+from readloom.functions import text
+from readloom.operators import hits, intervals
 from readloom.sources import tables
 
 
@@ -29,13 +30,13 @@ def test_touching_ranges_stay_apart_and_merging_is_idempotent(spark):
 
 def test_strata(spark):
     rows = [("0:0", "unmapped"), ("-", "unmapped"), ("0:!", "unmapped"), ("1:0", "unique"), ("0:1:4", "unique"), ("0:12", "multi"), ("2", "multi"), (None, "unmapped")]
-    df = spark.createDataFrame(rows, "s string, want string").withColumn("got", maps.map_class(F.col("s")))
+    df = spark.createDataFrame(rows, "s string, want string").withColumn("got", text.map_class(F.col("s")))
     assert all(r.want == r.got for r in df.collect())
 
 
 def test_ids_and_ends(spark):
     df = spark.createDataFrame([("a|p1", 0), ("b 2:N:0", 0)], "i string, z int")
-    assert [r[0] for r in df.select(reads.clean_id(F.col("i"))).collect()] == ["a/1", "b_X:N:0/2"]
+    assert [r[0] for r in df.select(text.clean_id(F.col("i"))).collect()] == ["a/1", "b_X:N:0/2"]
 
 
 def test_text_formats(spark, tmp_path):
@@ -45,7 +46,7 @@ def test_text_formats(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">s1 x\nAC\nGT\n>s2\nA\n")
     assert sorted((r.id, r.seq, r.length) for r in tables.read_fasta(spark, str(tmp_path / "a.fa")).collect()) == [("s1", "ACGT", 4), ("s2", "A", 1)]
     (tmp_path / "a.fq").write_text("@r1\nAC\nG\n+\n@II\n@r2\nA\n+\n@\n")
-    assert sorted(map(tuple, tables.read_fastq(spark, str(tmp_path / "a.fq")).collect())) == [("r1", "ACG", "@II"), ("r2", "A", "@")]
+    assert sorted(map(tuple, tables.read_folded_fastq(spark, str(tmp_path / "a.fq")).collect())) == [("r1", "ACG", "@II"), ("r2", "A", "@")]
     (tmp_path / "a.map").write_text("r\tAC\t0:1\tchr1:F5\nq\tAC\tII\t1\tchr1=x\n")
     assert sorted((r.id, r.qual, r.matches, r.type) for r in tables.read_maps(spark, str(tmp_path / "a.map")).collect()) == [("q", "II", "1", "S"), ("r", None, "0:1", "F")]
     (tmp_path / "a.sam").write_text("@HD\nq\t0\tchr1\t5\t9\t3M\t*\t0\t0\tACG\tIII\tNM:i:2\tNH:i:1\n")
@@ -77,3 +78,80 @@ def test_hits_with_mismatches_written_out(spark):
     df = spark.createDataFrame([(1, 1, "l", listed)], "pair_id int, mate int, lane string, kept array<string>")
     got = [(r.ordinal, r.chr, r.strand, r.start, r.end, r.mismatches) for r in hits.hit_coordinates(df, 50).orderBy("ordinal").collect()]
     assert got == [(0, "chr1", "+", 120, 169, 1), (1, "chr1", "+", 120, 169, 1), (2, "chr1", "-", 55, 104, 2), (3, "chr2", "+", 9, 58, 2), (4, "chr1", "+", 5, 54, 0)]
+
+
+def test_gtf_of_odd_lines(spark, tmp_path):
+    (tmp_path / "a.gtf").write_text('chr1\tx\texon\nchr1\tx\texon\tone\t9\t.\t+\t.\tgene_id "g;1"; level 2\nchr1\tx\texon\t1\t9\t.\t+\t.\tgene_id "a"; gene_id "b";\n\n')
+    rows = sorted(map(tuple, tables.read_gtf(spark, str(tmp_path / "a.gtf")).select("chr", "start", "end", "attributes").collect()), key=str)
+    assert rows == [("chr1", None, 9, {"gene_id": "g;1", "level": "2"}), ("chr1", None, None, {})]
+
+
+def test_fastq_in_many_splits(spark, tmp_path):
+    want = [(f"r{i} x", "ACGT"[: i % 4 + 1] * 3, "@+I#"[: i % 4 + 1] * 3) for i in range(5000)]
+    for part in (0, 1):
+        (tmp_path / f"{part}.fq").write_text("".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q in want[part::2]) + "@bad\nAC\n+\nI\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = tables.read_fastq(spark, str(tmp_path))
+        assert got.sparkSession.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_raw_reads_and_lanes(spark, tmp_path):
+    (tmp_path / "a_seq").write_text("1\t2\t3\t4\tAC.T\n1\t2\t3\t5\tA..T\nx\n")
+    assert [tuple(r) for r in tables.read_raw_reads(spark, str(tmp_path / "a_seq"), "sp", False, 1).collect()] == [("sp_1_2_3_4", "ACNT", None)]
+    (tmp_path / "a_qseq").write_text("m\t0\t1\t2\t3\t4\ti\t2\tA..T\tIIII\t1\n")
+    assert [tuple(r) for r in tables.read_raw_reads(spark, str(tmp_path / "a_qseq"), "sp", True, 1).collect()] == [("sp_1_2_3_4/2", "ANNT", "IIII")]
+    (tmp_path / "lanes").write_text("f1\tp-1\tl1\tg\nf2\tp2\tl2\n")
+    assert sorted(map(tuple, tables.read_lanes(spark, str(tmp_path / "lanes")).select("lane", "lane_id", "group").collect())) == [("l1", "p1", "g"), ("l2", "p2", "All")]
+
+
+def test_writers(spark, tmp_path):
+    tables.write_tsv(spark.createDataFrame([("a", None, 1), ("", "b c", 2)], "x string, y string, n int"), str(tmp_path / "t"))
+    lines = sorted(line for p in (tmp_path / "t").glob("part*") for line in p.read_text().splitlines())
+    assert lines == ["\tb c\t2", "a\t\\N\t1"]
+    f = spark.createDataFrame([("chr1", "exon", 1, 9, "+", {"gene_id": "g"})], "chr string, type string, start int, end int, strand string, attributes map<string,string>")
+    assert f.select(tables.gtf_line("src")).first()[0] == 'chr1\tsrc\texon\t1\t9\t.\t+\t.\tgene_id "g";'
+    one = F.array(F.struct(F.lit(5).alias("start"), F.lit(9).alias("end")))
+    assert f.select(tables.bed12_line(one, F.lit("n"), F.col("strand"), F.col("chr"))).first()[0] == "chr1\t4\t9\tn\t0\t+\t4\t9\t0\t1\t5\t0"
+
+
+@pytest.mark.parametrize("width", [3, 10, 1000])
+def test_merging_in_bins_equals_one_window(spark, width):
+    import random
+
+    rng = random.Random(width)
+    rows = [("a" if i % 3 else "b", s, s + rng.choice([0, 2, 5, 40])) for i in range(120) for s in [rng.randrange(600)]]
+    df = spark.createDataFrame(rows, "chr string, start int, end int")
+    got = intervals.merged(df, ["chr"], [F.count(F.lit(1)).alias("n")], width).collect()
+    one = intervals.merged_groups(df, ["chr"], [F.count(F.lit(1)).alias("n")]).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, one))
+
+
+def test_strict_calls_rescue_no_mate(spark):
+    h = spark.createDataFrame([(1, 1, 0, "c", "+", 5, 9), (1, 2, 0, "c", "-", 50, 59), (1, 2, 1, "c", "-", 20, 29)], "pair_id int, mate int, ordinal int, chr string, strand string, start long, end long")
+    assert [(r.mate, r.ordinal) for r in hits.rescued_mates(h).collect()] == [(2, 1)]
+    assert hits.rescued_mates(h, unique_strict=True).count() == 0
+
+
+def test_gaps_of_a_cigar(spark):
+    df = spark.createDataFrame([(100, "10M5N10M2I3D20N5M"), (1, "5S20M"), (1, "*")], "start long, cigar string")
+    got = [[tuple(g) for g in r.g] for r in df.select(text.gaps(F.col("start"), F.col("cigar")).alias("g")).collect()]
+    assert got == [[(109, 115), (127, 148)], [], []]
+    assert [r[0] for r in df.select(text.read_length(F.col("cigar"))).collect()] == [27, 25, 0]
+
+
+def test_coverage_of_inclusion(spark):
+    from readloom.operators import splicing
+
+    exon = spark.createDataFrame([("e", "s", 5, 500)], "exon_id string, sample string, reads long, length int")
+    junctions = spark.createDataFrame([("c", 10, 20, "s", 4), ("c", 1, 99, "s", 2)], "chr string, j_start int, j_end int, sample string, reads long")
+    included = spark.createDataFrame([("e", "c", 10, 20, 80), ("e", "c", 10, 20, 300), ("x", "c", 1, 99, 50)], "exon_id string, chr string, j_start int, j_end int, length int")
+    excluded = spark.createDataFrame([("e", "c", 1, 99)], "exon_id string, chr string, j_start int, j_end int")
+    um = spark.createDataFrame([("s", 1000000)], "sample string, unique_maps long")
+    rows = {r.exon_id: r for r in splicing.inclusion_rates(exon, junctions, included, excluded, um, 50).collect()}
+    e = rows["e"]  # 5 reads on 500 bases, 4 on a junction of 100 (twice the read), 2 on one of 50
+    assert (e.ex_incl, e.junc_inc, e.junc_exc, e.psi) == (10.0, 40.0, 40.0, 0.556)
