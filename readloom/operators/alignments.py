@@ -123,3 +123,34 @@ def bed_blocks(splits: DataFrame) -> DataFrame:
     same = splits.where("chr1 = chr2 and strand1 = strand2 and end1 < start2")
     block = lambda k: F.struct(F.col(f"start{k}").alias("start"), F.col(f"end{k}").alias("end"))
     return same.select(bed12_line(F.array(block(1), block(2)), F.col("hit_id").cast("string"), F.col("strand1"), F.col("chr1")).alias("value"))
+
+
+def split_ranges(hits: DataFrame, length: int) -> DataFrame:
+    """The two ranges of each split hit of reads of ``length`` bases: (read_id, chr, strand, start, end) for sides 1 and 2.
+
+    ``hit`` is a text ``[p-q]=chr:S[a-b]~chr:S[c-d]``: the read is split behind one
+    of its bases p to q, and for each the side's start is given, in the same
+    order or backwards. On a plus side 1 and a minus side 2 starts ascend and
+    one may stand for all. A range is the envelope of all splits; hits whose
+    starts and splits are not as many, and texts of another form, give no rows.
+    """
+    numbers = r"\[?(\d+)(?:[-;](\d+))?\]?"
+    form = rf"^{numbers}=([^:~]+):([FR]){numbers}~([^:~]+):([FR]){numbers}$"
+    part = lambda k: F.nullif(F.regexp_extract("hit", form, k), F.lit(""))
+    number = lambda k: part(k).cast("long")
+    p, q = number(1), F.coalesce(number(2), number(1))
+    lo, hi = F.least(p, q), F.greatest(p, q)
+
+    def side(k: int, at: int) -> Column:
+        strand, a = part(at + 1), number(at + 2)
+        b = F.coalesce(number(at + 3), a)
+        many = strand == ("R" if k == 1 else "F")
+        fits = F.when(many, F.abs(b - a) == hi - lo).otherwise((a <= b) & ((b - a == hi - lo) | (a == b)))
+        if k == 1:
+            end = F.greatest(a, b) + F.when(a > b, lo).otherwise(hi) - 1
+        else:
+            end = a + length - lo - 1  # the first start has the longest rest
+        return F.struct(fits.alias("fits"), part(at).alias("chr"), F.when(strand == "F", "+").otherwise("-").alias("strand"), F.least(a, b).alias("start"), end.alias("end"))
+
+    rows = hits.where(F.col("hit").rlike(form)).select("read_id", side(1, 3).alias("one"), side(2, 7).alias("two")).where("one.fits and two.fits")
+    return rows.select("read_id", *[F.col(f"{s}.{c}").alias(f"{c}{k}") for k, s in ((1, "one"), (2, "two")) for c in ("chr", "strand", "start", "end")])

@@ -25,9 +25,9 @@ def contained_in(reads: DataFrame, features: DataFrame, width: int = BIN) -> Dat
     return left.join(_binned(features, "f_start", "f_end", width), ["chr", "_bin"]).where("start >= f_start and end <= f_end").drop("_bin")
 
 
-def overlapping(reads: DataFrame, features: DataFrame, width: int = BIN) -> DataFrame:
-    """Pairs that share a base; a pair is kept in the first bin that both touch."""
-    pairs = _binned(reads, "start", "end", width).join(_binned(features, "f_start", "f_end", width), ["chr", "_bin"])
+def overlapping(reads: DataFrame, features: DataFrame, width: int = BIN, keys: tuple[str, ...] = ("chr",)) -> DataFrame:
+    """Pairs that share a base and ``keys`` (add strand for stranded libraries); a pair is kept in the first bin that both touch."""
+    pairs = _binned(reads, "start", "end", width).join(_binned(features, "f_start", "f_end", width), [*keys, "_bin"])
     first = F.col("_bin") == F.floor(F.greatest("start", "f_start") / width)
     return pairs.where(first & F.expr("start <= f_end and end >= f_start")).drop("_bin")
 

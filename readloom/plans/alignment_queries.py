@@ -93,6 +93,29 @@ def split_bed_lines(splits):
     return al.bed_blocks(splits)
 
 
+@_query("split_texts", sql=r"""
+, n AS (SELECT row_number() OVER () AS rn, read_id, regexp_extract(hit, '^\[([0-9]+)', 1)::BIGINT AS p, regexp_extract(hit, '^\[[0-9]+-([0-9]+)', 1)::BIGINT AS q, regexp_extract(hit, '=([^:]+):', 1) AS c1, regexp_extract(hit, '=[^:]+:(.)', 1) AS s1,
+  regexp_extract(hit, '=[^:]+:.\[?([0-9]+)', 1)::BIGINT AS a1, coalesce(try_cast(regexp_extract(hit, '=[^:]+:.\[[0-9]+-([0-9]+)', 1) AS BIGINT), regexp_extract(hit, '=[^:]+:.\[?([0-9]+)', 1)::BIGINT) AS b1,
+  regexp_extract(hit, '~([^:]+):', 1) AS c2, regexp_extract(hit, '~[^:]+:(.)', 1) AS s2, regexp_extract(hit, '~[^:]+:.\[?([0-9]+)', 1)::BIGINT AS a2,
+  coalesce(try_cast(regexp_extract(hit, '~[^:]+:.\[[0-9]+-([0-9]+)', 1) AS BIGINT), regexp_extract(hit, '~[^:]+:.\[?([0-9]+)', 1)::BIGINT) AS b2 FROM split_texts),
+i AS (SELECT *, unnest(range(0, q - p + 1)) AS i FROM n),
+e AS (SELECT *, CASE WHEN a1 = b1 THEN a1 WHEN a1 > b1 THEN a1 - i ELSE a1 + i END AS t1, CASE WHEN a2 = b2 THEN a2 WHEN a2 > b2 THEN a2 - i ELSE a2 + i END AS t2 FROM i
+  WHERE CASE WHEN s1 = 'R' THEN abs(b1 - a1) = q - p ELSE a1 <= b1 AND (b1 - a1 = q - p OR a1 = b1) END AND CASE WHEN s2 = 'F' THEN abs(b2 - a2) = q - p ELSE a2 <= b2 AND (b2 - a2 = q - p OR a2 = b2) END)
+SELECT read_id, c1 AS chr1, CASE WHEN s1 = 'F' THEN '+' ELSE '-' END AS strand1, min(t1) AS start1, max(t1 + p + i - 1) AS end1, c2 AS chr2, CASE WHEN s2 = 'F' THEN '+' ELSE '-' END AS strand2, min(t2) AS start2, max(t2 + 50 - (p + i) - 1) AS end2
+FROM e GROUP BY rn, read_id, c1, s1, c2, s2""")
+def split_ranges(texts):
+    return al.split_ranges(texts, 50)
+
+
+@_query("alignments", "exons", sql="""
+, e AS (SELECT DISTINCT exon_id, chr, start, "end", strand FROM exons)
+SELECT exon_id, sample, count(*) AS reads FROM e JOIN alignments a ON a.chr = e.chr AND a.strand = e.strand AND a.start <= e."end" AND a."end" >= e.start GROUP BY exon_id, sample""")
+def stranded_overlaps(alignments, exons):
+    features = exons.select("exon_id", "chr", "strand", F.col("start").alias("f_start"), F.col("end").alias("f_end")).distinct()
+    places = alignments.groupBy("sample", "chr", "strand", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+    return intervals.overlapping(places, features, keys=("chr", "strand")).groupBy("exon_id", "sample").agg(F.sum("n").alias("reads"))
+
+
 # Hits on junction sequences: exon 1 and exon 2 of a pair, a read of 40 bases at some place.
 
 _ON_JUNCTION = """, el AS (SELECT DISTINCT exon_id, start, "end" FROM exons), jq AS (SELECT pr.chr, pr.strand, a.start AS s1, a."end" AS e1, b.start AS s2, b."end" AS e2,

@@ -84,6 +84,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "junction_maps": (("maps",), "SELECT pair_id, mate, lane, junction AS strata FROM maps WHERE junction <> '-'"),
     "split_maps": (("maps",), "SELECT pair_id, mate, lane, split AS strata FROM maps WHERE split <> '0:0:0'"),
     "recursive_maps": (("maps",), "SELECT pair_id, mate, lane, recursive AS strata FROM maps WHERE recursive <> '-'"),
+    "split_texts": (("lineitem",), """
+        SELECT read_id, '[' || a || '-' || (a + w) || ']=chr' || c1 || ':' || s1 || CASE WHEN m % 3 = 0 THEN '' || x WHEN m % 3 = 1 THEN '[' || x || '-' || (x + w) || ']' ELSE '[' || (x + w) || '-' || x || ']' END
+               || '~chr' || c2 || ':' || s2 || CASE WHEN m % 5 = 0 THEN '' || y WHEN m % 5 = 1 THEN '[' || (y + w) || '-' || y || ']' ELSE '[' || y || '-' || (y + w) || ']' END AS hit
+        FROM (SELECT l_orderkey * 8 + l_linenumber AS read_id, 20 + l_suppkey % 10 AS a, l_partkey % 4 AS w, l_partkey % 5 + 1 AS c1, l_suppkey % 5 + 1 AS c2, l_partkey AS m,
+                     CASE WHEN l_linenumber % 2 = 0 THEN 'F' ELSE 'R' END AS s1, CASE WHEN l_suppkey % 2 = 0 THEN 'F' ELSE 'R' END AS s2, 1000 + l_partkey * 3 AS x, 5000 + l_suppkey * 7 AS y FROM lineitem) AS l"""),
     "split_hits": (("lineitem",), """
         SELECT l_orderkey * 8 + l_linenumber AS hit_id, l_linestatus AS lane, 'chr' || (l_partkey % 5 + 1) AS chr1, CASE WHEN l_linenumber = 7 THEN 'chr1' ELSE 'chr' || (l_partkey % 5 + 1) END AS chr2,
                CASE WHEN l_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand1, CASE WHEN (l_partkey + l_linenumber @div 6) % 2 = 0 THEN '+' ELSE '-' END AS strand2,

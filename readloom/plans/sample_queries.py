@@ -155,6 +155,14 @@ def read_differences(m, listed):
     return compare.read_differences(count(m), count(listed.where("not (lane = 'F' and mate = 2) and lane <> 'P'")))
 
 
+@_query("hit_maps", sql="""
+, r AS (SELECT lane AS pair, mate AS lane, count(*) AS n FROM hit_maps WHERE strata <> '0:!:0' OR mate = 1 GROUP BY ALL)
+SELECT pair, count(*) AS lanes, min(n) AS least, max(n) AS most FROM r GROUP BY pair HAVING count(*) > 2 OR min(n) <> max(n)""")
+def unequal_mates(listed):
+    rows = listed.where("strata <> '0:!:0' or mate = 1").groupBy(F.col("lane").alias("pair"), F.col("mate").alias("lane")).agg(F.count(F.lit(1)).alias("n"))
+    return compare.unequal_mates(rows)
+
+
 @_query("transcript_expression", "exon_transcripts", sql="SELECT t.transcript_id, t.sample, t.rpkm, g.gene_id FROM transcript_expression t JOIN (SELECT DISTINCT transcript_id, gene_id FROM exon_transcripts WHERE gene_id NOT LIKE '%7') g USING (transcript_id) WHERE rpkm > 0")
 def expressed_with_gene(t, bridge):
     return compare.expressed_with_gene(t.select("transcript_id", "sample", "rpkm"), bridge.where("gene_id not like '%7'"))
