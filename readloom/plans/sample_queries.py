@@ -141,31 +141,32 @@ def scores_with_idr(t):
     return compare.with_idr(pairs, rates)
 
 
-@_query("transcript_expression", "experiments", sql="SELECT t.* FROM transcript_expression t WHERE sample IN (SELECT 's' || (experiment_id % 4) FROM experiments WHERE bioreplicate = 1 AND experiment_id % 4 < 3)")
+@_query("transcript_expression", "experiments", sql="SELECT t.* FROM transcript_expression t WHERE sample IN (SELECT 's' || (experiment_id % 4) FROM experiments WHERE rna_type = 1)")
 def values_of_chosen_samples(t, e):
-    wanted = e.where("bioreplicate = 1 and experiment_id % 4 < 3").select(F.concat(F.lit("s"), (F.col("experiment_id") % 4).cast("string")).alias("sample"))
+    wanted = e.where("rna_type = 1").select(F.concat(F.lit("s"), (F.col("experiment_id") % 4).cast("string")).alias("sample"))
     return compare.of_samples(t, wanted)
 
 
 @_query("maps", "hit_maps", sql="""
-, r AS (SELECT lane, count(*) AS n FROM maps GROUP BY lane), m AS (SELECT lane, count(*) AS n FROM hit_maps WHERE NOT (lane = 'F' AND mate = 2) AND lane <> 'P' GROUP BY lane)
+, r AS (SELECT lane, count(*) AS n FROM maps GROUP BY lane), m AS (SELECT lane, count(*) AS n FROM hit_maps WHERE strata <> '0:0:0' GROUP BY lane)
 SELECT r.lane, r.n AS existing, m.n AS mapped, CASE WHEN m.n IS NULL THEN 'absent' ELSE 'different' END AS problem FROM r LEFT JOIN m USING (lane) WHERE m.n IS NULL OR m.n <> r.n""")
 def read_differences(m, listed):
     count = lambda df: df.groupBy("lane").agg(F.count(F.lit(1)).alias("n"))
-    return compare.read_differences(count(m), count(listed.where("not (lane = 'F' and mate = 2) and lane <> 'P'")))
+    return compare.read_differences(count(m), count(listed.where("strata <> '0:0:0'")))
 
 
 @_query("hit_maps", sql="""
-, r AS (SELECT lane AS pair, mate AS lane, count(*) AS n FROM hit_maps WHERE strata <> '0:!:0' OR mate = 1 GROUP BY ALL)
+, r AS (SELECT lane AS pair, mate AS lane, count(*) AS n FROM hit_maps WHERE strata <> '0:0:0' GROUP BY ALL)
 SELECT pair, count(*) AS lanes, min(n) AS least, max(n) AS most FROM r GROUP BY pair HAVING count(*) > 2 OR min(n) <> max(n)""")
 def unequal_mates(listed):
-    rows = listed.where("strata <> '0:!:0' or mate = 1").groupBy(F.col("lane").alias("pair"), F.col("mate").alias("lane")).agg(F.count(F.lit(1)).alias("n"))
+    rows = listed.where("strata <> '0:0:0'").groupBy(F.col("lane").alias("pair"), F.col("mate").alias("lane")).agg(F.count(F.lit(1)).alias("n"))
     return compare.unequal_mates(rows)
 
 
-@_query("transcript_expression", "exon_transcripts", sql="SELECT t.transcript_id, t.sample, t.rpkm, g.gene_id FROM transcript_expression t JOIN (SELECT DISTINCT transcript_id, gene_id FROM exon_transcripts WHERE gene_id NOT LIKE '%7') g USING (transcript_id) WHERE rpkm > 0")
-def expressed_with_gene(t, bridge):
-    return compare.expressed_with_gene(t.select("transcript_id", "sample", "rpkm"), bridge.where("gene_id not like '%7'"))
+@_query("transcript_expression", "exon_transcripts", "gene_info", sql="SELECT t.transcript_id, t.sample, t.rpkm, g.gene_id FROM transcript_expression t JOIN (SELECT DISTINCT transcript_id, gene_id FROM exon_transcripts JOIN gene_info USING (gene_id) WHERE gene_name IS NOT NULL) g USING (transcript_id) WHERE rpkm > 0")
+def expressed_with_gene(t, bridge, info):
+    named = bridge.join(info.where("gene_name is not null").select("gene_id"), "gene_id")
+    return compare.expressed_with_gene(t.select("transcript_id", "sample", "rpkm"), named)
 
 
 @_query("features", sql="""SELECT gene_id, transcript_id, start % 7 AS fpkm, 'l' || (start % 3) AS lane FROM features WHERE type = 'transcript' AND start % 7 > 0""")

@@ -155,3 +155,13 @@ def test_coverage_of_inclusion(spark):
     rows = {r.exon_id: r for r in splicing.inclusion_rates(exon, junctions, included, excluded, um, 50).collect()}
     e = rows["e"]  # 5 reads on 500 bases, 4 on a junction of 100 (twice the read), 2 on one of 50
     assert (e.ex_incl, e.junc_inc, e.junc_exc, e.psi) == (10.0, 40.0, 40.0, 0.556)
+
+
+def test_lanes_that_lack_reads(spark):
+    from readloom.operators import compare
+
+    reads = spark.createDataFrame([("a", 5), ("b", 6), ("c", 7)], "lane string, n long")
+    mapped = spark.createDataFrame([("a", 5), ("b", 4)], "lane string, n long")
+    assert sorted((r.lane, r.problem) for r in compare.read_differences(reads, mapped).collect()) == [("b", "different"), ("c", "absent")]
+    pairs = spark.createDataFrame([("p", "1", 5), ("p", "2", 5), ("q", "1", 5), ("q", "2", 6), ("r", "1", 1), ("r", "2", 1), ("r", "3", 1)], "pair string, lane string, n long")
+    assert sorted(r.pair for r in compare.unequal_mates(pairs).collect()) == ["q", "r"]
