@@ -123,7 +123,7 @@ def _searcher(sent):
     def search(s: pd.Series) -> pd.Series:
         raw = [t.encode("utf-8", "surrogatepass").lower() if isinstance(t, str) else b"" for t in s]
         out = []
-        for _, part in chunks(raw, 1 << 18):
+        for _, part in chunks(raw, 1 << 16):
             h, at = hash_words(part)
             for a, b in zip(at[:-1], at[1:]):
                 found = sent.value.search(h[a:b])

@@ -59,7 +59,7 @@ _BITS = [f"w{k}" for k in range(_COARSE)]
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Each text's sorted distinct shingle hashes; a text under five words has one shingle, without words none."""
     raw = [t.encode("utf-8", "surrogatepass").lower() if isinstance(t, str) else b"" for t in texts]
-    for _, part in chunks(raw, 1 << 18):
+    for _, part in chunks(raw, 1 << 16):
         h, at = hash_words(part)
         full = windows(h, WIDTH)
         for k in range(len(part)):
@@ -261,8 +261,9 @@ def measured(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     two = classes.select(F.col("sid").alias("y"), "rep_doc", F.col("a").alias("ya"), F.col("n").alias("ny"))
     left = _texts(docs, dealt.join(one, "x")).select("x", "y", "part", "xa", "nx", F.col("text").alias("tx"))
     right = _texts(docs, two.join(pairs.select("y").distinct(), "y", "left_semi")).select("y", "ya", "ny", F.col("text").alias("ty"))
+    measure = _measure.asNondeterministic()  # else the filter below would run it a second time, in a second worker
     right = right.join(heavy, "y", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    both = left.join(right, ["y", "part"]).withColumn("m", _measure("tx", "ty", "xa", "ya"))
+    both = left.join(right, ["y", "part"]).withColumn("m", measure("tx", "ty", "xa", "ya"))
     return both.select("x", "y", "nx", "ny", "m.*").where("right").drop("right").dropDuplicates(["x", "y"])
 
 

@@ -81,7 +81,7 @@ def text_stats(text: pd.Series) -> pd.DataFrame:
     """The counts of STATS for each text; a null text counts as empty."""
     rows = np.zeros((len(text), len(STATS.names)), dtype=np.int64)
     raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in text]
-    for first, part in chunks(raw, 1 << 18):
+    for first, part in chunks(raw, 1 << 16):
         h, at = hash_words(part)
         for k, b in enumerate(part):
             own = h[at[k] : at[k + 1]]

@@ -35,7 +35,7 @@ STEMS = (6, 7)
 def word_sets(texts: list[str | None]):
     """Hashes of each text's words (runs of letters, without regard to the case of A-Z) and of their stems."""
     raw = [t.encode("utf-8", "surrogatepass").lower().translate(_LETTERS) if isinstance(t, str) else b"" for t in texts]
-    for _, part in chunks(raw, 1 << 18):
+    for _, part in chunks(raw, 1 << 16):
         h, at = hash_words(part)
         stems = [hash_words(part, n)[0] ^ np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64)) for n in STEMS]
         for a, b in zip(at[:-1], at[1:]):

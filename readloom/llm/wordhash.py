@@ -22,7 +22,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(which: str, n: int) -> np.ndarray:
     have = _powers.get(which)
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 17)
         base = np.full(size, _BASE if which == "up" else _INVERSE, dtype=np.uint64)
         base[0] = 1
         _powers[which] = have = np.cumprod(base, dtype=np.uint64)

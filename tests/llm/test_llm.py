@@ -359,3 +359,42 @@ def test_preferences(spark):
 def test_word_hash_depends_on_bytes_alone():
     h, at = hash_words([b"", b"ab cd", b" \x0bab\n", b"abc"])
     assert at.tolist() == [0, 0, 2, 3, 4] and h[0] == h[2] and len(set(h.tolist())) == 3
+
+
+def test_leaks_in_blocks_and_in_slices(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(k, " ".join(rng.choice("abcdefg") + rng.choice("xyz") for _ in range(rng.choice([3, 12, 40])))) for k in range(25)]
+    texts = [(k, " ".join(rng.choice(items)[1] for _ in range(4))) for k in range(10)] + [(None, None), (11, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda: sorted((r.doc_id, [tuple(x) for x in r.leaks]) for r in decontamination.with_leaks(docs_of(spark, texts), bench).where("doc_id is not null").collect())
+    whole = rows()
+    assert any(x for _, x in whole)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 400)
+    assert rows() == whole
+    index = decontamination.Index([i for i, _ in items], [t for _, t in items], 0.4)
+    docs = [hash_words([t.encode()])[0] for _, t in texts if t]
+    found = [index.search(d) for d in docs]
+    monkeypatch.setattr(decontamination, "SEEDS", 3)
+    assert [index.search(d) for d in docs] == found
+
+
+def test_columns_that_are_there_already_are_replaced(spark):
+    docs = docs_of(spark, ODD).withColumns({c: F.lit("old") for c in ("shard", "slot", "grown_shard", "lang_pred", "predicted", "kept", "rule", "_row", "_k", "row")})
+    out = sharding.assign_shards(docs, 5)
+    assert len(out.columns) == len(set(out.columns)) and out.where("shard between 0 and 4 and slot >= 0").count() == len(ODD)
+    model = language_id.fit({"en": language_id.Counter({"one": 5})}, ["▁", "o", "n", "e"])
+    assert language_id.predict(docs, model).where("lang_pred in ('en', 'und')").count() == len(ODD)
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns and kept.count() == len(jaccard.one_of_each(docs_of(spark, ODD)).collect())
+    pieces = spark.createDataFrame([(1, 0, 5, "a", "b"), (2, 0, 7, "a", "b")], "doc_id long, piece int, length long, sequence_id string, offset string")
+    assert sorted((r.doc_id, r.offset) for r in packing.pack(packing.staged(pieces, "t"), 8).collect()) == [(1, 0), (2, 0)]
+
+
+def test_conversations_of_odd_rows(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "q"), (2, 1, "assistant", "b"), (2, 2, None, None), (3, 5, "assistant", "alone"), (3, 5, "assistant", "alone"), (None, 0, "user", "q"), (4, None, "user", "q"), (4, 1, "user", "")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumns({"opening": F.lit(1), "i": F.lit(2), "said": F.lit("x")})
+    out = {r.conv_id: r for r in preferences.format_preferences(preferences.neighbour_pairs(turns)).collect()}
+    assert sorted(out) == [1, 2, 3, 4]
+    assert out[3].rejected == "" and out[3].n_common == 0 and out[3].chosen.count("alone") == 2 and len(out[3].chosen_spans) == 2
+    assert all(out[k].n_common == 1 and out[k].prompt == "<|user|>\nq<|end|>\n" for k in (1, 2, 4))
+    assert preferences.format_preferences(preferences.neighbour_pairs(turns.limit(0))).count() == 0
