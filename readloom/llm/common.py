@@ -53,14 +53,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs one re-read, and what is used
-    several times is computed once.
+    several times is computed once. ``most`` bounds the files, for callers that
+    know how much there is: small tables are not to become as many files as a
+    shuffle has partitions.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if most is None else df.coalesce(most)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -42,18 +42,18 @@ def _stars(edges: DataFrame) -> bool:
     return seen.where("lo < hi or (root and lo is not null)").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
     """(node, root) for every node of the edges (u, v): root is its component's least node.
 
     Loops and repeated edges do no harm; no edges give an empty table. Nodes are
     longs without nulls. The number of rounds grows with the logarithm of the
-    longest path; each round is written to the shared folder, until all
-    components are stars.
+    longest path; each round is written to the shared folder (in at most
+    ``files`` files), until all components are stars.
     """
     now = staged(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", files
     )
     while not _stars(now):
-        now = staged(_small_star(_large_star(now)), "stars")
+        now = staged(_small_star(_large_star(now)), "stars", files)
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))

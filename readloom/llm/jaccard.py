@@ -47,6 +47,8 @@ FIRST_LISTS = 6
 _HUB_PAIRS = 256
 #: Index entries that one task handles at once.
 _LIST_ENTRIES = 200_000
+#: Index entries for each file of a staged table; tables are no larger than the index.
+_FILE_ENTRIES = 100_000
 #: Bytes of texts that Python is handed at once: a hub's long text may come with every row of a batch.
 _BATCH_BYTES = 4 << 20
 _ENTRY = np.dtype([("s", "<u8"), ("a", "<u8"), ("n", "<u4"), ("p", "<u4")])
@@ -267,10 +269,10 @@ def measured(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     return both.select("x", "y", "nx", "ny", "m.*").where("right").drop("right").dropDuplicates(["x", "y"])
 
 
-def _merged(placed: DataFrame, edges: DataFrame) -> DataFrame:
+def _merged(placed: DataFrame, edges: DataFrame, files: int) -> DataFrame:
     """Components (sid, comp) after edges (u, v) between them."""
-    late = components(edges)
-    return staged(placed.join(late, F.col("comp") == F.col("node"), "left").select("sid", F.coalesce("root", "comp").alias("comp")), "placed")
+    late = components(edges, files)
+    return staged(placed.join(late, F.col("comp") == F.col("node"), "left").select("sid", F.coalesce("root", "comp").alias("comp")), "placed", files)
 
 
 def _asks(lists: DataFrame, order: str) -> DataFrame:
@@ -286,7 +288,7 @@ def _asks(lists: DataFrame, order: str) -> DataFrame:
     return found.groupBy(F.col("sid").alias("x"), F.col("hub.sid").alias("y")).agg(edge).select("x", "y", "e.*")
 
 
-def _open_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
+def _open_pairs(lists: DataFrame, classes: DataFrame, files: int) -> DataFrame:
     """Pairs (x, z) of different components that some list leaves possible, with cx, cz, n1 and n2.
 
     ``lists`` has s, sid, comp, n and pos of lists in more than one component, staged.
@@ -300,9 +302,9 @@ def _open_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
         "(nb1 < nb2 or (nb1 = nb2 and pb1 <= pb2)) and least(lo1, lo2) < greatest(hi1, hi2) and 5 * n_hi1 >= 4 * n_lo2 and 5 * n_hi2 >= 4 * n_lo1"
         " and 5 * n_hi1 - 9 * p1 >= 4 * n_lo2 and 5 * n_hi2 - 9 * p2 >= 4 * n_lo1"
     )
-    open_blocks = staged(side(1).join(side(2), "s").where(can).select("s", "nb1", "pb1", "nb2", "pb2"), "blocks")
+    open_blocks = staged(side(1).join(side(2), "s").where(can).select("s", "nb1", "pb1", "nb2", "pb2"), "blocks", files)
     met = open_blocks.select("s", F.explode(F.array(*[F.struct(F.col(f"nb{k}").alias("nb"), F.col(f"pb{k}").alias("pb")) for k in (1, 2)])).alias("b"))
-    lists = staged(lists.join(met.select("s", "b.*").distinct(), ["s", "nb", "pb"], "left_semi"), "met")
+    lists = staged(lists.join(met.select("s", "b.*").distinct(), ["s", "nb", "pb"], "left_semi"), "met", files)
 
     # The first lists of each set. A pair that shares one of those before this list has met there, as its positions there are no worse.
     rank = F.row_number().over(Window.partitionBy("sid").orderBy("pos"))
@@ -310,7 +312,7 @@ def _open_pairs(lists: DataFrame, classes: DataFrame) -> DataFrame:
     first = first.groupBy("sid").agg(F.collect_list(F.struct("pos", "s")).alias("first"))
     known = classes.select("sid", *_BITS).join(first, "sid")
     early = F.transform(F.filter("first", lambda t: t["pos"] < F.col("pos")), lambda t: t["s"])
-    lists = staged(lists.join(known, "sid").select("s", "nb", "pb", "n", "pos", "sid", "comp", *_BITS, early.alias("early")), "open")
+    lists = staged(lists.join(known, "sid").select("s", "nb", "pb", "n", "pos", "sid", "comp", *_BITS, early.alias("early")), "open", files)
 
     def member(k: int, sid: str) -> DataFrame:
         same = [F.col(c).alias(f"{c}{k}") for c in ("nb", "pb", "n")] + [F.col("pos").alias(f"p{k}"), F.col("early").alias(f"early{k}")]
@@ -331,44 +333,45 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = docs.select("doc_id", "text")
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
     members = staged(_digests(docs), "members")
+    entries = members.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
+    files = max(int(entries) // _FILE_ENTRIES + 1, 24)
     classes = (
         members.where("n > 0").groupBy("a", "b")
         .agg(F.min("doc_id").alias("rep_doc"), F.first("n").alias("n"), F.first("f").alias("f"))
         .withColumns({"sid": F.monotonically_increasing_id(), **{w: F.expr(" ^ ".join(f"f[{i}]" for i in range(k, _FINE_BITS // 64, _COARSE))) for k, w in enumerate(_BITS)}})
     )
-    classes = staged(classes, "classes")
+    classes = staged(classes, "classes", files)
 
-    entries = members.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
     live = _live_entries(docs, _hot_shingles(docs), max(int(entries) // _LIST_ENTRIES + 1, 24))
-    live = staged(live.dropDuplicates(["s", "a"]).join(classes.select("a", "sid"), "a").drop("a"), "lists")
+    live = staged(live.dropDuplicates(["s", "a"]).join(classes.select("a", "sid"), "a").drop("a"), "lists", files)
 
     # Hubs: every entry of a list that joins components proposes links to the list's two hubs.
     placed, links = None, None
     for order in ("sid", "xxhash64(sid)"):
         lists = live.withColumn("comp", F.col("sid")) if placed is None else live.join(placed, "sid")
-        asks = staged(_fine_enough(_asks(lists, order), classes, "x", "y"), "asks")
-        new = staged(measured(docs, classes, asks).where(_linked(F.col("o"), F.col("nx"), F.col("ny"))), "hubs")
+        asks = staged(_fine_enough(_asks(lists, order), classes, "x", "y"), "asks", files)
+        new = staged(measured(docs, classes, asks).where(_linked(F.col("o"), F.col("nx"), F.col("ny"))), "hubs", files)
         if placed is None:
             placed = classes.select("sid", F.col("sid").alias("comp"))
-        placed = _merged(placed, asks.join(new.select("x", "y"), ["x", "y"]).select("u", "v"))
+        placed = _merged(placed, asks.join(new.select("x", "y"), ["x", "y"]).select("u", "v"), files)
         links = new if links is None else links.unionByName(new)
     lists = live.join(placed, "sid")
     mixed = lists.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("s")
-    pairs = _open_pairs(staged(lists.join(mixed, "s"), "mixed"), classes)
-    pairs = staged(_fine_enough(pairs, classes, "x", "z"), "pairs")
+    pairs = _open_pairs(staged(lists.join(mixed, "s"), "mixed", files), classes, files)
+    pairs = staged(_fine_enough(pairs, classes, "x", "z"), "pairs", files)
 
     # Overlaps by way of hubs.
     best = links.groupBy("x").agg(F.min(F.struct(F.expr("extra + lacking").alias("d"), F.col("y").alias("hub"), "extra", "lacking")).alias("h"))
     best = best.select("x", "h.hub", "h.extra", "h.lacking")
-    way = staged(pairs.join(best, "x", "left").select("*", F.coalesce("hub", "x").alias("r")), "way")
-    by_hub = staged(measured(docs, classes, staged(way.where("r <> z").select(F.col("r").alias("x"), F.col("z").alias("y")).distinct(), "asked")), "by_hub")
+    way = staged(pairs.join(best, "x", "left").select("*", F.coalesce("hub", "x").alias("r")), "way", files)
+    by_hub = staged(measured(docs, classes, staged(way.where("r <> z").select(F.col("r").alias("x"), F.col("z").alias("y")).distinct(), "asked", files)), "by_hub", files)
     known = way.join(by_hub.select(F.col("x").alias("r"), F.col("y").alias("z"), "o"), ["r", "z"])
     least, most = F.col("o") - F.coalesce("lacking", F.lit(0)), F.col("o") + F.coalesce("extra", F.lit(0))
-    known = staged(known.select("x", "z", "cx", "cz", _linked(least, F.col("n1"), F.col("n2")).alias("yes"), _linked(most, F.col("n1"), F.col("n2")).alias("may")), "known")
+    known = staged(known.select("x", "z", "cx", "cz", _linked(least, F.col("n1"), F.col("n2")).alias("yes"), _linked(most, F.col("n1"), F.col("n2")).alias("may")), "known", files)
     unsure = known.where("may and not yes")
     counted = measured(docs, classes, unsure.select("x", F.col("z").alias("y"))).where(_linked(F.col("o"), F.col("nx"), F.col("ny")))
     found = known.where("yes").select("cx", "cz").unionByName(counted.select("x", F.col("y").alias("z")).join(unsure, ["x", "z"]).select("cx", "cz"))
-    roots = _merged(placed, found.select(F.col("cx").alias("u"), F.col("cz").alias("v"))).withColumnRenamed("comp", "root")
+    roots = _merged(placed, found.select(F.col("cx").alias("u"), F.col("cz").alias("v")), files).withColumnRenamed("comp", "root")
     return members, classes, roots
 
 
