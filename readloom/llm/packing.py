@@ -93,7 +93,8 @@ def fractional(
                 total += more
                 key = (on.tobytes(), k.tobytes())
                 use[key] = use.get(key, 0.0) + more
-    found = [(np.frombuffer(on, dtype=np.int64), np.frombuffer(k, dtype=np.int64), x / cover.min()) for (on, k), x in use.items()]
+    scale = cover.min() or 1.0
+    found = [(np.frombuffer(on, dtype=np.int64), np.frombuffer(k, dtype=np.int64), x / scale) for (on, k), x in use.items()]
     return sorted(found, key=lambda f: -f[2]), lower
 
 

@@ -26,8 +26,12 @@ def conversations(turns: DataFrame) -> DataFrame:
     return turns.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("turns"))
 
 
+def _body(turn: Column) -> Column:
+    return F.concat(F.lit(_OPEN), turn["role"], F.lit(_MID), turn["text"], F.lit(_CLOSE))
+
+
 def _rendered(turns: Column) -> Column:
-    return F.array_join(F.transform(turns, lambda t: F.concat(F.lit(_OPEN), t["role"], F.lit(_MID), t["text"], F.lit(_CLOSE))), "")
+    return F.array_join(F.transform(turns, _body), "")
 
 
 def _trained(turns: Column) -> Column:
@@ -67,22 +71,27 @@ def format_preferences(pairs: DataFrame, chosen: str = "chosen", rejected: str =
 def neighbour_pairs(turns: DataFrame) -> DataFrame:
     """(conv_id, chosen, rejected): every conversation beside another that opens with the same turn.
 
-    Conversations that share their first turn are ranked by the md5 slice of the
-    second turn, then by all they say, then by conv_id, so that those with longer
-    common openings stand together; the next one in rank (after the last, the
-    first) is the rejected side. A conversation whose first turn no other shares
-    gets an empty rejected side. Equal conversations make pairs too. All turns
-    are kept, those after the last reply as well.
+    Conversations that share their first turn are ranked by the start of the
+    second turn's md5, then by the starts of all later ones in turn, then by
+    conv_id, so that those with longer common openings stand together; the next
+    one in rank (after the last, the first) is the rejected side. A conversation
+    whose first turn no other shares gets an empty rejected side. Equal
+    conversations make pairs too. All turns are kept, those after the last reply
+    as well. Ranks are worked out on ids and digests; ``turns`` is read several times.
     """
-    body = lambda i: F.coalesce(_rendered(F.slice("turns", i, 1)), F.lit(""))
-    all_ = conversations(turns).select("conv_id", "turns", F.md5(body(1)).alias("opening"), F.substring(F.md5(body(2)), 1, 3).alias("slice"))
-    ranked = gapless_rank(staged(all_.withColumn("said", _rendered(F.col("turns"))), "talks"), ["opening"], F.col("slice"), ["said", "conv_id"], "i")
-    ranked = staged(ranked.select("conv_id", "turns", "opening", "i"), "ranked")
-    sizes = ranked.groupBy("opening").agg(F.max("i").alias("last")).where("last > 0")
-    after = ranked.where("i > 0").select("opening", (F.col("i") - 1).alias("i"), F.col("turns").alias("rejected"))
-    wrap = ranked.where("i = 0").join(sizes, "opening").select("opening", F.col("last").alias("i"), F.col("turns").alias("rejected"))
-    beside = ranked.join(after.unionByName(wrap), ["opening", "i"], "left")
-    return beside.select("conv_id", F.col("turns").alias("chosen"), F.coalesce("rejected", F.slice("turns", 1, 0)).alias("rejected"))
+    talks = conversations(turns)
+    marks = F.transform("turns", lambda t: F.md5(_body(t)))
+    starts = F.array_join(F.transform(F.slice(marks, 2, F.size("turns")), lambda m: F.substring(m, 1, 8)), "")
+    cut = F.coalesce(F.substring(F.get(marks, F.lit(1)), 1, 3), F.substring(F.md5(F.lit("")), 1, 3))
+    light = staged(talks.select("conv_id", marks[0].alias("opening"), cut.alias("slice"), starts.alias("starts")), "talks")
+    ranked = staged(gapless_rank(light, ["opening"], F.col("slice"), ["starts", "conv_id"], "i").select("conv_id", "opening", "i"), "ranked")
+    last = ranked.groupBy("opening").agg(F.max("i").alias("last")).where("last > 0")
+    after = ranked.where("i > 0").select("opening", (F.col("i") - 1).alias("i"), F.col("conv_id").alias("other"))
+    wrap = ranked.where("i = 0").join(last, "opening").select("opening", F.col("last").alias("i"), F.col("conv_id").alias("other"))
+    pairs = ranked.join(after.unionByName(wrap), ["opening", "i"]).select("conv_id", "other")
+    rejected = talks.select(F.col("conv_id").alias("other"), F.col("turns").alias("rejected")).join(pairs, "other").select("conv_id", "rejected")
+    beside = talks.select("conv_id", F.col("turns").alias("chosen")).join(rejected, "conv_id", "left")
+    return beside.select("conv_id", "chosen", F.coalesce("rejected", F.slice("chosen", 1, 0)).alias("rejected"))
 
 
 def op8_preference_format(spark, sf_dir: str) -> DataFrame:
@@ -100,11 +109,11 @@ WITH t AS (
 ), b AS (
   SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS body FROM t
 ), c AS (
-  SELECT conv_id, count(*) AS n, string_agg(body, '' ORDER BY k) AS said, md5(max(body) FILTER (k = 1)) AS opening,
+  SELECT conv_id, count(*) AS n, coalesce(string_agg(md5(body)[1:8], '' ORDER BY k) FILTER (k > 1), '') AS starts, md5(max(body) FILTER (k = 1)) AS opening,
          md5(coalesce(max(body) FILTER (k = 2), ''))[1:3] AS slice
   FROM b GROUP BY conv_id
 ), r AS (
-  SELECT conv_id, n, opening, row_number() OVER (PARTITION BY opening ORDER BY slice, said, conv_id) - 1 AS i,
+  SELECT conv_id, n, opening, row_number() OVER (PARTITION BY opening ORDER BY slice, starts, conv_id) - 1 AS i,
          count(*) OVER (PARTITION BY opening) AS m
   FROM c
 ), p AS (

@@ -75,16 +75,19 @@ def naive_components(texts):
     return sorted((d, len(sets[i]), least.get(find(i))) for i, (d, _) in enumerate(texts) if d is not None)
 
 
-def test_components_equal_brute_force(spark):
-    rng = random.Random(5)
+@pytest.mark.parametrize("hub_pairs, first_lists", [(256, 6), (3, 1)])
+def test_components_equal_brute_force(spark, monkeypatch, hub_pairs, first_lists):
+    monkeypatch.setattr(jaccard, "_HUB_PAIRS", hub_pairs)
+    monkeypatch.setattr(jaccard, "FIRST_LISTS", first_lists)
+    rng = random.Random(5 + hub_pairs)
     texts = list(ODD)
     for k in range(12):
         base = [f"w{rng.randrange(900)}" for _ in range(rng.choice([30, 60, 120]))]
-        for c in range(6):
+        for c in range(40 if k == 0 else 6):
             own = list(base)
             for _ in range(rng.choice([0, 1, 1, 2, 3, 4])):
                 own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
-            texts.append((100 + 10 * k + c, " ".join(own)))
+            texts.append((100 + 50 * k + c, " ".join(own)))
     got = jaccard.component_ids(docs_of(spark, texts)).where("doc_id is not null").collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == naive_components(texts)
     kept = jaccard.one_of_each(docs_of(spark, texts))
