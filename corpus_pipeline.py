@@ -10,21 +10,27 @@ all stages but the last.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from readloom.llm import decontamination, jaccard, packing, quality_rules, toxicity
 from readloom.llm.common import staged, table
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The text beside the whole row, so that what a stage adds replaces no column of the documents."""
+    return docs.select(F.struct("*").alias("row"), "text")
+
+
 def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned decision list reject."""
     rules = quality_rules.fit_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs.select("*"), rules).where("kept").select(*docs.columns)
+    return quality_rules.judge(whole_rows(docs), rules).where("kept").select("row.*")
 
 
 def by_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not predict to be toxic."""
     model = toxicity.fit_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(whole_rows(docs), model).where("predicted = 0").select("row.*")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
