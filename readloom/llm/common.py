@@ -66,6 +66,14 @@ def staged(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; null keys fall in fold of the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
@@ -83,24 +91,24 @@ def slice_key(*cols: Column) -> Column:
 
 
 def gapless_rank(df: DataFrame, groups: list[str], slice_by: Column, order: list[str], name: str) -> DataFrame:
-    """Number the rows of every group from 0 without gaps, in column ``name``.
+    """Number the rows of every group from 0 without gaps, in column ``name`` (in place of one so named).
 
     A group is cut into 4096 slices: a slice's rows are numbered by one task and
     moved by the count of the slices before it, so a group with a third of all
     rows is spread over many tasks. Null group keys form a group. ``df`` must
     give the same rows each time it is read.
     """
-    cut = df.withColumn("_slice", slice_by)
-    counts = cut.groupBy(*groups, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    keys = [*groups, "_slice"]
-    starts = starts.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], "_start")
+    part, at, n, start = (fresh(df, x) for x in ("_slice", "_at", "_n", "_start"))
+    keys = [*groups, part]
+    other = [fresh(df, f"_r{i}") for i in range(len(keys))]
+    cut = df.withColumn(part, slice_by)
+    counts = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn(start, F.coalesce(F.sum(n).over(before), F.lit(0))).select(*[F.col(k).alias(o) for k, o in zip(keys, other)], start)
     within = Window.partitionBy(*keys).orderBy(*order)
-    ranked = cut.withColumn("_at", F.row_number().over(within) - 1)
-    same = None
-    for i, k in enumerate(keys):
-        part = F.col(k).eqNullSafe(F.col(f"_r{i}"))
-        same = part if same is None else same & part
-    joined = ranked.join(starts, same, "left")
-    return joined.withColumn(name, (F.col("_at") + F.col("_start")).cast("long")).select(*df.columns, name)
+    ranked = cut.withColumn(at, F.row_number().over(within) - 1)
+    same = F.lit(True)
+    for k, o in zip(keys, other):
+        same = same & F.col(k).eqNullSafe(F.col(o))
+    joined = ranked.join(starts, same, "left").withColumn(start, (F.col(at) + F.col(start)).cast("long"))
+    return joined.select(*[c for c in df.columns if c != name], F.col(start).alias(name))

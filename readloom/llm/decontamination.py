@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import staged, table
+from readloom.llm.common import fresh, staged, table
 from readloom.llm.wordhash import chunks, hash_words, windows
 
 #: Words of the shortest tile.
@@ -154,7 +154,8 @@ def with_leaks(docs: DataFrame, bench: DataFrame, coverage: float = 0.4, text: s
         sent = docs.sparkSession.sparkContext.broadcast(Index([i for i, _ in rows], [t for _, t in rows], coverage))
         found = _searcher(sent)(F.col(text).cast("string"))
         if k:
-            docs = staged(docs, "leaks").withColumn("_more", found).withColumn(into, F.sort_array(F.concat(into, "_more"))).drop("_more")
+            more = fresh(docs, "_more")
+            docs = staged(docs, "leaks").withColumn(more, found).withColumn(into, F.sort_array(F.concat(into, more))).drop(more)
         else:
             docs = docs.withColumn(into, found)
     return docs
@@ -162,7 +163,8 @@ def with_leaks(docs: DataFrame, bench: DataFrame, coverage: float = 0.4, text: s
 
 def clean_of(docs: DataFrame, bench: DataFrame, coverage: float = 0.4) -> DataFrame:
     """The documents that hold no benchmark item, with their columns."""
-    return with_leaks(docs, bench, coverage, into="_leaks").where(F.size("_leaks") == 0).drop("_leaks")
+    own = fresh(docs, "_leaks")
+    return with_leaks(docs, bench, coverage, into=own).where(F.size(own) == 0).drop(own)
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:

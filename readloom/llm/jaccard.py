@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from readloom.llm.common import staged, table
+from readloom.llm.common import fresh, staged, table
 from readloom.llm.components import components
 from readloom.llm.wordhash import chunks, hash_words, mix, windows
 
@@ -412,8 +412,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     members, classes, roots = jaccard_classes(docs)
     placed = _placed(members.where("n > 0").select("doc_id", "row", "a", "b"), classes.select("a", "b", "sid").join(roots, "sid").select("a", "b", "root"))
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept")).select(F.col("kept.row").alias("row"))
-    gone = placed.select("row").join(first, "row", "left_anti").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").select(*docs.columns)
+    own = fresh(docs, "_row")
+    gone = placed.select("row").join(first, "row", "left_anti").select(F.col("row").alias(own))
+    return docs.withColumn(own, F.monotonically_increasing_id()).join(gone, own, "left_anti").select(*docs.columns)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import gapless_rank, slice_key, staged, table
+from readloom.llm.common import fresh, gapless_rank, slice_key, staged, table
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 #: Times that the program is solved and rounded, each time for what the last rounding left.
@@ -204,9 +204,10 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         k = np.searchsorted(keys, (length.to_numpy(dtype=np.int64) << 44) + r, side="right") - 1
         return pd.DataFrame({"sequence_id": seq[k] + r - rank0[k], "offset": off[k]})
 
+    rank, own = fresh(pieces, "_rank"), fresh(pieces, "_p")
     # A length has at most 4096 slices, so the window over their counts reads 4096 rows at most.
-    ranked = gapless_rank(pieces, ["length"], slice_key(F.col("doc_id"), F.col("piece")), ["doc_id", "piece"], "_rank")
-    return ranked.withColumn("_p", place("length", "_rank")).select(*pieces.columns, "_p.*")
+    ranked = gapless_rank(pieces, ["length"], slice_key(F.col("doc_id"), F.col("piece")), ["doc_id", "piece"], rank)
+    return ranked.withColumn(own, place("length", rank)).select(*pieces.columns, f"{own}.*")
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
