@@ -19,14 +19,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.common import bounded_sample, fold, table
+from readloom.llm.common import bounded_sample, fold, fresh, table
 
 _WORD = re.compile(r"[^\W\d_]+")
 _FLOOR = 1e-9  # of a letter that is no piece of the vocabulary
 #: Letters after which the forward pass is scaled back to 1, so that no word underflows.
 _SCALE_EVERY = 8
-#: Words, each of up to _KEPT_LETTERS, whose likelihoods a worker remembers. This bounds memory, not results.
-MAX_WORDS, _KEPT_LETTERS = 400_000, 40
+#: Words whose likelihoods a worker remembers; this bounds memory, not results. Those of up to _KEPT_LETTERS letters are
+#: worked out together and remembered, as their products stay within floats; longer ones are scaled, one by one.
+MAX_WORDS, _KEPT_LETTERS = 400_000, 30
 
 
 def words_of(text: str | None) -> list[str]:
@@ -121,7 +122,7 @@ class Model:
 
     def __getstate__(self) -> dict:
         """What is sent to workers: all but the words remembered."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("_at", "_logs")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_at", "_logs", "_trie")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -129,39 +130,91 @@ class Model:
 
     def _forget(self) -> None:
         self._at: dict[str, int] = {}
-        self._logs = np.zeros((1024, len(self.langs)))
-
-    def _of(self, word: str) -> list[float]:
-        return log_likelihood(word, self.pieces, self.longest, len(self.langs))
-
-    def logs(self, text: str | None) -> np.ndarray | None:
-        """The log-likelihoods of the whole text, or None without a letter."""
-        counts = Counter(words_of(text))
-        if not counts:
-            return None
-        if len(self._at) + len(counts) > MAX_WORDS:
-            self._forget()
-        at, times, total = [], [], np.zeros(len(self.langs))
-        for w, k in counts.items():
-            i = self._at.get(w)
-            if i is None:
-                if len(w) > _KEPT_LETTERS or len(self._at) >= MAX_WORDS:
-                    total += k * np.array(self._of(w))
+        self._logs = np.zeros((0, len(self.langs)))
+        self._trie: tuple | None = None
+
+    def _index(self) -> tuple:
+        """The pieces as a tree of letters: sorted (node, letter) keys, the nodes they lead to, and each node's row of probabilities or -1."""
+        if self._trie is None:
+            ways: dict[tuple[int, str], int] = {}
+            row = [-1]
+            for k, piece in enumerate(self.pieces):
+                at = 0
+                for c in piece:
+                    at, new = ways.setdefault((at, c), len(row)), len(row)
+                    if at == new:
+                        row.append(-1)
+                row[at] = k
+            keys = np.array([(node << 21) | ord(c) for node, c in ways] + [-1], dtype=np.int64)
+            order = np.argsort(keys)
+            p = np.array([*self.pieces.values(), (_FLOOR,) * len(self.langs)])
+            self._trie = keys[order], np.array([*ways.values(), 0])[order], np.array(row), p
+        return self._trie
+
+    def _together(self, words: list[str]) -> np.ndarray:
+        """log_likelihood() of words of equal length, a row each, by one forward pass over all of them."""
+        keys, to, row, p = self._index()
+        text = "".join("▁" + w for w in words).encode("utf-32-le", "surrogatepass")
+        letters = np.frombuffer(text, dtype="<u4").reshape(len(words), -1).astype(np.int64)
+        width = letters.shape[1]
+        f = np.zeros((width + 1, len(words), len(self.langs)))
+        f[0] = 1
+        for i in range(width):
+            live, node = np.arange(len(words)), np.zeros(len(words), dtype=np.int64)
+            for j in range(i, min(i + self.longest, width)):
+                key = (node << 21) | letters[live, j]
+                k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[k] == key
+                if j == i:  # a single letter always may be a piece; row -1 has the floor
+                    f[i + 1] += f[i] * p[np.where(hit, row[to[k]], -1)]
+                live, node = live[hit], to[k[hit]]
+                if not len(live):
+                    break
+                if j > i:
+                    on = row[node] >= 0
+                    f[j + 1][live[on]] += f[i][live[on]] * p[row[node[on]]]
+        return np.log(f[width])
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the likelihoods of short words that are not known yet."""
+        by_length: dict[int, list[str]] = {}
+        for w in words:
+            if w not in self._at and len(w) <= _KEPT_LETTERS:
+                by_length.setdefault(len(w), []).append(w)
+        found = [self._logs]
+        for same in by_length.values():
+            for k in range(0, len(same), 20_000):
+                part = same[k : k + 20_000]
+                self._at.update(zip(part, range(len(self._at), len(self._at) + len(part))))
+                found.append(self._together(part))
+        if len(found) > 1:
+            self._logs = np.concatenate(found)
+
+    def logs(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """The log-likelihoods of each whole text, or None without a letter."""
+        out: list[np.ndarray | None] = []
+        for start in range(0, len(texts), 500):
+            counts = [Counter(words_of(t)) for t in texts[start : start + 500]]
+            if len(self._at) > MAX_WORDS:
+                trie = self._trie
+                self._forget()
+                self._trie = trie
+            self._learn(set().union(*counts))
+            for c in counts:
+                if not c:
+                    out.append(None)
                     continue
-                i = self._at[w] = len(self._at)
-                if i == len(self._logs):
-                    self._logs = np.concatenate([self._logs, np.zeros_like(self._logs)])
-                self._logs[i] = self._of(w)
-            at.append(i)
-            times.append(k)
-        return total + np.array(times, dtype=float) @ self._logs[at] if at else total
+                total = np.zeros(len(self.langs))
+                for w in [w for w in c if len(w) > _KEPT_LETTERS]:
+                    total += c.pop(w) * np.array(log_likelihood(w, self.pieces, self.longest, len(self.langs)))
+                out.append(total + np.fromiter(c.values(), dtype=float, count=len(c)) @ self._logs[[self._at[w] for w in c]] if c else total)
+        return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language of each text (of equal ones the first in order of names) and its posterior probability."""
         langs, scores = [], []
         prior = np.log(np.array(self.prior)) if self.langs else np.zeros(0)
-        for t in texts:
-            total = self.logs(t) if self.langs else None
+        for total in self.logs(texts) if self.langs else [None] * len(texts):
             if total is None:
                 langs.append("und")
                 scores.append(0.0)
@@ -218,7 +271,7 @@ def fit_model(docs: DataFrame, path: str, max_rows: int = 100, max_words: int =
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add lang_pred and its posterior probability, score, for the whole text.
+    """Add lang_pred and its posterior probability, score, for the whole text, in place of columns so named.
 
     A null text and one without letters get ``und`` and 0.
     """
@@ -229,7 +282,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         langs, scores = sent.value.predict(s.tolist())
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    return docs.withColumn("_p", of(F.col(text).cast("string"))).select(*[F.col(c) for c in docs.columns if c not in ("lang_pred", "score")], "_p.*")
+    own = fresh(docs, "_p")
+    return docs.withColumn(own, of(F.col(text).cast("string"))).select(*[c for c in docs.columns if c not in ("lang_pred", "score")], f"{own}.*")
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

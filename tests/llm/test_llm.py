@@ -332,6 +332,16 @@ def test_language_forward_sums_all_segmentations(word):
     assert np.allclose(got, want, rtol=1e-9)
 
 
+def test_language_words_together_equal_words_alone():
+    rng = random.Random(7)
+    pieces = {"▁": (0.1, 0.2), "a": (0.2, 0.1), "b": (0.3, 0.1), "ab": (0.05, 0.2), "▁a": (0.04, 0.01), "bab": (0.01, 0.3), "日本": (0.1, 0.1), "ž": (0.02, 0.2)}
+    model = language_id.Model(["p", "q"], [0.5, 0.5], pieces, 3)
+    for n in (1, 2, 5, 30):
+        words = ["".join(rng.choice("abcž日本語") for _ in range(n)) for _ in range(50)]
+        assert np.allclose(model._together(words), [language_id.log_likelihood(w, pieces, 3, 2) for w in words], rtol=1e-9)
+    assert language_id.Model(["p", "q"], [0.5, 0.5], {}, 1).predict(["ab cd", None, "x" * 90])[0] == ["p", "und", "p"]
+
+
 def test_language_models_share_no_memory():
     texts = ["one two", "w w"]
     pieces = ["▁", "o", "n", "e", "t", "w", "one", "▁w"]
@@ -382,14 +392,15 @@ def test_leaks_in_blocks_and_in_slices(spark, monkeypatch):
 
 
 def test_columns_that_are_there_already_are_replaced(spark):
-    docs = docs_of(spark, ODD).withColumns({c: F.lit("old") for c in ("shard", "slot", "grown_shard", "lang_pred", "predicted", "kept", "rule", "_row", "_k", "row")})
+    docs = docs_of(spark, ODD).withColumns({c: F.lit("old") for c in ("shard", "slot", "grown_shard", "lang_pred", "predicted", "kept", "rule", "_row", "_k", "row", "_p", "_leaks", "_more", "_slice", "_at", "_start", "_n", "_r0", "_r1", "_RANK")})
     out = sharding.assign_shards(docs, 5)
     assert len(out.columns) == len(set(out.columns)) and out.where("shard between 0 and 4 and slot >= 0").count() == len(ODD)
     model = language_id.fit({"en": language_id.Counter({"one": 5})}, ["▁", "o", "n", "e"])
     assert language_id.predict(docs, model).where("lang_pred in ('en', 'und')").count() == len(ODD)
     kept = jaccard.one_of_each(docs)
     assert kept.columns == docs.columns and kept.count() == len(jaccard.one_of_each(docs_of(spark, ODD)).collect())
-    pieces = spark.createDataFrame([(1, 0, 5, "a", "b"), (2, 0, 7, "a", "b")], "doc_id long, piece int, length long, sequence_id string, offset string")
+    assert decontamination.clean_of(docs, spark.createDataFrame([(1, "one two")], "item_id long, text string")).columns == docs.columns
+    pieces = spark.createDataFrame([(1, 0, 5, "a", "b", 1, 2), (2, 0, 7, "a", "b", 1, 2)], "doc_id long, piece int, length long, sequence_id string, offset string, _rank int, _p int")
     assert sorted((r.doc_id, r.offset) for r in packing.pack(packing.staged(pieces, "t"), 8).collect()) == [(1, 0), (2, 0)]
 
 

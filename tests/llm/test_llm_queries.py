@@ -288,6 +288,9 @@ def test_chain_of_stages(spark, small):
     kept = [d for d in kept if not leaks(d["text"], items_of(sf))]
     assert 0 < len(kept) < len(docs)
     check_pieces(out, kept)
+    odd = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("*", *[f"'old' as {c}" for c in ("kept", "rule", "stats", "base_failed", "predicted", "row", "_row", "_leaks")])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert odd.columns == (odd := stage(spark, odd, sf)).columns and odd.where("kept <> 'old' or stats <> 'old' or row <> 'old'").isEmpty()
 
 
 def test_ids_of_many_texts_equal_the_library():
