@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from readloom.llm import (
+    collocations,
     decontamination,
     jaccard,
     language_id,
+    licences,
     packing,
     preferences,
     quality_compression,
     quality_rules,
     sharding,
+    spelling,
     token_files,
     toxicity,
 )
@@ -26,10 +29,14 @@ QUERIES = {
     "op8_preference_format": preferences.op8_preference_format,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_licence_scan": licences.op12_licence_scan,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLE_SQL = {
     "op3_jump_sharding": sharding.OP3_SQL,
     "op8_preference_format": preferences.OP8_SQL,
     "op10_ngram_jaccard": jaccard.OP10_SQL,
+    "op11_collocations": collocations.OP11_SQL,
 }
