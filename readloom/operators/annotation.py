@@ -72,6 +72,6 @@ def top_genes(values: DataFrame, samples: list[str], exons: DataFrame, bridge: D
     return top_features(values, "gene_id", samples, about)
 
 
-def with_rpkm(lines: DataFrame, values: DataFrame, feature: str, line: Column) -> DataFrame:
-    """Annotation lines of features that have a value, with it as a further attribute."""
-    return lines.join(values.where("rpkm > 0").select(feature, "rpkm"), feature).select(F.concat(line, F.lit(' RPKM "'), F.col("rpkm").cast("string"), F.lit('";')).alias("value"))
+def with_rpkm(lines: DataFrame, values: DataFrame, feature: str | list[str], line: Column) -> DataFrame:
+    """Annotation lines of features (one column or several) that have a value, with it as a further attribute."""
+    return lines.join(values.where("rpkm > 0"), feature).select(F.concat(line, F.lit(' RPKM "'), F.col("rpkm").cast("string"), F.lit('";')).alias("value"))

@@ -70,15 +70,20 @@ def read_classes(alignments: DataFrame, exons: DataFrame) -> DataFrame:
     return counts.withColumn("percent", rounded(F.col("reads") * 100.0 / all_, 2))
 
 
+def exact_sum(column: str) -> Column:
+    """The sum of a column in millionths, which does not depend on the order in which rows arrive (null: no values)."""
+    return F.sum(F.col(column).cast("decimal(28,6)"))
+
+
 def transcript_to_gene(transcripts: DataFrame) -> DataFrame:
     """Sum transcript rpkm by gene and sample, two decimals."""
-    return transcripts.groupBy("gene_id", "sample").agg(rounded(F.sum("rpkm"), 2).alias("rpkm"))
+    return transcripts.groupBy("gene_id", "sample").agg(rounded(exact_sum("rpkm").cast("double"), 2).alias("rpkm"))
 
 
 def transcript_to_exon(transcripts: DataFrame, bridge: DataFrame) -> DataFrame:
     """Sum the rpkm of all transcripts that hold an exon, two decimals."""
     joined = transcripts.join(bridge, ["gene_id", "transcript_id"])
-    return joined.groupBy("exon_id", "sample").agg(rounded(F.sum("rpkm"), 2).alias("rpkm"))
+    return joined.groupBy("exon_id", "sample").agg(rounded(exact_sum("rpkm").cast("double"), 2).alias("rpkm"))
 
 
 def detected_features(values: DataFrame, about: DataFrame, feature: str, threshold: float = 1.0) -> DataFrame:

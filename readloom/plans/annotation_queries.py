@@ -67,12 +67,30 @@ def transcript_junctions(exons, bridge):
 
 
 @_query("features", "transcript_expression", sql="""SELECT chr || chr(9) || start || chr(9) || "end" || chr(9) || strand || ' RPKM "' || rpkm::BIGINT || '";' AS value
-FROM features f JOIN (SELECT gene_id, floor(sum(rpkm))::BIGINT AS rpkm FROM transcript_expression GROUP BY gene_id HAVING sum(rpkm) > 0) e USING (gene_id) WHERE type = 'gene'""")
+FROM features f JOIN (SELECT gene_id, floor(sum(rpkm::DECIMAL(28,6)))::BIGINT AS rpkm FROM transcript_expression GROUP BY gene_id HAVING sum(rpkm::DECIMAL(28,6)) > 0) e USING (gene_id) WHERE type = 'gene'""")
 def annotated_gene_lines(features, expressed):
-    values = expressed.groupBy("gene_id").agg(F.sum("rpkm").cast("long").alias("rpkm"))
+    values = expressed.groupBy("gene_id").agg(expression.exact_sum("rpkm").cast("long").alias("rpkm"))
     return annotation.with_rpkm(annotation.of_type(features, "gene"), values, "gene_id", F.concat_ws("\t", "chr", "start", "end", "strand"))
 
 
+@_query("exons", "exon_transcripts", "transcript_expression", sql=""", p AS (SELECT gene_id, transcript_id, e.chr, min(e.start) AS s, max(e."end") AS t, CASE WHEN count(DISTINCT e.strand) = 1 THEN min(e.strand) ELSE '.' END AS strand FROM exon_transcripts b JOIN exons e USING (gene_id, exon_id) GROUP BY ALL)
+SELECT chr || chr(9) || s || chr(9) || t || chr(9) || strand || ' RPKM "' || rpkm || '";' AS value
+FROM p JOIN (SELECT gene_id, transcript_id, floor(sum(rpkm::DECIMAL(28,6)))::BIGINT AS rpkm FROM transcript_expression GROUP BY ALL HAVING sum(rpkm::DECIMAL(28,6)) >= 1) x USING (gene_id, transcript_id)""")
+def annotated_transcript_lines(exons, bridge, expressed):
+    keys = ["gene_id", "transcript_id"]
+    strand = F.when(F.countDistinct("strand") == 1, F.min("strand")).otherwise(".").alias("strand")
+    spans = bridge.join(exons, ["gene_id", "exon_id"]).groupBy(*keys, "chr").agg(F.min("start").alias("start"), F.max("end").alias("end"), strand)
+    values = expressed.groupBy(*keys).agg(expression.exact_sum("rpkm").cast("long").alias("rpkm"))
+    return annotation.with_rpkm(spans, values, keys, F.concat_ws("\t", "chr", "start", "end", "strand"))
+
+
+@_query("exons", "exon_transcripts", "transcript_expression", sql=""", v AS (SELECT gene_id, exon_id, floor(sum(rpkm::DECIMAL(28,6)))::BIGINT AS rpkm FROM transcript_expression JOIN exon_transcripts USING (gene_id, transcript_id) GROUP BY ALL HAVING sum(rpkm::DECIMAL(28,6)) >= 1)
+SELECT chr || chr(9) || start || chr(9) || "end" || chr(9) || strand || ' RPKM "' || rpkm || '";' AS value FROM exons JOIN v USING (gene_id, exon_id)""")
+def annotated_exon_lines(exons, bridge, expressed):
+    values = expressed.join(bridge, ["gene_id", "transcript_id"]).groupBy("gene_id", "exon_id").agg(expression.exact_sum("rpkm").cast("long").alias("rpkm"))
+    return annotation.with_rpkm(exons, values, ["gene_id", "exon_id"], F.concat_ws("\t", "chr", "start", "end", "strand"))
+
+
 @_query("exons", sql=_M + ' SELECT chr, count(*) AS ranges, sum("end" - start + 1)::BIGINT AS bases FROM proj GROUP BY chr')
 def projected_bases(exons):
     return intervals.gene_projections(exons).groupBy("chr").agg(F.count(F.lit(1)).alias("ranges"), F.sum(F.expr("end - start + 1")).alias("bases"))
