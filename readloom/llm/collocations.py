@@ -26,7 +26,7 @@ from readloom.llm.wordhash import _power, mix
 
 _MAP_BITS = 27
 _BLOCK_BITS = 19  # 256 blocks of 64 kB
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 _SLICES = 16
 
 _BYTES = bytearray(range(256))
@@ -97,10 +97,10 @@ def _counts(docs: DataFrame, width: int, frequent) -> DataFrame:
             at = np.flatnonzero(ok)
             key, first, n = np.unique(_keys(h, width)[at], return_index=True, return_counts=True)
             at = at[first]
-            for k in range(0, len(at), 50_000):
-                some = at[k : k + 50_000]
+            for k in range(0, len(at), 20_000):
+                some = at[k : k + 20_000]
                 words = [raw[s:e].decode() for s, e in zip(start[some].tolist(), end[some + width - 1].tolist())]
-                yield pd.DataFrame({"lang": [langs[i] for i in text[some].tolist()], "phrase": [" ".join(filter(None, w.split(" "))) for w in words], "key": key[k : k + 50_000].astype(np.int64), "n": n[k : k + 50_000]})
+                yield pd.DataFrame({"lang": [langs[i] for i in text[some].tolist()], "phrase": [" ".join(filter(None, w.split(" "))) if "  " in w else w for w in words], "key": key[k : k + 20_000].astype(np.int64), "n": n[k : k + 20_000]})
 
     rows = docs.mapInPandas(count, "lang string, phrase string, key long, n long")
     return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("key").alias("key"))
