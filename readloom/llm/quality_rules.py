@@ -233,7 +233,8 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_pr
     """Learn from the documents that ``labels.quality`` marks, outside the held-out fold.
 
     At most ``max_rows`` labelled rows are used, those of least salted md5 of
-    their doc_id; only their counts reach the driver. Rows without a label or
+    their doc_id, and of the documents that have these ids again as many; only
+    their counts reach the driver. Rows without a label or
     without doc_id are left out; no labelled rows give no rules.
     """
     chosen = bounded_sample(
@@ -242,7 +243,8 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_pr
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows short rows
     counted = with_stats(rows)
-    got = counted.select("doc_id", "quality", *[c.alias(n) for n, c in features(F.col("stats")).items()]).toPandas()
+    numbers = counted.select("doc_id", "quality", *[c.alias(n) for n, c in features(F.col("stats")).items()])
+    got = bounded_sample(numbers, "doc_id", max_rows, "rules", *FEATURES).toPandas()  # a doc_id may stand in any number of rows
     got = got.sort_values(["doc_id", *FEATURES], kind="stable")
     order = got["doc_id"].map(lambda i: zlib.crc32(f"rules {i}".encode()))
     got = got.iloc[np.lexsort((got["doc_id"].to_numpy(), order.to_numpy()))] if len(got) else got

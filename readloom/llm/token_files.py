@@ -105,7 +105,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     order. A task writes under a name of its own and renames at the end, so a
     task that is run again leaves the same files; what dead tasks left under
     their own names is removed when all is written. Rows of equal doc_id stand
-    side by side; a null text counts as empty; no documents give no files.
+    side by side, in an order that their texts decide; a null text counts as empty; no documents give no files.
     """
     store, root = _filesystem(path)
     store.create_dir(root)
@@ -141,7 +141,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
             close(w)
         yield pd.DataFrame({"n": [len(names)]})
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # The text takes part in the order, so that rows of one doc_id are spread and come alike in every attempt of a task.
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    ordered = hashed.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").drop("hash")
     ordered.mapInPandas(write, "n long").agg(F.sum("n")).collect()
     from pyarrow.fs import FileSelector
 

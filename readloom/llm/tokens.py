@@ -23,6 +23,19 @@ _MARK = "\x00"  # stands for the vocabulary's word end; a text that has it goes
 
 
 _kinds: list[np.ndarray] = []
+_open: list[re.Pattern] = []
+
+
+def _unassigned() -> re.Pattern:
+    """Characters without a meaning in this Python's Unicode tables; the library's may be newer and know them."""
+    if not _open:
+        import sys
+        import unicodedata
+
+        free = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn"]
+        runs = np.split(np.array(free), np.flatnonzero(np.diff(free) != 1) + 1)
+        _open.append(re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]"))
+    return _open[0]
 
 
 def _mark_words(text: str) -> str:
@@ -94,6 +107,8 @@ class Encoder:
             return False
         import unicodedata
 
+        if self._word_ends and _unassigned().search(text):
+            return False
         return not self._word_ends or (unicodedata.is_normalized("NFC", text) and "Σ" not in text)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:

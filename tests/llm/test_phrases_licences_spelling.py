@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from test_llm import DOCS, ODD, docs_of
 
-from readloom.llm import collocations, licences, spelling
+from readloom.llm import collocations, licences, quality_rules, spelling, tokens
 
 
 def odd_docs(spark, texts, langs=("en", None, "de")):
@@ -147,3 +147,28 @@ def test_variants_of_odd_rows(spark, mod):
     assert {r.word: r.n for r in words.collect()} == brute_words(texts, mod)
     assert got_groups(spelling.variant_groups(words)) == brute_groups(brute_words(texts, mod))
     assert spelling.variant_groups(spelling.varied_words(docs_of(spark, []))).count() == 0
+
+
+def test_ids_of_all_code_points():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x20000 or c % 64 == 0)]
+    got = tokens.encoder(path).ids(texts)
+    want = library.encode_batch(texts, add_special_tokens=False)
+    assert all(memoryview(g).cast("I").tolist() == w.ids for g, w in zip(got, want))
+
+
+def test_rules_with_one_id_in_many_rows(spark):
+    docs = docs_of(spark, [(1, "some words " * 9)]).selectExpr("doc_id", "explode(array_repeat(text, 100000)) as text")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, quality int")
+    seen = []
+    learn, quality_rules.learn_rules = quality_rules.learn_rules, lambda x, bad, p: seen.append(len(bad)) or []
+    try:
+        quality_rules.fit_rules(docs, labels, max_rows=500)
+    finally:
+        quality_rules.learn_rules = learn
+    assert seen == [500]  # id 1 is not held out
