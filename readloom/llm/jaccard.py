@@ -121,7 +121,7 @@ def _digests(docs: DataFrame) -> DataFrame:
                 rows.append((0, 0, 0, None))
         return pd.DataFrame(rows, columns=_DIGEST.names)
 
-    return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), digest("text").alias("d")).select("doc_id", "row", "d.*")
+    return docs.select("doc_id", "row", digest("text").alias("d")).select("doc_id", "row", "d.*")
 
 
 def _hot_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -212,38 +212,31 @@ def _live_entries(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets:
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Join the text of each class's first document to rows with its rep columns.
-
-    ``ids`` has rep_doc, a, b; a class whose document id is repeated over other
-    texts is told apart by the identity of its set.
-    """
+    """Join the text of each class's first row to ``ids`` (with rep_row): row numbers are unique, whatever doc_ids are."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return docs.select(F.col("doc_id").alias("_d"), "text").join(ids, F.col("_d").eqNullSafe(F.col("rep_doc"))).drop("_d")
+    return docs.select(F.col("row").alias("_r"), "text").join(ids, F.col("_r") == F.col("rep_row")).drop("_r")
 
 
-_MEASURED = T.StructType(
-    [T.StructField("o", T.LongType()), T.StructField("extra", T.LongType()), T.StructField("lacking", T.LongType()), T.StructField("right", T.BooleanType())]
-)
+_MEASURED = T.StructType([T.StructField(c, T.LongType()) for c in ("o", "extra", "lacking")])
 
 
 @F.pandas_udf(_MEASURED)
-def _measure(x: pd.Series, y: pd.Series, xa: pd.Series, ya: pd.Series) -> pd.DataFrame:
-    """The overlap of the sets of two texts, what each has beyond, and whether they are the sets meant."""
+def _measure(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+    """The overlap of the sets of two texts and what each has beyond."""
     rows, kept = [], {}
 
-    def get(text: str) -> tuple[np.ndarray, int]:
+    def get(text: str) -> np.ndarray:
         if text not in kept:
             if len(kept) >= 64:
                 kept.clear()
-            s = next(shingle_sets([text]))
-            kept[text] = (s, _identity(s)[0] if len(s) else 0)
+            kept[text] = next(shingle_sets([text]))
         return kept[text]
 
-    for p, q, a, b in zip(x, y, xa, ya):
-        (s, ia), (t, ib) = get(p), get(q)
+    for p, q in zip(x, y):
+        s, t = get(p), get(q)
         o = len(np.intersect1d(s, t, assume_unique=True))
-        rows.append((o, len(s) - o, len(t) - o, ia == a and ib == b))
+        rows.append((o, len(s) - o, len(t) - o))
     return pd.DataFrame(rows, columns=_MEASURED.names)
 
 
@@ -252,21 +245,20 @@ def _linked(o, n1, n2):
 
 
 def measured(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact overlaps of pairs (x, y) of class ids: x, y, nx, ny, o, extra (of x), lacking (of y).
+    """Exact overlaps of distinct pairs (x, y) of class ids: x, y, nx, ny, o, extra (of x), lacking (of y).
 
     ``pairs`` is read several times, so callers stage it. The pairs of a hub y
     that has more than _HUB_PAIRS are dealt out over parts, each with a copy of y.
     """
     heavy = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > _HUB_PAIRS).select("y", F.ceil(F.col("_n") / _HUB_PAIRS).alias("parts"))
     dealt = pairs.select("x", "y").join(heavy, "y", "left").select("x", "y", F.pmod(F.xxhash64("x"), F.coalesce("parts", F.lit(1))).alias("part"))
-    one = classes.select(F.col("sid").alias("x"), "rep_doc", F.col("a").alias("xa"), F.col("n").alias("nx"))
-    two = classes.select(F.col("sid").alias("y"), "rep_doc", F.col("a").alias("ya"), F.col("n").alias("ny"))
-    left = _texts(docs, dealt.join(one, "x")).select("x", "y", "part", "xa", "nx", F.col("text").alias("tx"))
-    right = _texts(docs, two.join(pairs.select("y").distinct(), "y", "left_semi")).select("y", "ya", "ny", F.col("text").alias("ty"))
-    measure = _measure.asNondeterministic()  # else the filter below would run it a second time, in a second worker
+    one = classes.select(F.col("sid").alias("x"), "rep_row", F.col("n").alias("nx"))
+    two = classes.select(F.col("sid").alias("y"), "rep_row", F.col("n").alias("ny"))
+    left = _texts(docs, dealt.join(one, "x")).select("x", "y", "part", "nx", F.col("text").alias("tx"))
+    right = _texts(docs, two.join(pairs.select("y").distinct(), "y", "left_semi")).select("y", "ny", F.col("text").alias("ty"))
+    measure = _measure.asNondeterministic()  # else a filter on the overlap would run it a second time, in a second worker
     right = right.join(heavy, "y", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    both = left.join(right, ["y", "part"]).withColumn("m", measure("tx", "ty", "xa", "ya"))
-    return both.select("x", "y", "nx", "ny", "m.*").where("right").drop("right").dropDuplicates(["x", "y"])
+    return left.join(right, ["y", "part"]).withColumn("m", measure("tx", "ty")).select("x", "y", "nx", "ny", "m.*")
 
 
 def _merged(placed: DataFrame, edges: DataFrame, files: int) -> DataFrame:
@@ -324,20 +316,25 @@ def _open_pairs(lists: DataFrame, classes: DataFrame, files: int) -> DataFrame:
     return pairs.select("x", "z", "cx", "cz", "n1", "n2").distinct()
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, written once with a number a row in column ``name``, so that every later read finds the same numbers."""
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, roots): rows to identities, classes of equal sets, class to component.
 
-    ``docs`` needs doc_id and text; members number its rows as they are read. Only links that join different components
+    ``docs`` needs doc_id, text and row, as numbered() gives them. Only links that join different components
     are looked for once the hubs have joined the obvious ones; no component is missed.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", "row")
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES)
     members = staged(_digests(docs), "members")
     entries = members.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
     files = max(int(entries) // _FILE_ENTRIES + 1, 24)
     classes = (
         members.where("n > 0").groupBy("a", "b")
-        .agg(F.min("doc_id").alias("rep_doc"), F.first("n").alias("n"), F.first("f").alias("f"))
+        .agg(F.min("doc_id").alias("rep_doc"), F.min("row").alias("rep_row"), F.first("n").alias("n"), F.first("f").alias("f"))
         .withColumns({"sid": F.monotonically_increasing_id(), **{w: F.expr(" ^ ".join(f"f[{i}]" for i in range(k, _FINE_BITS // 64, _COARSE))) for k, w in enumerate(_BITS)}})
     )
     classes = staged(classes, "classes", files)
@@ -392,7 +389,7 @@ def component_ids(docs: DataFrame) -> DataFrame:
     group. A row without doc_id keeps its null id; its group's id is the least
     id among the others, or null. Repeated rows give repeated rows.
     """
-    members, classes, roots = jaccard_classes(docs)
+    members, classes, roots = jaccard_classes(numbered(docs.select("doc_id", "text"), "row"))
     with_root = classes.select("sid", "a", "b", "rep_doc").join(roots, "sid")
     first = with_root.groupBy("root").agg(F.min("rep_doc").alias("component_id"))
     found = with_root.join(first, "root").select("a", "b", "component_id")
@@ -406,15 +403,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group: that of least doc_id (null ids last), of those the first that is read.
 
     Rows without words all stay. Rows are decided one by one, whether or not a
-    doc_id or a whole row is repeated; ``docs`` must be read in the same order
-    each time, as files are.
+    doc_id or a whole row is repeated.
     """
-    members, classes, roots = jaccard_classes(docs)
+    own = fresh(docs, "_row")
+    rows = numbered(docs, own)
+    members, classes, roots = jaccard_classes(rows.select("doc_id", "text", F.col(own).alias("row")))
     placed = _placed(members.where("n > 0").select("doc_id", "row", "a", "b"), classes.select("a", "b", "sid").join(roots, "sid").select("a", "b", "root"))
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept")).select(F.col("kept.row").alias("row"))
-    own = fresh(docs, "_row")
     gone = placed.select("row").join(first, "row", "left_anti").select(F.col("row").alias(own))
-    return docs.withColumn(own, F.monotonically_increasing_id()).join(gone, own, "left_anti").select(*docs.columns)
+    return rows.join(gone, own, "left_anti").select(*docs.columns)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

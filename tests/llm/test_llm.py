@@ -97,6 +97,20 @@ def test_components_equal_brute_force(spark, monkeypatch, hub_pairs, first_lists
     assert jaccard.component_ids(docs_of(spark, [])).count() == 0
 
 
+def test_components_of_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    texts = []
+    for doc_id in (None, 7):  # a family of near copies without ids, one of a single id over different texts
+        base = [f"{doc_id}w{k}" for k in range(200)]
+        for c in range(150):
+            own = list(base)
+            own[rng.randrange(len(own))] = f"x{doc_id}{c}"
+            texts.append((doc_id, " ".join(own)))
+    rows = jaccard.component_ids(docs_of(spark, texts)).groupBy("doc_id", "component_id").count().collect()
+    assert sorted((str(r.doc_id), str(r.component_id), r["count"]) for r in rows) == [("7", "7", 150), ("None", "None", 150)]
+    assert jaccard.one_of_each(docs_of(spark, texts)).count() == 2
+
+
 def test_quality_rules(spark):
     text = ["a b c d e f g h " * 3, "x\nx\ny z\n \n", "# $ word", "", None, " ".join(f"w{i}" for i in range(25))]
     out = quality_rules.with_stats(docs_of(spark, list(enumerate(text)))).orderBy("doc_id").select("stats.*").toPandas()
