@@ -5,31 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Width of the bins of interval joins, in bases.
+#: Width of the narrowest bins of interval joins, in bases; those of each further level are _FACTOR times as wide.
 BIN = 1000
+_FACTOR, _LEVELS = 16, 8
 #: Width of the bins of merges.
 MERGE_BIN = 1 << 17
 
 
-def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
+def _touched(df: DataFrame, start: str, end: str) -> DataFrame:
+    return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / F.col("_w")), F.floor(F.col(end) / F.col("_w")))))
+
+
+def _leveled(reads: DataFrame, features: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with _w, a width of bins: a feature has the least one that is not less than its length, a read has each that occurs.
+
+    The widths that occur (eight at most) are asked for first, so that reads are
+    looked up no oftener than the lengths of the features require: once where
+    all are exons of up to ``width`` bases.
+    """
+    widths = [width * _FACTOR**k for k in range(_LEVELS)]
+    length = F.col("f_end") - F.col("f_start") + 1
+    fit = F.coalesce(*[F.when(length <= w, F.lit(w)) for w in widths[:-1]], F.when(length.isNotNull(), F.lit(widths[-1])))
+    features = features.withColumn("_w", fit.cast("long")).where("_w is not null")
+    found = sorted(r[0] for r in features.select("_w").distinct().collect()) or widths[:1]
+    asked = F.array(*[F.lit(w).cast("long") for w in found])
+    return reads.withColumn("_w", asked[0] if len(found) == 1 else F.explode(asked)), features
 
 
 def contained_in(reads: DataFrame, features: DataFrame, width: int = BIN) -> DataFrame:
     """Reads (chr, start, end) that lie wholly in features (chr, f_start, f_end, more).
 
-    Features are listed in every bin they touch and a read is looked up in the
-    bin of its start alone, so no pair comes twice and this is an equi-join.
+    Features are listed in bins not narrower than they are, so in two at most
+    however long they are, and a read is looked up in the bin of its start
+    alone, once for each width. No pair comes twice and this is an equi-join.
+    Callers sum up equal places first, so a bin holds no more rows than places;
+    what is skewed beyond that is split by the adaptive join. Rows with a null
+    place meet nothing.
     """
-    left = reads.withColumn("_bin", F.floor(F.col("start") / width))
-    return left.join(_binned(features, "f_start", "f_end", width), ["chr", "_bin"]).where("start >= f_start and end <= f_end").drop("_bin")
+    left, right = _leveled(reads, features, width)
+    left = left.withColumn("_bin", F.floor(F.col("start") / F.col("_w")))
+    return left.join(_touched(right, "f_start", "f_end"), ["chr", "_w", "_bin"]).where("start >= f_start and end <= f_end").drop("_bin", "_w")
 
 
 def overlapping(reads: DataFrame, features: DataFrame, width: int = BIN, keys: tuple[str, ...] = ("chr",)) -> DataFrame:
-    """Pairs that share a base and ``keys`` (add strand for stranded libraries); a pair is kept in the first bin that both touch."""
-    pairs = _binned(reads, "start", "end", width).join(_binned(features, "f_start", "f_end", width), [*keys, "_bin"])
-    first = F.col("_bin") == F.floor(F.greatest("start", "f_start") / width)
-    return pairs.where(first & F.expr("start <= f_end and end >= f_start")).drop("_bin")
+    """Pairs that share a base and ``keys`` (add strand for stranded libraries).
+
+    Bins are those of contained_in(), a read is looked up in all that it
+    touches, and a pair is kept in the first bin that both touch.
+    """
+    left, right = _leveled(reads, features, width)
+    pairs = _touched(left, "start", "end").join(_touched(right, "f_start", "f_end"), [*keys, "_w", "_bin"])
+    first = F.col("_bin") == F.floor(F.greatest("start", "f_start") / F.col("_w"))
+    return pairs.where(first & F.expr("start <= f_end and end >= f_start")).drop("_bin", "_w")
 
 
 def merged(df: DataFrame, keys: list[str], aggregates: list[Column], width: int = MERGE_BIN) -> DataFrame:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.text import ambiguous
@@ -43,20 +48,55 @@ def read_stats(reads: DataFrame) -> DataFrame:
     )
 
 
+_COUNTS = ("ambiguous", "a", "c", "g", "t", "quality", "marks", "reads")
+
+
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column of texts and the length of each; null is empty, a letter beyond ASCII is '?'."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    texts = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), r"[^\x00-\x7F]", "?")
+    at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]], np.diff(at)
+
+
+def _places_in(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... for each text of such lengths, one after the other."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _position_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each batch by lane and position; position 0 has the number of reads."""
+    for batch in batches:
+        lanes = batch.column("lane").dictionary_encode(null_encoding="encode")
+        lane = lanes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        (seq, n), (qual, m) = _bytes_of(batch.column("seq")), _bytes_of(batch.column("qual"))
+        wide = int(n.max(initial=0)) + 1
+        at = np.repeat(lane * wide + 1, n) + _places_in(n)
+        there = _places_in(m) < np.repeat(n, m)  # marks behind the last base do not count
+        mark_at = (np.repeat(lane * wide + 1, m) + _places_in(m))[there]
+        size = len(lanes.dictionary) * wide
+        count = lambda where, weight=None: np.bincount(where, weight, size).astype(np.int64)
+        bases = [count(at[np.isin(seq, list(codes))]) for codes in (b"N.", b"A", b"C", b"G", b"T")]
+        columns = [*bases, count(mark_at, qual[there]), count(mark_at), count(lane * wide)]
+        used = np.flatnonzero(count(at) + columns[-1])
+        rows = [lanes.dictionary.take(pa.array(used // wide)), pa.array((used % wide).astype(np.int32)), *[pa.array(c[used]) for c in columns]]
+        yield pa.RecordBatch.from_arrays(rows, ["lane", "pos", *_COUNTS])
+
+
 def per_position(reads: DataFrame, offset: int = 33) -> DataFrame:
     """Bases and mean quality at each position by lane; the mean divides by all reads of the lane.
 
-    Bases are summed up where they are read, so the shuffle holds a row a
-    position and task.
+    A batch of reads is counted as arrays where it is read, so neither a row a
+    base is made nor the reads read twice; the shuffle holds a row a position
+    and batch. A null sequence has no positions but counts as a read; where no
+    read has a quality the mean is null. Letters beyond ASCII count as '?'.
     """
-    bases = reads.select("lane", F.posexplode(F.arrays_zip(F.split("seq", "").alias("b"), F.split("qual", "").alias("q"))).alias("pos", "z"))
-    is_ = lambda x: F.sum(F.when(F.col("z.b") == x, 1).otherwise(0))
-    counts = bases.where("z.b <> ''").groupBy("lane", (F.col("pos") + 1).alias("pos")).agg(
-        F.sum(F.when(F.col("z.b").isin("N", "."), 1).otherwise(0)).alias("ambiguous"), is_("A").alias("a"), is_("C").alias("c"), is_("G").alias("g"), is_("T").alias("t"),
-        F.sum(F.ascii(F.col("z.q")) - offset).alias("quality"),
-    )
-    lanes = reads.groupBy("lane").agg(F.count(F.lit(1)).alias("reads"))
-    return counts.join(lanes, "lane").select("lane", "pos", "ambiguous", "a", "c", "g", "t", (F.col("quality") / F.col("reads")).alias("mean_quality"))
+    found = reads.select(F.col("lane"), "seq", "qual").mapInArrow(_position_counts, f"lane {reads.schema['lane'].dataType.simpleString()}, pos int, {', '.join(f'{c} long' for c in _COUNTS)}")
+    total = found.groupBy("lane", "pos").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    total = total.withColumn("reads", F.max("reads").over(Window.partitionBy("lane")))  # a row a position
+    quality = F.when(F.col("marks") > 0, F.col("quality") - offset * F.col("marks"))
+    return total.where("pos > 0").select("lane", "pos", "ambiguous", "a", "c", "g", "t", (quality / F.col("reads")).alias("mean_quality"))
 
 
 def quality_encoding(reads: DataFrame) -> DataFrame:

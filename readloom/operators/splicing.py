@@ -47,11 +47,36 @@ def junction_catalogue(exons: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def exclusion_junctions(exons: DataFrame) -> DataFrame:
-    """For each exon the distinct junctions of its gene that skip it."""
-    one = exons.select("gene_id", "chr", "strand", F.col("end").alias("j_start")).distinct()
-    two = exons.select("gene_id", "chr", "strand", F.col("start").alias("j_end")).distinct()
-    up = exons.join(one, ["gene_id", "chr", "strand"]).where("j_start < start")
-    return up.join(two, ["gene_id", "chr", "strand"]).where("j_end > end").select("gene_id", "exon_id", "chr", "j_start", "j_end").distinct()
+    """For each exon the distinct junctions of its gene that skip it.
+
+    An exon's junctions are all ends before it times all starts behind it, so
+    each gene's distinct ends and starts are gathered (as many as it has exons)
+    and every exon takes its own from them: no row is made that isn't returned.
+    An exon_id stands for one place.
+    """
+    gene = ["gene_id", "chr", "strand"]
+    places = exons.groupBy(*gene).agg(F.collect_set("end").alias("_ends"), F.collect_set("start").alias("_starts"))
+    own = exons.select(*gene, "exon_id", "start", "end").distinct().join(places, gene)
+    sides = own.select(
+        "gene_id", "exon_id", "chr", F.filter("_ends", lambda x: x < F.col("start")).alias("_ends"), F.filter("_starts", lambda x: x > F.col("end")).alias("_starts")
+    ).where("size(_ends) > 0 and size(_starts) > 0")
+    return sides.withColumn("j_start", F.explode("_ends")).withColumn("j_end", F.explode("_starts")).select("gene_id", "exon_id", "chr", "j_start", "j_end")
+
+
+def skipping_junctions(exons: DataFrame, junctions: DataFrame) -> DataFrame:
+    """The rows of exclusion_junctions() at the places of ``junctions`` (chr, j_start, j_end), distinct, without the gene.
+
+    Where reads are counted only junctions that have some matter. These are
+    found first and then meet the exons of their gene, so the work follows the
+    junctions that were seen, not all that a gene could have.
+    """
+    seen = junctions.select("chr", "j_start", "j_end").distinct()
+    gene = ["gene_id", "chr", "strand"]
+    one = exons.select(*gene, F.col("end").alias("j_start")).distinct()
+    two = exons.select(*gene, F.col("start").alias("j_end")).distinct()
+    possible = seen.join(one, ["chr", "j_start"]).join(two, [*gene, "j_end"])
+    own = exons.select(*gene, "exon_id", "start", "end").distinct()
+    return own.join(possible, gene).where("j_start < start and j_end > end").select("exon_id", "chr", "j_start", "j_end").distinct()
 
 
 def inclusion_junctions(exons: DataFrame, pairs: DataFrame) -> DataFrame:

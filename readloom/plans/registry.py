@@ -285,7 +285,7 @@ def _psi(alignments, exons, junction_reads):
     sizes = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
     reads_of = expression.containment_counts(uniq, features, "exon_id").select("exon_id", "sample", "reads").join(sizes, "exon_id")
     included = splicing.inclusion_lengths(splicing.exon_pairs(exons), exons)
-    excluded = splicing.exclusion_junctions(exons).drop("gene_id").distinct()
+    excluded = splicing.skipping_junctions(exons, junction_reads)
     return splicing.inclusion_rates(reads_of, junction_reads, included, excluded, expression.unique_maps(uniq), 50)
 
 
@@ -297,7 +297,7 @@ def exon_inclusion(alignments, exons, junction_reads):
 @_query("alignments", "exons", "junction_reads", sql=_RAW_PSI + " SELECT * FROM psi")
 def inclusion_supporting_reads(alignments, exons, junction_reads):
     included = splicing.inclusion_junctions(exons, splicing.exon_pairs(exons))
-    excluded = splicing.exclusion_junctions(exons).drop("gene_id").distinct()
+    excluded = splicing.skipping_junctions(exons, junction_reads)
     return splicing.inclusion_reads(_exon_counts(alignments, exons), junction_reads, included, excluded)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import text
-from readloom.operators import hits, intervals
+from readloom.operators import hits, intervals, reads, splicing
 from readloom.sources import tables
 
 
@@ -20,6 +20,39 @@ def test_interval_joins_equal_the_theta_join(spark, width):
     assert sorted(map(tuple, intervals.overlapping(a, b, width).select("r", "f").collect())) == touch
 
 
+def test_long_features_are_listed_twice_at_most(spark):
+    f = spark.createDataFrame([(1, "c", 1, 1_000_000_000), (2, "c", 999, 1001), (3, "c", 1, 1000), (4, "c", 16_000, 32_500), (5, "c", None, 9)], "f int, chr string, f_start int, f_end int")
+    r = spark.createDataFrame([(1, "c", 1000, 1001), (2, "c", 20_000, 20_049), (3, "c", 999_999_999, 1_000_000_001), (4, "c", None, None)], "r int, chr string, start int, end int")
+    left, right = intervals._leveled(r, f, 1000)
+    assert max(x["count"] for x in intervals._touched(right, "f_start", "f_end").groupBy("f").count().collect()) <= 2
+    assert left.groupBy("r").count().where("count > 3").count() == 0
+    assert sorted(map(tuple, intervals.contained_in(r, f).select("r", "f").collect())) == [(1, 1), (1, 2), (2, 1), (2, 4)]
+    assert sorted(map(tuple, intervals.overlapping(r, f).select("r", "f").collect())) == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 4), (3, 1)]
+    assert intervals.contained_in(r, f.limit(0)).count() == 0
+
+
+def test_skips_of_a_long_gene(spark):
+    e = [("g", f"e{k}", "c", 10 * k + 1, 10 * k + 5, "+") for k in range(60)] + [("g", "wide", "c", 1, 300, "+"), ("g", "other", "c", 100, 105, "-"), ("g", "e3", "c", 31, 35, "+")]
+    df = spark.createDataFrame(e, "gene_id string, exon_id string, chr string, start int, end int, strand string")
+    want = {(x[1], a[4], b[3]) for x in e for a in e for b in e if x[5] == a[5] == b[5] and a[4] < x[3] and b[3] > x[4]}
+    got = [tuple(r) for r in splicing.exclusion_junctions(df).select("exon_id", "j_start", "j_end").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    seen = spark.createDataFrame([("c", 5, 21), ("c", 5, 21), ("c", 15, 591), ("c", 16, 591), ("d", 5, 21)], "chr string, j_start int, j_end int")
+    few = [tuple(r) for r in splicing.skipping_junctions(df, seen).select("exon_id", "j_start", "j_end").collect()]
+    assert sorted(few) == sorted(x for x in want if x[1:] in {(5, 21), (15, 591)})
+
+
+def test_counts_by_position_of_odd_reads(spark):
+    rows = [("x", "ACN", "I!~"), ("x", "A.", "II"), ("x", None, None), ("x", "", ""), (None, "G", "II"), ("y", "té", None), ("z", None, "I")]
+    df = spark.createDataFrame(rows, "lane string, seq string, qual string").coalesce(1)
+    got = {(r.lane, r.pos): (r.ambiguous, r.a, r.c, r.g, r.t, r.mean_quality) for r in reads.per_position(df).collect()}
+    assert got == {
+        ("x", 1): (0, 2, 0, 0, 0, 20.0), ("x", 2): (1, 0, 1, 0, 0, 10.0), ("x", 3): (1, 0, 0, 0, 0, 93 / 4), (None, 1): (0, 0, 0, 1, 0, 40.0),
+        ("y", 1): (0, 0, 0, 0, 0, None), ("y", 2): (0, 0, 0, 0, 0, None),
+    }
+    assert reads.per_position(df.limit(0)).count() == 0
+
+
 def test_touching_ranges_stay_apart_and_merging_is_idempotent(spark):
     df = spark.createDataFrame([("g", "c", 1, 10, "+"), ("g", "c", 11, 20, "+"), ("g", "c", 20, 25, "-"), ("g", "c", 3, 5, "+")], "gene_id string, chr string, start int, end int, strand string")
     once = intervals.gene_projections(df)
