@@ -16,10 +16,20 @@ def with_multiplicity(alignments: DataFrame, keys: tuple[str, ...] = ("read_id",
 
 
 def unique_alignments(alignments: DataFrame) -> DataFrame:
-    """The alignments of reads that have one, with their columns; counted and picked in one aggregation."""
-    rest = [c for c in alignments.columns if c not in ("read_id", "read_no")]
-    one = alignments.groupBy("read_id", "read_no").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*rest)).alias("_a")).where("_n = 1")
-    return one.select(*[F.col(c) if c in ("read_id", "read_no") else F.col("_a")[c].alias(c) for c in alignments.columns])
+    """The alignments of reads that have one, with their columns.
+
+    Reads are counted by their keys alone, which hashes and sums up before the
+    shuffle, and the alignments of those that occur once are picked by a semi
+    join; a read with very many alignments is one row of the counts and meets
+    nothing. Null keys are keys like others.
+    """
+    once = alignments.groupBy(F.col("read_id").alias("_id"), F.col("read_no").alias("_no")).agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")
+    return alignments.join(once, F.expr("read_id <=> _id and read_no <=> _no"), "left_semi")
+
+
+def places(alignments: DataFrame) -> DataFrame:
+    """Alignments summed up by place: sample, chr, start, end, strand and their number n."""
+    return alignments.groupBy("sample", "chr", "start", "end", "strand").agg(F.count(F.lit(1)).alias("n"))
 
 
 def unique_maps(unique: DataFrame) -> DataFrame:
@@ -27,16 +37,25 @@ def unique_maps(unique: DataFrame) -> DataFrame:
     return unique.groupBy("sample").agg(F.count(F.lit(1)).alias("unique_maps"))
 
 
+def maps_at(at: DataFrame) -> DataFrame:
+    """unique_maps() from the places() of the unique alignments, which are then not made twice."""
+    return at.groupBy("sample").agg(F.sum("n").alias("unique_maps"))
+
+
+def counts_at(at: DataFrame, features: DataFrame, feature: str) -> DataFrame:
+    """Forward, reverse and all reads of places() inside each feature, by sample."""
+    joined = contained_in(at, features)
+    by_strand = lambda s: F.sum(F.when(F.col("strand") == s, F.col("n")).otherwise(0))
+    return joined.groupBy(feature, "sample").agg(by_strand("+").alias("forward"), by_strand("-").alias("reverse"), F.sum("n").alias("reads"))
+
+
 def containment_counts(alignments: DataFrame, features: DataFrame, feature: str) -> DataFrame:
     """Forward, reverse and all reads inside each feature, by sample.
 
     Alignments at one place are summed up before the join: deep coverage of a
     few features then costs no more than their distinct places.
     """
-    places = alignments.groupBy("sample", "chr", "start", "end", "strand").agg(F.count(F.lit(1)).alias("n"))
-    joined = contained_in(places, features)
-    by_strand = lambda s: F.sum(F.when(F.col("strand") == s, F.col("n")).otherwise(0))
-    return joined.groupBy(feature, "sample").agg(by_strand("+").alias("forward"), by_strand("-").alias("reverse"), F.sum("n").alias("reads"))
+    return counts_at(places(alignments), features, feature)
 
 
 def exon_rpkm(counts: DataFrame, lengths: DataFrame, maps: DataFrame) -> DataFrame:

@@ -120,17 +120,17 @@ def _exon_counts(alignments, exons):
 
 
 def _exon_rpkm(alignments, exons):
-    uniq = expression.unique_alignments(alignments)
-    counts = expression.containment_counts(uniq, _as_features(exons).drop("gene_id").distinct(), "exon_id")
+    at = expression.places(expression.unique_alignments(alignments))
+    counts = expression.counts_at(at, _as_features(exons).drop("gene_id").distinct(), "exon_id")
     lengths = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
-    return expression.exon_rpkm(counts, lengths, expression.unique_maps(uniq))
+    return expression.exon_rpkm(counts, lengths, expression.maps_at(at))
 
 
 def _gene_rpkm(alignments, exons, junction_reads):
-    uniq = expression.unique_alignments(alignments)
-    counts = expression.containment_counts(uniq, _as_features(exons).withColumn("key", F.struct("gene_id", "exon_id")), "key").select("key.gene_id", "sample", "reads")
+    at = expression.places(expression.unique_alignments(alignments))
+    counts = expression.counts_at(at, _as_features(exons).withColumn("key", F.struct("gene_id", "exon_id")), "key").select("key.gene_id", "sample", "reads")
     junctions = junction_reads.groupBy("gene_id", "sample").agg(F.sum("reads").alias("reads"))
-    return expression.gene_rpkm(counts, junctions, exons, expression.unique_maps(uniq))
+    return expression.gene_rpkm(counts, junctions, exons, expression.maps_at(at))
 
 
 @_query("alignments", "exons", sql=_EXRPKM + " SELECT * FROM xr")
@@ -280,13 +280,13 @@ def inclusion_junctions(exons):
 
 
 def _psi(alignments, exons, junction_reads):
-    uniq = expression.unique_alignments(alignments)
+    at = expression.places(expression.unique_alignments(alignments))
     features = _as_features(exons).drop("gene_id").distinct()
     sizes = exons.select("exon_id", F.expr("end - start + 1").alias("length")).distinct()
-    reads_of = expression.containment_counts(uniq, features, "exon_id").select("exon_id", "sample", "reads").join(sizes, "exon_id")
+    reads_of = expression.counts_at(at, features, "exon_id").select("exon_id", "sample", "reads").join(sizes, "exon_id")
     included = splicing.inclusion_lengths(splicing.exon_pairs(exons), exons)
     excluded = splicing.skipping_junctions(exons, junction_reads)
-    return splicing.inclusion_rates(reads_of, junction_reads, included, excluded, expression.unique_maps(uniq), 50)
+    return splicing.inclusion_rates(reads_of, junction_reads, included, excluded, expression.maps_at(at), 50)
 
 
 @_query("alignments", "exons", "junction_reads", sql=_PSI + " SELECT * FROM psi")

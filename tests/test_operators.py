@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from readloom.functions import text
-from readloom.operators import hits, intervals, reads, splicing
+from readloom.operators import expression, hits, intervals, reads, splicing
 from readloom.sources import tables
 
 
@@ -31,6 +31,12 @@ def test_long_features_are_listed_twice_at_most(spark):
     assert intervals.contained_in(r, f.limit(0)).count() == 0
 
 
+def test_unique_alignments_of_null_and_hot_reads(spark):
+    rows = [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (2, 1, "c"), (None, 1, "d"), (None, 2, "e"), (None, 2, "f")] + [(9, None, "h")] * 50
+    df = spark.createDataFrame(rows, "read_id long, read_no int, chr string")
+    assert sorted(r.chr for r in expression.unique_alignments(df).collect()) == ["a", "b", "d"]
+
+
 def test_skips_of_a_long_gene(spark):
     e = [("g", f"e{k}", "c", 10 * k + 1, 10 * k + 5, "+") for k in range(60)] + [("g", "wide", "c", 1, 300, "+"), ("g", "other", "c", 100, 105, "-"), ("g", "e3", "c", 31, 35, "+")]
     df = spark.createDataFrame(e, "gene_id string, exon_id string, chr string, start int, end int, strand string")
