@@ -29,7 +29,7 @@ _LETTERS = bytes(c if chr(c).isalpha() and c < 128 or c >= 128 else 32 for c in
 
 
 #: Stems: the first so many bytes of a word are a feature too, for languages that inflect their insults.
-STEMS = (6, 7)
+STEMS = (3, 4, 5, 6, 7, 8)
 
 
 def word_sets(texts: list[str | None]):
@@ -74,7 +74,8 @@ def solve(words: np.ndarray, on: list[np.ndarray], toxic: np.ndarray, named: lis
     """Newton's method on the penalised loss; ``still`` weighs changes under swaps.
 
     ``on`` lists for each text which of ``words`` it has, ``named`` for each group
-    name its word and stems. The normal equations are summed over blocks of rows.
+    name its word and stems. The normal equations are summed over blocks of rows;
+    steps are halved until the loss falls.
     """
     y = np.asarray(toxic, dtype=float)
     width = len(words) + 1
@@ -93,19 +94,26 @@ def solve(words: np.ndarray, on: list[np.ndarray], toxic: np.ndarray, named: lis
     penalty[-1, -1] = 1e-6
     theta = np.zeros(width)
     theta[-1] = prior_of(len(y), int(y.sum()))
-    for _ in range(25):
+    margins = lambda v: np.array([v[o].sum() for o in on]) + v[-1]
+    loss = lambda at, odds: (np.logaddexp(0, odds) - y * odds).sum() + at @ penalty @ at / 2
+    odds = margins(theta)
+    for _ in range(50):
         hessian, slope = penalty.copy(), penalty @ theta
         for a in range(0, len(y), block):
             x = np.zeros((len(y[a : a + block]), width))
             x[:, -1] = 1
             for i, o in enumerate(on[a : a + block]):
                 x[i, o] = 1
-            q = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+            q = 1 / (1 + np.exp(-np.clip(odds[a : a + block], -30, 30)))
             hessian += (x.T * (q * (1 - q))) @ x
             slope += x.T @ (q - y[a : a + block])
         step = np.linalg.solve(hessian, slope)
-        theta -= step
-        if np.abs(step).max() < 1e-6:
+        # A whole step may lead past the minimum and, from there, away from it; the loss has to fall by a part of what the slope promises.
+        along, have, size = margins(step), loss(theta, odds), 1.0
+        while size > 1e-6 and loss(theta - size * step, odds - size * along) > have - 1e-4 * size * (slope @ step):
+            size /= 2
+        theta, odds = theta - size * step, odds - size * along
+        if np.abs(step).max() < 1e-6 or size <= 1e-6:
             break
     return Model(words, theta[:-1], float(theta[-1]))
 
@@ -119,8 +127,8 @@ def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, max_word
 
     The rows are those of least salted md5 of doc_id; a doc_id that is repeated
     in either table gives a row for each pair, of which ``max_rows`` again are
-    kept. The words are the ``max_words`` of largest two-proportion z, counted by
-    the executors, and all of ``terms``, the names that may be swapped. The
+    kept. The words are the ``max_words`` of largest two-proportion z that two rows
+    or more have, counted by the executors, and all of ``terms``, the names that may be swapped. The
     driver gets those words and, for each row, the numbers of those it has.
     Without both labels (or without rows) the score is constant.
     """
@@ -142,7 +150,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, max_word
     if not total.n or not 0 < total.bad < total.n:
         return _constant(total.n, total.bad or 0)
     counts = rows.select("text", "toxic").mapInPandas(counted, "w long, n long, n1 long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
-    ranked = counts.where((F.col("n") >= 5) & (F.col("n") <= 0.999 * total.n)).withColumn("z", z_of(F.col("n"), F.col("n1"), total.n, total.bad)).where("z > 0")
+    ranked = counts.where((F.col("n") >= 2) & (F.col("n") <= 0.999 * total.n)).withColumn("z", z_of(F.col("n"), F.col("n1"), total.n, total.bad)).where("z > 0")
     top = [r.w for r in ranked.orderBy(F.desc("z"), "w").limit(max_words).collect()]
     named = [np.unique(h) for h in word_sets(list(terms))]
     words = np.unique(np.concatenate([np.array(top, dtype=np.int64).astype(np.uint64), *named]))

@@ -304,6 +304,39 @@ def test_toxicity_is_still_under_swaps(spark):
     assert ((twice.scores(texts) >= 0) & (twice.scores(texts) <= 1)).all()
 
 
+def inflected(n, seed, stems=("vequ", "lowi", "chón", "réê")):
+    """Texts of invented words; each fourth has one of a few stems with an ending that seldom comes twice."""
+    rng = random.Random(seed)
+    word = lambda k: "".join(rng.choice("abdegiklmnoprstu") for _ in range(k))
+    toxic = [int(k % 4 == 0) for k in range(n)]
+    return [" ".join([word(rng.randrange(2, 9)) for _ in range(20)] + ([rng.choice(stems) + word(4)] if t else [])) for t in toxic], np.array(toxic)
+
+
+def test_toxicity_ranks_words_by_short_stems(spark):
+    texts, toxic = inflected(240, 7)
+    docs = docs_of(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(k, 1, int(t)) for k, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    new, want = inflected(200, 8)
+    for name in ("texts the fit has not seen", "the same, all labels turned round"):
+        score = toxicity.fit_model(docs, labels).scores(new)
+        above = score[want == 1][:, None] - score[want == 0][None, :]
+        assert ((above > 0) + (above == 0) / 2).mean() > 0.95, name
+        labels, want = labels.withColumn("toxic", 1 - labels.toxic), 1 - want
+
+
+def test_toxicity_steps_end_at_the_minimum():
+    """Few texts of one label, on which whole Newton steps go past the minimum and then away from it."""
+    words = np.arange(60, dtype=np.uint64)
+    for seed in (3, 10, 15):
+        rng = np.random.default_rng(seed)
+        toxic = (rng.random(80) < 0.08).astype(int)
+        on = [np.flatnonzero(rng.random(60) < (0.5 if t else 0.03)) for t in toxic]
+        model = toxicity.solve(words, on, toxic, [words[:1], words[1:2]])
+        x = np.array([np.isin(np.arange(60), o) for o in on], dtype=float)
+        miss = 1 / (1 + np.exp(-np.clip(x @ model.weights + model.intercept, -500, 500))) - toxic
+        assert abs(miss.sum()) < 1e-3 and np.abs(x.T @ miss + model.weights)[2:].max() < 1e-3
+
+
 def test_scores_of_odd_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = docs_of(spark, ODD)
