@@ -311,6 +311,30 @@ def test_ids_of_many_texts_equal_the_library():
         assert tokens.encoder(public_tokenizers.path(file)).ids(texts) == want
 
 
+def test_looking_at_characters_costs_less_than_encoding():
+    import time
+    import unicodedata
+
+    import public_tokenizers
+
+    from readloom.llm import tokens
+
+    e = tokens.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = "Ciónaque dé los ñandúes für schöne Äpfel, où l’été ; " * 4000
+    best = lambda f: min(f() for _ in range(3))
+
+    def seconds(f):
+        start = time.process_time()
+        f()
+        return time.process_time() - start
+
+    assert e._plain(text)
+    marked = tokens._mark_words(text.lower())
+    assert best(lambda: seconds(lambda: e._plain(text))) < best(lambda: seconds(lambda: e._fast.encode_ordinary(marked)))
+    for c in [*range(0x250), *range(0x2E70, 0x3000), 0x378, 0xD7FF, 0xE000, 0xFFFE, 0x1FAFF, 0x2FFFF, 0x10FFFF]:
+        assert e._plain(f"a{chr(c)}b") <= (unicodedata.category(chr(c)) != "Cn")
+
+
 def test_only_wanted_frames_are_read(spark, tmp_path):
     docs = spark.createDataFrame([(k, f"text {k} " * 200) for k in range(300)], "doc_id long, text string")
     import public_tokenizers
