@@ -4,7 +4,8 @@ Counts of phrases of one word are made first, then of two, up to ``longest``. A
 phrase reaches the next round's count only if its first and its last part are
 frequent, since a phrase is never more frequent than its parts; this is looked
 up in a bit map of fixed size, so a phrase may be counted for nothing but none
-is missed. Frequent phrases are laid out as a stream in prefix order, where a
+is missed. It is counted by its hash first and as text only if phrases of that
+hash are frequent together. Frequent phrases are laid out as a stream in prefix order, where a
 phrase stands behind its beginnings and before its extensions to the right, and
 then in suffix order. One pass over each stream, with a stack of at most
 ``longest`` phrases, gives the counts of all parts and extensions; nothing is
@@ -26,7 +27,7 @@ from readloom.llm.wordhash import _power, mix
 
 _MAP_BITS = 27
 _BLOCK_BITS = 19  # 256 blocks of 64 kB
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _SLICES = 16
 
 _BYTES = bytearray(range(256))
@@ -79,23 +80,46 @@ def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], lis
         yield texts, langs
 
 
-def _counts(docs: DataFrame, width: int, frequent) -> DataFrame:
-    """(lang, words, n, key) of phrases of ``width`` words whose two parts the map holds, summed over all texts."""
+def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a bit map holds."""
+    low = keys & np.uint64((1 << _MAP_BITS) - 1)
+    return ((bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _often(docs: DataFrame, width: int, parts, least: int) -> DataFrame:
+    """(key) of phrases of ``width`` words whose two parts the map holds, if phrases of that key come ``least`` times or more.
+
+    Most pairs of frequent words are rare themselves: they are shuffled as numbers, never as text.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for texts, langs in _batches(batches):
+            _, _, _, h, piece, _ = _hashed(texts, langs)
+            if len(h) < width:
+                continue
+            held = _has(parts.value, _keys(h, width - 1))
+            key, n = np.unique(_keys(h, width)[(piece[: len(h) - width + 1] == piece[width - 1 :]) & held[:-1] & held[1:]], return_counts=True)
+            for k in range(0, len(key), 20_000):
+                yield pd.DataFrame({"key": key[k : k + 20_000].astype(np.int64), "n": n[k : k + 20_000]})
+
+    rows = docs.mapInPandas(count, "key long, n long")
+    return rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+
+
+def _counts(docs: DataFrame, width: int, often) -> DataFrame:
+    """(lang, phrase, n, key) of phrases of ``width`` words that the map holds (all, without one), summed over all texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = frequent.value if frequent is not None else None
         for texts, langs in _batches(batches):
             raw, start, end, h, piece, text = _hashed(texts, langs)
             if len(h) < width:
                 continue
-            last = len(h) - width + 1
-            ok = piece[:last] == piece[width - 1 :]
-            if bits is not None:
-                low = _keys(h, width - 1) & np.uint64((1 << _MAP_BITS) - 1)
-                held = (bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1
-                ok &= (held[:-1] & held[1:]).astype(bool)
+            keys = _keys(h, width)
+            ok = piece[: len(keys)] == piece[width - 1 :]
+            if often is not None:
+                ok &= _has(often.value, keys)
             at = np.flatnonzero(ok)
-            key, first, n = np.unique(_keys(h, width)[at], return_index=True, return_counts=True)
+            key, first, n = np.unique(keys[at], return_index=True, return_counts=True)
             at = at[first]
             for k in range(0, len(at), 20_000):
                 some = at[k : k + 20_000]
@@ -130,12 +154,13 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int) -> tuple[DataFra
     ones = staged(_counts(texts, 1, None), "words")
     totals = staged(ones.groupBy("lang").agg(F.sum("n").alias("total")), "totals", 1)
     level = ones.where(F.col("n") >= least)
-    found = level
+    found, bits = level, _bit_map(level)
     for width in range(2, longest + 1):
-        bits = _bit_map(level)
-        level = staged(_counts(texts, width, bits).where(F.col("n") >= least), "phrases")
+        often = staged(_often(texts, width, bits, least), "often")
         bits.destroy()
-        found = found.unionByName(level)
+        bits = _bit_map(often)
+        found = found.unionByName(staged(_counts(texts, width, bits).where(F.col("n") >= least), "phrases"))
+    bits.destroy()
     return found.select("lang", F.split("phrase", " ").alias("words"), F.col("n").alias("a")), totals
 
 

@@ -46,6 +46,25 @@ def test_phrases_of_odd_rows(spark):
     assert collocations.mined_phrases(docs_of(spark, [])).count() == 0
 
 
+def test_rare_pairs_of_frequent_words_are_not_counted_as_text(spark):
+    rng = random.Random(6)
+    texts = [(k, " ".join(["so far", *(f"w{rng.randrange(60)}" for _ in range(30))])) for k in range(120)]
+    docs = odd_docs(spark, texts, ("en",))
+    made, counts = {}, collocations._counts
+
+    def counted(of, width, bits):
+        made[width] = counts(of, width, bits).count()
+        return counts(of, width, bits)
+
+    collocations._counts = counted
+    try:
+        got = sorted(tuple(r) for r in collocations.mined_phrases(docs, 3, 20, 30).collect())
+    finally:
+        collocations._counts = counts
+    assert got == brute_phrases([(t, "en") for _, t in texts], 3, 20, 30) and [r[2] for r in got] == ["so far"]
+    assert made == {1: 62, 2: 1, 3: 0}
+
+
 def brute_statistics(words, texts):
     """At each word the length of the longest run ending there that stands in a text."""
     runs = {tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
