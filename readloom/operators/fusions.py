@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.operators.intervals import overlapping
 from readloom.functions.text import map_class
 
+#: Width of the bins in which fragments meet clusters, in bases.
+_BIN = 8192
+
 
 def fusion_candidates(transcript_maps: DataFrame, genome_maps: DataFrame, genes: DataFrame, gene_rpkm: DataFrame) -> DataFrame:
     """Pairs whose mates are unique on two transcripts and map to the genome just as well.
@@ -37,14 +39,28 @@ def cluster_links(fragments: DataFrame, clusters: DataFrame, threshold: int = 5)
 
     close: both fragments in one cluster; far or interchrom: in two. Reads that
     touch more clusters do not count. ``fragments`` has sample, read_id, fragment
-    (1, 2), chr, start, end; ``clusters`` sample, chr, start, end. Samples are apart.
+    (1, 2), chr, start, end; ``clusters`` sample, chr, start, end. Samples are apart,
+    and so are the clusters of a chromosome, so that a cluster can be listed in
+    all the bins that it touches. Fragments are shuffled once to these bins, where
+    those of a read become one row, and these rows once by read.
     """
-    at = F.concat_ws("|", "sample", "chr")
-    named = clusters.select(at.alias("chr"), F.col("chr").alias("chrom"), F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.concat_ws("_", "chr", "start", "end").alias("cluster"))
-    touched = overlapping(fragments.select("sample", "read_id", "fragment", at.alias("chr"), "start", "end"), named)
-    reads = touched.groupBy("sample", "read_id").agg(
-        F.countDistinct("fragment").alias("f"), F.min("cluster").alias("cluster1"), F.max("cluster").alias("cluster2"), F.min("chrom").alias("c1"), F.max("chrom").alias("c2"),
-        F.countDistinct("cluster").alias("n"),
-    ).where("f = 2 and n <= 2")
-    kind = F.when(F.col("n") == 1, "close").when(F.col("c1") == F.col("c2"), "far").otherwise("interchrom")
-    return reads.groupBy("sample", "cluster1", "cluster2", kind.alias("type")).agg(F.count(F.lit(1)).alias("reads")).where(F.col("reads") >= threshold)
+    first, last = F.floor(F.col("start") / _BIN), F.floor(F.col("end") / _BIN)
+    by = ["sample", "chr", "_bin"]
+    listed = fragments.select("sample", "read_id", "fragment", "chr", "start", "end", F.explode(F.sequence(first, last)).alias("_bin"))
+    # Places are shuffled as distances, which are short.
+    near = listed.select(*by, "read_id", "fragment", (F.col("start") - F.col("_bin") * _BIN).alias("_at"), (F.col("end") - F.col("start")).alias("_more")).repartition(*by)
+    near = near.withColumn("start", F.col("_at") + F.col("_bin") * _BIN).withColumn("end", F.col("start") + F.col("_more"))
+    apart = clusters.select("sample", "chr", F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.explode(F.sequence(first, last)).alias("_bin"))
+    one_bin = F.col("_bin") == F.floor(F.greatest("start", "f_start") / _BIN)
+    touched = near.join(apart.hint("shuffle_hash"), by).where(one_bin & F.expr("start <= f_end and end >= f_start"))
+    # In a bin the least start and the least end are of the same cluster, as clusters are apart.
+    here = touched.groupBy(*by, "read_id").agg(
+        F.min("f_start").alias("start1"), F.min("f_end").alias("end1"), F.max("f_start").alias("start2"), F.max("f_end").alias("end2"),
+        F.countDistinct("f_start").alias("n"), F.min("fragment").alias("f1"), F.max("fragment").alias("f2"),
+    ).drop("_bin")
+    both = F.array(*[F.struct("chr", F.col(f"start{k}").alias("start"), F.col(f"end{k}").alias("end")) for k in (1, 2)])
+    reads = here.repartition("sample", "read_id").groupBy("sample", "read_id").agg(F.max("n").alias("n"), F.min("f1").alias("f1"), F.max("f2").alias("f2"), F.array_distinct(F.flatten(F.collect_list(both))).alias("c"))
+    reads = reads.where("f1 <> f2 and n <= 2 and size(c) <= 2").withColumn("names", F.transform("c", lambda x: F.concat_ws("_", x["chr"], x["start"], x["end"])))
+    kind = F.when(F.size("c") == 1, "close").when(F.col("c")[0]["chr"] == F.col("c")[1]["chr"], "far").otherwise("interchrom")
+    pairs = reads.select("sample", F.array_min("names").alias("cluster1"), F.array_max("names").alias("cluster2"), kind.alias("type"))
+    return pairs.groupBy("sample", "cluster1", "cluster2", "type").agg(F.count(F.lit(1)).alias("reads")).where(F.col("reads") >= threshold)

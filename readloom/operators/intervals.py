@@ -59,25 +59,36 @@ def overlapping(reads: DataFrame, features: DataFrame, width: int = BIN, keys: t
     return pairs.where(first & F.expr("start <= f_end and end >= f_start")).drop("_bin", "_w")
 
 
-def merged(df: DataFrame, keys: list[str], aggregates: list[Column], width: int = MERGE_BIN) -> DataFrame:
+def merged(df: DataFrame, keys: list[str], aggregates: list[Column], width: int = MERGE_BIN, again: list[Column] | None = None) -> DataFrame:
     """Merge overlapping intervals (start, end) within ``keys`` into disconnected ranges.
 
-    Equal intervals are best summed up before. A new range begins where the
-    start is beyond the greatest end so far. Intervals are ordered within bins of
-    ``width`` bases by start; what reaches over from earlier bins, and how many
-    ranges these began, comes from a table of one row a bin, so no task holds
-    more of a chromosome than a bin.
+    A new range begins where the start is beyond the greatest end so far. Rows
+    are shuffled once, to bins of ``width`` bases by their start; one that
+    reaches over is listed in the further bins too, where it only tells how far
+    the range before goes. In a bin equal intervals are summed up and ranges
+    made; those that reach into it or out of it, two a bin at most, are merged
+    in one window a group. ``again`` puts the ``aggregates`` of parts together
+    under the same names; without it they are added. No task holds more of a
+    chromosome than a bin. Rows without a start are left out.
     """
-    cut = df.withColumn("_bin", F.floor(F.col("start") / width))
-    by_bin = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    reach = cut.groupBy(*keys, "_bin").agg(F.max("end").alias("_end")).withColumn("_before", F.max("_end").over(by_bin)).drop("_end")
+    first = F.floor(F.col("start") / width)
+    listed = df.withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, F.floor(F.col("end") / width)))))
+    # Places are shuffled as distances, which are short.
+    short = listed.withColumns({"start": F.col("start") - F.col("_bin") * width, "end": F.col("end") - F.col("start")}).repartition(*keys, "_bin")
+    placed = short.withColumn("start", F.col("start") + F.col("_bin") * width).withColumn("end", F.col("start") + F.col("end"))
+    placed = placed.withColumns({c: F.col(c).cast(df.schema[c].dataType) for c in ("start", "end")})
+    at = placed.groupBy(*keys, "_bin", "start", "end").agg(*aggregates)
+    names = at.columns[len(keys) + 3 :]
+    again = again or [F.sum(c).alias(c) for c in names]
     order = Window.partitionBy(*keys, "_bin").orderBy("start", "end")
-    so_far = F.greatest("_before", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))  # skips nulls
-    new = cut.join(reach, [*keys, "_bin"]).withColumn("_new", F.when(F.col("start") <= so_far, 0).otherwise(1))
-    new = new.withColumn("_own", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    begun = new.groupBy(*keys, "_bin").agg(F.sum("_new").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(by_bin), F.lit(0))).drop("_n")
-    grouped = new.join(begun, [*keys, "_bin"]).withColumn("_range", F.col("_base") + F.col("_own"))
-    return grouped.groupBy(*keys, "_range").agg(F.min("start").alias("start"), F.max("end").alias("end"), *aggregates).drop("_range")
+    so_far = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    here = F.col("start") >= F.col("_bin") * width
+    new = at.withColumn("_new", F.when(~here | (F.col("start") <= so_far), 0).otherwise(1))
+    grouped = new.withColumn("_own", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(here)
+    parts = grouped.groupBy(*keys, "_bin", "_own").agg(F.min("start").alias("start"), F.max("end").alias("end"), *again)
+    over = (F.col("_own") == 0) | F.coalesce(F.col("end") >= (F.col("_bin") + 1) * width, F.lit(False))
+    columns = [*keys, "start", "end", *names]
+    return parts.where(~over).select(columns).unionByName(merged_groups(parts.where(over), keys, again).select(columns))
 
 
 def merged_groups(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
@@ -105,9 +116,11 @@ def projected_lengths(exons: DataFrame) -> DataFrame:
 
 def read_clusters(reads: DataFrame, threshold: int) -> DataFrame:
     """Ranges of overlapping reads by sample and chromosome with at least ``threshold`` reads."""
-    one = reads.groupBy("sample", "chr", "start", "end").agg(F.count(F.lit(1)).alias("n"), F.min("strand").alias("s1"), F.max("strand").alias("s2"))
-    strand = F.when(F.min("s1") == F.max("s2"), F.min("s1")).otherwise(F.lit(".")).alias("strand")
-    return merged(one, ["sample", "chr"], [strand, F.sum("n").alias("included")]).where(F.col("included") >= threshold)
+    least, most, included = F.min("strand").alias("s1"), F.max("strand").alias("s2"), F.count(F.lit(1)).alias("included")
+    again = [F.min("s1").alias("s1"), F.max("s2").alias("s2"), F.sum("included").alias("included")]
+    found = merged(reads.select("sample", "chr", "start", "end", "strand"), ["sample", "chr"], [least, most, included], again=again)
+    strand = F.when(F.col("s1") == F.col("s2"), F.col("s1")).otherwise(F.lit(".")).alias("strand")
+    return found.where(F.col("included") >= threshold).select("sample", "chr", "start", "end", strand, "included")
 
 
 def overlap_counts(exons: DataFrame) -> DataFrame:

@@ -204,3 +204,49 @@ def test_lanes_that_lack_reads(spark):
     assert sorted((r.lane, r.problem) for r in compare.read_differences(reads, mapped).collect()) == [("b", "different"), ("c", "absent")]
     pairs = spark.createDataFrame([("p", "1", 5), ("p", "2", 5), ("q", "1", 5), ("q", "2", 6), ("r", "1", 1), ("r", "2", 1), ("r", "3", 1)], "pair string, lane string, n long")
     assert sorted(r.pair for r in compare.unequal_mates(pairs).collect()) == ["q", "r"]
+
+
+def test_links_of_clusters_shuffle_their_rows_once(spark):
+    from pathlib import Path
+
+    from readloom.plans import QUERIES
+
+    def shuffled():
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        executors = spark._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    sf_dir, before = "/root/testdata/sf0.01", shuffled()
+    assert QUERIES["cluster_links"](spark, sf_dir).count() == 1261
+    assert shuffled() - before < 6 * Path(sf_dir, "lineitem.parquet").stat().st_size
+
+
+def test_clusters_of_equal_long_and_nameless_reads(spark):
+    rows = [("s", "c", 1, 50, "+")] * 3 + [("s", "c", 51, 100, "+")] * 3 + [("s", "d", 5, 900_000, "+"), ("s", "d", 400_000, 400_049, "-"), ("s", "d", 899_999, 900_048, "+"), ("s", "d", 900_049, 900_098, "+")]
+    rows += [(None, "c", 1, 50, "+"), (None, "c", 40, 89, "+"), ("s", None, 1, 50, "-"), ("s", None, 2, 51, "-"), ("s", "c", None, None, "+"), ("s", "c", None, None, "+")]
+    df = spark.createDataFrame(rows, "sample string, chr string, start int, end int, strand string")
+    want = {("s", "c", 1, 50, "+", 3), ("s", "c", 51, 100, "+", 3), ("s", "d", 5, 900_048, ".", 3), (None, "c", 1, 89, "+", 2), ("s", None, 1, 51, "-", 2)}
+    assert set(map(tuple, intervals.read_clusters(df, 2).collect())) == want
+
+
+def test_links_equal_those_of_single_reads(spark):
+    import random
+
+    from readloom.operators import fusions
+
+    rng = random.Random(5)
+    clusters = [(s, c, x, x + rng.choice([60, 900, 9000, 30000])) for s in ("s", "t", None) for c in ("c1", "c2") for x in range(1, 400_000, 40_000)]
+    places = [(rng.choice(["s", "t", None]), rng.choice([*range(300), None]), 1 + i % 2, rng.choice(["c1", "c1", "c2", None]), x, x + rng.choice([49, 49, 20_000, 90_000])) for i in range(3000) for x in [rng.randrange(1, 20) * 20_000 + rng.randrange(-60, 60)]]
+    places += [("s", 1000 + i, f, "c1", x, x + 49) for i in range(9) for f, x in ((1, 30), (2, 40_030))]
+    named = [(s, r, f, c, f"{c}_{x}_{y}") for s, r, f, c, a, b in places for t, d, x, y in clusters if s == t and s and c == d and a <= y and b >= x]
+    want = {}
+    for key in {n[:2] for n in named}:
+        own = [n for n in named if n[:2] == key]
+        names, chroms = sorted({n[4] for n in own}), {n[3] for n in own}
+        if len({n[2] for n in own}) == 2 and len(names) <= 2:
+            k = (key[0], names[0], names[-1], "close" if len(names) == 1 else "far" if len(chroms) == 1 else "interchrom")
+            want[k] = want.get(k, 0) + 1
+    a = spark.createDataFrame(places, "sample string, read_id long, fragment int, chr string, start long, end long")
+    b = spark.createDataFrame(clusters, "sample string, chr string, start long, end long")
+    got = {tuple(r)[:4]: r.reads for r in fusions.cluster_links(a, b, 1).collect()}
+    assert got == want and {k[3] for k in want} == {"close", "far", "interchrom"}
