@@ -45,22 +45,22 @@ def cluster_links(fragments: DataFrame, clusters: DataFrame, threshold: int = 5)
     those of a read become one row, and these rows once by read.
     """
     first, last = F.floor(F.col("start") / _BIN), F.floor(F.col("end") / _BIN)
-    by = ["sample", "chr", "_bin"]
-    listed = fragments.select("sample", "read_id", "fragment", "chr", "start", "end", F.explode(F.sequence(first, last)).alias("_bin"))
-    # Places are shuffled as distances, which are short.
-    near = listed.select(*by, "read_id", "fragment", (F.col("start") - F.col("_bin") * _BIN).alias("_at"), (F.col("end") - F.col("start")).alias("_more")).repartition(*by)
-    near = near.withColumn("start", F.col("_at") + F.col("_bin") * _BIN).withColumn("end", F.col("start") + F.col("_more"))
+    listed = fragments.select("sample", "read_id", "fragment", "chr", "start", "end", F.explode(F.sequence(F.lit(0).cast("long"), last - first)).alias("_k"))
+    # The end is shuffled as a length and the bin not at all, as both would be most of a row.
+    near = listed.select("sample", "chr", "start", "read_id", "fragment", "_k", (F.col("end") - F.col("start")).alias("_more")).repartition("sample", "chr", first + F.col("_k"))
+    near = near.select("sample", "chr", (first + F.col("_k")).alias("_bin"), "start", (F.col("start") + F.col("_more")).alias("end"), "read_id", "fragment")
     apart = clusters.select("sample", "chr", F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.explode(F.sequence(first, last)).alias("_bin"))
     one_bin = F.col("_bin") == F.floor(F.greatest("start", "f_start") / _BIN)
-    touched = near.join(apart.hint("shuffle_hash"), by).where(one_bin & F.expr("start <= f_end and end >= f_start"))
+    touched = near.join(apart.hint("shuffle_hash"), ["sample", "chr", "_bin"]).where(one_bin & F.expr("start <= f_end and end >= f_start"))
     # In a bin the least start and the least end are of the same cluster, as clusters are apart.
-    here = touched.groupBy(*by, "read_id").agg(
-        F.min("f_start").alias("start1"), F.min("f_end").alias("end1"), F.max("f_start").alias("start2"), F.max("f_end").alias("end2"),
-        F.countDistinct("f_start").alias("n"), F.min("fragment").alias("f1"), F.max("fragment").alias("f2"),
-    ).drop("_bin")
-    both = F.array(*[F.struct("chr", F.col(f"start{k}").alias("start"), F.col(f"end{k}").alias("end")) for k in (1, 2)])
-    reads = here.repartition("sample", "read_id").groupBy("sample", "read_id").agg(F.max("n").alias("n"), F.min("f1").alias("f1"), F.max("f2").alias("f2"), F.array_distinct(F.flatten(F.collect_list(both))).alias("c"))
-    reads = reads.where("f1 <> f2 and n <= 2 and size(c) <= 2").withColumn("names", F.transform("c", lambda x: F.concat_ws("_", x["chr"], x["start"], x["end"])))
+    here = touched.groupBy("sample", "chr", "_bin", "read_id").agg(
+        F.min("f_start").alias("s1"), F.min("f_end").alias("e1"), F.max("f_start").alias("s2"), F.max("f_end").alias("e2"),
+        F.countDistinct("f_start").alias("n"), F.bit_or(F.expr("shiftleft(1L, int(fragment))")).alias("f"),
+    )
+    rows = here.select("sample", "chr", "read_id", "s1", F.expr("e1 - s1 AS d1"), F.expr("s2 - s1 AS d2"), F.expr("e2 - s2 AS d3"), "n", "f").repartition("sample", "read_id")
+    both = F.expr("array(struct(chr, s1 AS start, s1 + d1 AS end), struct(chr, s1 + d2 AS start, s1 + d2 + d3 AS end))")
+    reads = rows.groupBy("sample", "read_id").agg(F.max("n").alias("n"), F.bit_count(F.bit_or("f")).alias("f"), F.array_distinct(F.flatten(F.collect_list(both))).alias("c"))
+    reads = reads.where("f = 2 and n <= 2 and size(c) <= 2").withColumn("names", F.transform("c", lambda x: F.concat_ws("_", x["chr"], x["start"], x["end"])))
     kind = F.when(F.size("c") == 1, "close").when(F.col("c")[0]["chr"] == F.col("c")[1]["chr"], "far").otherwise("interchrom")
     pairs = reads.select("sample", F.array_min("names").alias("cluster1"), F.array_max("names").alias("cluster2"), kind.alias("type"))
     return pairs.groupBy("sample", "cluster1", "cluster2", "type").agg(F.count(F.lit(1)).alias("reads")).where(F.col("reads") >= threshold)

@@ -72,11 +72,11 @@ def merged(df: DataFrame, keys: list[str], aggregates: list[Column], width: int
     chromosome than a bin. Rows without a start are left out.
     """
     first = F.floor(F.col("start") / width)
-    listed = df.withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, F.floor(F.col("end") / width)))))
-    # Places are shuffled as distances, which are short.
-    short = listed.withColumns({"start": F.col("start") - F.col("_bin") * width, "end": F.col("end") - F.col("start")}).repartition(*keys, "_bin")
-    placed = short.withColumn("start", F.col("start") + F.col("_bin") * width).withColumn("end", F.col("start") + F.col("end"))
-    placed = placed.withColumns({c: F.col(c).cast(df.schema[c].dataType) for c in ("start", "end")})
+    further = F.greatest(F.floor(F.col("end") / width) - first, F.lit(0))
+    listed = df.where("start is not null").withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), further)))
+    # The end is shuffled as a length and the bin not at all, as both would be most of a row.
+    short = listed.withColumn("end", F.col("end") - F.col("start")).repartition(*keys, first + F.col("_k"))
+    placed = short.withColumn("_bin", first + F.col("_k")).withColumn("end", (F.col("start") + F.col("end")).cast(df.schema["end"].dataType))
     at = placed.groupBy(*keys, "_bin", "start", "end").agg(*aggregates)
     names = at.columns[len(keys) + 3 :]
     again = again or [F.sum(c).alias(c) for c in names]
